@@ -194,9 +194,13 @@ def organisation(spark: SparkSession, sf_dir: str) -> dict:
     store = f"c_custkey div {STAFF_PER_STORE}"
     device = f"concat('t', {_device('c_custkey')})"
 
-    def spans(first: str, second: str, schema: str) -> DataFrame:
-        """Two consecutive validity rows per customer."""
-        return read("customer").selectExpr(f"inline(array({first}, {second}))").toDF(*schema.split())
+    def spans(names: str, *periods: list[str]) -> DataFrame:
+        """One validity row per customer and period."""
+        rows = [
+            "named_struct(" + ", ".join(f"'{n}', {value}" for n, value in zip(names.split(), values)) + ")"
+            for values in periods
+        ]
+        return read("customer").selectExpr(f"inline(array({', '.join(rows)}))")
 
     handover = "date_add(date'2024-01-05', cast(c_custkey % 30 as int))"
     returned = "date_add(date'2024-01-20', cast(c_custkey % 15 as int))"
@@ -221,16 +225,33 @@ def organisation(spark: SparkSession, sf_dir: str) -> dict:
         "users": lambda: read("nation").selectExpr("1000L + n_nationkey as id", "n_name as name"),
         "brands": lambda: read("region").selectExpr("r_regionkey as id", "r_name as name"),
         "salesperson_stores": lambda: spans(
-            f"struct(c_custkey, {store}, date_add(date'2023-11-01', cast(c_custkey % 20 as int)), {handover})",
-            f"struct(c_custkey, {store} + 5, date_add({handover}, 1), if(c_custkey % 4 = 3, date'2024-01-29', cast(null as date)))",
             "sp_id store_id start_date end_date",
+            ["c_custkey", store, "date_add(date'2023-11-01', cast(c_custkey % 20 as int))", handover],
+            [
+                "c_custkey",
+                f"{store} + 5",
+                f"date_add({handover}, 1)",
+                "if(c_custkey % 4 = 3, date'2024-01-29', cast(null as date))",
+            ],
         ),
         "devices": lambda: spans(
-            f"struct({device}, {store}, c_custkey, date_add(date'2023-10-15', cast(c_custkey % 10 as int)), {returned}, "
-            "case c_custkey % 9 when 4 then 'To be Delete Row' when 2 then 'ok' end)",
-            f"struct({device}, {store} + if(c_custkey % 8 = 1, 5, 0), if(c_custkey % 6 = 0, null, c_custkey), "
-            f"date_add({returned}, 1), cast(null as date), cast(null as string))",
             "name store_id sales_person_id assigned_on unassigned_on comments",
+            [
+                device,
+                store,
+                "c_custkey",
+                "date_add(date'2023-10-15', cast(c_custkey % 10 as int))",
+                returned,
+                "case c_custkey % 9 when 4 then 'To be Delete Row' when 2 then 'ok' end",
+            ],
+            [
+                device,
+                f"{store} + if(c_custkey % 8 = 1, 5, 0)",
+                "if(c_custkey % 6 = 0, null, c_custkey)",
+                f"date_add({returned}, 1)",
+                "cast(null as date)",
+                "cast(null as string)",
+            ],
         ),
         "device_registrations": lambda: read("customer").selectExpr(
             f"{device} as name", f"{store} as store_id", f"cast({store} % 5 as int) as brand_id"
