@@ -155,7 +155,7 @@ def event_schemes(events: DataFrame) -> DataFrame:
 
 
 def event_audio(events: DataFrame) -> DataFrame:
-    seconds = "(cast(floor(value * 2) as bigint) * 100)"
+    seconds = "(cast(floor(value / 5) as bigint) * 100)"
     clock = (
         f"concat(lpad(cast({seconds} div 3600 as string), 2, '0'), ':', "
         f"lpad(cast({seconds} div 60 % 60 as string), 2, '0'), ':', lpad(cast({seconds} % 60 as string), 2, '0'))"

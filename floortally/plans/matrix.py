@@ -18,7 +18,7 @@ from floortally.operators.temporal import inside_clipped, overlaps
 from floortally.operators.totals import mean_of_rounded
 from floortally.plans.device_adherence import same_day_audio
 from floortally.sources.tables import Tables
-from floortally.sources.tenants import Tenant, tag, tenant_frame
+from floortally.sources.tenants import Tenant, shift_of, tag, tenant_frame
 
 WEEKS = range(1, 7)
 DAYS = range(1, 5)
@@ -138,11 +138,10 @@ def _working_days(as_of: dt.date, number: int) -> Column:
 
 def adherence_matrix(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFrame:
     """Blank %, month hours and adherence by month, week and day, with bands."""
-    spark = t.stores.sparkSession
-    shift = F.col("shift_seconds")
+    shift = shift_of(F.col("tenant"), tenants)
     end = as_date(as_of)
     month_days = P.days_between(P.month_start(end), end)
-    rows = staff_matrix(t, tenants, as_of).join(tenant_frame(spark, tenants), "tenant")
+    rows = staff_matrix(t, tenants, as_of)
     share = F.try_divide(F.col("blank_files"), F.col("total_files")) * 100
     rates = {"mtd_adherence_pct": percent_or_zero(F.col("mtd_seconds"), month_days * shift, 1)}
     rates |= {f"week_{n}": percent_or_zero(F.col(f"week_{n}"), _working_days(as_of, n) * shift, 1) for n in WEEKS}
@@ -180,16 +179,14 @@ def day_matrix(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFram
 
 
 def headline(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFrame:
-    """Mean adherence of the as-of day, staff heard that day and all staff, per tenant."""
-    return (
-        adherence_matrix(t, tenants, as_of)
-        .groupBy("tenant")
-        .agg(
-            whole(half_even(mean_of_rounded(F.col("d_1")))).alias("avg_adherence"),
-            count_where(F.col("d_1") > 0).alias("active_staff"),
-            F.count(F.lit(1)).alias("total_staff"),
-        )
-    )
+    """Mean adherence of the as-of day, staff heard that day and all staff; 0 for an idle tenant."""
+    table = adherence_matrix(t, tenants, as_of)
+    figures = table.groupBy("tenant").agg(
+        whole(half_even(mean_of_rounded(F.col("d_1")))).alias("avg_adherence"),
+        count_where(F.col("d_1") > 0).alias("active_staff"),
+        F.count(F.lit(1)).alias("total_staff"),
+    )
+    return tenant_frame(table.sparkSession, tenants).select("tenant").join(figures, "tenant", "left").na.fill(0)
 
 
 def _category_matrix(calls: DataFrame, array: str, tenants: Sequence[Tenant], as_of: AsOf) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from floortally import constants as C
 
@@ -37,6 +37,16 @@ def tag(df: DataFrame, tenants: Sequence[Tenant], path: str = "path", ignore_cas
 
 def tenant_frame(spark: SparkSession, tenants: Sequence[Tenant]) -> DataFrame:
     """The configuration as a literal frame, one row per tenant."""
-    return spark.createDataFrame(
-        [(t.name, float(t.shift_seconds)) for t in tenants], "tenant string, shift_seconds double"
+    rows = F.array(
+        *[
+            F.struct(F.lit(t.name).alias("tenant"), F.lit(float(t.shift_seconds)).alias("shift_seconds"))
+            for t in tenants
+        ]
     )
+    return spark.range(1, numPartitions=1).select(F.inline(rows))
+
+
+def shift_of(tenant: Column, tenants: Sequence[Tenant]) -> Column:
+    """Shift seconds of a tenant from a literal map: a lookup, not a join."""
+    pairs = [F.lit(x) for t in tenants for x in (t.name, float(t.shift_seconds))]
+    return F.create_map(*pairs)[tenant]
