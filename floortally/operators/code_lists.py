@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from floortally import constants as C
 
@@ -30,20 +30,51 @@ def packed_codes(
     row_id: str,
     per_cell: int = C.CODES_PER_CELL,
     distinct: bool = False,
+    weight: Column | None = None,
 ) -> DataFrame:
-    """Keys, `part`, `n_codes` of the whole group and the part's sorted `codes`."""
-    rows = rows.select(*keys, F.col(code).alias("_code"), F.col(row_id).alias("_row"))
+    """Keys, `part`, `n_rows` (summed weights) of the whole group and the part's sorted `codes`.
+
+    The rows are spread evenly by their id once; counting and packing both read that one
+    exchange, so the scan and joins behind it run a single time.
+    """
+    rows = rows.select(
+        *keys,
+        F.col(code).alias("_code"),
+        F.col(row_id).alias("_row"),
+        (F.lit(1) if weight is None else weight).cast("bigint").alias("_weight"),
+    ).where(F.col("_code").isNotNull())
     if distinct:
         rows = (
             rows.withColumn("_code", F.trim("_code"))
             .where(F.col("_code") != "")
             .groupBy(*keys, "_code")
-            .agg(F.min("_row").alias("_row"))
+            .agg(F.min("_row").alias("_row"), F.sum("_weight").alias("_weight"))
         )
-    sizes = rows.groupBy(*keys).agg(F.count("_code").alias("n_codes"))
-    cells = F.greatest(F.lit(1), F.ceil(F.col("n_codes") / per_cell)).cast("bigint")
+    rows = rows.repartition("_row", "_code", "_weight")
+    sizes = rows.groupBy(*keys).agg(F.count("_code").alias("_codes"), F.sum("_weight").alias("n_rows"))
+    cells = F.greatest(F.lit(1), F.ceil(F.col("_codes") / per_cell)).cast("bigint")
     placed = rows.join(sizes, list(keys)).withColumn("part", F.pmod(spread(F.col("_row")), cells))
     return placed.groupBy(*keys, "part").agg(
-        F.first("n_codes").alias("n_codes"),
+        F.first("n_rows").alias("n_rows"),
         F.array_join(F.sort_array(F.collect_list("_code")), ", ").alias("codes"),
     )
+
+
+def across(lists: DataFrame, keys: Sequence[str], column: str, prefixes: dict[str, str]) -> DataFrame:
+    """Packed lists side by side: per value of `column` a count and a code cell.
+
+    A count is repeated on every part of its group; a value without codes in a part has "".
+    """
+    here = {prefix: F.col(column) == value for value, prefix in prefixes.items()}
+    cells = lists.groupBy(*keys, "part").agg(
+        *[F.max(F.when(test, F.col("n_rows"))).alias(f"{prefix}_count") for prefix, test in here.items()],
+        *[F.max(F.when(test, F.col("codes"))).alias(f"{prefix}_codes") for prefix, test in here.items()],
+    )
+    group = W.partitionBy(*keys)
+    columns = []
+    for prefix in here:
+        columns += [
+            F.coalesce(F.max(f"{prefix}_count").over(group), F.lit(0)).alias(f"{prefix}_count"),
+            F.coalesce(f"{prefix}_codes", F.lit("")).alias(f"{prefix}_codes"),
+        ]
+    return cells.select(*keys, "part", *columns)

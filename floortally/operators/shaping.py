@@ -16,8 +16,11 @@ def literal_array(values: Sequence[str]) -> Column:
 def fill_domain(
     facts: DataFrame, groups: DataFrame, keys: Sequence[str], name: str, domain: Sequence[str]
 ) -> DataFrame:
-    """Every value of a fixed domain for every group, with the facts where there are any."""
-    frame = groups.select(*keys, F.explode(literal_array(domain)).alias(name))
+    """Every value of a fixed domain for every group, with the facts where there are any.
+
+    Further columns of the groups are carried along.
+    """
+    frame = groups.withColumn(name, F.explode(literal_array(domain)))
     return frame.join(facts, [*keys, name], "left")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from floortally import constants as C
 from floortally.functions.numbers import half_even
-from floortally.operators.shaping import append
 
 
 def mean_of_rounded(value: Column, digits: int = 1) -> Column:
@@ -20,19 +19,27 @@ def mean_of_rounded(value: Column, digits: int = 1) -> Column:
     return F.sum(units) / (F.count(value) * float(10**digits))
 
 
+def grouped_with_total(df: DataFrame, keys: Sequence[str], label: str, *measures: Column) -> DataFrame:
+    """Aggregate by keys + label and by the keys alone in one pass (grouping sets).
+
+    `is_total` tells the total rows, whose label is the grand-total text; measures may ask
+    `F.grouping(label)` to treat them differently.
+    """
+    rows = df.groupingSets([[*keys, label], [*keys]], *keys, label).agg(
+        *measures, (F.grouping(label) == 1).alias("is_total")
+    )
+    return rows.withColumn(label, F.when(F.col("is_total"), F.lit(C.GRAND_TOTAL)).otherwise(F.col(label)))
+
+
 def with_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    label: str,
-    sums: Sequence[str],
-    means: Sequence[str],
-    source_digits: int = 0,
-    digits: int = 0,
+    df: DataFrame, keys: Sequence[str], label: str, sums: Sequence[str], means: Sequence[str]
 ) -> DataFrame:
-    """Append one total row per key group: summed counts and unweighted means of percentages."""
-    total = df.groupBy(*keys).agg(
+    """One row per label as it is, and per key group a total of summed counts and of unweighted
+    means of the whole-number percentages."""
+    return grouped_with_total(
+        df,
+        keys,
+        label,
         *[F.sum(c).alias(c) for c in sums],
-        *[half_even(mean_of_rounded(F.col(c), source_digits), digits).alias(c) for c in means],
+        *[half_even(mean_of_rounded(F.col(c), 0)).alias(c) for c in means],
     )
-    total = total.withColumns({label: F.lit(C.GRAND_TOTAL), "is_total": F.lit(True)})
-    return append(df.withColumn("is_total", F.lit(False)), total)

@@ -109,10 +109,11 @@ def same_day_summary(detail: DataFrame) -> DataFrame:
         )
     )
     names = ["active_pct", *means]
-    rows = with_total(rows, [], "manager", COUNTS, names)
+    rows = with_total(rows, [], "manager", [*COUNTS, "_received"], names)
+    idle = ~F.col("is_total") & (F.col("_received") == 0)
     day_names = ["active_pct", *DAY_MEANS]
     shown = {
-        c: F.when(F.col(c).isNull() & (F.col("_received") == 0), F.lit(0.0)).otherwise(F.col(c)) for c in day_names
+        c: F.when(F.col(c).isNull() & idle, F.lit(0.0)).otherwise(F.col(c)) for c in day_names
     }
     return rows.withColumns(shown).select(
         "manager", "is_total", *COUNTS, *[whole(F.col(c)).alias(c) for c in names]

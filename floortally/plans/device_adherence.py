@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from floortally import constants as C
 from floortally.functions import rules
@@ -288,23 +288,37 @@ def adherence_summary(detail: DataFrame) -> DataFrame:
     return _finish(_manager_rows(detail))
 
 
-def store_summary(detail: DataFrame) -> DataFrame:
-    """Mean week figures per store with the alert flag; the halves meet on the store name."""
+def _store_means(detail: DataFrame) -> DataFrame:
+    """Mean week figures of the staffed devices per store and manager."""
     staffed = detail.where(
         F.col("staff_name").isNotNull() & F.col("manager").isNotNull() & F.col("store").isNotNull()
     )
-    means = staffed.groupBy("regional_manager_id", "store", "manager").agg(
+    return staffed.groupBy("regional_manager_id", "store", "manager").agg(
         whole(half_even(mean_of_rounded(F.col("adherence_pct")))).alias("time_log_pct"),
         whole(half_even(mean_of_rounded(F.col("blank_pct")))).alias("blank_pct"),
     )
+
+
+def store_summary(detail: DataFrame) -> DataFrame:
+    """Mean week figures per store with the alert flag; the halves meet on the store name."""
+    means = _store_means(detail)
     logged = means.select("regional_manager_id", "store", "manager", "time_log_pct")
     blank = means.select("regional_manager_id", "store", F.col("manager").alias("blank_manager"), "blank_pct")
     flagged = rules.blank_alert(F.col("blank_pct")) | rules.adherence_alert(F.col("time_log_pct"))
     return logged.join(blank, ["regional_manager_id", "store"], "left").withColumn("flagged", flagged)
 
 
+def _managers_with_flagged_store(detail: DataFrame) -> DataFrame:
+    """Managers with a low time log, or with a store name under which some blank share is high."""
+    same_name = W.partitionBy("regional_manager_id", "store")
+    worst = F.max("blank_pct").over(same_name)
+    stores = _store_means(detail).withColumn("worst_blank_pct", worst)
+    return stores.where(rules.blank_alert(F.col("worst_blank_pct")) | rules.adherence_alert(F.col("time_log_pct")))
+
+
 def flagged_managers(detail: DataFrame) -> DataFrame:
     """The summary of managers having a flagged store, with a grand total per region."""
-    flagged = store_summary(detail).where("flagged")
-    rows = keep_matching(_manager_rows(detail), flagged, KEYS)
-    return _finish(with_total(rows, ["regional_manager_id"], "manager", COUNTS, list(MEANS)), "is_total")
+    rows = keep_matching(_manager_rows(detail), _managers_with_flagged_store(detail), KEYS)
+    rows = with_total(rows, ["regional_manager_id"], "manager", [*COUNTS, "_staffed"], list(MEANS))
+    staffed = F.when(F.col("is_total"), F.lit(None)).otherwise(F.col("_staffed"))
+    return _finish(rows.withColumn("_staffed", staffed), "is_total")

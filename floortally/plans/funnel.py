@@ -14,6 +14,7 @@ from floortally.functions.periods import month_start
 from floortally.operators.asof import as_date
 from floortally.operators.shaping import append, min_max_heat
 from floortally.operators.temporal import valid_on
+from floortally.operators.totals import grouped_with_total
 from floortally.plans.lost_sales import long_calls
 from floortally.plans.organisation import in_regions, store_chain
 from floortally.sources.tables import Tables
@@ -123,20 +124,14 @@ def combined(
     """
     both = append(active_roster(t, as_of, regions, brands), _manager_measures(t, as_of, regions))
     measures = [c for c in both.columns if c not in KEYS]
-    table = both.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in measures])
-    rows = table.where(F.col("mtd_interactions") > 0).withColumn("is_total", F.lit(False))
-    for c in ("store_count", "executive_count", "interactions", "pitched", "sold"):
-        rows = rows.withColumn(c, F.when(F.col("interactions") > 0, F.col(c)))
-    totals = (
-        table.groupBy("regional_manager_id")
-        .agg(*[F.sum(c).alias(c) for c in measures])
-        .withColumns({"manager": F.lit(C.GRAND_TOTAL), "is_total": F.lit(True)})
-    )
-    in_window = F.col("is_total") | F.col("interactions").isNotNull()
+    table = grouped_with_total(both, ["regional_manager_id"], "manager", *[F.sum(c).alias(c) for c in measures])
+    table = table.where(F.col("is_total") | (F.col("mtd_interactions") > 0))
+    window = ["store_count", "executive_count", "interactions", "pitched", "sold"]
+    seen = F.col("is_total") | (F.col("interactions") > 0)
     return (
-        append(rows, totals)
+        table.withColumns({c: F.when(seen, F.col(c)) for c in window})
         .withColumns({**_rates("mtd_"), **_rates()})
-        .withColumns({c: F.when(in_window, F.col(c)) for c in ("pitched_pct", "sold_pct")})
+        .withColumns({c: F.when(F.col("interactions").isNotNull(), F.col(c)) for c in ("pitched_pct", "sold_pct")})
         .select(
             *KEYS,
             "is_total",
@@ -226,9 +221,11 @@ def effectiveness(
     table = rows.groupBy(*KEYS).agg(
         F.count(F.when(chosen, F.lit(1))).alias(count), *[value.alias(f) for f, value in hundredths.items()]
     )
-    total = table.groupBy("regional_manager_id").agg(
-        F.sum(count).alias(count),
-        *[half_even(F.sum(f) / (F.count(F.lit(1)) * 100.0), 1).alias(f) for f in C.SCHEME_BENEFITS],
+    total = F.grouping("manager") == 1
+    shares = [
+        F.when(total, half_even(F.sum(f) / (F.count(F.lit(1)) * 100.0), 1)).otherwise(F.sum(f) / 100.0).alias(f)
+        for f in C.SCHEME_BENEFITS
+    ]
+    return grouped_with_total(
+        table, ["regional_manager_id"], "manager", F.sum(count).alias(count), *shares
     )
-    managers = table.withColumns({f: F.col(f) / 100.0 for f in C.SCHEME_BENEFITS}).withColumn("is_total", F.lit(False))
-    return append(managers, total.withColumns({"manager": F.lit(C.GRAND_TOTAL), "is_total": F.lit(True)}))

@@ -12,7 +12,7 @@ from floortally.functions.durations import parse_milliseconds
 from floortally.functions.numbers import percent_or_zero, whole
 from floortally.functions.text import not_blank
 from floortally.operators.asof import DAILY, DAY, MONTH, WEEK, WEEK_OR_MONTH, AsOf, Period, as_date, attach, within
-from floortally.operators.code_lists import packed_codes
+from floortally.operators.code_lists import across, packed_codes
 from floortally.operators.shaping import fill_domain, share_of_total, top_k
 from floortally.sources.tables import Tables
 
@@ -108,19 +108,14 @@ def reason_summary(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_C
         .where(issue.isin(C.FOLLOW_UP_ISSUES))
     )
     lists = packed_codes(rows, ["as_of", "sub_category"], "interaction_code", "flag_id", per_cell)
-    totals = unsuccessful_total(t, as_of)
-    n_rows = F.coalesce("n_codes", F.lit(0))
-    return (
-        fill_domain(lists, totals.select("as_of"), ["as_of"], "sub_category", C.FOLLOW_UP_ISSUES)
-        .join(totals, "as_of")
-        .select(
-            "as_of",
-            "sub_category",
-            F.coalesce("part", F.lit(0)).alias("part"),
-            n_rows.alias("interactions"),
-            percent_or_zero(n_rows, F.col("interaction_count"), 1).alias("pct"),
-            F.coalesce("codes", F.lit("")).alias("interaction_codes"),
-        )
+    n_rows = F.coalesce("n_rows", F.lit(0))
+    return fill_domain(lists, unsuccessful_total(t, as_of), ["as_of"], "sub_category", C.FOLLOW_UP_ISSUES).select(
+        "as_of",
+        "sub_category",
+        F.coalesce("part", F.lit(0)).alias("part"),
+        n_rows.alias("interactions"),
+        percent_or_zero(n_rows, F.col("interaction_count"), 1).alias("pct"),
+        F.coalesce("codes", F.lit("")).alias("interaction_codes"),
     )
 
 
@@ -167,42 +162,24 @@ def top_reasons(t: Tables, as_of: AsOf = DAILY, period: Period = MONTH, k: int =
 def category_issues(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_CELL) -> DataFrame:
     """Product category x follow-up issue: row counts and distinct call codes.
 
-    Rows are the product of phone exchanges, categories and reasons of a call. Counting needs no
-    such product: each category row adds (exchanges x matching reasons).
+    Rows are the product of phone exchanges, categories and reasons of a call. The exchanges only
+    multiply the counts, so they travel as a weight instead of being exploded.
     """
     flags = lost_flags(t)
     categories = N.pluck(N.elements(flags, "primary_category_new"), "category").alias("categories")
+    issues = N.keep(N.pluck(F.col("reasons"), "sub_category"), lambda issue: issue.isin(C.FOLLOW_UP_ISSUES))
     calls = _phone_calls(t, as_of).withColumn("n_phones", F.size("phones")).drop("phones")
+    keys = ["as_of", "prod_category"]
     rows = (
-        _flagged_calls(
-            _issue_flags(t, categories).withColumn("issues", N.pluck(F.col("reasons"), "sub_category")).drop("reasons"),
-            calls,
-        )
+        _flagged_calls(_issue_flags(t, categories).withColumn("issues", issues).drop("reasons"), calls)
         .withColumn("prod_category", F.explode("categories"))
         .where(not_blank(F.col("prod_category")))
-    )
-    keys = ["as_of", "prod_category"]
-    counts = rows.groupBy(*keys).agg(
-        *[
-            F.sum(F.col("n_phones") * N.occurrences(F.col("issues"), issue)).alias(f"{prefix}_count")
-            for issue, prefix in ISSUE_PREFIXES.items()
-        ]
+        .withColumn("issue", F.explode("issues"))
     )
     lists = packed_codes(
-        rows.withColumn("issue", F.explode("issues")).where(F.col("issue").isin(C.FOLLOW_UP_ISSUES)),
-        [*keys, "issue"],
-        "interaction_code",
-        "flag_id",
-        per_cell,
-        distinct=True,
-    )
-    cells = lists.groupBy(*keys, "part").agg(
-        *[F.max(F.when(F.col("issue") == i, F.col("codes"))).alias(f"{p}_codes") for i, p in ISSUE_PREFIXES.items()]
-    )
-    columns = []
-    for prefix in ISSUE_PREFIXES.values():
-        columns += [F.col(f"{prefix}_count"), F.coalesce(f"{prefix}_codes", F.lit("")).alias(f"{prefix}_codes")]
-    return counts.join(cells, keys, "left").select(*keys, F.coalesce("part", F.lit(0)).alias("part"), *columns)
+        rows, [*keys, "issue"], "interaction_code", "flag_id", per_cell, distinct=True, weight=F.col("n_phones")
+    )
+    return across(lists, keys, "issue", ISSUE_PREFIXES)
 
 
 def _distinct_calls(t: Tables, array: str, key: str, label: str) -> DataFrame:

@@ -10,7 +10,7 @@ from floortally import constants as C
 from floortally.functions import nested as N
 from floortally.functions.numbers import count_where, percent_or_zero, sum_or_zero
 from floortally.operators.asof import DAILY, DAY, MONTH, WEEK, WEEK_OR_MONTH, AsOf, attach, within
-from floortally.operators.code_lists import packed_codes
+from floortally.operators.code_lists import across, packed_codes
 from floortally.operators.shaping import fill_domain
 from floortally.plans.lost_sales import long_calls
 from floortally.sources.tables import Tables
@@ -54,18 +54,14 @@ def reasons_of_day(
         .where(F.col("category").isin(C.LOSS_CATEGORIES))
     )
     lists = packed_codes(rows, [*KEYS, "category"], "interaction_code", "id", per_cell)
-    n_rows = F.coalesce("n_codes", F.lit(0))
-    return (
-        fill_domain(lists, totals, KEYS, "category", C.LOSS_CATEGORIES)
-        .join(totals, KEYS)
-        .select(
-            *KEYS,
-            "category",
-            F.coalesce("part", F.lit(0)).alias("part"),
-            n_rows.alias("interactions"),
-            percent_or_zero(n_rows, F.col("lost_calls"), 1).alias("pct"),
-            F.coalesce("codes", F.lit("")).alias("interaction_codes"),
-        )
+    n_rows = F.coalesce("n_rows", F.lit(0))
+    return fill_domain(lists, totals, KEYS, "category", C.LOSS_CATEGORIES).select(
+        *KEYS,
+        "category",
+        F.coalesce("part", F.lit(0)).alias("part"),
+        n_rows.alias("interactions"),
+        percent_or_zero(n_rows, F.col("lost_calls"), 1).alias("pct"),
+        F.coalesce("codes", F.lit("")).alias("interaction_codes"),
     )
 
 
@@ -107,46 +103,34 @@ def objection_handling(
 ) -> DataFrame:
     """Fixed objection categories x handlings: counts and call codes, plus all objections."""
     calls = attach(_tenant_calls(t, tenants), as_of, DAY)
-    base = calls.select(*KEYS).distinct()
-    rows = calls.select(
-        "id",
-        *KEYS,
-        "interaction_code",
-        F.explode(N.elements(calls, "customer_objection_handling")).alias("objection"),
-    ).select(
+    raised = N.keep(
+        N.elements(calls, "customer_objection_handling"),
+        lambda e: e["category"].isNotNull() & ~e["category"].isin(C.NO_OBJECTION),
+    )
+    calls = calls.select("id", *KEYS, "interaction_code", raised.alias("raised"))
+    totals = calls.groupBy(*KEYS).agg(F.sum(N.length(F.col("raised"))).alias("total_objections"))
+    rows = calls.withColumn("objection", F.explode("raised")).select(
         "id",
         *KEYS,
         "interaction_code",
         N.field(F.col("objection"), "category").alias("category"),
         N.field(F.col("objection"), "handling").alias("handling"),
     )
-    rows = rows.where(F.col("category").isNotNull() & ~F.col("category").isin(C.NO_OBJECTION))
-    totals = rows.groupBy(*KEYS).agg(F.count("interaction_code").alias("total_objections"))
     rows = rows.where(F.col("category").isin(C.OBJECTION_CATEGORIES) & F.col("handling").isin(C.HANDLINGS))
-    handling = F.col("handling")
-    counts = rows.groupBy(*KEYS, "category").agg(
-        *[F.count(F.when(handling == h, F.col("interaction_code"))).alias(f"{h.lower()}_count") for h in C.HANDLINGS]
-    )
     lists = packed_codes(rows, [*KEYS, "category", "handling"], "interaction_code", "id", per_cell)
-    cells = lists.groupBy(*KEYS, "category", "part").agg(
-        *[F.max(F.when(handling == h, F.col("codes"))).alias(f"{h.lower()}_codes") for h in C.HANDLINGS]
-    )
-    table = counts.join(cells, [*KEYS, "category"], "left")
+    prefixes = {handling: handling.lower() for handling in C.HANDLINGS}
+    table = across(lists, [*KEYS, "category"], "handling", prefixes)
     labels = F.create_map(*[F.lit(x) for pair in C.OBJECTION_LABELS.items() for x in pair])
     columns = []
-    for name in (h.lower() for h in C.HANDLINGS):
+    for prefix in prefixes.values():
         columns += [
-            F.coalesce(f"{name}_count", F.lit(0)).alias(f"{name}_count"),
-            F.coalesce(f"{name}_codes", F.lit("")).alias(f"{name}_codes"),
+            F.coalesce(f"{prefix}_count", F.lit(0)).alias(f"{prefix}_count"),
+            F.coalesce(f"{prefix}_codes", F.lit("")).alias(f"{prefix}_codes"),
         ]
-    return (
-        fill_domain(table, base, KEYS, "category", C.OBJECTION_CATEGORIES)
-        .join(totals, KEYS, "left")
-        .select(
-            *KEYS,
-            labels[F.col("category")].alias("objection"),
-            F.coalesce("part", F.lit(0)).alias("part"),
-            *columns,
-            F.coalesce("total_objections", F.lit(0)).alias("total_objections"),
-        )
+    return fill_domain(table, totals, KEYS, "category", C.OBJECTION_CATEGORIES).select(
+        *KEYS,
+        labels[F.col("category")].alias("objection"),
+        F.coalesce("part", F.lit(0)).alias("part"),
+        *columns,
+        "total_objections",
     )
