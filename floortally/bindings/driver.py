@@ -45,11 +45,17 @@ def _pick(labels: str, index: str) -> str:
     return f"element_at({LABELS[labels]}, cast(pmod({index}, size({LABELS[labels]})) as int) + 1)"
 
 
-def _json_rows(count: str, fields: dict[str, str]) -> str:
-    """JSON array of `count` objects; `i` runs from 0. A zero count is NULL."""
-    struct = ", ".join(f"'{name}', {value}" for name, value in fields.items())
-    steps = f"sequence(0, cast({count} as int) - 1)"
-    return f"case when {count} > 0 then to_json(transform({steps}, i -> named_struct({struct}))) end"
+def _json_rows(count: str, at_most: int, texts: dict[str, str], raw: dict[str, str] | None = None) -> str:
+    """JSON array of `count` (<= at_most) objects built from the row; in the fields `{i}` runs
+    from 0. A NULL field is left out of its object; a zero count gives NULL."""
+
+    def thing(i: int) -> str:
+        fields = [f"concat('\"{name}\":\"', {value.format(i=i)}, '\"')" for name, value in texts.items()]
+        fields += [f"concat('\"{name}\":', {value.format(i=i)})" for name, value in (raw or {}).items()]
+        return f"if({count} > {i}, concat('{{', concat_ws(',', {', '.join(fields)}), '}}'), null)"
+
+    rows = ", ".join(thing(i) for i in range(at_most))
+    return f"if({count} > 0, concat('[', concat_ws(',', {rows}), ']'), null)"
 
 
 def _device(number: str) -> str:
@@ -61,17 +67,19 @@ def _loader(spark: SparkSession, sf_dir: str):
 
 
 def order_calls(orders: DataFrame) -> DataFrame:
-    reasons = _json_rows("o_orderkey % 4", {"category": _pick("loss", "o_custkey + i")})
+    reasons = _json_rows("o_orderkey % 4", 3, {"category": _pick("loss", "o_custkey + {i}")})
     objections = _json_rows(
         "o_custkey % 3",
-        {"category": _pick("objection", "o_orderkey + i"), "handling": _pick("handling", "o_custkey + i")},
+        2,
+        {"category": _pick("objection", "o_orderkey + {i}"), "handling": _pick("handling", "o_custkey + {i}")},
     )
     phones = _json_rows(
         "o_orderkey % 3",
+        2,
+        {"exchange_context": "if((o_custkey + {i}) % 2 = 0, 'follow-up', 'catalogue')"},
         {
-            "phone_number": "9000000000 + o_orderkey * 2 + i",
-            "exchange_context": "if((o_custkey + i) % 2 = 0, 'follow-up', 'catalogue')",
-            "phone_number_exchange": "(o_orderkey + i) % 4 <> 0",
+            "phone_number": "9000000000 + o_orderkey * 2 + {i}",
+            "phone_number_exchange": "(o_orderkey + {i}) % 4 <> 0",
         },
     )
     return orders.selectExpr(
@@ -100,12 +108,13 @@ def line_flags(lineitem: DataFrame) -> DataFrame:
         "l_orderkey as interaction_id",
         "if(l_returnflag = 'A', 'sale_successful', 'sale_unsuccessful') as sales_outcome",
         "if(l_linestatus = 'O', 'sales', 'service') as type_of_interaction",
-        _json_rows("l_linenumber % 3", {"category": _pick("product", "l_partkey + i")}) + " as primary_category_new",
+        _json_rows("l_linenumber % 3", 2, {"category": _pick("product", "l_partkey + {i}")}) + " as primary_category_new",
         _json_rows(
             f"{quantity} % 4",
+            3,
             {
-                "category": _pick("loss", "l_suppkey + i"),
-                "sub_category": _pick("issue", "l_partkey + l_suppkey + i"),
+                "category": _pick("loss", "l_suppkey + {i}"),
+                "sub_category": _pick("issue", "l_partkey + l_suppkey + {i}"),
                 "reason": "concat('reason ', l_partkey % 10)",
             },
         )
@@ -138,17 +147,18 @@ def event_calls(events: DataFrame) -> DataFrame:
 
 
 def event_schemes(events: DataFrame) -> DataFrame:
-    pitched = "(k + i) % 2"
+    pitched = "(k + {i}) % 2"
     sop = _json_rows(
         "(k + 2) % 3",
+        2,
+        {"gms_redemption_flexibility": "if(k % 11 = 0, 'na', cast((k div 4 + {i}) % 2 as string))"},
         {
             "gms_pitched": pitched,
-            "gms_sold": f"{pitched} * if((k + i) % 5 in (1, 3), 1, 0)",
-            "gms_monthly_payment": "(k div 2 + i) % 2",
-            "gms_redemption_exclusion": "(k div 3 + i) % 2",
-            "gms_rules_penalties": "(k div 5 + i) % 2",
-            "gms_benefit_stacking": "(k div 7 + i) % 2",
-            "gms_redemption_flexibility": "if(k % 11 = 0, 'na', cast((k div 4 + i) % 2 as string))",
+            "gms_sold": pitched + " * if((k + {i}) % 5 in (1, 3), 1, 0)",
+            "gms_monthly_payment": "(k div 2 + {i}) % 2",
+            "gms_redemption_exclusion": "(k div 3 + {i}) % 2",
+            "gms_rules_penalties": "(k div 5 + {i}) % 2",
+            "gms_benefit_stacking": "(k div 7 + {i}) % 2",
         },
     )
     return _numbered_events(events).selectExpr("event_id as id", "event_id as interaction_id", f"{sop} as sop_new")

@@ -21,16 +21,17 @@ from floortally.sources.tables import Tables
 
 KEYS = ["regional_manager_id", "manager"]
 WINDOW_DAYS = 6
+FLAGS = ["gms_pitched", "gms_sold", *C.SCHEME_BENEFITS]
 
 
 def _window_start(as_of: dt.date) -> Column:
     return F.date_sub(as_date(as_of), WINDOW_DAYS)
 
 
-def _scheme_rows(t: Tables, first: Column, last: Column) -> DataFrame:
+def _scheme_rows(t: Tables, first: Column, last: Column, *fields: str) -> DataFrame:
     """One row per scheme element of a long call in the day range; calls without one keep a NULL."""
     flags = t.scheme_flags
-    flags = flags.select("id", "interaction_id", N.elements(flags, "sop_new").alias("sop"))
+    flags = flags.select("id", "interaction_id", N.objects(flags, "sop_new", *fields).alias("sop"))
     calls = (
         long_calls(t.interactions)
         .where(F.col("date").between(first, last))
@@ -42,7 +43,7 @@ def _scheme_rows(t: Tables, first: Column, last: Column) -> DataFrame:
 def _seller_totals(t: Tables, as_of: dt.date) -> DataFrame:
     """Window and month sums per (store, seller): one scan, folded before any dimension join."""
     end = as_date(as_of)
-    rows = _scheme_rows(t, F.least(_window_start(as_of), month_start(end)), end)
+    rows = _scheme_rows(t, F.least(_window_start(as_of), month_start(end)), end, "gms_pitched", "gms_sold")
     in_window = F.col("date") >= _window_start(as_of)
     in_month = F.col("date") >= month_start(end)
     measures = []
@@ -188,13 +189,12 @@ def effectiveness_flags(t: Tables, as_of: dt.date, regions: Sequence[int] | None
     """The scheme flags of every call element in the window, as text."""
     staff = t.sales_persons.select(F.col("id").alias("sales_person_id"), F.col("name").alias("sales_person"))
     rows = (
-        _scheme_rows(t, _window_start(as_of), as_date(as_of))
+        _scheme_rows(t, _window_start(as_of), as_date(as_of), *FLAGS)
         .join(store_chain(t), "store_id")
         .join(staff, "sales_person_id", "left")
     )
-    flags = ["gms_pitched", "gms_sold", *C.SCHEME_BENEFITS]
     return in_regions(rows, regions).select(
-        *KEYS, "store", "sales_person", "interaction_code", *[N.field(F.col("step"), f).alias(f) for f in flags]
+        *KEYS, "store", "sales_person", "interaction_code", *[f"step.{f}" for f in FLAGS]
     )
 
 
@@ -206,9 +206,9 @@ def effectiveness(
     Every manager seen in the window has a row, 0 where nothing was pitched; the total row sums
     the counts and takes the unweighted mean of the managers' shares.
     """
-    rows = _scheme_rows(t, _window_start(as_of), as_date(as_of)).join(store_chain(t), "store_id")
+    rows = _scheme_rows(t, _window_start(as_of), as_date(as_of), *FLAGS).join(store_chain(t), "store_id")
     rows = in_regions(rows, regions)
-    number = {f: parse_number(N.field(F.col("step"), f)) for f in ("gms_pitched", "gms_sold", *C.SCHEME_BENEFITS)}
+    number = {f: parse_number(F.col("step")[f]) for f in FLAGS}
     chosen = number["gms_pitched"] == 1
     if sold:
         chosen = chosen & (number["gms_sold"] == 1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,36 +37,38 @@ def _flagged_calls(flags: DataFrame, calls: DataFrame) -> DataFrame:
     return flags.join(calls, flags.interaction_id == calls.id, "inner").drop(calls.id)
 
 
-def _issue_flags(t: Tables, *extra: str | Column) -> DataFrame:
-    """Lost-sale flags naming at least one follow-up issue."""
+def _issue_flags(t: Tables, *fields: str, extra: Sequence[str | Column] = ()) -> DataFrame:
+    """Lost-sale flags naming at least one follow-up issue, with these fields of their reasons."""
     flags = lost_flags(t)
-    return flags.select(
-        F.col("id").alias("flag_id"), "interaction_id", N.elements(flags, "reason_loss_of_sale").alias("reasons"), *extra
-    ).where(N.any_in(F.col("reasons"), "sub_category", C.FOLLOW_UP_ISSUES))
+    reasons = N.objects(flags, "reason_loss_of_sale", *fields, "sub_category").alias("reasons")
+    return flags.select(F.col("id").alias("flag_id"), "interaction_id", reasons, *extra).where(
+        N.any_in(F.col("reasons")["sub_category"], C.FOLLOW_UP_ISSUES)
+    )
 
 
 def _phone_calls(t: Tables, as_of: AsOf, *extra: str) -> DataFrame:
-    """Long calls in which a phone number was exchanged, with just those exchanges."""
+    """Long calls in which a phone number was exchanged, with the number of exchanges."""
     calls = attach(long_calls(t.interactions), as_of, DAY)
-    exchanged = N.keep(
-        N.elements(calls, "phone_number_discussion"), lambda e: e["phone_number_exchange"] == "true"
-    )
-    return calls.select("id", "as_of", "interaction_code", exchanged.alias("phones"), *extra).where(
-        F.size("phones") > 0
+    exchanged = N.occurrences(N.texts(calls, "phone_number_discussion", "phone_number_exchange"), "true")
+    return calls.select("id", "as_of", "interaction_code", exchanged.alias("n_phones"), *extra).where(
+        F.col("n_phones") > 0
     )
 
 
 def follow_ups(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
     """One row per follow-up call, exchanged phone number and loss reason."""
-    flags = _issue_flags(t, "primary_category_new", "customer_objection_handling")
-    calls = _phone_calls(t, as_of, "audio_url", "start_time", "end_time", "date", "sales_person_id", "store_id")
+    flags = _issue_flags(t, "category", "reason", extra=["primary_category_new", "customer_objection_handling"])
+    names = ["audio_url", "start_time", "end_time", "date", "sales_person_id", "store_id"]
+    calls = _phone_calls(t, as_of, "phone_number_discussion", *names)
+    phones = N.objects(calls, "phone_number_discussion", "phone_number", "exchange_context", "phone_number_exchange")
     staff = t.sales_persons.select(F.col("id").alias("sales_person_id"), F.col("name").alias("se_name"))
     stores = t.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"))
     return (
         _flagged_calls(flags, calls)
         .join(staff, "sales_person_id", "left")
         .join(stores, "store_id", "left")
-        .withColumn("phone", F.explode_outer("phones"))
+        .withColumn("phone", F.explode_outer(phones))
+        .where(F.col("phone.phone_number_exchange") == "true")
         .withColumn("loss", F.explode_outer("reasons"))
         .select(
             "as_of",
@@ -77,11 +80,11 @@ def follow_ups(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
             "se_name",
             "store_name",
             "primary_category_new",
-            N.field(F.col("phone"), "phone_number").alias("phone_number"),
-            N.field(F.col("phone"), "exchange_context").alias("exchange_context"),
-            N.field(F.col("loss"), "category").alias("category"),
-            N.field(F.col("loss"), "sub_category").alias("sub_category"),
-            N.field(F.col("loss"), "reason").alias("reason"),
+            "phone.phone_number",
+            "phone.exchange_context",
+            "loss.category",
+            "loss.sub_category",
+            "loss.reason",
             "customer_objection_handling",
         )
     )
@@ -103,9 +106,9 @@ def reason_summary(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_C
     issue = F.col("sub_category")
     rows = (
         _flagged_calls(_issue_flags(t), _phone_calls(t, as_of))
-        .withColumn("phone", F.explode("phones"))
-        .withColumn("sub_category", F.explode(N.pluck(F.col("reasons"), "sub_category")))
+        .withColumn("sub_category", F.explode_outer("reasons.sub_category"))
         .where(issue.isin(C.FOLLOW_UP_ISSUES))
+        .withColumn("phone", F.explode_outer(F.array_repeat(F.lit(1), F.col("n_phones"))))
     )
     lists = packed_codes(rows, ["as_of", "sub_category"], "interaction_code", "flag_id", per_cell)
     n_rows = F.coalesce("n_rows", F.lit(0))
@@ -122,7 +125,7 @@ def reason_summary(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_C
 def _daily_labels(t: Tables, array: str, key: str, label: str) -> DataFrame:
     """Lost-sale calls with their date and one row per array element's label (NULL for none)."""
     flags = lost_flags(t)
-    flags = flags.select("interaction_id", N.pluck(N.elements(flags, array), key).alias("labels"))
+    flags = flags.select("interaction_id", N.texts(flags, array, key).alias("labels"))
     calls = long_calls(t.interactions).select("id", "interaction_code", "date")
     return _flagged_calls(flags, calls).select(
         "date", "interaction_code", F.explode_outer("labels").alias(label)
@@ -166,15 +169,14 @@ def category_issues(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_
     multiply the counts, so they travel as a weight instead of being exploded.
     """
     flags = lost_flags(t)
-    categories = N.pluck(N.elements(flags, "primary_category_new"), "category").alias("categories")
-    issues = N.keep(N.pluck(F.col("reasons"), "sub_category"), lambda issue: issue.isin(C.FOLLOW_UP_ISSUES))
-    calls = _phone_calls(t, as_of).withColumn("n_phones", F.size("phones")).drop("phones")
+    categories = N.texts(flags, "primary_category_new", "category").alias("categories")
     keys = ["as_of", "prod_category"]
     rows = (
-        _flagged_calls(_issue_flags(t, categories).withColumn("issues", issues).drop("reasons"), calls)
-        .withColumn("prod_category", F.explode("categories"))
+        _flagged_calls(_issue_flags(t, extra=[categories]), _phone_calls(t, as_of))
+        .withColumn("prod_category", F.explode_outer("categories"))
         .where(not_blank(F.col("prod_category")))
-        .withColumn("issue", F.explode("issues"))
+        .withColumn("issue", F.explode_outer("reasons.sub_category"))
+        .where(F.col("issue").isin(C.FOLLOW_UP_ISSUES))
     )
     lists = packed_codes(
         rows, [*keys, "issue"], "interaction_code", "flag_id", per_cell, distinct=True, weight=F.col("n_phones")

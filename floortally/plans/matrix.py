@@ -191,9 +191,9 @@ def headline(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFrame:
 
 def _category_matrix(calls: DataFrame, array: str, tenants: Sequence[Tenant], as_of: AsOf) -> DataFrame:
     """Month count, share and week/day counts per category, folded per day before the as-of key."""
-    categories = N.pluck(N.elements(calls, array), "category")
+    categories = N.texts(calls, array, "category")
     daily = (
-        tag(calls.select("path", "date", F.explode(categories).alias("category")), tenants)
+        tag(calls.select("path", "date", F.explode_outer(categories).alias("category")), tenants)
         .where(F.col("category").isNotNull())
         .groupBy("tenant", "date", "category")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -47,10 +47,10 @@ def reasons_of_day(
     calls = attach(_tenant_calls(t, tenants), as_of, DAY)
     lost = F.col("sales_outcome") == C.LOST_CALL_OUTCOME
     totals = calls.groupBy(*KEYS).agg(count_where(lost & F.col("interaction_code").isNotNull()).alias("lost_calls"))
-    categories = N.pluck(N.elements(calls, "reason_loss_of_sale"), "category")
+    categories = N.texts(calls, "reason_loss_of_sale", "category")
     rows = (
         calls.where(lost)
-        .select("id", *KEYS, "interaction_code", F.explode(categories).alias("category"))
+        .select("id", *KEYS, "interaction_code", F.explode_outer(categories).alias("category"))
         .where(F.col("category").isin(C.LOSS_CATEGORIES))
     )
     lists = packed_codes(rows, [*KEYS, "category"], "interaction_code", "id", per_cell)
@@ -78,7 +78,7 @@ def reason_trend(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> D
             "tenant",
             "date",
             "interaction_code",
-            F.explode_outer(N.pluck(N.elements(calls, "reason_loss_of_sale"), "category")).alias("category"),
+            F.explode_outer(N.texts(calls, "reason_loss_of_sale", "category")).alias("category"),
         )
         .withColumn("category", F.when(category.isin(C.LOSS_CATEGORIES), category))
         .groupBy("tenant", "date", "category")
@@ -103,19 +103,12 @@ def objection_handling(
 ) -> DataFrame:
     """Fixed objection categories x handlings: counts and call codes, plus all objections."""
     calls = attach(_tenant_calls(t, tenants), as_of, DAY)
-    raised = N.keep(
-        N.elements(calls, "customer_objection_handling"),
-        lambda e: e["category"].isNotNull() & ~e["category"].isin(C.NO_OBJECTION),
-    )
-    calls = calls.select("id", *KEYS, "interaction_code", raised.alias("raised"))
-    totals = calls.groupBy(*KEYS).agg(F.sum(N.length(F.col("raised"))).alias("total_objections"))
-    rows = calls.withColumn("objection", F.explode("raised")).select(
-        "id",
-        *KEYS,
-        "interaction_code",
-        N.field(F.col("objection"), "category").alias("category"),
-        N.field(F.col("objection"), "handling").alias("handling"),
+    raised = N.objects(calls, "customer_objection_handling", "category", "handling")
+    rows = calls.select("id", *KEYS, "interaction_code", F.explode_outer(raised).alias("objection")).select(
+        "id", *KEYS, "interaction_code", "objection.category", "objection.handling"
     )
+    counted = F.col("category").isNotNull() & ~F.col("category").isin(C.NO_OBJECTION)
+    totals = rows.groupBy(*KEYS).agg(count_where(counted).alias("total_objections"))
     rows = rows.where(F.col("category").isin(C.OBJECTION_CATEGORIES) & F.col("handling").isin(C.HANDLINGS))
     lists = packed_codes(rows, [*KEYS, "category", "handling"], "interaction_code", "id", per_cell)
     prefixes = {handling: handling.lower() for handling in C.HANDLINGS}
