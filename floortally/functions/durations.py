@@ -11,13 +11,18 @@ DAY_SECONDS = 86_400
 
 
 def interval_seconds(text: Column) -> Column:
-    """Seconds (double) of `[N day(s)] H:MM:SS[.f]`; NULL for anything else."""
-    days = F.regexp_extract(text, r"^\s*(-?\d+)\s+days?\b", 1).try_cast("bigint")
-    clock = F.trim(F.regexp_replace(text, r"^\s*-?\d+\s+days?\b", ""))
-    seconds = clock.try_cast("interval hour to second").cast("decimal(18,6)").cast("double")
-    only_days = days.isNotNull() & (clock == "")
-    return F.when(only_days, days * float(DAY_SECONDS)).otherwise(
-        seconds + F.coalesce(days, F.lit(0)) * float(DAY_SECONDS)
+    """Seconds (double) of `H:MM:SS[.f]`, optionally after `N day(s)`; NULL for anything else."""
+    clock = F.substring_index(F.trim(text), " ", -1)
+    seconds = (
+        F.substring_index(clock, ":", 1).cast("double") * 3600
+        + F.substring_index(F.substring_index(clock, ":", 2), ":", -1).cast("double") * 60
+        + F.substring_index(clock, ":", -1).cast("double")
+    )
+    days = F.regexp_extract(text, r"(\d+) days?", 1).cast("double") * DAY_SECONDS
+    return (
+        F.when(text.rlike(r"^\s*\d+:[0-5]?\d:[0-5]?\d(\.\d+)?\s*$"), seconds)
+        .when(text.rlike(r"^\s*\d+ days? \d+:[0-5]?\d:[0-5]?\d(\.\d+)?\s*$"), days + seconds)
+        .when(text.rlike(r"^\s*\d+ days?\s*$"), days)
     )
 
 
