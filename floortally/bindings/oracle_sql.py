@@ -646,4 +646,24 @@ ORACLES = {
         SELECT as_of, 'Week ' || number AS week, min(d) AS start_date, max(d) AS end_date, least(max(d), as_of) AS end_to_date,
         count(*) FILTER (d <= as_of)::INTEGER AS working_days, strftime(min(d), '%d-%m-%Y') AS start_text
         FROM labelled GROUP BY as_of, number""",
+    "report_periods": """SELECT DISTINCT as_of, date_trunc('month', as_of)::DATE AS month_start, last_day(as_of) AS month_end,
+        as_of - (isodow(as_of) - 1)::INT AS week_start, as_of - (isodow(as_of) - 7)::INT AS week_end,
+        as_of - dayofweek(as_of)::INT AS sunday_week_start, as_of - dayofweek(as_of)::INT + 6 AS sunday_week_end,
+        greatest(date_trunc('month', as_of)::DATE, as_of - 6) AS rolling_start,
+        least(date_trunc('month', as_of)::DATE, as_of - 4) AS look_back_start, day(as_of)::INTEGER AS month_days,
+        'Week ' || (1 + (SELECT count(*) FROM range(2, day(as_of) + 1) r(n)
+                         WHERE dayofweek(date_trunc('month', as_of)::DATE + (n - 1)::INT) = 0)) AS week,
+        day(as_of) || CASE WHEN day(as_of) IN (1, 21, 31) THEN 'st' WHEN day(as_of) IN (2, 22) THEN 'nd'
+            WHEN day(as_of) IN (3, 23) THEN 'rd' ELSE 'th' END || strftime(as_of, ' %b''%y') AS title
+        FROM (SELECT DISTINCT o_orderdate::DATE AS as_of FROM orders)""",
 }
+ORACLES["category_display"] = (
+    f"SELECT as_of, prod_category, coalesce(wtd::VARCHAR, '-') AS wtd, coalesce(mtd::VARCHAR, '-') AS mtd "
+    f"FROM ({ORACLES['category_wtd_mtd']})"
+)
+ORACLES["adherence_display"] = _query(
+    ["rated"],
+    f"SELECT {_STAFF}, printf('%.1f%%', blank_pct) AS blank_pct, "
+    + ", ".join(f"printf('%.1f%%', {c}) AS {n}" for n, c in _RATED.items())
+    + " FROM rated",
+)

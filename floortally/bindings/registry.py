@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from floortally.bindings import driver as D
 from floortally.operators.asof import DAILY, MONTH, MONTH_END, WEEK
-from floortally.plans import daily_adherence, device_adherence, funnel, lost_sales, matrix, tenant_reasons
+from floortally.operators.display import as_text
+from floortally.plans import calendar, daily_adherence, device_adherence, funnel, lost_sales, matrix, tenant_reasons
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +38,12 @@ def week_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendars of all months with interactions, each as of its last interaction day."""
     days = D.sales_floor(spark, sf_dir).interactions.select("date")
     months = days.groupBy(F.trunc("date", "MM").alias("month")).agg(F.max("date").alias("as_of")).select("as_of")
-    return matrix.week_calendar(months)
+    return calendar.week_calendar(months)
+
+
+def report_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Period bounds of every day with interactions."""
+    return calendar.report_periods(D.sales_floor(spark, sf_dir).interactions.select(F.col("date").alias("as_of")))
 
 
 QUERIES: dict[str, Query] = {
@@ -85,4 +91,12 @@ QUERIES: dict[str, Query] = {
     "objection_matrix": _sales(matrix.objection_matrix, D.ORDER_TENANTS, MONTH_END),
     "headline": _audio(matrix.headline, D.BRAND_TENANTS, D.AS_OF),
     "week_calendar": week_calendar,
+    "report_periods": report_periods,
+    "category_display": _sales(lambda t: as_text(lost_sales.category_trend(t, DAILY), ["wtd", "mtd"])),
+    "adherence_display": _audio(
+        lambda t: as_text(
+            matrix.adherence_matrix(t, D.BRAND_TENANTS, D.AS_OF).select(*matrix.STAFF_KEYS, *matrix.RATES),
+            percents=matrix.RATES,
+        )
+    ),
 }

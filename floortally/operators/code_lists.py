@@ -2,7 +2,7 @@
 
 One group may hold a third of all rows, so its codes must never meet in one task. Groups are
 counted first (partial aggregation), the count fixes how many cells the group needs, and each
-code goes to a cell by a multiplicative hash of its row id. Small groups get the single cell
+code goes to a cell by the hash of its row id. Small groups get the single cell
 `part = 0`; large ones go on in further parts. No code is lost.
 """
 
@@ -14,15 +14,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from floortally import constants as C
 
-PRIME = 2_147_483_647
-FACTOR = 48_271
-
-
-def spread(row_id: Column) -> Column:
-    """Well-mixed non-negative number from an integer id."""
-    return F.pmod(F.pmod(row_id, F.lit(PRIME)) * FACTOR, F.lit(PRIME))
-
-
 def packed_codes(
     rows: DataFrame,
     keys: Sequence[str],
@@ -53,7 +44,7 @@ def packed_codes(
     rows = rows.repartition("_row", "_code", "_weight")
     sizes = rows.groupBy(*keys).agg(F.count("_code").alias("_codes"), F.sum("_weight").alias("n_rows"))
     cells = F.greatest(F.lit(1), F.ceil(F.col("_codes") / per_cell)).cast("bigint")
-    placed = rows.join(sizes, list(keys)).withColumn("part", F.pmod(spread(F.col("_row")), cells))
+    placed = rows.join(sizes, list(keys)).withColumn("part", F.pmod(F.xxhash64("_row"), cells))
     return placed.groupBy(*keys, "part").agg(
         F.first("n_rows").alias("n_rows"),
         F.array_join(F.sort_array(F.collect_list("_code")), ", ").alias("codes"),

@@ -142,6 +142,12 @@ def attendance_rollup(t: Tables, as_of: dt.date, wrap_24h: bool = False) -> Data
     )
 
 
+def attendance_days(as_of: dt.date) -> tuple[dt.date, dt.date]:
+    """First and last attendance drop the rollup of `as_of` reads."""
+    week = as_of - dt.timedelta(WEEK_BACK)
+    return week.replace(day=1) + dt.timedelta(1), as_of + dt.timedelta(1)
+
+
 def staff_mtd(t: Tables, as_of: dt.date, tenant_like: str | None = None) -> DataFrame:
     """Month-to-date recorded seconds, days received and blank % per employee.
 

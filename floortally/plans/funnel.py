@@ -12,7 +12,7 @@ from floortally.functions import nested as N
 from floortally.functions.numbers import half_even, parse_number, percent_or_zero, sum_or_zero, whole
 from floortally.functions.periods import month_start
 from floortally.operators.asof import as_date
-from floortally.operators.shaping import append, min_max_heat
+from floortally.operators.shaping import append, min_max_heat, pinned_order
 from floortally.operators.temporal import valid_on
 from floortally.operators.totals import grouped_with_total
 from floortally.plans.lost_sales import long_calls
@@ -148,6 +148,7 @@ def combined(
             "sold",
             "sold_pct",
         )
+        .orderBy("regional_manager_id", *pinned_order("is_total", "mtd_sold_pct"))
     )
 
 

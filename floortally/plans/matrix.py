@@ -25,24 +25,7 @@ DAYS = range(1, 5)
 WEEK_COLUMNS = [f"week_{n}" for n in WEEKS]
 DAY_COLUMNS = [f"d_{n}" for n in DAYS]
 STAFF_KEYS = ["tenant", "store", "name", "device"]
-
-
-def week_calendar(months: DataFrame) -> DataFrame:
-    """The weeks of each `as_of`'s month with range, range to date and days elapsed."""
-    first, as_of, number = F.col("month_first"), F.col("as_of"), F.col("number")
-    weeks = months.withColumn("month_first", P.month_start(as_of)).withColumn(
-        "number", F.explode(F.sequence(F.lit(1), P.week_of_month(F.last_day(as_of))))
-    )
-    weeks = weeks.withColumns({"start_date": P.week_start(first, number), "end_date": P.week_end(first, number)})
-    return weeks.select(
-        "as_of",
-        F.concat(F.lit("Week "), number).alias("week"),
-        "start_date",
-        "end_date",
-        F.least("end_date", "as_of").alias("end_to_date"),
-        P.days_elapsed(F.col("start_date"), F.col("end_date"), as_of).alias("working_days"),
-        P.short_date(F.col("start_date")).alias("start_text"),
-    )
+RATES = ["mtd_adherence_pct", "blank_pct", *WEEK_COLUMNS, *DAY_COLUMNS]
 
 
 def assignments(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFrame:
@@ -178,9 +161,8 @@ def day_matrix(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFram
     return adherence_matrix(t, tenants, as_of).select(*STAFF_KEYS, *DAY_COLUMNS)
 
 
-def headline(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFrame:
-    """Mean adherence of the as-of day, staff heard that day and all staff; 0 for an idle tenant."""
-    table = adherence_matrix(t, tenants, as_of)
+def headline_of(table: DataFrame, tenants: Sequence[Tenant]) -> DataFrame:
+    """Headline figures of a finished adherence matrix; 0 for an idle tenant."""
     figures = table.groupBy("tenant").agg(
         whole(half_even(mean_of_rounded(F.col("d_1")))).alias("avg_adherence"),
         count_where(F.col("d_1") > 0).alias("active_staff"),
@@ -189,6 +171,11 @@ def headline(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFrame:
     return tenant_frame(table.sparkSession, tenants).select("tenant").join(figures, "tenant", "left").na.fill(0)
 
 
+def headline(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFrame:
+    """Mean adherence of the as-of day, staff heard that day and all staff, per tenant."""
+    return headline_of(adherence_matrix(t, tenants, as_of), tenants)
+
+
 def _category_matrix(calls: DataFrame, array: str, tenants: Sequence[Tenant], as_of: AsOf) -> DataFrame:
     """Month count, share and week/day counts per category, folded per day before the as-of key."""
     categories = N.texts(calls, array, "category")
