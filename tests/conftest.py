@@ -12,7 +12,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    settings = {"spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.default.parallelism": "2"}
+    settings = {"spark.ui.enabled": "false", "spark.driver.memory": "6g", "spark.sql.execution.arrow.pyspark.enabled": "true"}
     built = session.build("tests", "local[8]", 4, **settings)
     built.sparkContext.setLogLevel("OFF")
     yield built

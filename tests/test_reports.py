@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from floortally.operators.asof import DAILY, MONTH, MONTH_END, WEEK
 from floortally.plans import calendar, daily_adherence, device_adherence, funnel, lost_sales, matrix, tenant_reasons
@@ -16,8 +18,8 @@ DAY = D(2024, 5, 15)
 
 def frame(spark, role, rows):
     """Rows given as dicts of the interesting columns."""
-    schema = spark.createDataFrame([], SCHEMAS[role]).schema
-    return spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows], schema)
+    schema = T.StructType.fromDDL(SCHEMAS[role])
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)), schema)
 
 
 def bound(spark, **roles):
