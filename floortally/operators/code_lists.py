@@ -1,18 +1,25 @@
 """Comma-joined code lists whose cells stay bounded however many codes a group has.
 
-One group may hold a third of all rows, so its codes must never meet in one task. Groups are
-counted first (partial aggregation), the count fixes how many cells the group needs, and each
-code goes to a cell by the hash of its row id. Small groups get the single cell
-`part = 0`; large ones go on in further parts. No code is lost.
+One group may hold a third of all rows, so its codes must never meet in one task. Rows are
+spread evenly by their id once; counting and packing both read that one exchange, so the scan
+and joins behind it run a single time. The count (partial aggregation) fixes how many cells the
+group needs, and each code goes to a cell by the hash of its row id. Small groups get the single
+cell `part = 0`; large ones go on in further parts. No code is lost.
+
+A fixed domain enters as extra rows without a code, so empty groups need no outer join; such
+rows may carry group measures (totals) along.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from floortally import constants as C
+from floortally.functions.numbers import sum_or_zero
+from floortally.operators.shaping import append
+
 
 def packed_codes(
     rows: DataFrame,
@@ -20,52 +27,72 @@ def packed_codes(
     code: str,
     row_id: str,
     per_cell: int = C.CODES_PER_CELL,
+    domain: DataFrame | None = None,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """Keys, `part`, `n_rows` of the whole group, the part's sorted `codes` and carried measures."""
+    rows = _coded(rows, [*keys], code, row_id, F.lit(1))
+    return _pack(rows, keys, {"": F.lit(True)}, per_cell, domain, carry).withColumnsRenamed(
+        {"_count": "n_rows", "_codes": "codes"}
+    )
+
+
+def packed_table(
+    rows: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    prefixes: dict[str, str],
+    code: str,
+    row_id: str,
+    per_cell: int = C.CODES_PER_CELL,
     distinct: bool = False,
     weight: Column | None = None,
+    domain: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Keys, `part`, `n_rows` (summed weights) of the whole group and the part's sorted `codes`.
-
-    The rows are spread evenly by their id once; counting and packing both read that one
-    exchange, so the scan and joins behind it run a single time.
-    """
-    rows = rows.select(
-        *keys,
-        F.col(code).alias("_code"),
-        F.col(row_id).alias("_row"),
-        (F.lit(1) if weight is None else weight).cast("bigint").alias("_weight"),
-    ).where(F.col("_code").isNotNull())
+    """Lists side by side: per value of `column` a `<prefix>_count` (summed weights of the whole
+    group, on every part) and the part's `<prefix>_codes`."""
+    rows = _coded(rows, [*keys, column], code, row_id, F.lit(1) if weight is None else weight)
     if distinct:
         rows = (
             rows.withColumn("_code", F.trim("_code"))
             .where(F.col("_code") != "")
-            .groupBy(*keys, "_code")
+            .groupBy(*keys, column, "_code")
             .agg(F.min("_row").alias("_row"), F.sum("_weight").alias("_weight"))
         )
-    rows = rows.repartition("_row", "_code", "_weight")
-    sizes = rows.groupBy(*keys).agg(F.count("_code").alias("_codes"), F.sum("_weight").alias("n_rows"))
-    cells = F.greatest(F.lit(1), F.ceil(F.col("_codes") / per_cell)).cast("bigint")
-    placed = rows.join(sizes, list(keys)).withColumn("part", F.pmod(F.xxhash64("_row"), cells))
-    return placed.groupBy(*keys, "part").agg(
-        F.first("n_rows").alias("n_rows"),
-        F.array_join(F.sort_array(F.collect_list("_code")), ", ").alias("codes"),
-    )
+    tests = {prefix: F.col(column) == value for value, prefix in prefixes.items()}
+    return _pack(rows, keys, tests, per_cell, domain, carry)
 
 
-def across(lists: DataFrame, keys: Sequence[str], column: str, prefixes: dict[str, str]) -> DataFrame:
-    """Packed lists side by side: per value of `column` a count and a code cell.
+def _coded(rows: DataFrame, keys: Sequence[str], code: str, row_id: str, weight: Column) -> DataFrame:
+    return rows.select(
+        *keys, F.col(code).alias("_code"), F.col(row_id).alias("_row"), weight.cast("bigint").alias("_weight")
+    ).where(F.col("_code").isNotNull())
 
-    A count is repeated on every part of its group; a value without codes in a part has "".
-    """
-    here = {prefix: F.col(column) == value for value, prefix in prefixes.items()}
-    cells = lists.groupBy(*keys, "part").agg(
-        *[F.max(F.when(test, F.col("n_rows"))).alias(f"{prefix}_count") for prefix, test in here.items()],
-        *[F.max(F.when(test, F.col("codes"))).alias(f"{prefix}_codes") for prefix, test in here.items()],
+
+def _pack(
+    rows: DataFrame,
+    keys: Sequence[str],
+    tests: dict[str, Column],
+    per_cell: int,
+    domain: DataFrame | None,
+    carry: Sequence[str],
+) -> DataFrame:
+    if domain is not None:
+        rows = append(rows, domain)
+    rows = rows.repartition(*rows.columns)
+    n_codes = [F.count(F.when(test, F.col("_code"))) for test in tests.values()]
+    most = F.greatest(*n_codes) if len(n_codes) > 1 else n_codes[0]
+    sizes = rows.groupBy(*keys).agg(
+        F.greatest(F.lit(1), F.ceil(most / per_cell)).cast("bigint").alias("_parts"),
+        *[sum_or_zero(F.when(test, F.col("_weight"))).alias(f"{p}_count") for p, test in tests.items()],
+        *[F.max(c).alias(c) for c in carry],
     )
-    group = W.partitionBy(*keys)
-    columns = []
-    for prefix in here:
-        columns += [
-            F.coalesce(F.max(f"{prefix}_count").over(group), F.lit(0)).alias(f"{prefix}_count"),
-            F.coalesce(f"{prefix}_codes", F.lit("")).alias(f"{prefix}_codes"),
-        ]
-    return cells.select(*keys, "part", *columns)
+    counts = [f"{p}_count" for p in tests]
+    placed = rows.drop(*carry).join(sizes, list(keys))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("_row"), F.col("_parts")))
+    lists = [
+        F.array_join(F.sort_array(F.collect_list(F.when(test, F.col("_code")))), ", ").alias(f"{p}_codes")
+        for p, test in tests.items()
+    ]
+    return placed.groupBy(*keys, "part").agg(*[F.first(c).alias(c) for c in (*counts, *carry)], *lists)

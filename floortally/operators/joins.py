@@ -17,3 +17,26 @@ def left_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str, nu
 def keep_matching(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Semi join: rows whose keys occur in the other frame."""
     return df.join(other.select(*keys).distinct(), keys, "left_semi")
+
+
+def split_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    inside: Column | None = None,
+    seen: DataFrame | None = None,
+) -> DataFrame:
+    """Left join for a right side with hot keys, as an inner join plus the unmatched left rows.
+
+    Adaptive execution splits skewed partitions of either side of an inner join, but never of
+    the right side of a left join. `inside` is a further condition on columns of the frames
+    aliased `l` and `r`; `seen` may give the right side's distinct condition columns instead of
+    the whole right side to decide which left rows are unmatched.
+    """
+    l, r = left.alias("l"), right.alias("r")
+    same = [F.col(f"l.{key}") == F.col(f"r.{key}") for key in keys]
+    on = same if inside is None else [*same, inside]
+    extra = [c for c in right.columns if c not in keys]
+    matched = l.join(r, on, "inner").select("l.*", *[f"r.{c}" for c in extra])
+    unmatched = l.join((right if seen is None else seen).alias("r"), on, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

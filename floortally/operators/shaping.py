@@ -13,15 +13,9 @@ def literal_array(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(value) for value in values])
 
 
-def fill_domain(
-    facts: DataFrame, groups: DataFrame, keys: Sequence[str], name: str, domain: Sequence[str]
-) -> DataFrame:
-    """Every value of a fixed domain for every group, with the facts where there are any.
-
-    Further columns of the groups are carried along.
-    """
-    frame = groups.withColumn(name, F.explode(literal_array(domain)))
-    return frame.join(facts, [*keys, name], "left")
+def with_domain(groups: DataFrame, name: str, domain: Sequence[str]) -> DataFrame:
+    """Every value of a fixed domain for every group; further columns are carried along."""
+    return groups.withColumn(name, F.explode(literal_array(domain)))
 
 
 def top_k(df: DataFrame, keys: Sequence[str], measure: str, label: str, k: int) -> DataFrame:

@@ -14,7 +14,7 @@ from floortally.functions.numbers import count_where, half_even, percent, sql_pe
 from floortally.functions.periods import month_start, parse_date
 from floortally.functions.text import device_code
 from floortally.operators.asof import as_date
-from floortally.operators.joins import keep_matching, left_on
+from floortally.operators.joins import keep_matching, left_on, split_left_join
 from floortally.operators.shaping import sorted_nulls_last
 from floortally.operators.temporal import valid_on
 from floortally.operators.totals import mean_of_rounded, with_total
@@ -53,7 +53,7 @@ def device_roster(
         F.col("id").alias("sp_id"), F.col("name").alias("staff_name"), F.upper("employee_id").alias("employee_id")
     )
     rows = (
-        base.join(holders, "name", "left")
+        split_left_join(base, holders, ["name"], seen=holders.select("name").distinct())
         .join(staff.withColumn("_known", F.lit(True)), "sp_id", "left")
         .withColumn("sp_id", F.when(F.col("_known"), F.col("sp_id")))
         .join(chain, "store_id", "left")

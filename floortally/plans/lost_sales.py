@@ -13,8 +13,8 @@ from floortally.functions.durations import parse_milliseconds
 from floortally.functions.numbers import percent_or_zero, whole
 from floortally.functions.text import not_blank
 from floortally.operators.asof import DAILY, DAY, MONTH, WEEK, WEEK_OR_MONTH, AsOf, Period, as_date, attach, within
-from floortally.operators.code_lists import across, packed_codes
-from floortally.operators.shaping import fill_domain, share_of_total, top_k
+from floortally.operators.code_lists import packed_codes, packed_table
+from floortally.operators.shaping import share_of_total, top_k, with_domain
 from floortally.sources.tables import Tables
 
 # Short column prefixes for the follow-up issues, in the order of the fixed list.
@@ -110,15 +110,17 @@ def reason_summary(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_C
         .where(issue.isin(C.FOLLOW_UP_ISSUES))
         .withColumn("phone", F.explode_outer(F.array_repeat(F.lit(1), F.col("n_phones"))))
     )
-    lists = packed_codes(rows, ["as_of", "sub_category"], "interaction_code", "flag_id", per_cell)
-    n_rows = F.coalesce("n_rows", F.lit(0))
-    return fill_domain(lists, unsuccessful_total(t, as_of), ["as_of"], "sub_category", C.FOLLOW_UP_ISSUES).select(
+    domain = with_domain(unsuccessful_total(t, as_of), "sub_category", C.FOLLOW_UP_ISSUES)
+    lists = packed_codes(
+        rows, ["as_of", "sub_category"], "interaction_code", "flag_id", per_cell, domain, ["interaction_count"]
+    )
+    return lists.select(
         "as_of",
         "sub_category",
-        F.coalesce("part", F.lit(0)).alias("part"),
-        n_rows.alias("interactions"),
-        percent_or_zero(n_rows, F.col("interaction_count"), 1).alias("pct"),
-        F.coalesce("codes", F.lit("")).alias("interaction_codes"),
+        "part",
+        F.col("n_rows").alias("interactions"),
+        percent_or_zero(F.col("n_rows"), F.col("interaction_count"), 1).alias("pct"),
+        F.col("codes").alias("interaction_codes"),
     )
 
 
@@ -178,10 +180,17 @@ def category_issues(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_
         .withColumn("issue", F.explode_outer("reasons.sub_category"))
         .where(F.col("issue").isin(C.FOLLOW_UP_ISSUES))
     )
-    lists = packed_codes(
-        rows, [*keys, "issue"], "interaction_code", "flag_id", per_cell, distinct=True, weight=F.col("n_phones")
+    return packed_table(
+        rows,
+        keys,
+        "issue",
+        ISSUE_PREFIXES,
+        "interaction_code",
+        "flag_id",
+        per_cell,
+        distinct=True,
+        weight=F.col("n_phones"),
     )
-    return across(lists, keys, "issue", ISSUE_PREFIXES)
 
 
 def _distinct_calls(t: Tables, array: str, key: str, label: str) -> DataFrame:

@@ -13,6 +13,7 @@ from floortally.functions.durations import clock_text
 from floortally.functions.numbers import count_where, finite_or_zero, half_even, percent_or_zero, sum_or_zero, whole
 from floortally.functions.text import title
 from floortally.operators.asof import MONTH, MONTH_END, AsOf, as_date, attach
+from floortally.operators.joins import split_left_join
 from floortally.operators.shaping import share_of_total
 from floortally.operators.temporal import inside_clipped, overlaps
 from floortally.operators.totals import mean_of_rounded
@@ -58,21 +59,24 @@ def _tenant_audio(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataF
     )
 
 
-def _within_assignment(spans: DataFrame, audio: DataFrame, as_of: dt.date) -> DataFrame:
-    """Temporal left join: equi-join on tenant and staff, the date inside the clipped assignment."""
+def _inside(as_of: dt.date) -> Column:
+    """The recording's date lies in the assignment cut to the look-back window."""
     end = as_date(as_of)
-    s, a = spans.alias("s"), audio.alias("a")
-    inside = inside_clipped(
-        F.col("a.date"), F.col("s.start_date"), F.col("s.end_date"), P.look_back_start(end), end
+    return inside_clipped(
+        F.col("r.date"), F.col("l.start_date"), F.col("l.end_date"), P.look_back_start(end), end
     )
-    same = (F.col("s.tenant") == F.col("a.tenant")) & (F.col("s.sp_id") == F.col("a.sp_id"))
-    measures = [F.col(f"a.{c}") for c in audio.columns if c not in ("tenant", "sp_id")]
-    return s.join(a, same & inside, "left").select("s.tenant", "s.store", "s.name", "s.device", *measures)
 
 
 def assignment_audio(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFrame:
-    """Every recording within its staff member's assignment; idle staff keep one empty row."""
-    rows = _within_assignment(assignments(t, tenants, as_of), _tenant_audio(t, tenants, as_of), as_of)
+    """Every recording within its staff member's assignment; idle staff keep one empty row.
+
+    Temporal left join on tenant and staff with a date range, safe for a staff member holding a
+    large share of all recordings.
+    """
+    audio = _tenant_audio(t, tenants, as_of)
+    heard = audio.select("tenant", "sp_id", "date").distinct()
+    spans = assignments(t, tenants, as_of)
+    rows = split_left_join(spans, audio, ["tenant", "sp_id"], _inside(as_of), heard)
     return rows.select(
         *STAFF_KEYS,
         "id",
@@ -95,7 +99,9 @@ def staff_matrix(t: Tables, tenants: Sequence[Tenant], as_of: dt.date) -> DataFr
         .groupBy("tenant", "sp_id", "date")
         .agg(F.count("id").alias("files"), F.sum("blank").alias("blank"), F.sum("seconds").alias("seconds"))
     )
-    rows = _within_assignment(assignments(t, tenants, as_of), audio, as_of)
+    spans, daily = assignments(t, tenants, as_of).alias("l"), audio.alias("r")
+    same = [F.col("l.tenant") == F.col("r.tenant"), F.col("l.sp_id") == F.col("r.sp_id"), _inside(as_of)]
+    rows = spans.join(daily, same, "left").select("l.*", "r.date", "r.files", "r.blank", "r.seconds")
     for key in STAFF_KEYS:
         rows = rows.where(F.col(key).isNotNull())
     end, day = as_date(as_of), F.col("date")

@@ -10,8 +10,8 @@ from floortally import constants as C
 from floortally.functions import nested as N
 from floortally.functions.numbers import count_where, percent_or_zero, sum_or_zero
 from floortally.operators.asof import DAILY, DAY, MONTH, WEEK, WEEK_OR_MONTH, AsOf, attach, within
-from floortally.operators.code_lists import across, packed_codes
-from floortally.operators.shaping import fill_domain
+from floortally.operators.code_lists import packed_codes, packed_table
+from floortally.operators.shaping import with_domain
 from floortally.plans.lost_sales import long_calls
 from floortally.sources.tables import Tables
 from floortally.sources.tenants import Tenant, tag
@@ -53,15 +53,15 @@ def reasons_of_day(
         .select("id", *KEYS, "interaction_code", F.explode_outer(categories).alias("category"))
         .where(F.col("category").isin(C.LOSS_CATEGORIES))
     )
-    lists = packed_codes(rows, [*KEYS, "category"], "interaction_code", "id", per_cell)
-    n_rows = F.coalesce("n_rows", F.lit(0))
-    return fill_domain(lists, totals, KEYS, "category", C.LOSS_CATEGORIES).select(
+    domain = with_domain(totals, "category", C.LOSS_CATEGORIES)
+    lists = packed_codes(rows, [*KEYS, "category"], "interaction_code", "id", per_cell, domain, ["lost_calls"])
+    return lists.select(
         *KEYS,
         "category",
-        F.coalesce("part", F.lit(0)).alias("part"),
-        n_rows.alias("interactions"),
-        percent_or_zero(n_rows, F.col("lost_calls"), 1).alias("pct"),
-        F.coalesce("codes", F.lit("")).alias("interaction_codes"),
+        "part",
+        F.col("n_rows").alias("interactions"),
+        percent_or_zero(F.col("n_rows"), F.col("lost_calls"), 1).alias("pct"),
+        F.col("codes").alias("interaction_codes"),
     )
 
 
@@ -110,20 +110,18 @@ def objection_handling(
     counted = F.col("category").isNotNull() & ~F.col("category").isin(C.NO_OBJECTION)
     totals = rows.groupBy(*KEYS).agg(count_where(counted).alias("total_objections"))
     rows = rows.where(F.col("category").isin(C.OBJECTION_CATEGORIES) & F.col("handling").isin(C.HANDLINGS))
-    lists = packed_codes(rows, [*KEYS, "category", "handling"], "interaction_code", "id", per_cell)
     prefixes = {handling: handling.lower() for handling in C.HANDLINGS}
-    table = across(lists, [*KEYS, "category"], "handling", prefixes)
-    labels = F.create_map(*[F.lit(x) for pair in C.OBJECTION_LABELS.items() for x in pair])
-    columns = []
-    for prefix in prefixes.values():
-        columns += [
-            F.coalesce(f"{prefix}_count", F.lit(0)).alias(f"{prefix}_count"),
-            F.coalesce(f"{prefix}_codes", F.lit("")).alias(f"{prefix}_codes"),
-        ]
-    return fill_domain(table, totals, KEYS, "category", C.OBJECTION_CATEGORIES).select(
-        *KEYS,
-        labels[F.col("category")].alias("objection"),
-        F.coalesce("part", F.lit(0)).alias("part"),
-        *columns,
-        "total_objections",
+    table = packed_table(
+        rows,
+        [*KEYS, "category"],
+        "handling",
+        prefixes,
+        "interaction_code",
+        "id",
+        per_cell,
+        domain=with_domain(totals, "category", C.OBJECTION_CATEGORIES),
+        carry=["total_objections"],
     )
+    labels = F.create_map(*[F.lit(x) for pair in C.OBJECTION_LABELS.items() for x in pair])
+    cells = [f"{prefix}_{kind}" for prefix in prefixes.values() for kind in ("count", "codes")]
+    return table.select(*KEYS, labels[F.col("category")].alias("objection"), "part", *cells, "total_objections")

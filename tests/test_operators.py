@@ -55,11 +55,17 @@ def test_top_k_breaks_ties_by_label(spark):
     assert [r.l for r in got] == ["z", "a", "b"]
 
 
-def test_fill_domain_keeps_the_whole_domain_and_nothing_else(spark):
-    facts = spark.createDataFrame([("t", "x", 3), ("t", "outside", 9)], "t string, k string, n int")
-    groups = spark.createDataFrame([("t", 1), ("idle", 2)], "t string, extra int")
-    got = {(r.t, r.k, r.n, r.extra) for r in shaping.fill_domain(facts, groups, ["t"], "k", ["x", "y"]).collect()}
-    assert got == {("t", "x", 3, 1), ("t", "y", None, 1), ("idle", "x", None, 2), ("idle", "y", None, 2)}
+def test_domain_rows_complete_the_groups_and_carry_totals(spark):
+    facts = spark.createDataFrame([("t", "x", "c1", 1), ("t", "x", "c2", 2)], "t string, k string, code string, id bigint")
+    groups = spark.createDataFrame([("t", 10), ("idle", 20)], "t string, total int")
+    domain = shaping.with_domain(groups, "k", ["x", "y"])
+    got = code_lists.packed_codes(facts, ["t", "k"], "code", "id", domain=domain, carry=["total"]).collect()
+    assert {(r.t, r.k, r.part, r.n_rows, r.codes, r.total) for r in got} == {
+        ("t", "x", 0, 2, "c1, c2", 10),
+        ("t", "y", 0, 0, "", 10),
+        ("idle", "x", 0, 0, "", 20),
+        ("idle", "y", 0, 0, "", 20),
+    }
 
 
 def test_shares_sum_to_hundred_within_rounding(spark):
@@ -97,17 +103,34 @@ def test_code_lists_stay_bounded_and_whole_under_a_hot_group(spark):
 
 
 def test_distinct_code_lists_keep_weights(spark):
-    rows = [("g", " a ", 1, 2), ("g", "a", 2, 3), ("g", "", 3, 4), ("g", None, 4, 5), ("g", "b", 5, 1)]
-    df = spark.createDataFrame(rows, "g string, code string, id bigint, w int")
-    got = code_lists.packed_codes(df, ["g"], "code", "id", distinct=True, weight=c("w")).collect()
-    assert [(r.codes, r.n_rows) for r in got] == [("a, b", 6)]
+    rows = [("g", "x", " a ", 1, 2), ("g", "x", "a", 2, 3), ("g", "x", "", 3, 4), ("g", "x", None, 4, 5), ("g", "y", "b", 5, 1)]
+    df = spark.createDataFrame(rows, "g string, k string, code string, id bigint, w int")
+    names = {"x": "x", "y": "y", "z": "z"}
+    got = code_lists.packed_table(df, ["g"], "k", names, "code", "id", distinct=True, weight=c("w")).collect()
+    assert [r.asDict() for r in got] == [
+        dict(g="g", part=0, x_count=5, x_codes="a", y_count=1, y_codes="b", z_count=0, z_codes="")
+    ]
 
 
 def test_lists_side_by_side_repeat_counts_on_every_part(spark):
-    rows = [("g", "x", 0, 7, "a"), ("g", "x", 1, 7, "b"), ("g", "y", 0, 1, "c")]
-    df = spark.createDataFrame(rows, "g string, k string, part bigint, n_rows bigint, codes string")
-    got = code_lists.across(df, ["g"], "k", {"x": "x", "y": "y", "z": "z"}).orderBy("part").collect()
-    assert [tuple(r) for r in got] == [("g", 0, 7, "a", 1, "c", 0, ""), ("g", 1, 7, "b", 1, "", 0, "")]
+    rows = [("g", "x", f"c{n}", n) for n in range(400)] + [("g", "y", "d", 1)]
+    df = spark.createDataFrame(rows, "g string, k string, code string, id bigint")
+    got = code_lists.packed_table(df, ["g"], "k", {"x": "x", "y": "y"}, "code", "id", per_cell=50).collect()
+    assert len(got) == 8 and {(r.x_count, r.y_count) for r in got} == {(400, 1)}
+    assert sorted(x for r in got for x in r.x_codes.split(", ")) == sorted(f"c{n}" for n in range(400))
+    assert [r.y_codes for r in got if r.y_codes] == ["d"]
+
+
+def test_split_left_join_is_a_left_join(spark):
+    rng = random.Random(5)
+    left = spark.createDataFrame([(rng.randint(0, 6), n) for n in range(12)], "k int, v int")
+    right = spark.createDataFrame([(rng.choice([1, 1, 1, 2, 9]), n) for n in range(40)], "k int, w int")
+    inside = c("r.w") >= c("l.v") * 4
+    got = joins.split_left_join(left, right, ["k"], inside).select("k", "v", "w").collect()
+    l, r = left.alias("l"), right.alias("r")
+    expected = l.join(r, (c("l.k") == c("r.k")) & inside, "left").select("l.k", "l.v", "r.w").collect()
+    order = lambda rows: sorted((tuple(x) for x in rows), key=str)
+    assert order(got) == order(expected)
 
 
 def test_null_safe_merge_is_optional(spark):
