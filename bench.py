@@ -19,7 +19,6 @@ from floortally.bindings.registry import QUERIES  # noqa: E402
 
 HEADLINE = [
     "topk_reason_mtd",
-    "top5_share",
     "unsuccessful_total",
     "lost_sale_followups",
     "category_issue_crosstab",
@@ -28,10 +27,7 @@ HEADLINE = [
     "reason_domain_wtd_mtd",
     "objection_handling_matrix",
     "funnel_combined_total",
-    "effectiveness_pitched",
     "device_file_stats",
-    "attendance_rollup",
-    "adherence_detail",
     "flagged_managers_total",
     "same_day_summary",
     "assignment_range_join",
