@@ -1,6 +1,8 @@
 """Whole reports as jobs: read the tables, compute every table of a report, write them.
 
-    spark-submit floortally/jobs.py --report daily_adherence --tables /data/in --out /data/out --as-of 2024-01-30
+    zip -qr floortally.zip floortally
+    spark-submit --py-files floortally.zip floortally/jobs.py \\
+        --report daily_adherence --tables /data/in --out /data/out --as-of 2024-01-30
 
 Result tables go to `<out>/<report>/<table>/as_of=<date>`; a rerun of a day replaces it.
 """
@@ -16,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from floortally import constants as C, session
-from floortally.operators.asof import MONTH, WEEK
+from floortally.operators.asof import MONTH, WEEK, as_date
 from floortally.plans import calendar, daily_adherence, device_adherence, funnel, lost_sales, matrix, tenant_reasons
 from floortally.sources import csv_days
 from floortally.sources.sinks import write_csv, write_report
@@ -109,8 +111,8 @@ def run_tenant_matrix(t: Tables, p: Parameters, out: Writer) -> None:
     out.table("headline", matrix.headline_of(table, p.tenants))
     out.table("reasons", matrix.reason_matrix(t, p.tenants, p.as_of))
     out.table("objections", matrix.objection_matrix(t, p.tenants, p.as_of))
-    days = t.interactions.sparkSession.createDataFrame([(p.as_of,)], "as_of date")
-    out.table("weeks", calendar.week_calendar(days))
+    day = table.sparkSession.range(1, numPartitions=1).select(as_date(p.as_of).alias("as_of"))
+    out.table("weeks", calendar.week_calendar(day))
 
 
 REPORTS: dict[str, Callable[[Tables, Parameters, Writer], None]] = {
@@ -145,6 +147,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--regions", type=int, nargs="*")
     parser.add_argument("--brands", type=int, nargs="*")
     parser.add_argument("--tenant-like", help="LIKE pattern on audio paths")
+    parser.add_argument("--device-pattern", default=C.DEVICE_PATTERN, help="regular expression of device codes")
     return parser.parse_args()
 
 
@@ -160,7 +163,8 @@ def main() -> None:
     if args.attendance:
         first, last = device_adherence.attendance_days(as_of)
         tables = tables.bind(attendance=csv_days.read_days(spark, args.attendance, first, last))
-    run(args.report, tables, Parameters(as_of, tenants, args.regions, args.brands, args.tenant_like), args.out)
+    parameters = Parameters(as_of, tenants, args.regions, args.brands, args.tenant_like, args.device_pattern)
+    run(args.report, tables, parameters, args.out)
 
 
 if __name__ == "__main__":
