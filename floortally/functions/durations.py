@@ -52,10 +52,8 @@ def wrapped(seconds: Column) -> Column:
 
 def shift_seconds(clock_in: Column, clock_out: Column, wrap_24h: bool = False) -> Column:
     """Attendance shift less the break; missing or negative shifts count as the default shift."""
-    worked = (
-        F.unix_micros(parse_timestamp(clock_out).cast("timestamp"))
-        - F.unix_micros(parse_timestamp(clock_in).cast("timestamp"))
-    ) / 1e6 - C.SHIFT_BREAK_SECONDS
+    worked = (parse_timestamp(clock_out) - parse_timestamp(clock_in)).cast("decimal(18,6)").cast("double")
+    worked = worked - C.SHIFT_BREAK_SECONDS
     shift = F.when(worked >= 0, worked).otherwise(F.lit(float(C.DEFAULT_SHIFT_SECONDS)))
     return wrapped(shift) if wrap_24h else shift
 

@@ -142,6 +142,16 @@ def test_shift_rules(evaluate):
     assert days == [(102600.0, 16200.0)]
 
 
+def test_shifts_ignore_clock_changes(spark, evaluate):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        row = [("2024-03-31 01:00:00", "2024-03-31 06:00:00")]
+        assert evaluate(row, "i string, o string", durations.shift_seconds(c("i"), c("o"))) == [(12600.0,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_milliseconds_threshold_is_strict(evaluate):
     rows = [("180000",), ("180001",), ("n/a",), ("-5",), (None,)]
     got = evaluate(rows, "x string", durations.parse_milliseconds(c("x")) > 180000)
