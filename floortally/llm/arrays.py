@@ -127,3 +127,22 @@ def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
     place[words.space] = 0
     codes *= powers(int(place.max()) + 1)[place]
     return mix(np.add.reduceat(codes, words.starts))
+
+
+#: Bytes between plain words: white space and ASCII punctuation.
+BREAKS = SPACES.copy()
+BREAKS[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
+
+
+def plain_bytes(data: np.ndarray) -> np.ndarray:
+    """Without case (A-Z), ASCII punctuation as blanks."""
+    plain = LOWER[data]
+    plain[BREAKS[data]] = 0x20
+    return plain
+
+
+def normal_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of plain words, and where each text's words begin."""
+    plain = plain_bytes(data)
+    words = find_words(plain, offsets)
+    return word_hashes(plain, words), words.text_starts

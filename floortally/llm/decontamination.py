@@ -15,21 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from floortally.llm.arrays import LOWER, SPACES, doubled, find_words, text_chunks, word_hashes
+from floortally.llm.arrays import doubled, normal_words, text_chunks
 
 #: Words of benchmark text that one pass over the documents carries; more items take more passes.
 WORDS_PER_BLOCK = 2_000_000
-#: Bytes between words: white space and ASCII punctuation.
-BREAKS = SPACES.copy()
-BREAKS[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
-
-
-def normal_words(data: np.ndarray, offsets: np.ndarray):
-    """Word hashes without case (A-Z) and ASCII punctuation, and where each text's words begin."""
-    plain = LOWER[data]
-    plain[BREAKS[data]] = 0x20
-    words = find_words(plain, offsets)
-    return word_hashes(plain, words), words.text_starts
 
 
 class Seeds:

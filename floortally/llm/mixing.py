@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from floortally.llm.storage import stored
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
-BINS = 4_096
 
 
 def token_count(text: Column) -> Column:
@@ -121,10 +120,13 @@ def mixed(
         .agg(F.min(F.struct("bin", "upto", "t")).alias("end"))
         .select(*names, F.col("end.bin").alias("end_bin"), (F.col("end.upto") - F.col("end.t")).alias("end_before"))
     )
-    rows = rows.join(ends, names, "left")
-    at_end = F.coalesce(F.col("bin") == F.col("end_bin"), F.lit(False))
-    prefix = Window.partitionBy(*names).orderBy("place", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ending = rows.where(at_end).withColumn("taken", F.col("end_before") + F.sum("n_tokens").over(prefix) <= F.col("left"))
-    others = rows.where(~at_end).withColumn("taken", F.col("end_bin").isNull() | (F.col("bin") < F.col("end_bin")))
+    # The bin at the budget's end meets its rows by (leaf, bin): the rest of a leaf never joins them there.
+    prefix = Window.partitionBy(*names, "bin").orderBy("place", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ending = rows.join(ends.withColumnRenamed("end_bin", "bin"), [*names, "bin"]).withColumn(
+        "taken", F.col("end_before") + F.sum("n_tokens").over(prefix) <= F.col("left")
+    )
+    others = rows.join(ends.drop("end_before"), names, "left").where(~F.coalesce(F.col("bin") == F.col("end_bin"), F.lit(False)))
+    others = others.withColumn("taken", F.col("end_bin").isNull() | (F.col("bin") < F.col("end_bin")))
     copies = F.col("epochs") + (F.col("taken") & (F.col("left") > 0)).cast("int")
-    return others.unionByName(ending).select("doc_id", *names, "n_tokens", copies.alias("copies"), "budget")
+    columns = ["doc_id", *names, "n_tokens", copies.alias("copies"), "budget"]
+    return others.select(*columns).unionByName(ending.select(*columns))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from floortally.llm import decontamination, fingerprints, mixing, sharding, tokens
+from floortally.llm import decontamination, fingerprints, mixing, sharding, tokens, toxicity
 from floortally.llm.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,7 +53,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "coverage", "n_tiles")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.scored(documents, model).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op9_decontamination)
+    f.__name__: f for f in (op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op9_decontamination, op10_toxicity)
 }
 ORACLES: dict[str, str] = {}
