@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from floortally.llm import decontamination, fingerprints, lm_scoring, mixing, sharding, tokens, toxicity
+from floortally.llm import decontamination, fingerprints, lm_scoring, mixing, sharding, suffix_dedup, tokens, toxicity
 from floortally.llm.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -48,6 +48,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_PART, MIX_EPOCHS, MIX_SEED)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scores(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op7_lm_scores, op9_decontamination, op10_toxicity)
+    f.__name__: f for f in (op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op6_suffix_dedup, op7_lm_scores, op9_decontamination, op10_toxicity)
 }
 ORACLES: dict[str, str] = {}
