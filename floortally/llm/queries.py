@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from floortally.llm import decontamination, fingerprints, lm_scoring, mixing, sharding, suffix_dedup, tokens, toxicity
+from floortally.llm import debruijn, decontamination, fingerprints, lm_scoring, mixing, sharding, suffix_dedup, tokens, toxicity
 from floortally.llm.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -56,6 +56,10 @@ def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scores(table(spark, sf_dir, "documents"))
 
 
+def op8_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "coverage", "n_tiles")
@@ -68,6 +72,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op6_suffix_dedup, op7_lm_scores, op9_decontamination, op10_toxicity)
+    f.__name__: f for f in (op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op6_suffix_dedup, op7_lm_scores, op8_debruijn_dedup, op9_decontamination, op10_toxicity)
 }
 ORACLES: dict[str, str] = {}
