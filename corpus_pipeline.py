@@ -4,11 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floortally.llm import decontamination, mixing, sharding
+from floortally.llm import decontamination, mixing, near_dedup, sharding, toxicity
 from floortally.llm.queries import MIX_EPOCHS, MIX_PART, MIX_SEED, MIX_WEIGHTS, mix_levels
+from floortally.llm.storage import stored
 from floortally.llm.tables import table
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.without_near_duplicates(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixture(docs, mix_levels(), MIX_WEIGHTS, MIX_PART, MIX_EPOCHS, MIX_SEED)
+
+
+def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(docs, 16)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_leaks),
+    ("mixing", mix_sources),
+    ("sharding", deal_shards),
+]
+
+#: The network of the first stage has no SQL form; the tests hold the stages against brute force.
 ORACLE_SQL = None
-PIPELINE_QUERIES: dict = {}
-PIPELINE_ORACLES: dict = {}
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+PIPELINE_QUERIES = {"pipeline": run}
+PIPELINE_ORACLES = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

@@ -2,10 +2,10 @@
 
 Edges of the graph are the k-mers of `length` words, nodes the k - 1 words two edges share. Edges enter as
 super-k-mers: neighbouring edges with the same least-hash minimizer, so that all places of an edge meet
-under one key without a row per word. Repeated super-k-mers that always follow each other are nonbranching
-paths and compacted into unitigs by joins on their ends; where paths branch, super-k-mers are broken up by
-deeper minimizers down to single edges. Source coordinates - the least document of a unitig, and every
-place - decide which spans are repeats of an earlier document.
+under one key of a join without a row per word. Where copies branch off, super-k-mers are broken up by deeper
+minimizers down to single edges. Each repeated piece knows its source, the first place of the same words;
+pieces that follow each other both in their text and in the source are a nonbranching path and compacted
+into one span, whose source coordinates verify that it repeats an earlier document.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from floortally.llm.arrays import find_words, text_chunks, word_hashes
 from floortally.llm.storage import discard, stored
@@ -74,7 +74,8 @@ def _cut(length: int, column: str):
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """uid, start, stop (words) of the windows that also start in a smaller document; spans may overlap."""
+    """uid, start, stop (words), source, source_start of the windows that also start in a smaller document:
+    maximal nonbranching paths, which may overlap where they branch."""
     rows = keyed(documents).where("text is not null").select("uid", "doc", F.lit(0).alias("piece"), "text")
     depths = [max(1, round(d * length)) for d in DEPTHS]
     first = stored(runs(rows, _texts, length, depths[0]))
@@ -94,7 +95,18 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = found[0]
     for more in found[1:]:
         spans = spans.unionByName(more)
-    return spans
+    return compacted(spans, length)
+
+
+def compacted(spans: DataFrame, length: int) -> DataFrame:
+    """Pieces that continue each other, in the text and in the source, as one span. The windows are those
+    of one text and source, never longer than the text."""
+    along = Window.partitionBy("uid", "source", F.col("source_start") - F.col("start")).orderBy("start", "stop")
+    gap = F.col("start") > F.coalesce(F.lag("stop").over(along), F.lit(-1)) - (length - 1)
+    paths = spans.withColumn("_shift", F.col("source_start") - F.col("start")).withColumn("_gap", gap.cast("int")).withColumn("_path", F.sum("_gap").over(along))
+    return paths.groupBy("uid", "source", "_shift", "_path").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("source_start").alias("source_start")
+    ).select("uid", "start", "stop", "source", "source_start")
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:

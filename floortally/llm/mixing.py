@@ -85,7 +85,7 @@ def mixed(
     max_epochs: int = 1,
     seed: int = 42,
 ) -> DataFrame:
-    """doc_id, the levels, n_tokens, `copies` (times the document is taken), the leaf's `budget`.
+    """doc_id, text_hash, the levels, n_tokens, `copies` (times the document is taken), the leaf's `budget`.
 
     One row per row of `documents`; `target_part` is the wanted part of all tokens. In a leaf's last,
     partial epoch a document is taken while the tokens up to its end stay within the budget. A null
@@ -95,7 +95,8 @@ def mixed(
     """
     names = list(levels)
     rows = documents.select(
-        "doc_id", *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()], token_count(F.col("text")).alias("n_tokens")
+        "doc_id", *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()], token_count(F.col("text")).alias("n_tokens"),
+        F.xxhash64("text").alias("text_hash"),
     )
     rows = stored(rows)
     leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
@@ -128,5 +129,15 @@ def mixed(
     others = rows.join(ends.drop("end_before"), names, "left").where(~F.coalesce(F.col("bin") == F.col("end_bin"), F.lit(False)))
     others = others.withColumn("taken", F.col("end_bin").isNull() | (F.col("bin") < F.col("end_bin")))
     copies = F.col("epochs") + (F.col("taken") & (F.col("left") > 0)).cast("int")
-    columns = ["doc_id", *names, "n_tokens", copies.alias("copies"), "budget"]
+    columns = ["doc_id", "text_hash", *names, "n_tokens", copies.alias("copies"), "budget"]
     return others.select(*columns).unionByName(ending.select(*columns))
+
+
+def mixture(documents: DataFrame, *args, **parameters) -> DataFrame:
+    """The rows of `documents` that `mixed` takes, each as often as it is taken, all columns as they are."""
+    taken = mixed(documents, *args, **parameters).groupBy("doc_id", "text_hash").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
+    taken = taken.withColumnsRenamed({"doc_id": "_taken_id", "text_hash": "_taken_text"})
+    rows = documents.withColumn("_text", F.xxhash64("text"))
+    rows = rows.join(taken, rows["doc_id"].eqNullSafe(taken["_taken_id"]) & (rows["_text"] == taken["_taken_text"]))
+    rows = rows.dropDuplicates(["doc_id", "_text"])  # repeated rows are counted in _copies
+    return rows.select(*[documents[c] for c in documents.columns], F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")

@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from floortally.llm import debruijn, decontamination, fingerprints, lm_scoring, mixing, sharding, suffix_dedup, tokens, toxicity
+from floortally.llm import debruijn, decontamination, fingerprints, lm_scoring, mixing, near_dedup, sharding, suffix_dedup, tokens, toxicity
 from floortally.llm.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_classes(table(spark, sf_dir, "documents"))
+    known = lambda c: F.nullif(F.col(c), F.lit(near_dedup.LAST)).alias(c if c != "doc" else "doc_id")
+    return found.select(known("doc"), known("text_class"), known("near_class"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -45,7 +51,7 @@ def mix_levels() -> dict:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_PART, MIX_EPOCHS, MIX_SEED)
+    return mixing.mixed(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, MIX_PART, MIX_EPOCHS, MIX_SEED).drop("text_hash")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +78,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op6_suffix_dedup, op7_lm_scores, op8_debruijn_dedup, op9_decontamination, op10_toxicity)
+    f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op6_suffix_dedup, op7_lm_scores, op8_debruijn_dedup, op9_decontamination, op10_toxicity)
 }
 ORACLES: dict[str, str] = {}

@@ -88,7 +88,8 @@ def runs(rows: DataFrame, sequences: Sequences, length: int, depth: int) -> Data
 
 
 def settle(found: DataFrame, length: int, smaller_document: bool) -> tuple[DataFrame, DataFrame]:
-    """Spans of repeated windows (uid, start, stop: places of tokens), and the runs that need a deeper pass.
+    """Spans of repeated windows (uid, start, stop: places of tokens; source, source_start: the place
+    of their first copy), and the runs that need a deeper pass.
 
     A window counts as repeated if it also starts anywhere else, or, with `smaller_document`, in a
     document of smaller number. All joins are by digit and signature, inner, and so can be split."""
@@ -103,7 +104,9 @@ def settle(found: DataFrame, length: int, smaller_document: bool) -> tuple[DataF
     several = classes.groupBy("digit").agg(F.count("*").alias("_classes")).where("_classes > 1").select("digit")
     known = open_runs.join(classes, ["digit", "sig"])
     repeated = F.col("_first.doc") < F.col("doc") if smaller_document else F.col("_n") > 1
-    spans = known.where(repeated).select("uid", "start", (F.col("start") + F.col("n") + length - 1).alias("stop"))
+    spans = known.where(repeated).select(
+        "uid", "start", (F.col("start") + F.col("n") + length - 1).alias("stop"), F.col("_first.uid").alias("source"), F.col("_first.start").alias("source_start")
+    )
     if smaller_document:
         speaks = F.col("_first.doc") == F.col("doc")
     else:
