@@ -22,7 +22,7 @@ from floortally.llm.storage import discard, stored
 from floortally.llm.windows import lists_of, runs, settle
 
 LENGTH = 50
-DEPTHS = (0.24, 0.64, 1.0)
+DEPTHS = (0.24, 0.64, 0.9, 1.0)
 LAST = 2**63 - 1
 
 
@@ -80,17 +80,19 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     depths = [max(1, round(d * length)) for d in DEPTHS]
     first = stored(runs(rows, _texts, length, depths[0]))
     spans, deeper = settle(first, length, smaller_document=True)
-    found, deeper = [stored(spans)], stored(deeper)
+    found = [spans]
     discard(first)
     texts = rows.dropDuplicates(["uid"]).select("uid", "piece", "text")
     slices = stored(texts.join(lists_of(deeper, "doc", "start", "n"), "uid").mapInArrow(_cut(length, "text"), _SLICES))
     for depth in depths[1:]:
         pass_runs = stored(runs(slices, _slices, length, depth))
         spans, deeper = settle(pass_runs, length, smaller_document=True)
-        found.append(stored(spans))
+        found.append(spans)
         if depth < length:
             listed = deeper.groupBy("uid", "piece").agg(F.collect_list(F.struct("doc", "start", "n")).alias("found"))
-            slices = stored(slices.drop("doc").join(listed, ["uid", "piece"]).mapInArrow(_cut(length, "codes"), _SLICES))
+            cut = stored(slices.drop("doc").join(listed, ["uid", "piece"]).mapInArrow(_cut(length, "codes"), _SLICES))
+            discard(slices)
+            slices = cut
         discard(pass_runs)
     spans = found[0]
     for more in found[1:]:

@@ -1,7 +1,7 @@
 """Substring dedup by a depth-limited radix sort of suffixes.
 
 The suffixes of all texts are ordered only through `length` bytes, by most-significant-digit passes: by
-the least hash of 64 bytes, then of 160, then by the whole window. After each pass a suffix alone in its
+the least hash of 64 bytes, then of 160 and 190, then by the whole window. After each pass a suffix alone in its
 group leaves, and groups equal throughout are settled; the groups after the last pass are exactly the
 repeated windows. See `windows` for how neighbouring suffixes of one group travel as one row.
 """
@@ -21,7 +21,7 @@ from floortally.llm.windows import lists_of, runs, settle
 
 LENGTH = 200
 #: Depths of the passes as parts of the window's length.
-DEPTHS = (0.32, 0.8, 1.0)
+DEPTHS = (0.32, 0.8, 0.95, 1.0)
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -72,7 +72,6 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     depths = [max(1, round(d * length)) for d in DEPTHS]
     first = stored(runs(rows, _texts, length, depths[0]))
     spans, deeper = settle(first, length, smaller_document=False)
-    spans, deeper = stored(spans), stored(deeper)
     discard(first)
     texts = rows.dropDuplicates(["uid"]).select("uid", "piece", F.encode("text", "UTF-8").alias("text"))
     slices = stored(texts.join(lists_of(deeper, "doc", "start", "n"), "uid").mapInArrow(_cut(length, "text"), "uid long, doc long, piece int, bytes binary"))
@@ -80,10 +79,12 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     for depth in depths[1:]:
         pass_runs = stored(runs(slices, _slices, length, depth))
         spans, deeper = settle(pass_runs, length, smaller_document=False)
-        found.append(stored(spans))
+        found.append(spans)
         if depth < length:
             listed = deeper.groupBy("uid", "piece").agg(F.collect_list(F.struct("doc", "start", "n")).alias("found"))
-            slices = stored(slices.drop("doc").join(listed, ["uid", "piece"]).mapInArrow(_cut(length, "bytes"), "uid long, doc long, piece int, bytes binary"))
+            cut = stored(slices.drop("doc").join(listed, ["uid", "piece"]).mapInArrow(_cut(length, "bytes"), "uid long, doc long, piece int, bytes binary"))
+            discard(slices)
+            slices = cut
         discard(pass_runs)
     spans = found[0]
     for more in found[1:]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from floortally.llm.arrays import doubled, joined, sliding_min
-from floortally.llm.storage import stored
+from floortally.llm.storage import discard, stored
 
 RUN_SCHEMA = "digit long, sig long, uid long, doc long, piece int, start int, n int, tied boolean"
 _NAMES = ["digit", "sig", "uid", "doc", "piece", "start", "n", "tied"]
@@ -115,7 +115,9 @@ def settle(found: DataFrame, length: int, smaller_document: bool) -> tuple[DataF
     deeper = speakers.join(several, "digit")
     if not smaller_document:
         deeper = deeper.unionByName(speakers.where("tied").join(several, "digit", "left_anti").select(deeper.columns))
-    return spans, deeper.select("uid", "piece", "start", "n", "doc").distinct()
+    settled = stored(spans), stored(deeper.select("uid", "piece", "start", "n", "doc").distinct())
+    discard(open_runs, classes)
+    return settled
 
 
 def lists_of(rows: DataFrame, *columns: str) -> DataFrame:
