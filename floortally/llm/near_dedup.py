@@ -21,7 +21,7 @@ from floortally.llm.storage import discard, stored
 SHINGLE, THRESHOLD = 5, 0.8
 #: A link of similarity 0.8 misses all bands with probability (1 - 0.8 ** 4) ** 24, 3 in a million.
 BANDS, ROWS = 24, 4
-#: Buckets up to this size are compared pair by pair; in larger ones every member meets every component.
+#: Buckets up to this size are compared pair by pair; in larger ones all members meet hubs, turn after turn.
 SMALL_BUCKET = 16
 LAST = 2**63 - 1
 
@@ -149,25 +149,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
-    """Each bucket's members with its hub, the member first by a hash that is the same in all buckets."""
-    order = F.struct(F.xxhash64("node", F.lit(3)), F.col("node"))
-    hubs = members.groupBy("key").agg(F.min(order).alias("h")).select("key", F.col("h.node").alias("hub"))
-    return members.join(hubs, "key").where("node <> hub").select("node", "hub")
+def _hub_pairs(members: DataFrame, seeds: tuple[int, ...] = (3,)) -> DataFrame:
+    """Each bucket's members with its hubs, the members first by seeded hashes: as many pairs as members
+    for each seed. The order is the same in all buckets, so that they mostly share hubs. Members of a
+    hub's own component, where known, need no pair."""
+    own = "component" if "component" in members.columns else "node"
+    firsts = [F.min(F.struct(F.xxhash64("node", F.lit(s)), F.col("node"), F.col(own).alias("own"))).alias(f"h{s}") for s in seeds]
+    hubs = stored(members.groupBy("key").agg(*firsts).select("key", F.explode(F.array(*[f"h{s}" for s in seeds])).alias("h")))
+    return members.join(hubs, "key").where(F.col(own) != F.col("h.own")).select("node", F.col("h.node").alias("hub"))
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of one bucket but two components: all of them in small buckets, each member and the hub of
-    each other component in larger ones."""
-    order = F.struct(F.xxhash64("node", F.lit(5)), F.col("node"))
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-    mixed = members.join(sizes.select("key", "size"), "key")
-    small = mixed.where(F.col("size") <= SMALL_BUCKET).groupBy("key").agg(F.collect_list(F.struct("node", "component")).alias("all"))
+def _small_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of two components within small buckets."""
+    small = members.where(F.col("size") <= SMALL_BUCKET).groupBy("key").agg(F.collect_list(F.struct("node", "component")).alias("all"))
     small = small.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y")).where("x.node < y.node and x.component <> y.component")
-    large = mixed.where(F.col("size") > SMALL_BUCKET)
-    hubs = large.groupBy("key", "component").agg(F.min(order).alias("h")).select("key", F.col("component").alias("other"), F.col("h.node").alias("hub"))
-    large = large.join(hubs, "key").where("component <> other")
-    return small.select(F.col("x.node").alias("node"), F.col("y.node").alias("hub")).unionByName(large.select("node", "hub"))
+    return small.select(F.col("x.node").alias("node"), F.col("y.node").alias("hub"))
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -184,8 +180,8 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     rows = keyed(documents)
     nodes = stored(rows.mapInArrow(_band_keys, "doc long, node long, keys array<long>").groupBy("node").agg(F.min("doc").alias("doc"), F.first("keys").alias("keys")))
     bands = nodes.select("node", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = stored(bands.join(shared, "key").select("key", "node"))
+    shared = stored(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
+    members = stored(bands.join(shared, "key").select("key", "node", "size"))
     tested = stored(_pairs(_hub_pairs(members)))
     needed = members.select("node").distinct()
     # One row of each needed text: equal texts differ in doc, so the least doc's row is taken.
@@ -193,11 +189,19 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     texts = stored(rows.join(wanted, ["node", "doc"]).select("node", "text").dropDuplicates(["node"]))
     links = stored(verified(tested, texts).where(F.col("similarity") >= threshold))
     labels = components(links)
+    turn = 0
     while True:
-        # Buckets that still hold several components: links between them that no hub has shown.
+        # Buckets that still hold several components: small ones pair by pair, large ones with new hubs
+        # each turn, until a turn shows no link that was not known.
         labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        more = stored(_pairs(_cross_pairs(labelled)).join(tested, ["left", "right"], "left_anti"))
+        mixed = stored(labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key"))
+        labelled = labelled.join(mixed, "key")
+        seeds = (100 + 2 * turn, 101 + 2 * turn)
+        more = _hub_pairs(labelled.where(F.col("size") > SMALL_BUCKET), seeds)
+        more = _small_pairs(labelled).unionByName(more) if not turn else more
+        more = stored(_pairs(more).join(tested, ["left", "right"], "left_anti"))
         new = stored(verified(more, texts).where(F.col("similarity") >= threshold))
+        turn += 1
         if not new.limit(1).count():
             break
         links, tested = links.unionByName(new), tested.unionByName(more)
