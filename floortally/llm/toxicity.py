@@ -4,11 +4,12 @@ A word's input is the embedding of its hash and the mean embedding of its four-b
 both ends included. Two gated recurrent layers read a window of words from either side, attention pools
 their states, and a logistic unit scores the window. Every text is scored on all its overlapping
 windows; a text's score is a logistic function of its highest window and its sum of window scores.
-Training is numpy on the driver over a bounded sample of labelled rows; scoring runs in Arrow batches.
+Training is numpy in one task over a bounded sample of labelled rows; scoring runs in Arrow batches.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -21,7 +22,7 @@ from floortally.llm.arrays import find_words, plain_bytes, text_chunks, word_has
 WORD_BITS, CHAR_BITS, EMBED, HIDDEN = 15, 13, 8, 8
 WINDOW, STRIDE = 32, 24
 #: Labelled rows that training reads at most, by label.
-TRAINING_ROWS = {1: 2_000, 0: 6_000}
+TRAINING_ROWS = {1: 1_500, 0: 3_500}
 LEAST_STEPS = 150
 THRESHOLD = 0.3
 
@@ -39,12 +40,12 @@ class Words:
 def inputs_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     plain = plain_bytes(data)
     words = find_words(plain, offsets)
-    word = (word_hashes(plain, words) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    word = (word_hashes(plain, words) >> np.uint64(64 - WORD_BITS)).astype(np.int32)
     # Pieces run from the blank before a word to the blank after it.
     padded = np.full(len(plain) + 4, 0x20, np.uint32)
     padded[1 : len(plain) + 1] = plain
     code = padded[:-3] | padded[1:-2] << np.uint32(8) | padded[2:-1] << np.uint32(16) | padded[3:] << np.uint32(24)
-    piece = ((code * np.uint32(2654435761)) >> np.uint32(32 - CHAR_BITS)).astype(np.int64)
+    piece = ((code * np.uint32(2654435761)) >> np.uint32(32 - CHAR_BITS)).astype(np.int16)
     return Words(word, piece, words.starts, words.text_starts)
 
 
@@ -159,13 +160,39 @@ class Adam:
             p[k] -= (self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-8)).astype(np.float32)
 
 
-def evidence(units: np.ndarray, texts: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
+def evidence(of_part, parts: list[Words], labels: np.ndarray, size: int) -> np.ndarray:
     """Log-odds of a label-1 text by the units (hashed words or pieces) it contains, shrunk for rare units."""
-    seen = np.unique(units.astype(np.int64) * len(labels) + texts)
-    unit, label = seen // len(labels), labels[seen % len(labels)]
-    pos, neg = np.bincount(unit[label == 1], minlength=size), np.bincount(unit[label == 0], minlength=size)
-    odds = np.log((pos + 0.5) / ((labels == 1).sum() + 1)) - np.log((neg + 0.5) / ((labels == 0).sum() + 1))
-    return (np.clip(odds, -4, 4) * np.minimum(1, (pos + neg) / 6)).astype(np.float32)
+    counts, done = {0: np.zeros(size), 1: np.zeros(size)}, 0
+    for part in parts:
+        n = len(part.begins) - 1
+        units, texts = of_part(part)
+        seen = np.unique(units.astype(np.int64) * n + texts)
+        label = labels[done + seen % n]
+        for y in counts:
+            counts[y] += np.bincount(seen[label == y] // n, minlength=size)
+        done += n
+    odds = np.log((counts[1] + 0.5) / ((labels == 1).sum() + 1)) - np.log((counts[0] + 0.5) / ((labels == 0).sum() + 1))
+    return (np.clip(odds, -4, 4) * np.minimum(1, (counts[0] + counts[1]) / 6)).astype(np.float32)
+
+
+def word_units(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    return words.word, np.repeat(np.arange(len(words.begins) - 1), np.diff(words.begins))
+
+
+def piece_units(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    if not len(words.word):
+        return np.zeros(0, int), np.zeros(0, int)
+    return words.piece[words.piece_starts[0] :], np.repeat(word_units(words)[1], np.diff(np.append(words.piece_starts, len(words.piece))))
+
+
+def whole(parts: list[Words]) -> Words:
+    """The parts' words as one."""
+    words, pieces = np.cumsum([0, *[len(p.word) for p in parts]]), np.cumsum([0, *[len(p.piece) for p in parts]])
+    return Words(
+        np.concatenate([p.word for p in parts]), np.concatenate([p.piece for p in parts]),
+        np.concatenate([p.piece_starts + n for p, n in zip(parts, pieces)]),
+        np.concatenate([[0], *[p.begins[1:] + n for p, n in zip(parts, words)]]).astype(np.int64),
+    )
 
 
 @dataclass
@@ -209,14 +236,12 @@ def train(
     `rate` is the part of label 1 among all labelled rows, where the texts are a sample by label."""
     rng, labels = np.random.default_rng(seed), np.asarray(labels)
     p = initial(rng)
-    words = inputs_of(*joined_texts(texts))
+    parts = [inputs_of(*joined_texts(texts[k : k + 100])) for k in range(0, len(texts), 100)]
+    words = whole(parts) if parts else inputs_of(*joined_texts([]))
     if not len(words.word) or len(set(labels.tolist())) < 2:
         return Model(p, np.array([np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5)), 0.0, 0.0]))
-    text_of_word = np.repeat(np.arange(len(texts)), np.diff(words.begins))
-    pieces = np.diff(np.append(words.piece_starts, len(words.piece)))
-    lead = words.piece_starts[0]
-    for name, units, owner in (("words", words.word, text_of_word), ("chars", words.piece[lead:], np.repeat(text_of_word, pieces))):
-        p[name][:, 0] = evidence(units, owner, labels, len(p[name]))
+    p["words"][:, 0] = evidence(word_units, parts, labels, 1 << WORD_BITS)
+    p["chars"][:, 0] = evidence(piece_units, parts, labels, 1 << CHAR_BITS)
     starts, text = windows_of(words.begins)
     at = np.minimum(starts[:, None] + np.arange(WINDOW), words.begins[text + 1][:, None] - 1)
     fed = text % 3 != 2 if len(texts) > 30 else text >= 0
@@ -238,7 +263,7 @@ def train(
     model = Model(p, np.zeros(3))
     had = labels.mean()
     rate = had if rate is None else rate
-    model.pooling = _logistic(model.features(words), labels, np.where(labels == 1, rate / had, (1 - rate) / (1 - had)))
+    model.pooling = _logistic(np.concatenate([model.features(part) for part in parts]), labels, np.where(labels == 1, rate / had, (1 - rate) / (1 - had)))
     return model
 
 
@@ -285,8 +310,19 @@ def fit(documents: DataFrame, labels: DataFrame, rows: dict[int, int] = TRAINING
     first = [known.where(F.col("toxic") == label).orderBy(*order).limit(n) for label, n in rows.items()]
     ids = first[0].unionByName(first[1])
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
-    found = texts.toPandas().sort_values(["doc_id", "text"])  # bounded by `rows`
-    return train(found["text"].tolist(), found["toxic"].to_numpy(np.int64), rate)
+    model = texts.coalesce(1).mapInArrow(_trainer(rate), "model binary").first()  # one task, bounded by `rows`
+    return Model(*pickle.loads(model["model"])) if model else Model(initial(np.random.default_rng(7)), np.array([-2.0, 0.0, 0.0]))
+
+
+def _trainer(rate: float | None):
+    def fit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(list(batches)).to_pandas().sort_values(["doc_id", "text"])
+        if len(found):
+            model = train(found["text"].tolist(), found["toxic"].to_numpy(np.int64), rate)
+            plain = (model.weights, model.pooling)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(plain)], pa.binary())], ["model"])
+
+    return fit_all
 
 
 def scored(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
