@@ -93,7 +93,8 @@ def settle(found: DataFrame, length: int, smaller_document: bool) -> tuple[DataF
 
     A window counts as repeated if it also starts anywhere else, or, with `smaller_document`, in a
     document of smaller number. All joins are by digit and signature, inner, and so can be split."""
-    shared = found.groupBy("digit").agg(F.count("*").alias("_n")).where("_n > 1").select("digit")
+    # Keys are written before they are joined: a join on the exchange of its own aggregate could not be split.
+    shared = stored(found.groupBy("digit").agg(F.count("*").alias("_n")).where("_n > 1").select("digit"))
     open_runs = found.join(shared, "digit")
     if not smaller_document:
         # A run alone under its digit can still hold equal windows.
@@ -101,7 +102,7 @@ def settle(found: DataFrame, length: int, smaller_document: bool) -> tuple[DataF
         open_runs = open_runs.unionByName(alone)
     open_runs = stored(open_runs)
     classes = stored(open_runs.groupBy("digit", "sig").agg(F.count("*").alias("_n"), F.min(F.struct("doc", "uid", "start")).alias("_first")))
-    several = classes.groupBy("digit").agg(F.count("*").alias("_classes")).where("_classes > 1").select("digit")
+    several = stored(classes.groupBy("digit").agg(F.count("*").alias("_classes")).where("_classes > 1").select("digit"))
     known = open_runs.join(classes, ["digit", "sig"])
     repeated = F.col("_first.doc") < F.col("doc") if smaller_document else F.col("_n") > 1
     spans = known.where(repeated).select(
@@ -116,7 +117,7 @@ def settle(found: DataFrame, length: int, smaller_document: bool) -> tuple[DataF
     if not smaller_document:
         deeper = deeper.unionByName(speakers.where("tied").join(several, "digit", "left_anti").select(deeper.columns))
     settled = stored(spans), stored(deeper.select("uid", "piece", "start", "n", "doc").distinct())
-    discard(open_runs, classes)
+    discard(shared, open_runs, classes, several)
     return settled
 
 
