@@ -56,7 +56,6 @@ def packed_table(
     if distinct:
         rows = (
             rows.withColumn("_code", F.trim("_code"))
-            .where(F.col("_code") != "")
             .groupBy(*keys, column, "_code")
             .agg(F.min("_row").alias("_row"), F.sum("_weight").alias("_weight"))
         )
@@ -65,9 +64,11 @@ def packed_table(
 
 
 def _coded(rows: DataFrame, keys: Sequence[str], code: str, row_id: str, weight: Column) -> DataFrame:
+    """Every row counts; one whose code is NULL or blank only has no place in the list."""
+    listed = F.when(F.trim(F.col(code)) != "", F.col(code))
     return rows.select(
-        *keys, F.col(code).alias("_code"), F.col(row_id).alias("_row"), weight.cast("bigint").alias("_weight")
-    ).where(F.col("_code").isNotNull())
+        *keys, listed.alias("_code"), F.col(row_id).alias("_row"), weight.cast("bigint").alias("_weight")
+    )
 
 
 def _pack(

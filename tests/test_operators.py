@@ -108,10 +108,17 @@ def test_distinct_code_lists_keep_weights(spark):
     names = {"x": "x", "y": "y", "z": "z"}
     got = code_lists.packed_table(df, ["g"], "k", names, "code", "id", distinct=True, weight=c("w")).collect()
     assert [r.asDict() for r in got] == [
-        dict(g="g", part=0, x_count=5, x_codes="a", y_count=1, y_codes="b", z_count=0, z_codes="")
+        dict(g="g", part=0, x_count=14, x_codes="a", y_count=1, y_codes="b", z_count=0, z_codes="")
     ]
 
 
+def test_rows_without_a_code_count(spark):
+    rows = [("g", "A", 1), ("g", None, 2), ("g", " ", 3), ("h", None, 4)]
+    df = spark.createDataFrame(rows, "g string, code string, id bigint")
+    got = code_lists.packed_codes(df, ["g"], "code", "id").collect()
+    assert {(r.g, r.n_rows, r.codes) for r in got} == {("g", 3, "A"), ("h", 1, "")}
+
+
 def test_lists_side_by_side_repeat_counts_on_every_part(spark):
     rows = [("g", "x", f"c{n}", n) for n in range(400)] + [("g", "y", "d", 1)]
     df = spark.createDataFrame(rows, "g string, k string, code string, id bigint")
