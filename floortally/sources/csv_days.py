@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-ATTENDANCE_CSV = "UserID string, InDateTime string, OutDateTime string, Date string"
+from floortally.operators.shaping import literal_array
+
+BYTE_ORDER_MARK = "\ufeff"
+ATTENDANCE_COLUMNS = ("UserID", "InDateTime", "OutDateTime", "Date")
+#: A file may have so many columns; names beyond are not found.
+MOST_COLUMNS = 256
 
 
 def read_days(
@@ -14,25 +20,39 @@ def read_days(
     root: str,
     start: dt.date,
     end: dt.date,
-    schema: str = ATTENDANCE_CSV,
+    columns: Sequence[str] = ATTENDANCE_COLUMNS,
     encoding: str = "UTF-8",
     separator: str = ",",
 ) -> DataFrame:
-    """Rows of every day present in `[start, end]`; only those directories are read.
+    """The named columns and `day` of every day present in `[start, end]`; only those directories are read.
 
-    Days without a drop are skipped. No rows at all is an error, as is a reversed range.
+    Columns are found by the header of each file, in any order and among others. Days without a drop
+    are skipped. No rows at all, a reversed range or a file without one of the columns is an error.
     """
     if start > end:
         raise ValueError("start must not be after end")
-    rows = (
-        spark.read.schema(f"{schema}, day date")
-        .option("header", True)
+    cells = [f"_c{i}" for i in range(MOST_COLUMNS)]
+    lines = (
+        spark.read.schema(", ".join(f"{c} string" for c in cells) + ", day date")
+        .option("header", False)
         .option("sep", separator)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
         .csv(root)
         .where(F.col("day").between(start, end))
+        .select("day", F.col("_metadata.file_path").alias("_file"), F.array(*cells).alias("_cells"))
+    )
+    names = F.transform("_cells", lambda c: F.trim(F.replace(c, F.lit(BYTE_ORDER_MARK), F.lit(""))))
+    is_header = F.arrays_overlap(names, literal_array(columns)) & F.forall(
+        literal_array(columns), lambda c: F.array_contains(F.filter(names, lambda n: n.isNotNull()), c)
     )
+    headers = lines.where(is_header).groupBy("_file").agg(F.first(names).alias("_names"))
+    rows = lines.where(~F.coalesce(is_header, F.lit(False))).join(headers, "_file", "left")
+    missing = rows.where("_names is null").select("_file").first()
+    if missing:
+        raise ValueError(f"{missing['_file']} has no header with the columns {', '.join(columns)}")
+    found = [F.get("_cells", (F.array_position("_names", name) - 1).cast("int")).alias(name) for name in columns]
+    rows = rows.select(*found, "day")
     if rows.isEmpty():
         raise FileNotFoundError(f"no CSV rows under {root} between {start} and {end}")
     return rows

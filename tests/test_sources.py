@@ -39,6 +39,21 @@ def test_dated_csv_errors(spark, drops):
         csv_days.read_days(spark, drops, dt.date(2023, 1, 1), dt.date(2023, 1, 5))
 
 
+def test_dated_csv_finds_columns_by_each_files_header(spark, tmp_path):
+    for day, text in {
+        "2024-02-01": "Name,UserID,Date,InDateTime,OutDateTime\nAnn,E1,2024-02-01,in,out\n",
+        "2024-02-02": "OutDateTime,InDateTime,Date,UserID\nout2,in2,2024-02-02,E2\n",
+        "2024-02-03": "UserID,Date\nE3,2024-02-03\n",
+    }.items():
+        folder = tmp_path / f"day={day}"
+        folder.mkdir()
+        (folder / "a.csv").write_text(text, encoding="utf-8")
+    df = csv_days.read_days(spark, str(tmp_path), dt.date(2024, 2, 1), dt.date(2024, 2, 2))
+    assert {tuple(r)[:4] for r in df.collect()} == {("E1", "in", "out", "2024-02-01"), ("E2", "in2", "out2", "2024-02-02")}
+    with pytest.raises(ValueError, match="no header"):
+        csv_days.read_days(spark, str(tmp_path), dt.date(2024, 2, 1), dt.date(2024, 2, 3))
+
+
 def test_tenant_patterns(spark):
     named = [tenants.Tenant("Two Words"), tenants.Tenant("two")]
     rows = [("/a/two_words/1",), ("/a/twoxwords/1",), ("/a/TWO/1",), ("/b/1",), (None,)]
