@@ -97,7 +97,7 @@ def funnel_window(t: Tables, as_of: dt.date, regions: Sequence[int] | None = Non
 
 def funnel_mtd(t: Tables, as_of: dt.date, regions: Sequence[int] | None = None) -> DataFrame:
     """Funnel per manager for the month to date, best sellers first."""
-    return _funnel(t, as_of, regions, "mtd_").orderBy("regional_manager_id", F.desc("sold_pct"))
+    return _funnel(t, as_of, regions, "mtd_").orderBy("regional_manager_id", F.desc("sold_pct"), F.asc_nulls_last("manager"))
 
 
 def active_roster(
@@ -209,7 +209,7 @@ def effectiveness(
     """
     rows = _scheme_rows(t, _window_start(as_of), as_date(as_of), *FLAGS).join(store_chain(t), "store_id")
     rows = in_regions(rows, regions)
-    number = {f: parse_number(F.col("step")[f]) for f in FLAGS}
+    number = {f: F.col("step")[f].try_cast("double") for f in FLAGS}
     chosen = number["gms_pitched"] == 1
     if sold:
         chosen = chosen & (number["gms_sold"] == 1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from floortally import constants as C
 from floortally.functions import nested as N
@@ -194,7 +194,7 @@ def category_issues(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_
 
 
 def _distinct_calls(t: Tables, array: str, key: str, label: str) -> DataFrame:
-    """Distinct calls per day and label. A call has one date, so days add up exactly."""
+    """Distinct calls per day and label."""
     return (
         _daily_labels(t, array, key, label)
         .groupBy("date", label)
@@ -202,20 +202,42 @@ def _distinct_calls(t: Tables, array: str, key: str, label: str) -> DataFrame:
     )
 
 
+def _first_seen(t: Tables, array: str, key: str, label: str) -> DataFrame:
+    """Per day and label, the calls not seen before in the day's month and in its week.
+
+    A code may recur on a later date, so distinct codes of days do not add up; but a period that
+    ends on any as-of day begins on the day's own first, so its distinct codes are those whose
+    previous date lies before that first.
+    """
+    days = (
+        _daily_labels(t, array, key, label)
+        .where(F.col("interaction_code").isNotNull())
+        .select("date", label, "interaction_code")
+        .distinct()
+    )
+    before = F.lag("date").over(W.partitionBy(label, "interaction_code").orderBy("date"))
+    new = {
+        name: (F.col("_before").isNull() | (F.col("_before") < period.first(F.col("date")))).cast("int")
+        for name, period in (("new_wtd", WEEK), ("new_mtd", MONTH))
+    }
+    seen = days.withColumn("_before", before)
+    return seen.groupBy("date", label).agg(*[F.sum(flag).alias(name) for name, flag in new.items()])
+
+
 def category_trend(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
     """Distinct lost calls per product category, week and month to date, largest month first.
 
     Categories seen only in the part of the week before the month began are left out.
     """
-    daily = _distinct_calls(t, "primary_category_new", "category", "prod_category").where(
+    daily = _first_seen(t, "primary_category_new", "category", "prod_category").where(
         not_blank(F.col("prod_category"))
     )
     return (
         attach(daily, as_of, WEEK_OR_MONTH)
         .groupBy("as_of", "prod_category")
         .agg(
-            F.sum(F.when(within(WEEK), F.col("n"))).alias("wtd"),
-            F.sum(F.when(within(MONTH), F.col("n"))).alias("mtd"),
+            F.sum(F.when(within(WEEK), F.col("new_wtd"))).alias("wtd"),
+            F.sum(F.when(within(MONTH), F.col("new_mtd"))).alias("mtd"),
         )
         .where(F.col("mtd").isNotNull())
         .orderBy("as_of", F.desc("mtd"), "prod_category")

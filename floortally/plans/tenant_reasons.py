@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from floortally import constants as C
 from floortally.functions import nested as N
 from floortally.functions.numbers import count_where, percent_or_zero, sum_or_zero
-from floortally.operators.asof import DAILY, DAY, MONTH, WEEK, WEEK_OR_MONTH, AsOf, attach, within
+from floortally.operators.asof import DAILY, DAY, MONTH, MONTH_END, WEEK, WEEK_OR_MONTH, AsOf, as_date, attach, within
 from floortally.operators.code_lists import packed_codes, packed_table
-from floortally.operators.shaping import with_domain
+from floortally.operators.shaping import append, with_domain
 from floortally.plans.lost_sales import long_calls
 from floortally.sources.tables import Tables
-from floortally.sources.tenants import Tenant, tag
+from floortally.sources.tenants import Tenant, tag, tenant_frame
 
 KEYS = ["tenant", "as_of"]
 
@@ -23,6 +23,15 @@ def _tenant_calls(t: Tables, tenants: Sequence[Tenant]) -> DataFrame:
     return tag(long_calls(t.interactions), tenants)
 
 
+def _with_idle(rows: DataFrame, tenants: Sequence[Tenant], as_of: AsOf) -> DataFrame:
+    """For a report of one day, a row with nothing but its keys for every configured tenant, so that
+    tenants without a call keep their zero rows. A history has the days on which there were calls."""
+    if as_of in (DAILY, MONTH_END):
+        return rows
+    keys = tenant_frame(rows.sparkSession, tenants).select("tenant", as_date(as_of).alias("as_of"))
+    return append(rows, keys)
+
+
 def outcome_totals(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
     """Calls per outcome, with the tenant's total and lost calls of the day."""
     counts = (
@@ -53,6 +62,7 @@ def reasons_of_day(
         .select("id", *KEYS, "interaction_code", F.explode_outer(categories).alias("category"))
         .where(F.col("category").isin(C.LOSS_CATEGORIES))
     )
+    totals = _with_idle(totals, tenants, as_of).withColumn("lost_calls", F.coalesce("lost_calls", F.lit(0)))
     domain = with_domain(totals, "category", C.LOSS_CATEGORIES)
     lists = packed_codes(rows, [*KEYS, "category"], "interaction_code", "id", per_cell, domain, ["lost_calls"])
     return lists.select(
@@ -88,7 +98,7 @@ def reason_trend(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> D
     for i, name in enumerate(C.LOSS_CATEGORIES):
         for label, period in (("wtd", WEEK), ("mtd", MONTH)):
             cells.append(sum_or_zero(F.when((category == name) & within(period), F.col("n"))).alias(f"{label}_{i}"))
-    wide = attach(daily, as_of, WEEK_OR_MONTH).groupBy(*KEYS).agg(*cells)
+    wide = _with_idle(attach(daily, as_of, WEEK_OR_MONTH), tenants, as_of).groupBy(*KEYS).agg(*cells)
     rows = F.array(
         *[
             F.struct(F.lit(name).alias("category"), F.col(f"wtd_{i}").alias("wtd"), F.col(f"mtd_{i}").alias("mtd"))
@@ -109,6 +119,7 @@ def objection_handling(
     )
     counted = F.col("category").isNotNull() & ~F.col("category").isin(C.NO_OBJECTION)
     totals = rows.groupBy(*KEYS).agg(count_where(counted).alias("total_objections"))
+    totals = _with_idle(totals, tenants, as_of).withColumn("total_objections", F.coalesce("total_objections", F.lit(0)))
     rows = rows.where(F.col("category").isin(C.OBJECTION_CATEGORIES) & F.col("handling").isin(C.HANDLINGS))
     prefixes = {handling: handling.lower() for handling in C.HANDLINGS}
     table = packed_table(

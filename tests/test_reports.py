@@ -98,6 +98,17 @@ def test_month_and_week_to_date(sales):
     assert {(r.as_of, r.mtd) for r in end} == {(D(2024, 5, 31), 1), (D(2024, 4, 30), 1)}
 
 
+def test_recurring_codes_count_once_in_a_period(spark):
+    bed = '[{"category":"Bed"}]'
+    days = {1: ("A", DAY), 2: ("", DAY), 3: ("A", DAY - dt.timedelta(days=1)), 4: (None, DAY)}
+    t = bound(
+        spark,
+        interactions=[call(n, interaction_code=code, day=day) for n, (code, day) in days.items()],
+        interaction_flags=[flag(n, "[]", primary_category_new=bed) for n in days],
+    )
+    assert [(r.prod_category, r.mtd) for r in lost_sales.category_trend(t, DAY).collect()] == [("Bed", 2)]
+
+
 def test_tenant_tables_keep_idle_categories(spark):
     reasons = '[{"category":"Price"},{"category":"Price"},{"category":"Elsewhere"}]'
     objections = '[{"category":"price_issue","handling":"Solution"},{"category":"not_applicable"},{"category":"new_kind","handling":"Generic"}]'
@@ -115,6 +126,12 @@ def test_tenant_tables_keep_idle_categories(spark):
     table = {r.objection: r for r in tenant_reasons.objection_handling(t, named, DAY).collect()}
     assert len(table) == 8 and table["Price Issue"].solution_count == 1 and table["Price Issue"].solution_codes == "C1"
     assert {r.total_objections for r in table.values()} == {2}
+    both = [*named, Tenant("Nobody Called")]
+    for report, n in ((tenant_reasons.reasons_of_day, 5), (tenant_reasons.reason_trend, 5), (tenant_reasons.objection_handling, 8)):
+        found = report(t, both, DAY).collect()
+        idle = [r.asDict() for r in found if r.tenant == "Nobody Called"]
+        assert len(idle) == n and len(found) == 2 * n
+        assert all(v == 0 for r in idle for v in r.values() if isinstance(v, (int, float)))
     totals = tenant_reasons.outcome_totals(t, named, DAY).collect()
     assert {(r.sales_outcome, r.total_interactions, r.total_unsuccessful) for r in totals} == {
         ("unsuccessful", 2, 1),
