@@ -10,10 +10,11 @@ registers make candidates, and every candidate link is verified on the two whole
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from floortally.llm.arrays import doubled, mix, normal_words, text_chunks
 from floortally.llm.storage import discard, stored
@@ -21,8 +22,11 @@ from floortally.llm.storage import discard, stored
 SHINGLE, THRESHOLD = 5, 0.8
 #: A link of similarity 0.8 misses all bands with probability (1 - 0.8 ** 4) ** 24, 3 in a million.
 BANDS, ROWS = 24, 4
-#: Buckets up to this size are compared pair by pair; in larger ones all members meet hubs, turn after turn.
+#: Buckets up to this size are compared pair by pair; larger ones are parted by further registers.
 SMALL_BUCKET = 16
+#: A pair of similarity 0.8 shares ten buckets on average; each parting keeps it together with probability
+#: 1 - (1 - 0.8 ** 4) ** SPLITS.
+SPLITS = 2
 #: Candidates agree in so many of all registers, by their low bytes, before their texts are read. At
 #: similarity 0.8 fewer agree with probability below 1e-8 (96 registers, mean 77, deviation 4).
 LEAST_AGREEING = 54
@@ -154,27 +158,62 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _between(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """left, right: the components that the links join, where they differ."""
+    of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_component"))
+    known = links.join(of("left"), "left", "left").join(of("right"), "right", "left")
+    ends = [F.coalesce(f"{side}_component", side).alias(side) for side in ("left", "right")]
+    return known.select(*ends).where("left <> right").distinct()
+
+
+def _relabelled(labels: DataFrame, lower: DataFrame) -> DataFrame:
+    """`labels` with each component replaced by the lower one given for it (node, component)."""
+    lower = lower.select(F.col("node").alias("component"), F.col("component").alias("lower"))
+    alone = lower.select(F.col("component").alias("node"), "component").join(labels, "node", "left_anti")
+    after = labels.unionByName(alone).join(lower, "component", "left")
+    return stored(after.select("node", F.coalesce("lower", "component").alias("component")))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` after some more links: components of the graph whose nodes are the components so far."""
+    return _relabelled(labels, components(_between(labels, links)))
+
+
+def hooked(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` with each component hooked onto the least one linked to it: a single step towards `merged`,
+    enough to leave out pairs that need no test."""
+    lower = _between(labels, links).select(F.greatest("left", "right").alias("node"), F.least("left", "right").alias("component"))
+    return _relabelled(labels, lower.groupBy("node").agg(F.min("component").alias("component")))
+
+
 def _alike(a, b):
     """Whether two sketches agree often enough."""
     same = F.zip_with(F.col(a), F.col(b), lambda x, y: (x == y).cast("int"))
     return F.aggregate(same, F.lit(0), lambda n, v: n + v) >= LEAST_AGREEING
 
 
-def _hub_pairs(members: DataFrame, seeds: tuple[int, ...] = (3,)) -> DataFrame:
-    """Each bucket's members with its hubs, the members first by seeded hashes: as many pairs as members
-    for each seed. The order is the same in all buckets, so that they mostly share hubs. Members of a
-    hub's own component, where known, need no pair."""
-    own = "component" if "component" in members.columns else "node"
-    firsts = [F.min(F.struct(F.xxhash64("node", F.lit(s)), F.col("node"), F.col(own).alias("own"), F.col("sketch"))).alias(f"h{s}") for s in seeds]
-    hubs = stored(members.groupBy("key").agg(*firsts).select("key", F.explode(F.array(*[f"h{s}" for s in seeds])).alias("h")))
-    return members.join(hubs, "key").where((F.col(own) != F.col("h.own")) & _alike("sketch", "h.sketch")).select("node", F.col("h.node").alias("hub"))
+def _hub(seed: int) -> Column:
+    """The member first by a seeded hash. The order is the same in all buckets, so that they mostly share hubs."""
+    return F.min(F.struct(F.xxhash64("node", F.lit(seed)), F.col("node"), F.col("component").alias("own"), F.col("sketch"))).alias("h")
+
+
+def _star(members: DataFrame) -> DataFrame:
+    """Members of another component than their bucket's hub, with the hub: at most one pair a member."""
+    return members.where((F.col("component") != F.col("h.own")) & _alike("sketch", "h.sketch")).select("node", F.col("h.node").alias("hub"))
 
 
-def _small_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of two components within small buckets."""
-    small = members.where(F.col("size") <= SMALL_BUCKET).groupBy("key").agg(F.collect_list(F.struct("node", "component", "sketch")).alias("all"))
-    small = small.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y")).where("x.node < y.node and x.component <> y.component").where(_alike("x.sketch", "y.sketch"))
-    return small.select(F.col("x.node").alias("node"), F.col("y.node").alias("hub"))
+def _within(members: DataFrame) -> DataFrame:
+    """All pairs of two components within buckets."""
+    side = lambda n: members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "sketch")])
+    met = side("x").join(side("y"), "key").where("node_x < node_y and component_x <> component_y")
+    return met.where(_alike("sketch_x", "sketch_y")).select(F.col("node_x").alias("node"), F.col("node_y").alias("hub"))
+
+
+def _deeper(members: DataFrame, level: int) -> DataFrame:
+    """Each bucket parted SPLITS times, each time by ROWS registers that its key draws."""
+    drawn = lambda s, k: F.element_at("sketch", (F.pmod(F.xxhash64("key", F.lit(level), F.lit(s), F.lit(k)), F.lit(BANDS * ROWS)) + 1).cast("int"))
+    keys = [F.xxhash64("key", F.lit(s), *[drawn(s, k) for k in range(ROWS)]).alias("key") for s in range(SPLITS)]
+    return reduce(DataFrame.unionByName, [members.select(key, "node", "component", "sketch") for key in keys])
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -194,7 +233,8 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     bands = nodes.select("node", "sketch", F.explode("keys").alias("key"))
     shared = stored(bands.select("key").groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
     members = stored(bands.join(shared, "key").select("key", "node", "size", "sketch"))
-    tested = stored(_pairs(_hub_pairs(members)))
+    hubs = stored(members.withColumn("component", F.col("node")).groupBy("key").agg(_hub(0)))
+    tested = stored(_pairs(_star(members.withColumn("component", F.col("node")).join(hubs, "key"))))
     needed = tested.select(F.explode(F.array("left", "right")).alias("node")).unionByName(
         members.where(F.col("size") > 2).select("node")
     ).distinct()
@@ -203,23 +243,28 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     texts = stored(rows.join(wanted, ["node", "doc"]).select("node", "text").dropDuplicates(["node"]))
     links = stored(verified(tested, texts).where(F.col("similarity") >= threshold))
     labels = components(links)
-    turn = 0
+    label = lambda rows, by: rows.join(by, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # Buckets that still hold several components: small ones are compared pair by pair; in large ones all
+    # meet another hub, and what stays apart is parted further, until a level shows no link between components.
+    within, seen, later, level = label(members, labels).select("key", "node", "component", "sketch"), labels, [], 0
     while True:
-        # Buckets that still hold several components: small ones pair by pair, large ones with new hubs
-        # each turn, until a turn shows no link that was not known.
-        labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = stored(labelled.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key"))
-        labelled = labelled.join(mixed, "key")
-        seeds = (100 + 2 * turn, 101 + 2 * turn)
-        more = _hub_pairs(labelled.where(F.col("size") > SMALL_BUCKET), seeds)
-        more = _small_pairs(labelled).unionByName(more) if not turn else more
-        more = stored(_pairs(more).join(tested, ["left", "right"], "left_anti"))
+        level += 1
+        groups = within.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("a"), F.max("component").alias("b"), _hub(level))
+        mixed = stored(within.join(groups.where("a < b").select("key", "size", "h"), "key"))
+        small = F.col("size") <= SMALL_BUCKET
+        found = _within(mixed.where(small)).unionByName(_star(mixed.where(~small)))
+        more = stored(_pairs(found).join(tested, ["left", "right"], "left_anti"))
         new = stored(verified(more, texts).where(F.col("similarity") >= threshold))
-        turn += 1
+        large = mixed.where(~small).select("key", "node", "sketch")
         if not new.limit(1).count():
             break
-        links, tested = links.unionByName(new), tested.unionByName(more)
-        labels = components(links)
+        later.append(new)
+        if not large.limit(1).count():
+            break
+        tested, seen = tested.unionByName(more), hooked(seen, new)
+        within = _deeper(label(large, seen), level)
+    if later:
+        labels = merged(labels, reduce(DataFrame.unionByName, later))
     labelled = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("doc").alias("near_class"))
     classes = labelled.join(least, "component").select("node", F.col("doc").alias("text_class"), "near_class")
