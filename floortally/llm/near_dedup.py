@@ -24,9 +24,10 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 4
 #: Buckets up to this size are compared pair by pair; larger ones are parted by further registers.
 SMALL_BUCKET = 16
-#: A pair of similarity 0.8 shares ten buckets on average; each parting keeps it together with probability
-#: 1 - (1 - 0.8 ** 4) ** SPLITS.
-SPLITS = 2
+#: A pair of similarity 0.8 shares ten buckets on average; a parting keeps it together in 0.8 ** PARTING of them.
+PARTING = 2
+#: Hubs that each member of a large bucket meets at every level.
+HUBS = 6
 #: Candidates agree in so many of all registers, by their low bytes, before their texts are read. At
 #: similarity 0.8 fewer agree with probability below 1e-8 (96 registers, mean 77, deviation 4).
 LEAST_AGREEING = 54
@@ -192,14 +193,14 @@ def _alike(a, b):
     return F.aggregate(same, F.lit(0), lambda n, v: n + v) >= LEAST_AGREEING
 
 
-def _hub(seed: int) -> Column:
-    """The member first by a seeded hash. The order is the same in all buckets, so that they mostly share hubs."""
-    return F.min(F.struct(F.xxhash64("node", F.lit(seed)), F.col("node"), F.col("component").alias("own"), F.col("sketch"))).alias("h")
+def _hubs(*seeds: int) -> list[Column]:
+    """The members first by seeded hashes. The order is the same in all buckets, so that they mostly share hubs."""
+    return [F.min(F.struct(F.xxhash64("node", F.lit(s)), F.col("node"), F.col("component").alias("own"), F.col("sketch"))).alias(f"h{k}") for k, s in enumerate(seeds)]
 
 
-def _star(members: DataFrame) -> DataFrame:
+def _star(members: DataFrame, hub: str) -> DataFrame:
     """Members of another component than their bucket's hub, with the hub: at most one pair a member."""
-    return members.where((F.col("component") != F.col("h.own")) & _alike("sketch", "h.sketch")).select("node", F.col("h.node").alias("hub"))
+    return members.where((F.col("component") != F.col(f"{hub}.own")) & _alike("sketch", f"{hub}.sketch")).select("node", F.col(f"{hub}.node").alias("hub"))
 
 
 def _within(members: DataFrame) -> DataFrame:
@@ -210,10 +211,9 @@ def _within(members: DataFrame) -> DataFrame:
 
 
 def _deeper(members: DataFrame, level: int) -> DataFrame:
-    """Each bucket parted SPLITS times, each time by ROWS registers that its key draws."""
-    drawn = lambda s, k: F.element_at("sketch", (F.pmod(F.xxhash64("key", F.lit(level), F.lit(s), F.lit(k)), F.lit(BANDS * ROWS)) + 1).cast("int"))
-    keys = [F.xxhash64("key", F.lit(s), *[drawn(s, k) for k in range(ROWS)]).alias("key") for s in range(SPLITS)]
-    return reduce(DataFrame.unionByName, [members.select(key, "node", "component", "sketch") for key in keys])
+    """Each bucket parted by PARTING registers that its key draws, so that a pair's buckets draw different ones."""
+    drawn = lambda k: F.element_at("sketch", (F.pmod(F.xxhash64("key", F.lit(level), F.lit(k)), F.lit(BANDS * ROWS)) + 1).cast("int"))
+    return members.select(F.xxhash64("key", *[drawn(k) for k in range(PARTING)]).alias("key"), "node", "component", "sketch")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -233,8 +233,8 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     bands = nodes.select("node", "sketch", F.explode("keys").alias("key"))
     shared = stored(bands.select("key").groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
     members = stored(bands.join(shared, "key").select("key", "node", "size", "sketch"))
-    hubs = stored(members.withColumn("component", F.col("node")).groupBy("key").agg(_hub(0)))
-    tested = stored(_pairs(_star(members.withColumn("component", F.col("node")).join(hubs, "key"))))
+    hubs = stored(members.withColumn("component", F.col("node")).groupBy("key").agg(*_hubs(0)))
+    tested = stored(_pairs(_star(members.withColumn("component", F.col("node")).join(hubs, "key"), "h0")))
     needed = tested.select(F.explode(F.array("left", "right")).alias("node")).unionByName(
         members.where(F.col("size") > 2).select("node")
     ).distinct()
@@ -245,14 +245,15 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     labels = components(links)
     label = lambda rows, by: rows.join(by, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Buckets that still hold several components: small ones are compared pair by pair; in large ones all
-    # meet another hub, and what stays apart is parted further, until a level shows no link between components.
+    # meet HUBS more hubs, and what stays apart is parted further, until a level shows no link between components.
     within, seen, later, level = label(members, labels).select("key", "node", "component", "sketch"), labels, [], 0
+    hub_names = [f"h{k}" for k in range(HUBS)]
     while True:
         level += 1
-        groups = within.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("a"), F.max("component").alias("b"), _hub(level))
-        mixed = stored(within.join(groups.where("a < b").select("key", "size", "h"), "key"))
+        groups = within.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("a"), F.max("component").alias("b"), *_hubs(*range(HUBS * level, HUBS * (level + 1))))
+        mixed = stored(within.join(groups.where("a < b").select("key", "size", *hub_names), "key"))
         small = F.col("size") <= SMALL_BUCKET
-        found = _within(mixed.where(small)).unionByName(_star(mixed.where(~small)))
+        found = reduce(DataFrame.unionByName, [_within(mixed.where(small)), *[_star(mixed.where(~small), h) for h in hub_names]])
         more = stored(_pairs(found).join(tested, ["left", "right"], "left_anti"))
         new = stored(verified(more, texts).where(F.col("similarity") >= threshold))
         large = mixed.where(~small).select("key", "node", "sketch")
