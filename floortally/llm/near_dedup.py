@@ -223,7 +223,8 @@ def _pairs(rows: DataFrame) -> DataFrame:
 def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc, node, text_class (least doc of equal texts) and near_class (least doc of the linked class) of every row.
 
-    Classes are the connected components of the verified links. Texts without words are alike only if
+    Classes are the connected components of the verified links; a link between two components of one large
+    bucket can stay unseen. Texts without words are alike only if
     equal; a null text is the empty one; a null id counts as the largest (LAST); repeated rows share
     their classes; an empty table gives no rows; other columns are ignored.
     """
