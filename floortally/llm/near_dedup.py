@@ -26,7 +26,7 @@ BANDS, ROWS = 24, 4
 SMALL_BUCKET = 16
 #: A pair of similarity 0.8 shares ten buckets on average; a parting keeps it together in 0.8 ** PARTING of them.
 PARTING = 2
-#: Hubs that each member of a large bucket meets at every level.
+#: Hubs of a large bucket's main component, and of its other components, that the members outside the main one meet at every level.
 HUBS = 6
 #: Candidates agree in so many of all registers, by their low bytes, before their texts are read. At
 #: similarity 0.8 fewer agree with probability below 1e-8 (96 registers, mean 77, deviation 4).
@@ -245,16 +245,25 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     links = stored(verified(tested, texts).where(F.col("similarity") >= threshold))
     labels = components(links)
     label = lambda rows, by: rows.join(by, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    # Buckets that still hold several components: small ones are compared pair by pair; in large ones all
-    # meet HUBS more hubs, and what stays apart is parted further, until a level shows no link between components.
+    # Buckets that still hold several components: small ones are compared pair by pair; in large ones what is
+    # outside the largest component meets hubs of it and of the others, and the bucket is parted further, until
+    # a level shows no link between components.
     within, seen, later, level = label(members, labels).select("key", "node", "component", "sketch"), labels, [], 0
     hub_names = [f"h{k}" for k in range(HUBS)]
     while True:
         level += 1
-        groups = within.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("a"), F.max("component").alias("b"), *_hubs(*range(HUBS * level, HUBS * (level + 1))))
-        mixed = stored(within.join(groups.where("a < b").select("key", "size", *hub_names), "key"))
+        seeds = range(HUBS * level, HUBS * (level + 1))
+        parts = within.groupBy("key", "component").agg(F.count("*").alias("n"), *_hubs(*seeds))
+        groups = parts.groupBy("key").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "component", *hub_names)).alias("main"))
+        groups = stored(groups.where("parts > 1").select("key", "size", "main.*").drop("n").withColumnRenamed("component", "main"))
+        mixed = stored(within.join(groups.select("key", "size", "main"), "key"))
         small = F.col("size") <= SMALL_BUCKET
-        found = reduce(DataFrame.unionByName, [_within(mixed.where(small)), *[_star(mixed.where(~small), h) for h in hub_names]])
+        apart = mixed.where(~small & (F.col("component") != F.col("main"))).select("key", "node", "component", "sketch")
+        others = stored(apart.groupBy("key").agg(F.array(*_hubs(*seeds)).alias("others")))
+        hubs = groups.where(~small).select("key", F.array(*hub_names).alias("hubs")).join(others, "key")
+        hubs = stored(hubs.select("key", F.array_distinct(F.concat("hubs", "others")).alias("hubs")))
+        met = apart.join(hubs, "key").select("node", "component", "sketch", F.explode("hubs").alias("hub"))
+        found = _within(mixed.where(small)).unionByName(_star(met, "hub"))
         more = stored(_pairs(found).join(tested, ["left", "right"], "left_anti"))
         new = stored(verified(more, texts).where(F.col("similarity") >= threshold))
         large = mixed.where(~small).select("key", "node", "sketch")
@@ -268,7 +277,7 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     if later:
         labels = merged(labels, reduce(DataFrame.unionByName, later))
     labelled = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("doc").alias("near_class"))
+    least = stored(labelled.groupBy("component").agg(F.min("doc").alias("near_class")))  # so that a large class can be split in the join
     classes = labelled.join(least, "component").select("node", F.col("doc").alias("text_class"), "near_class")
     return rows.select("doc", "node").join(classes, "node").select("doc", "node", "text_class", "near_class")
 
