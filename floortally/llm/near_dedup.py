@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from floortally.llm.arrays import doubled, mix, normal_words, text_chunks
-from floortally.llm.storage import discard, stored
+from floortally.llm.storage import stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: A link of similarity 0.8 misses all bands with probability (1 - 0.8 ** 4) ** 24, 3 in a million.
@@ -144,19 +144,26 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, component (least node) of linked nodes: least neighbour's label and a jump, until none changes."""
-    both = stored(links.select("left", "right").unionByName(links.select(F.col("right").alias("left"), F.col("left").alias("right"))).distinct())
-    labels = stored(both.groupBy(F.col("left").alias("node")).agg(F.least(F.min("right"), F.col("node")).alias("component")))
+    """node, component (a node of it) of linked nodes. Every node moves onto the first of itself and its
+    neighbours, by a hash that each round draws anew; links whose ends meet are gone, until none is left.
+    The first round's hash is that of the first hubs, so that their stars fold at once."""
+    edge = lambda a, b: [F.least(a, b).alias("left"), F.greatest(a, b).alias("right")]
+    edges = stored(links.select(*edge("left", "right")).where("left <> right").distinct())
+    labels, step = None, 0
     while True:
-        near = both.join(labels.withColumnsRenamed({"node": "right"}), "right").groupBy(F.col("left").alias("node")).agg(F.min("component").alias("near"))
-        lower = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("lower"))
-        jump = labels.select(F.col("node").alias("lower"), F.col("component").alias("far"))
-        after = stored(lower.join(jump, "lower", "left").select("node", F.col("component").alias("was"), F.least("lower", F.coalesce("far", "lower")).alias("component")))
-        changed = after.where("was <> component").limit(1).count()
-        labels = after.select("node", "component")
-        if not changed:
-            discard(both)
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(step)).alias("rank"), F.col(c).alias("to"))  # noqa: B023, E731
+        both = edges.unionByName(edges.select(F.col("right").alias("left"), F.col("left").alias("right")))
+        moves = stored(both.groupBy("left").agg(F.min(rank("right")).alias("near")).select(F.col("left").alias("node"), F.least("near", rank("left"))["to"].alias("to")))
+        of = lambda side: moves.select(F.col("node").alias(side), F.col("to").alias(f"{side}_to"))  # noqa: B023, E731
+        if labels is None:
+            labels = moves.select("node", F.col("to").alias("component"))
+        else:
+            labels = stored(labels.join(of("component"), "component", "left").select("node", F.coalesce("component_to", "component").alias("component")).repartition("node"))
+        moved = edges.join(of("left"), "left").join(of("right"), "right").where("left_to <> right_to")
+        edges = stored(moved.select(*edge("left_to", "right_to")).distinct())
+        if not edges.limit(1).count():
             return labels
+        step += 1
 
 
 def _between(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -172,7 +179,8 @@ def _relabelled(labels: DataFrame, lower: DataFrame) -> DataFrame:
     lower = lower.select(F.col("node").alias("component"), F.col("component").alias("lower"))
     alone = lower.select(F.col("component").alias("node"), "component").join(labels, "node", "left_anti")
     after = labels.unionByName(alone).join(lower, "component", "left")
-    return stored(after.select("node", F.coalesce("lower", "component").alias("component")))
+    # By node, lest a large component be one file, which its next reader takes whole.
+    return stored(after.select("node", F.coalesce("lower", "component").alias("component")).repartition("node"))
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:

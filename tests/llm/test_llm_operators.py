@@ -250,3 +250,18 @@ def test_toxicity_learns_and_gradients_are_right(spark, frame):
         down = loss()
         p[name][place] += 1e-4
         assert (up - down) / 2e-4 == pytest.approx(g[name][place], rel=2e-2, abs=1e-5), name
+
+
+def test_components_equal_union_find(spark):
+    shuffled = random.Random(1)
+    links = [(i, i + 1) for i in range(100, 130)] + [(500, i) for i in range(501, 560)] + [(7, 7)]
+    links += [(shuffled.randrange(200, 260), shuffled.randrange(200, 260)) for _ in range(40)]
+    groups = {n: {n} for link in links for n in link}
+    for a, b in links:
+        joint = groups[a] | groups[b]
+        groups.update(dict.fromkeys(joint, joint))
+    found = {}
+    for row in near_dedup.components(spark.createDataFrame(links, "left long, right long")).collect():
+        found.setdefault(row.component, set()).add(row.node)
+    assert all(component in nodes for component, nodes in found.items())
+    assert sorted(map(sorted, found.values())) == sorted(map(list, {tuple(sorted(g)) for g in groups.values() if len(g) > 1}))
