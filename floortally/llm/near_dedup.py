@@ -197,7 +197,7 @@ def hooked(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _alike(a, b):
     """Whether two sketches agree often enough."""
-    same = F.zip_with(F.col(a), F.col(b), lambda x, y: (x == y).cast("int"))
+    same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
     return F.aggregate(same, F.lit(0), lambda n, v: n + v) >= LEAST_AGREEING
 
 
@@ -206,9 +206,10 @@ def _hubs(*seeds: int) -> list[Column]:
     return [F.min(F.struct(F.xxhash64("node", F.lit(s)), F.col("node"), F.col("component").alias("own"), F.col("sketch"))).alias(f"h{k}") for k, s in enumerate(seeds)]
 
 
-def _star(members: DataFrame, hub: str) -> DataFrame:
-    """Members of another component than their bucket's hub, with the hub: at most one pair a member."""
-    return members.where((F.col("component") != F.col(f"{hub}.own")) & _alike("sketch", f"{hub}.sketch")).select("node", F.col(f"{hub}.node").alias("hub"))
+def _star(members: DataFrame, hubs: Column) -> DataFrame:
+    """Members with the hubs of their bucket that are of another component and may be alike."""
+    apart = lambda h: (F.col("component") != h.own) & _alike("sketch", h.sketch)
+    return members.select("node", F.explode(F.transform(F.filter(hubs, apart), lambda h: h.node)).alias("hub"))
 
 
 def _within(members: DataFrame) -> DataFrame:
@@ -243,7 +244,7 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     shared = stored(bands.select("key").groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
     members = stored(bands.join(shared, "key").select("key", "node", "size", "sketch"))
     hubs = stored(members.withColumn("component", F.col("node")).groupBy("key").agg(*_hubs(0)))
-    tested = stored(_pairs(_star(members.withColumn("component", F.col("node")).join(hubs, "key"), "h0")))
+    tested = stored(_pairs(_star(members.withColumn("component", F.col("node")).join(hubs, "key"), F.array("h0"))))
     needed = tested.select(F.explode(F.array("left", "right")).alias("node")).unionByName(
         members.where(F.col("size") > 2).select("node")
     ).distinct()
@@ -270,8 +271,7 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
         others = stored(apart.groupBy("key").agg(F.array(*_hubs(*seeds)).alias("others")))
         hubs = groups.where(~small).select("key", F.array(*hub_names).alias("hubs")).join(others, "key")
         hubs = stored(hubs.select("key", F.array_distinct(F.concat("hubs", "others")).alias("hubs")))
-        met = apart.join(hubs, "key").select("node", "component", "sketch", F.explode("hubs").alias("hub"))
-        found = _within(mixed.where(small)).unionByName(_star(met, "hub"))
+        found = _within(mixed.where(small)).unionByName(_star(apart.join(hubs, "key"), F.col("hubs")))
         more = stored(_pairs(found).join(tested, ["left", "right"], "left_anti"))
         new = stored(verified(more, texts).where(F.col("similarity") >= threshold))
         large = mixed.where(~small).select("key", "node", "sketch")
