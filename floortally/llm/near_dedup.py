@@ -10,11 +10,10 @@ registers make candidates, and every candidate link is verified on the two whole
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from floortally.llm.arrays import doubled, mix, normal_words, text_chunks
 from floortally.llm.storage import stored
@@ -22,15 +21,15 @@ from floortally.llm.storage import stored
 SHINGLE, THRESHOLD = 5, 0.8
 #: A link of similarity 0.8 misses all bands with probability (1 - 0.8 ** 4) ** 24, 3 in a million.
 BANDS, ROWS = 24, 4
-#: Buckets up to this size are compared pair by pair; larger ones are parted by further registers.
-SMALL_BUCKET = 16
-#: A pair of similarity 0.8 shares ten buckets on average; a parting keeps it together in 0.8 ** PARTING of them.
-PARTING = 2
-#: Hubs of a large bucket's main component, and of its other components, that the members outside the main one meet at every level.
-HUBS = 6
+#: Members of a bucket travel in blocks of about so many; two blocks are compared at a time.
+BLOCK = 256
+#: Candidates of a node in one component that the first turn reads; each further turn reads WIDER times as many.
+FIRST_TURN, WIDER = 2, 16
 #: Candidates agree in so many of all registers, by their low bytes, before their texts are read. At
 #: similarity 0.8 fewer agree with probability below 1e-8 (96 registers, mean 77, deviation 4).
 LEAST_AGREEING = 54
+#: Shingles of texts that a verifying task keeps at hand.
+REMEMBERED = 1_000_000
 LAST = 2**63 - 1
 
 
@@ -119,18 +118,23 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    remembered: dict[int, tuple] = {}
+    room = REMEMBERED
+
+    def weighted(node: int, text: pa.Scalar) -> tuple:
+        nonlocal room
+        if node not in remembered:
+            data = np.frombuffer(text.as_py().encode(), np.uint8)
+            found = shingles_of(data, np.array([0, len(data)]))[1:]
+            if len(found[0]) > room:
+                remembered.clear()
+                room = REMEMBERED
+            remembered[node] = found
+            room -= len(found[0])
+        return remembered[node]
+
     for batch in batches:
         left, right = batch.column("left_text"), batch.column("right_text")
-        remembered: dict[int, tuple] = {}
-
-        def weighted(node: int, text: pa.Scalar) -> tuple:
-            if node not in remembered:
-                if len(remembered) > 64:
-                    remembered.clear()
-                data = np.frombuffer(text.as_py().encode(), np.uint8)
-                remembered[node] = shingles_of(data, np.array([0, len(data)]))[1:]
-            return remembered[node]
-
         nodes = batch.column("left").to_pylist(), batch.column("right").to_pylist()
         found = [similarity(weighted(a, s), weighted(b, t)) for a, b, s, t in zip(*nodes, left, right)]
         yield pa.RecordBatch.from_arrays([batch.column("left"), batch.column("right"), pa.array(found, pa.float64())], ["left", "right", "similarity"])
@@ -188,41 +192,80 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return _relabelled(labels, components(_between(labels, links)))
 
 
-def hooked(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """`labels` with each component hooked onto the least one linked to it: a single step towards `merged`,
-    enough to leave out pairs that need no test."""
-    lower = _between(labels, links).select(F.greatest("left", "right").alias("node"), F.least("left", "right").alias("component"))
-    return _relabelled(labels, lower.groupBy("node").agg(F.min("component").alias("component")))
-
-
 def _alike(a, b):
     """Whether two sketches agree often enough."""
     same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
     return F.aggregate(same, F.lit(0), lambda n, v: n + v) >= LEAST_AGREEING
 
 
-def _hubs(*seeds: int) -> list[Column]:
-    """The members first by seeded hashes. The order is the same in all buckets, so that they mostly share hubs."""
-    return [F.min(F.struct(F.xxhash64("node", F.lit(s)), F.col("node"), F.col("component").alias("own"), F.col("sketch"))).alias(f"h{k}") for k, s in enumerate(seeds)]
-
-
-def _star(members: DataFrame, hubs: Column) -> DataFrame:
-    """Members with the hubs of their bucket that are of another component and may be alike."""
-    apart = lambda h: (F.col("component") != h.own) & _alike("sketch", h.sketch)
-    return members.select("node", F.explode(F.transform(F.filter(hubs, apart), lambda h: h.node)).alias("hub"))
-
-
-def _within(members: DataFrame) -> DataFrame:
-    """All pairs of two components within buckets."""
-    side = lambda n: members.select("key", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "component", "sketch")])
-    met = side("x").join(side("y"), "key").where("node_x < node_y and component_x <> component_y")
-    return met.where(_alike("sketch_x", "sketch_y")).select(F.col("node_x").alias("node"), F.col("node_y").alias("hub"))
-
-
-def _deeper(members: DataFrame, level: int) -> DataFrame:
-    """Each bucket parted by PARTING registers that its key draws, so that a pair's buckets draw different ones."""
-    drawn = lambda k: F.element_at("sketch", (F.pmod(F.xxhash64("key", F.lit(level), F.lit(k)), F.lit(BANDS * ROWS)) + 1).cast("int"))
-    return members.select(F.xxhash64("key", *[drawn(k) for k in range(PARTING)]).alias("key"), "node", "component", "sketch")
+def _hub() -> Column:
+    """The member first by a hash. The order is the same in all buckets, so that they mostly share hubs."""
+    return F.min(F.struct(F.xxhash64("node", F.lit(0)), F.col("node"), F.col("sketch"))).alias("first")
+
+
+def _star(members: DataFrame) -> DataFrame:
+    """Members with the hub of their bucket where they may be alike."""
+    apart = (F.col("node") != F.col("first.node")) & _alike("sketch", "first.sketch")
+    return members.where(apart).select("node", F.col("first.node").alias("hub"))
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members (key, node, component, weight, sketch) of the buckets that hold several components, in blocks
+    by a hash of the node: a bucket's blocks below n_apart are of members outside its largest component, the
+    n_main others of that component. A bucket of up to BLOCK members is the one block 0."""
+    parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    groups = parts.groupBy("key").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("main"))
+    whole = F.col("size") <= BLOCK
+    number = lambda n: F.ceil(n / BLOCK).cast("long")
+    groups = stored(groups.where("parts > 1").select(
+        "key", F.when(~whole, F.col("main.component")).alias("main"),
+        F.when(whole, F.lit(1)).otherwise(number(F.col("size") - F.col("main.n"))).alias("n_apart"),
+        F.when(whole, F.lit(0)).otherwise(number(F.col("main.n"))).alias("n_main"),
+    ))
+    dealt = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n))
+    own = F.when(F.col("component") == F.col("main"), F.col("n_apart") + dealt("n_main")).otherwise(dealt("n_apart"))
+    # Written before it is grouped, lest the join's dealing by key bring a large bucket to one task.
+    mixed = stored(members.join(groups, "key").select("key", own.alias("block"), "n_apart", "n_main", "node", "component", "weight", "sketch"))
+    return stored(mixed.groupBy("key", "block", "n_apart", "n_main").agg(F.collect_list(F.struct("node", "component", "weight", "sketch")).alias("members")))
+
+
+def _alike_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of two components between two blocks (within one where the other is null) whose sketches agree
+    often enough, from the lighter component to the heavier."""
+    names = ["left", "right", "agree"]
+    for batch in batches:
+        sides = []
+        for column in (batch.column("members"), batch.column("others")):
+            node, component, weight, sketch = column.flatten().flatten()
+            plain = [x.to_numpy(zero_copy_only=False) for x in (node, component, weight)]
+            ends = np.append(0, np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+            sides.append((*plain, np.ascontiguousarray(sketch.flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS * ROWS).T), ends))
+        alone = batch.column("others").is_null().to_numpy(zero_copy_only=False)
+        for k in range(len(batch)):
+            first = [x[..., sides[0][-1][k] : sides[0][-1][k + 1]] for x in sides[0][:-1]]
+            second = first if alone[k] else [x[..., sides[1][-1][k] : sides[1][-1][k + 1]] for x in sides[1][:-1]]
+            agree = np.zeros((len(first[0]), len(second[0])), np.uint8)
+            for x, y in zip(first[3], second[3]):
+                agree += x[:, None] == y[None, :]
+            i, j = np.nonzero(agree >= LEAST_AGREEING)
+            keep = first[1][i] != second[1][j]
+            if alone[k]:
+                keep &= i < j
+            i, j = i[keep], j[keep]
+            one, two = [x[i] for x in first[:3]], [x[j] for x in second[:3]]
+            up = (one[2] < two[2]) | ((one[2] == two[2]) & (one[1] < two[1]))
+            left, right = np.where(up, one[0], two[0]), np.where(up, two[0], one[0])
+            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(agree[i, j].astype(np.int32))], names)
+
+
+def _candidates(members: DataFrame) -> DataFrame:
+    """left, right, agree: every pair of members of one bucket and of two components that may be alike."""
+    blocks = _blocks(members)
+    last = F.col("n_apart") + F.col("n_main") - 1
+    alone = blocks.where("block < n_apart").select("members", F.lit(None).cast(blocks.schema["members"].dataType).alias("others"))
+    met = blocks.where((F.col("block") < F.col("n_apart")) & (F.col("block") < last)).select("key", "members", F.explode(F.sequence(F.col("block") + 1, last)).alias("block"))
+    met = met.join(blocks.select("key", "block", F.col("members").alias("others")), ["key", "block"]).select("members", "others")
+    return stored(alone.unionByName(met).mapInArrow(_alike_pairs, "left long, right long, agree int").distinct())
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -232,8 +275,8 @@ def _pairs(rows: DataFrame) -> DataFrame:
 def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc, node, text_class (least doc of equal texts) and near_class (least doc of the linked class) of every row.
 
-    Classes are the connected components of the verified links; a link between two components of one large
-    bucket can stay unseen. Texts without words are alike only if
+    Classes are the connected components of the verified links: of two texts in one bucket every pair that may
+    be alike is read, unless links join the two already. Texts without words are alike only if
     equal; a null text is the empty one; a null id counts as the largest (LAST); repeated rows share
     their classes; an empty table gives no rows; other columns are ignored.
     """
@@ -243,8 +286,8 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     bands = nodes.select("node", "sketch", F.explode("keys").alias("key"))
     shared = stored(bands.select("key").groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
     members = stored(bands.join(shared, "key").select("key", "node", "size", "sketch"))
-    hubs = stored(members.withColumn("component", F.col("node")).groupBy("key").agg(*_hubs(0)))
-    tested = stored(_pairs(_star(members.withColumn("component", F.col("node")).join(hubs, "key"), F.array("h0"))))
+    hubs = stored(members.groupBy("key").agg(_hub()))
+    tested = stored(_pairs(_star(members.join(hubs, "key"))))
     needed = tested.select(F.explode(F.array("left", "right")).alias("node")).unionByName(
         members.where(F.col("size") > 2).select("node")
     ).distinct()
@@ -253,37 +296,25 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     texts = stored(rows.join(wanted, ["node", "doc"]).select("node", "text").dropDuplicates(["node"]))
     links = stored(verified(tested, texts).where(F.col("similarity") >= threshold))
     labels = components(links)
-    label = lambda rows, by: rows.join(by, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    # Buckets that still hold several components: small ones are compared pair by pair; in large ones what is
-    # outside the largest component meets hubs of it and of the others, and the bucket is parted further, until
-    # a level shows no link between components.
-    within, seen, later, level = label(members, labels).select("key", "node", "component", "sketch"), labels, [], 0
-    hub_names = [f"h{k}" for k in range(HUBS)]
+    weights = stored(labels.join(stored(labels.groupBy("component").agg(F.count("*").alias("weight"))), "component"))
+    own = F.coalesce("component", "node").alias("component"), F.coalesce("weight", F.lit(1)).alias("weight")
+    left = _candidates(members.join(weights, "node", "left").select("key", "node", *own, "sketch"))
+    left = left.join(tested.select("left", "right"), ["left", "right"], "left_anti")
+    left = left.join(tested.select(F.col("left").alias("right"), F.col("right").alias("left")), ["left", "right"], "left_anti")
+    # What agrees most is read first; a link settles all pairs of its two components. None is left unread between two.
+    turn = FIRST_TURN
     while True:
-        level += 1
-        seeds = range(HUBS * level, HUBS * (level + 1))
-        parts = within.groupBy("key", "component").agg(F.count("*").alias("n"), *_hubs(*seeds))
-        groups = parts.groupBy("key").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "component", *hub_names)).alias("main"))
-        groups = stored(groups.where("parts > 1").select("key", "size", "main.*").drop("n").withColumnRenamed("component", "main"))
-        mixed = stored(within.join(groups.select("key", "size", "main"), "key"))
-        small = F.col("size") <= SMALL_BUCKET
-        apart = mixed.where(~small & (F.col("component") != F.col("main"))).select("key", "node", "component", "sketch")
-        others = stored(apart.groupBy("key").agg(F.array(*_hubs(*seeds)).alias("others")))
-        hubs = groups.where(~small).select("key", F.array(*hub_names).alias("hubs")).join(others, "key")
-        hubs = stored(hubs.select("key", F.array_distinct(F.concat("hubs", "others")).alias("hubs")))
-        found = _within(mixed.where(small)).unionByName(_star(apart.join(hubs, "key"), F.col("hubs")))
-        more = stored(_pairs(found).join(tested, ["left", "right"], "left_anti"))
-        new = stored(verified(more, texts).where(F.col("similarity") >= threshold))
-        large = mixed.where(~small).select("key", "node", "sketch")
-        if not new.limit(1).count():
-            break
-        later.append(new)
-        if not large.limit(1).count():
+        of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_own"))  # noqa: B023, E731
+        open_ = left.join(of("left"), "left", "left").join(of("right"), "right", "left").withColumns({f"{s}_own": F.coalesce(f"{s}_own", s) for s in ("left", "right")})
+        order = Window.partitionBy("left", "right_own").orderBy(F.desc("agree"), "right")
+        ranked = stored(open_.where("left_own <> right_own").select("left", "right", "agree", F.row_number().over(order).alias("rank")))
+        new = stored(verified(ranked.where(F.col("rank") <= turn).select("left", "right"), texts).where(F.col("similarity") >= threshold))
+        if new.limit(1).count():
+            labels = merged(labels, new)
+        left = ranked.where(F.col("rank") > turn).select("left", "right", "agree")
+        if not left.limit(1).count():
             break
-        tested, seen = tested.unionByName(more), hooked(seen, new)
-        within = _deeper(label(large, seen), level)
-    if later:
-        labels = merged(labels, reduce(DataFrame.unionByName, later))
+        turn *= WIDER
     labelled = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = stored(labelled.groupBy("component").agg(F.min("doc").alias("near_class")))  # so that a large class can be split in the join
     classes = labelled.join(least, "component").select("node", F.col("doc").alias("text_class"), "near_class")

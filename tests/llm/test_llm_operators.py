@@ -110,6 +110,29 @@ def test_near_classes_equal_brute_force(frame, rows):
     assert near_dedup.near_classes(frame([])).count() == 0
 
 
+def test_every_pair_of_a_large_bucket_counts(frame):
+    """Variants of one template, most pairs just below the threshold: no main component holds them together."""
+    template, made = prose(11, 300).split(), []
+    for k in range(200):
+        r, words = random.Random(1000 + k), list(template)
+        for place in r.sample(range(300), 4 if k % 2 else 5):
+            words[place] = f"v{k}x{place}"
+        made.append((k, " ".join(words)))
+    # Shingles repeat in no text here, so that similarity is the plain one.
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(296)} for _, t in made]
+    group = list(range(len(made)))
+    for a in range(len(made)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if common >= 0.8 * (592 - common) and group[a] != group[b]:
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = [new if g == old else g for g in group]
+    assert 40 < len(set(group)) < 190
+    assert all(len(s) == 296 for s in sets)
+    found = near_dedup.near_classes(frame(made)).select("doc", "near_class").collect()
+    assert sorted(map(tuple, found)) == list(enumerate(group))
+
+
 def test_signatures_estimate_probability_jaccard():
     r = np.random.default_rng(3)
     hashes = r.integers(1, 2**63, 300, dtype=np.uint64)
