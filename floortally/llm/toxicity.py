@@ -3,7 +3,7 @@
 A word's input is the embedding of its hash and the mean embedding of its four-byte pieces, blanks at
 both ends included. Two gated recurrent layers read a window of words from either side, attention pools
 their states, and a logistic unit scores the window. Every text is scored on all its overlapping
-windows; a text's score is a logistic function of its highest window and its sum of window scores.
+windows, one from every word; a text's score is a logistic function of its highest window and its sum of window scores.
 Training is numpy in one task over a bounded sample of labelled rows; scoring runs in Arrow batches.
 """
 
@@ -20,7 +20,11 @@ from pyspark.sql import DataFrame, functions as F
 from floortally.llm.arrays import find_words, plain_bytes, text_chunks, word_hashes
 
 WORD_BITS, CHAR_BITS, EMBED, HIDDEN = 15, 13, 8, 8
-WINDOW, STRIDE = 32, 24
+WINDOW = 32
+#: Training picks its examples among windows so many words apart; scoring reads a window from every word.
+STRIDE = 24
+#: Windows whose states are held at a time.
+WINDOWS_AT_ONCE = 4_096
 #: Labelled rows that training reads at most, by label.
 TRAINING_ROWS = {1: 1_500, 0: 3_500}
 LEAST_STEPS = 150
@@ -58,14 +62,14 @@ def vectors(p: dict[str, np.ndarray], words: Words) -> np.ndarray:
     return np.concatenate([p["words"][words.word], sums / n[:, None].astype(np.float32)], axis=1)
 
 
-def windows_of(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Window starts (word places) and the text of each: every STRIDE words, to the text's end.
+def windows_of(begins: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
+    """Window starts (word places) and the text of each: every `stride` words, to the text's end.
     A text without words has none."""
     n = np.diff(begins)
-    count = np.where(n > 0, np.maximum(0, -(-(n - WINDOW) // STRIDE)) + 1, 0)
+    count = np.where(n > 0, np.maximum(0, -(-(n - WINDOW) // stride)) + 1, 0)
     text = np.repeat(np.arange(len(n)), count)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    return begins[text] + nth * STRIDE, text
+    return begins[text] + nth * stride, text
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -203,7 +207,7 @@ class Model:
     def features(self, words: Words) -> np.ndarray:
         """Per text: 1, highest window logit, log of 1 + the sum of window scores."""
         n = len(words.begins) - 1
-        starts, text = windows_of(words.begins)
+        starts, text = windows_of(words.begins, 1)
         found = np.zeros((n, 3))
         found[:, 0], found[:, 1] = 1, -8
         if len(starts):
@@ -217,9 +221,15 @@ class Model:
 
 
 def window_logits(p: dict, words: Words, starts: np.ndarray, text: np.ndarray) -> np.ndarray:
-    at = starts[None, :] + np.arange(WINDOW)[:, None]
-    mask = (at < words.begins[text + 1][None, :]).astype(np.float32)
-    return forward(p, vectors(p, words), np.minimum(at, len(words.word) - 1), mask)
+    x, logits = vectors(p, words), np.empty(len(starts), np.float32)
+    for k in range(0, len(starts), WINDOWS_AT_ONCE):
+        first, ends = starts[k : k + WINDOWS_AT_ONCE], words.begins[text[k : k + WINDOWS_AT_ONCE] + 1]
+        low = first[0]  # the block's words only: windows are in order of place
+        at = first[None, :] + np.arange(WINDOW)[:, None]
+        mask = (at < ends[None, :]).astype(np.float32)
+        near = x[low : first[-1] + WINDOW]
+        logits[k : k + WINDOWS_AT_ONCE] = forward(p, near, np.minimum(at - low, len(near) - 1), mask)
+    return logits
 
 
 def joined_texts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

@@ -275,6 +275,15 @@ def test_toxicity_learns_and_gradients_are_right(spark, frame):
         assert (up - down) / 2e-4 == pytest.approx(g[name][place], rel=2e-2, abs=1e-5), name
 
 
+def test_toxicity_reads_a_window_from_every_word():
+    p = toxicity.initial(np.random.default_rng(5))
+    model = toxicity.Model({k: v * 4 if k in ("words", "chars") else v for k, v in p.items()}, np.ones(3))
+    highest = lambda t: model.features(toxicity.inputs_of(*toxicity.joined_texts([t])))[0, 1]
+    passage = max((prose(k, toxicity.WINDOW) for k in range(200)), key=highest)
+    for before in range(60):
+        assert highest(f"{prose(900, before)} {passage} {prose(901, 40)}") >= highest(passage) - 1e-4
+
+
 def test_components_equal_union_find(spark):
     shuffled = random.Random(1)
     links = [(i, i + 1) for i in range(100, 130)] + [(500, i) for i in range(501, 560)] + [(7, 7)]
