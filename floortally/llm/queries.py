@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from floortally.llm import debruijn, decontamination, fingerprints, lm_scoring, mixing, near_dedup, sharding, suffix_dedup, tokens, toxicity
+from floortally.llm import (
+    chat_windows, debruijn, decontamination, filter_audit, fingerprints, lm_scoring, mixing, near_dedup, periodic_runs, sharding, suffix_dedup, tokens, toxicity,
+)
 from floortally.llm.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -77,7 +79,84 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
+        tokenizer = file.read()
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    both = given.unionByName(spark.createDataFrame(control, "conv_id long, turn long, role string, text string"))
+    return chat_windows.digests(chat_windows.chat_windows(both, tokenizer))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.with_periods(table(spark, sf_dir, "documents")))
+    by_exponent = F.expr(
+        "array_sort(runs, (a, b) -> case when a.length * b.period > b.length * a.period then -1"
+        " when a.length * b.period < b.length * a.period then 1 when a.start < b.start then -1 when a.start > b.start then 1"
+        " when a.period < b.period then -1 when a.period > b.period then 1 else 0 end)"
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", F.get(by_exponent, F.lit(0))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op6_suffix_dedup, op7_lm_scores, op8_debruijn_dedup, op9_decontamination, op10_toxicity)
+    f.__name__: f
+    for f in (
+        op1_near_dedup, op2_fingerprints, op3_token_counts, op4_sharding, op5_mixing, op6_suffix_dedup, op7_lm_scores,
+        op8_debruijn_dedup, op9_decontamination, op10_toxicity, op11_chat_windows, op12_periodic_runs, op13_filter_audit,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op13_filter_audit": r"""
+    WITH read AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+    ), split AS (
+        SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM read
+    ), masked AS (
+        SELECT doc_id, part,
+            CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+            + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+            + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+            + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+            + CASE WHEN first_id < doc_id THEN 16 ELSE 0 END AS mask
+        FROM split
+    ), flags AS (
+        SELECT doc_id, coalesce(max(CAST(quality = 1 AS INT)), 0) AS good, coalesce(max(CAST(toxic = 1 AS INT)), 0) AS toxic
+        FROM labels GROUP BY doc_id
+    ), cells AS (
+        SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+        FROM masked LEFT JOIN flags USING (doc_id) GROUP BY part, mask
+    ), names(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+    ), orders AS (
+        SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+        FROM names a, names b, names c, names d, names e
+        WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+    ), steps AS (
+        SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS earlier
+        FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+    ), counted AS (
+        SELECT part, filter_order, step, bit,
+            sum(CASE WHEN mask & (earlier | bit) = 0 THEN n ELSE 0 END) AS kept,
+            sum(CASE WHEN mask & earlier = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+            sum(CASE WHEN mask & earlier > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+            sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+            sum(CASE WHEN mask & earlier = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+            sum(CASE WHEN mask & earlier = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM cells, steps GROUP BY part, filter_order, step, bit
+    )
+    SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+        CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+        CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+    FROM counted
+    """,
 }
-ORACLES: dict[str, str] = {}
