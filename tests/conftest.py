@@ -7,7 +7,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from floortally import session  # noqa: E402
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")

@@ -1,14 +1,13 @@
 import datetime as dt
 
-from conftest import SF_DIR
 from floortally import jobs
 from floortally.bindings import driver as D
 
 DAY = dt.date(1998, 8, 15)
 
 
-def test_every_report_writes_its_tables(spark, tmp_path):
-    sales, audio = D.sales_floor(spark, SF_DIR), D.audio_floor(spark, SF_DIR)
+def test_every_report_writes_its_tables(spark, sf_dir, tmp_path):
+    sales, audio = D.sales_floor(spark, sf_dir), D.audio_floor(spark, sf_dir)
     both = audio.bind(interactions=sales.interactions)
     plan = {
         "lost_sales": (sales, DAY, D.ORDER_TENANTS),
