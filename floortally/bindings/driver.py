@@ -17,10 +17,13 @@ from floortally.sources.tables import Tables
 from floortally.sources.tenants import Tenant
 
 AS_OF = dt.date(2024, 1, 30)
+SALES_DAY = dt.date(1998, 8, 15)
 STAFF_PER_STORE = 15
 STAFF_STEP = 10
 DEVICE_PATTERN = "T[0-9]{4,}"
 ORDER_TENANTS = [Tenant("Urgent"), Tenant("High"), Tenant("Medium"), Tenant("Not Specified"), Tenant("Low")]
+#: With a tenant that never called.
+CONFIGURED_TENANTS = [*ORDER_TENANTS, Tenant("Dormant")]
 BRAND_TENANTS = [
     Tenant("AFRICA", 28_800),
     Tenant("AMERICA", 25_200),
@@ -85,7 +88,8 @@ def order_calls(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(
         "o_orderkey as id",
         "concat('audio/', o_orderkey, '.wav') as audio_url",
-        "concat('IC-', o_orderkey) as interaction_code",
+        "case when o_orderkey % 31 = 7 then null when o_orderkey % 37 = 9 then ' ' else concat('IC-', o_orderkey) end "
+        "as interaction_code",
         "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 43200) as start_time",
         "o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 43200 + 600) as end_time",
         "cast(o_orderdate as date) as date",

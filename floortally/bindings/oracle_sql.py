@@ -25,7 +25,8 @@ def mean_tenths(x: str) -> str:
 
 CTES = {
     # --- orders and lineitem as calls and flags ---------------------------------------
-    "calls": """SELECT o_orderkey AS id, 'IC-' || o_orderkey AS code, o_orderdate::DATE AS d, o_orderdate, o_custkey,
+    "calls": """SELECT o_orderkey AS id,
+        CASE WHEN o_orderkey % 31 = 7 THEN NULL WHEN o_orderkey % 37 = 9 THEN ' ' ELSE 'IC-' || o_orderkey END AS code, o_orderdate::DATE AS d, o_orderdate, o_custkey,
         CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE floor(o_totalprice)::BIGINT END AS ms,
         '/audio/' || lower(replace(substr(o_orderpriority, 3), ' ', '_')) || '/' || o_orderkey || '.wav' AS path,
         CASE o_orderstatus WHEN 'F' THEN 'unsuccessful' WHEN 'O' THEN 'successful' ELSE 'follow_up' END AS outcome
@@ -288,7 +289,7 @@ def _per_as_of(first: str, source: str, last: str) -> str:
     )
 
 
-def _top(k: int, measure: str = "count(*)") -> str:
+def _top(k: int, measure: str = "count(code)") -> str:
     return f"""SELECT as_of, category, n AS interactions, rank::INTEGER AS rank FROM (
         SELECT *, row_number() OVER (PARTITION BY as_of ORDER BY n DESC, category NULLS LAST) AS rank FROM (
             SELECT as_of, category, {measure} AS n FROM seen GROUP BY as_of, category)) WHERE rank <= {k}"""
@@ -322,19 +323,17 @@ def _category_matrix(source: str, label: str, name: str) -> str:
     )
 
 
+_ISSUE_LIST = "'Uncertainty in dimension', 'Deferred decision making', 'Technical Glitch'"
+_CODE = "trim(code) AS interaction_code"
+_CODED = "code IS NOT NULL AND trim(code) <> ''"
+
+
 def _issue_cell(issue: str, prefix: str) -> str:
-    return (
-        f"count(*) FILTER (sub_category = '{issue}') AS {prefix}_count, "
-        f"coalesce(string_agg(DISTINCT code, ', ' ORDER BY code) FILTER (sub_category = '{issue}'), '') AS {prefix}_codes"
-    )
+    return f"count(*) FILTER (sub_category = '{issue}') AS {prefix}_count"
 
 
 def _handling_cell(handling: str) -> str:
-    low = handling.lower()
-    return (
-        f"count(o.code) FILTER (o.handling = '{handling}') AS {low}_count, "
-        f"coalesce(string_agg(o.code, ', ' ORDER BY o.code) FILTER (o.handling = '{handling}'), '') AS {low}_codes"
-    )
+    return f"count(*) FILTER (o.handling = '{handling}') AS {handling.lower()}_count"
 
 
 def _funnel_report(source: str) -> str:
@@ -402,13 +401,13 @@ ORACLES = {
     ),
     "reason_trend": _query(
         ["lost_reasons"],
-        f"""SELECT as_of, category, nullif(count(*) FILTER ({_IN_WEEK}), 0) AS wtd,
-            nullif(count(*) FILTER ({_IN_MONTH}), 0) AS mtd FROM seen GROUP BY as_of, category""",
+        f"""SELECT as_of, category, CASE WHEN count(*) FILTER ({_IN_WEEK}) > 0 THEN count(code) FILTER ({_IN_WEEK}) END AS wtd,
+            CASE WHEN count(*) FILTER ({_IN_MONTH}) > 0 THEN count(code) FILTER ({_IN_MONTH}) END AS mtd FROM seen GROUP BY as_of, category""",
         seen=_per_as_of(_WIDE_FIRST, "lost_reasons", _WIDE_LAST),
     ),
     "top5_share": _query(
         ["lost_reasons"],
-        f"""SELECT *, round_even(interactions::DOUBLE / sum(interactions) OVER (PARTITION BY as_of) * 100, 0)::BIGINT AS share_pct
+        f"""SELECT *, round_even(interactions::DOUBLE / nullif(sum(interactions) OVER (PARTITION BY as_of), 0) * 100, 0)::BIGINT AS share_pct
             FROM ({_top(5, 'count(DISTINCT code)')})""",
         seen="SELECT d AS as_of, code, category FROM lost_reasons",
     ),
@@ -428,26 +427,46 @@ ORACLES = {
             ',' ORDER BY i) || ']' AS js FROM flag_products GROUP BY fid""",
     ),
     "unsuccessful_total": _query(["lost"], "SELECT d AS as_of, count(*) AS interaction_count FROM lost GROUP BY d"),
-    "reason_summary_codes": _query(
+    "phone_follow_ups": _query(
+        ["lost", "phones", "issue_flags"],
+        """SELECT t.as_of, total AS interaction_count, coalesce(n, 0) AS phone_rows
+            FROM (SELECT d AS as_of, count(*) AS total FROM lost GROUP BY d) t
+            LEFT JOIN (SELECT f.d, count(*) AS n FROM day_flags f JOIN flag_reasons r ON r.fid = f.fid GROUP BY f.d) x ON x.d = t.as_of""",
+        day_flags=_DAY_FLAGS,
+    ),
+    "reason_summary": _query(
         ["lost", "phones", "issue_flags"],
-        f"""SELECT t.as_of, i.issue AS sub_category, 0::BIGINT AS part, coalesce(n, 0) AS interactions,
-            round_even(coalesce(n, 0)::DOUBLE / total * 100 * 10, 0) / 10 AS pct, coalesce(codes, '') AS interaction_codes
+        f"""SELECT t.as_of, i.issue AS sub_category, coalesce(n, 0) AS interactions,
+            round_even(coalesce(n, 0)::DOUBLE / total * 100 * 10, 0) / 10 AS pct
             FROM (SELECT d AS as_of, count(*) AS total FROM lost GROUP BY d) t
-            CROSS JOIN (SELECT unnest(['Uncertainty in dimension', 'Deferred decision making', 'Technical Glitch']) AS issue) i
-            LEFT JOIN (SELECT f.d, r.sub_category, count(*) AS n, string_agg(f.code, ', ' ORDER BY f.code) AS codes
-                       FROM day_flags f JOIN flag_reasons r ON r.fid = f.fid GROUP BY ALL) x
+            CROSS JOIN (SELECT unnest([{_ISSUE_LIST}]) AS issue) i
+            LEFT JOIN (SELECT f.d, r.sub_category, count(*) AS n FROM day_flags f JOIN flag_reasons r ON r.fid = f.fid GROUP BY ALL) x
               ON x.d = t.as_of AND x.sub_category = i.issue""",
         day_flags=_DAY_FLAGS,
     ),
+    "reason_summary_codes": _query(
+        ["lost", "phones", "issue_flags"],
+        f"""SELECT f.d AS as_of, r.sub_category, {_CODE}, count(*) AS n FROM day_flags f JOIN flag_reasons r ON r.fid = f.fid
+            WHERE r.sub_category IN {ISSUES} AND {_CODED} GROUP BY f.d, r.sub_category, code""",
+        day_flags=_DAY_FLAGS,
+    ),
     "category_issue_crosstab": _query(
         ["lost", "phones", "issue_flags", "flag_products"],
-        f"""SELECT f.d AS as_of, p.product AS prod_category, 0::BIGINT AS part,
+        f"""SELECT f.d AS as_of, p.product AS prod_category,
             {_issue_cell('Uncertainty in dimension', 'uncertainty')}, {_issue_cell('Deferred decision making', 'deferred')},
             {_issue_cell('Technical Glitch', 'glitch')}
             FROM day_flags f JOIN flag_reasons r ON r.fid = f.fid JOIN flag_products p ON p.fid = f.fid
             WHERE p.product IS NOT NULL AND trim(p.product) <> '' GROUP BY f.d, p.product""",
         day_flags=_DAY_FLAGS,
     ),
+    "category_issue_codes": _query(
+        ["lost", "phones", "issue_flags", "flag_products"],
+        f"""SELECT f.d AS as_of, p.product AS prod_category, r.sub_category, {_CODE}, count(*) AS n
+            FROM day_flags f JOIN flag_reasons r ON r.fid = f.fid JOIN flag_products p ON p.fid = f.fid
+            WHERE p.product IS NOT NULL AND trim(p.product) <> '' AND r.sub_category IN {ISSUES} AND {_CODED}
+            GROUP BY f.d, p.product, r.sub_category, code""",
+        day_flags=_DAY_FLAGS,
+    ),
     "category_wtd_mtd": _query(
         ["lost", "flag_products"],
         f"""SELECT as_of, product AS prod_category, nullif(count(DISTINCT code) FILTER ({_IN_WEEK}), 0) AS wtd,
@@ -458,38 +477,43 @@ ORACLES = {
     ),
     "outcome_totals_by_tenant": _query(
         ["tenant_long"],
-        """SELECT tenant, d AS as_of, outcome AS sales_outcome, count(*) AS interactions,
-            sum(count(*)) OVER (PARTITION BY tenant, d)::BIGINT AS total_interactions,
-            coalesce(sum(CASE WHEN outcome = 'unsuccessful' THEN count(*) END) OVER (PARTITION BY tenant, d), 0)::BIGINT
+        """SELECT tenant, d AS as_of, outcome AS sales_outcome, count(code) AS interactions,
+            sum(count(code)) OVER (PARTITION BY tenant, d)::BIGINT AS total_interactions,
+            coalesce(sum(CASE WHEN outcome = 'unsuccessful' THEN count(code) END) OVER (PARTITION BY tenant, d), 0)::BIGINT
                 AS total_unsuccessful
             FROM tenant_long GROUP BY tenant, d, outcome""",
     ),
     "reason_domain_day": _query(
         ["tenant_long", "call_reasons"],
-        """SELECT t.tenant, t.d AS as_of, i.category, 0::BIGINT AS part, coalesce(n, 0) AS interactions,
-            CASE WHEN lost > 0 THEN round_even(coalesce(n, 0)::DOUBLE / lost * 100 * 10, 0) / 10 ELSE 0.0 END AS pct,
-            coalesce(codes, '') AS interaction_codes
-            FROM (SELECT tenant, d, count(*) FILTER (outcome = 'unsuccessful') AS lost FROM tenant_long GROUP BY ALL) t
+        """SELECT t.tenant, t.d AS as_of, i.category, coalesce(n, 0) AS interactions,
+            CASE WHEN lost > 0 THEN round_even(coalesce(n, 0)::DOUBLE / lost * 100 * 10, 0) / 10 ELSE 0.0 END AS pct
+            FROM (SELECT tenant, d, count(code) FILTER (outcome = 'unsuccessful') AS lost FROM tenant_long GROUP BY ALL) t
             CROSS JOIN (SELECT unnest(['Customer', 'Product', 'Process', 'Price', 'Salesperson']) AS category) i
-            LEFT JOIN (SELECT c.tenant, c.d, r.category, count(*) AS n, string_agg(c.code, ', ' ORDER BY c.code) AS codes
+            LEFT JOIN (SELECT c.tenant, c.d, r.category, count(*) AS n
                        FROM tenant_long c JOIN call_reasons r ON r.call_id = c.id WHERE c.outcome = 'unsuccessful' GROUP BY ALL) x
               ON x.tenant = t.tenant AND x.d = t.d AND x.category = i.category""",
     ),
+    "reason_domain_codes": _query(
+        ["tenant_long", "call_reasons"],
+        f"""SELECT c.tenant, c.d AS as_of, r.category, {_CODE}, count(*) AS n
+            FROM tenant_long c JOIN call_reasons r ON r.call_id = c.id
+            WHERE c.outcome = 'unsuccessful' AND r.category IN {LOSSES} AND {_CODED} GROUP BY ALL""",
+    ),
     "reason_domain_wtd_mtd": _query(
         ["tenant_long", "call_reasons"],
         f"""SELECT k.tenant, k.as_of, i.category,
-            count(*) FILTER (s.category = i.category AND {_IN_WEEK.replace('as_of', 'k.as_of')}) AS wtd,
-            count(*) FILTER (s.category = i.category AND {_IN_MONTH.replace('as_of', 'k.as_of')}) AS mtd
+            count(s.code) FILTER (s.category = i.category AND {_IN_WEEK.replace('as_of', 'k.as_of')}) AS wtd,
+            count(s.code) FILTER (s.category = i.category AND {_IN_MONTH.replace('as_of', 'k.as_of')}) AS mtd
             FROM (SELECT DISTINCT tenant, as_of FROM seen) k
             CROSS JOIN (SELECT unnest(['Customer', 'Product', 'Process', 'Price', 'Salesperson']) AS category) i
             JOIN seen s ON s.tenant = k.tenant AND s.as_of = k.as_of GROUP BY ALL""",
-        labelled="""SELECT c.tenant, c.d, r.category FROM tenant_long c LEFT JOIN call_reasons r ON r.call_id = c.id
+        labelled="""SELECT c.tenant, c.d, c.code, r.category FROM tenant_long c LEFT JOIN call_reasons r ON r.call_id = c.id
             WHERE c.outcome = 'unsuccessful'""",
         seen=_per_as_of(_WIDE_FIRST, "labelled", _WIDE_LAST),
     ),
     "objection_handling_matrix": _query(
         ["tenant_long", "call_objections"],
-        f"""SELECT t.tenant, t.d AS as_of, replace({_title('i.category')}, ' And ', ' and ') AS objection, 0::BIGINT AS part,
+        f"""SELECT t.tenant, t.d AS as_of, replace({_title('i.category')}, ' And ', ' and ') AS objection,
             {', '.join(_handling_cell(h) for h in ('Explanation', 'Solution', 'Generic'))},
             coalesce(any_value(n.total), 0) AS total_objections
             FROM (SELECT DISTINCT tenant, d FROM tenant_long) t
@@ -501,6 +525,13 @@ ORACLES = {
         objections="""SELECT c.tenant, c.d, c.code, o.category, o.handling FROM tenant_long c JOIN call_objections o ON o.call_id = c.id
             WHERE o.category IS NOT NULL AND o.category <> 'not_applicable'""",
     ),
+    "objection_handling_codes": _query(
+        ["tenant_long", "call_objections"],
+        f"""SELECT c.tenant, c.d AS as_of, replace({_title('o.category')}, ' And ', ' and ') AS objection, o.handling, {_CODE}, count(*) AS n
+            FROM tenant_long c JOIN call_objections o ON o.call_id = c.id
+            WHERE o.category IS NOT NULL AND o.category <> 'not_applicable' AND o.handling IN ('Explanation', 'Solution', 'Generic')
+            AND {_CODED} GROUP BY ALL""",
+    ),
     "funnel_window": _funnel_report("managers_window"),
     "funnel_mtd": _funnel_report("managers_month"),
     "funnel_staff": _query(
@@ -657,6 +688,43 @@ ORACLES = {
             WHEN day(as_of) IN (3, 23) THEN 'rd' ELSE 'th' END || strftime(as_of, ' %b''%y') AS title
         FROM (SELECT DISTINCT o_orderdate::DATE AS as_of FROM orders)""",
 }
+SALES_DAY = "DATE '1998-08-15'"
+
+
+_NAMED = {
+    "reason_domain_day": ["category", "interactions", "pct"],
+    "reason_domain_wtd_mtd": ["category", "wtd", "mtd"],
+    "objection_handling_matrix": ["objection", "explanation_count", "solution_count", "generic_count", "total_objections"],
+}
+
+
+def _one_day(key: str) -> str:
+    """A report of the whole history cut to one day, with zero rows of the configured tenants that had no call that day."""
+    label, *figures = _NAMED[key]
+    return f"""WITH everything AS ({ORACLES[key]}),
+        configured AS (SELECT unnest(['Urgent', 'High', 'Medium', 'Not Specified', 'Low', 'Dormant']) AS tenant),
+        kinds AS (SELECT {label}, {', '.join(f'0 * min({x}) AS {x}' for x in figures)} FROM everything GROUP BY {label})
+        SELECT tenant, as_of, {label}, {', '.join(figures)} FROM everything WHERE as_of = {SALES_DAY} UNION ALL
+        SELECT tenant, {SALES_DAY}, {label}, {', '.join(figures)} FROM configured CROSS JOIN kinds
+        WHERE tenant NOT IN (SELECT tenant FROM everything WHERE as_of = {SALES_DAY})"""
+
+
+ORACLES["category_wtd_mtd_one_day"] = f"SELECT * FROM ({ORACLES['category_wtd_mtd']}) WHERE as_of = {SALES_DAY}"
+ORACLES["reason_domain_one_day"] = _one_day("reason_domain_day")
+ORACLES["reason_domain_wtd_mtd_one_day"] = _one_day("reason_domain_wtd_mtd")
+ORACLES["objection_handling_one_day"] = _one_day("objection_handling_matrix")
+ORACLES["funnel_region"] = f"SELECT * FROM ({ORACLES['funnel_window']}) WHERE regional_manager_id = 3"
+ORACLES["funnel_combined_region_brand"] = "SELECT * FROM ({0}) WHERE regional_manager_id = 26".format(
+    ORACLES["funnel_combined_total"].replace("WHERE x.start_date <=", "WHERE ch.brand_id IN (0, 2) AND x.start_date <=")
+)
+_BRAND_DEVICES = CTES["all_devices"].replace(
+    "FROM customer)\n              UNION SELECT name, store_id FROM on_device)",
+    "FROM customer) WHERE c_custkey // 15 % 5 IN (1, 3)\n"
+    "              UNION SELECT name, store_id FROM on_device WHERE store_id IN (SELECT store_id FROM chain WHERE brand_id IN (1, 3)))",
+)
+ORACLES["adherence_region_brand"] = "SELECT * FROM ({0}) WHERE regional_manager_id = 26".format(
+    ORACLES["adherence_detail"].replace(CTES["all_devices"], _BRAND_DEVICES)
+)
 ORACLES["category_display"] = (
     f"SELECT as_of, prod_category, coalesce(wtd::VARCHAR, '-') AS wtd, coalesce(mtd::VARCHAR, '-') AS mtd "
     f"FROM ({ORACLES['category_wtd_mtd']})"

@@ -53,14 +53,25 @@ QUERIES: dict[str, Query] = {
     "top5_share": _sales(lost_sales.top_reasons_of_day, DAILY),
     "lost_sale_followups": _sales(lost_sales.follow_ups, DAILY),
     "unsuccessful_total": _sales(lost_sales.unsuccessful_total, DAILY),
-    "reason_summary_codes": _sales(lost_sales.reason_summary, DAILY),
+    "phone_follow_ups": _sales(lost_sales.phone_follow_ups, DAILY),
+    "reason_summary": _sales(lost_sales.reason_summary, DAILY),
+    "reason_summary_codes": _sales(lost_sales.reason_codes, DAILY),
     "category_issue_crosstab": _sales(lost_sales.category_issues, DAILY),
+    "category_issue_codes": _sales(lost_sales.category_codes, DAILY),
     "category_wtd_mtd": _sales(lost_sales.category_trend, DAILY),
     "outcome_totals_by_tenant": _sales(tenant_reasons.outcome_totals, D.ORDER_TENANTS, DAILY),
     "reason_domain_day": _sales(tenant_reasons.reasons_of_day, D.ORDER_TENANTS, DAILY),
+    "reason_domain_codes": _sales(tenant_reasons.reason_codes, D.ORDER_TENANTS, DAILY),
     "reason_domain_wtd_mtd": _sales(tenant_reasons.reason_trend, D.ORDER_TENANTS, DAILY),
     "objection_handling_matrix": _sales(tenant_reasons.objection_handling, D.ORDER_TENANTS, DAILY),
+    "objection_handling_codes": _sales(tenant_reasons.objection_codes, D.ORDER_TENANTS, DAILY),
+    "category_wtd_mtd_one_day": _sales(lost_sales.category_trend, D.SALES_DAY),
+    "reason_domain_one_day": _sales(tenant_reasons.reasons_of_day, D.CONFIGURED_TENANTS, D.SALES_DAY),
+    "reason_domain_wtd_mtd_one_day": _sales(tenant_reasons.reason_trend, D.CONFIGURED_TENANTS, D.SALES_DAY),
+    "objection_handling_one_day": _sales(tenant_reasons.objection_handling, D.CONFIGURED_TENANTS, D.SALES_DAY),
     "funnel_window": _audio(funnel.funnel_window, D.AS_OF),
+    "funnel_region": _audio(funnel.funnel_window, D.AS_OF, [3]),
+    "funnel_combined_region_brand": _audio(funnel.combined, D.AS_OF, [26], [0, 2]),
     "funnel_mtd": _audio(funnel.funnel_mtd, D.AS_OF),
     "funnel_staff": _audio(funnel.staff_funnel, D.AS_OF),
     "funnel_combined_total": _audio(funnel.combined, D.AS_OF),
@@ -75,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "staff_mtd": _audio(device_adherence.staff_mtd, D.AS_OF),
     "blank_rules": _audio(device_adherence.blank_rules, D.AS_OF),
     "adherence_detail": _from_detail(device_adherence.sorted_detail),
+    "adherence_region_brand": _audio(device_adherence.adherence_detail, D.AS_OF, [26], [1, 3], pattern=D.DEVICE_PATTERN),
     "adherence_summary": _from_detail(device_adherence.adherence_summary),
     "store_flags": _from_detail(device_adherence.store_summary),
     "flagged_managers_total": _from_detail(device_adherence.flagged_managers),

@@ -49,6 +49,3 @@ BANDS = [(85, "on_track"), (75, "watch"), (60, "behind")]
 LOWEST_BAND = "critical"
 GRAND_TOTAL = "Grand Total"
 # --------------------------------------------------------------------------------------
-
-# A report cell lists at most this many codes; further codes go on in the next `part`.
-CODES_PER_CELL = 1_000

@@ -32,6 +32,12 @@ def texts(df: DataFrame, column: str, key: str) -> Column:
     return objects(df, column, key)[key]
 
 
+def parsed(df: DataFrame, kept: Sequence[str], **columns: Column) -> DataFrame:
+    """The kept columns and the given expressions, each evaluated once per row however often its name is used:
+    nothing above a generator is moved below it, so a filter and a projection share the parse."""
+    return df.select(*kept, F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
+
+
 def any_in(array: Column, values: Sequence[str]) -> Column:
     """True when an array of texts holds one of the values; never NULL."""
     return F.coalesce(F.arrays_overlap(array, F.array(*[F.lit(v) for v in values])), F.lit(False))

@@ -1,13 +1,8 @@
-"""Comma-joined code lists whose cells stay bounded however many codes a group has.
+"""The codes behind the counts of a report: a long table beside a summary with one row per group.
 
-One group may hold a third of all rows, so its codes must never meet in one task. Rows are
-spread evenly by their id once; counting and packing both read that one exchange, so the scan
-and joins behind it run a single time. The count (partial aggregation) fixes how many cells the
-group needs, and each code goes to a cell by the hash of its row id. Small groups get the single
-cell `part = 0`; large ones go on in further parts. No code is lost.
-
-A fixed domain enters as extra rows without a code, so empty groups need no outer join; such
-rows may carry group measures (totals) along.
+A group may hold a third of all rows, so no list of its codes is built anywhere: the code is part of the
+aggregation key, which spreads a hot group over all tasks, after partial aggregation by code. The summary
+counts every row, with or without a code; the long table has the codes that are there.
 """
 
 from __future__ import annotations
@@ -16,84 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from floortally import constants as C
-from floortally.functions.numbers import sum_or_zero
-from floortally.operators.shaping import append
-
-
-def packed_codes(
-    rows: DataFrame,
-    keys: Sequence[str],
-    code: str,
-    row_id: str,
-    per_cell: int = C.CODES_PER_CELL,
-    domain: DataFrame | None = None,
-    carry: Sequence[str] = (),
-) -> DataFrame:
-    """Keys, `part`, `n_rows` of the whole group, the part's sorted `codes` and carried measures."""
-    rows = _coded(rows, [*keys], code, row_id, F.lit(1))
-    return _pack(rows, keys, {"": F.lit(True)}, per_cell, domain, carry).withColumnsRenamed(
-        {"_count": "n_rows", "_codes": "codes"}
-    )
-
-
-def packed_table(
-    rows: DataFrame,
-    keys: Sequence[str],
-    column: str,
-    prefixes: dict[str, str],
-    code: str,
-    row_id: str,
-    per_cell: int = C.CODES_PER_CELL,
-    distinct: bool = False,
-    weight: Column | None = None,
-    domain: DataFrame | None = None,
-    carry: Sequence[str] = (),
-) -> DataFrame:
-    """Lists side by side: per value of `column` a `<prefix>_count` (summed weights of the whole
-    group, on every part) and the part's `<prefix>_codes`."""
-    rows = _coded(rows, [*keys, column], code, row_id, F.lit(1) if weight is None else weight)
-    if distinct:
-        rows = (
-            rows.withColumn("_code", F.trim("_code"))
-            .groupBy(*keys, column, "_code")
-            .agg(F.min("_row").alias("_row"), F.sum("_weight").alias("_weight"))
-        )
-    tests = {prefix: F.col(column) == value for value, prefix in prefixes.items()}
-    return _pack(rows, keys, tests, per_cell, domain, carry)
-
-
-def _coded(rows: DataFrame, keys: Sequence[str], code: str, row_id: str, weight: Column) -> DataFrame:
-    """Every row counts; one whose code is NULL or blank only has no place in the list."""
-    listed = F.when(F.trim(F.col(code)) != "", F.col(code))
-    return rows.select(
-        *keys, listed.alias("_code"), F.col(row_id).alias("_row"), weight.cast("bigint").alias("_weight")
-    )
+from floortally.functions.text import not_blank
 
 
-def _pack(
-    rows: DataFrame,
-    keys: Sequence[str],
-    tests: dict[str, Column],
-    per_cell: int,
-    domain: DataFrame | None,
-    carry: Sequence[str],
-) -> DataFrame:
-    if domain is not None:
-        rows = append(rows, domain)
-    rows = rows.repartition(*rows.columns)
-    n_codes = [F.count(F.when(test, F.col("_code"))) for test in tests.values()]
-    most = F.greatest(*n_codes) if len(n_codes) > 1 else n_codes[0]
-    sizes = rows.groupBy(*keys).agg(
-        F.greatest(F.lit(1), F.ceil(most / per_cell)).cast("bigint").alias("_parts"),
-        *[sum_or_zero(F.when(test, F.col("_weight"))).alias(f"{p}_count") for p, test in tests.items()],
-        *[F.max(c).alias(c) for c in carry],
-    )
-    counts = [f"{p}_count" for p in tests]
-    placed = rows.drop(*carry).join(sizes, list(keys))
-    placed = placed.withColumn("part", F.pmod(F.xxhash64("_row"), F.col("_parts")))
-    lists = [
-        F.array_join(F.sort_array(F.collect_list(F.when(test, F.col("_code")))), ", ").alias(f"{p}_codes")
-        for p, test in tests.items()
-    ]
-    return placed.groupBy(*keys, "part").agg(*[F.first(c).alias(c) for c in (*counts, *carry)], *lists)
+def code_counts(rows: DataFrame, keys: Sequence[str], code: str, weight: Column | None = None) -> DataFrame:
+    """Keys, code and `n`, the rows (or summed weights) of the group with that code; NULL and blank codes are left out."""
+    rows = rows.select(*keys, F.trim(code).alias(code), (F.lit(1) if weight is None else weight).cast("bigint").alias("n"))
+    return rows.where(not_blank(F.col(code))).groupBy(*keys, code).agg(F.sum("n").alias("n"))

@@ -19,6 +19,20 @@ def mean_of_rounded(value: Column, digits: int = 1) -> Column:
     return F.sum(units) / (F.count(value) * float(10**digits))
 
 
+def mean_parts(value: Column, name: str, digits: int = 1) -> list[Column]:
+    """What `mean_of_rounded` is made of, as two columns that further aggregates can add up."""
+    units = F.rint(value * float(10**digits)).cast("bigint")
+    return [F.sum(units).alias(f"{name}_units"), F.count(value).alias(f"{name}_n")]
+
+
+def added_parts(name: str) -> list[Column]:
+    return [F.sum(part).alias(part) for part in (f"{name}_units", f"{name}_n")]
+
+
+def mean_of_parts(name: str, digits: int = 1) -> Column:
+    return F.when(F.col(f"{name}_n") > 0, F.col(f"{name}_units") / (F.col(f"{name}_n") * float(10**digits)))
+
+
 def grouped_with_total(df: DataFrame, keys: Sequence[str], label: str, *measures: Column) -> DataFrame:
     """Aggregate by keys + label and by the keys alone in one pass (grouping sets).
 

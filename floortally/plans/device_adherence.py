@@ -14,10 +14,10 @@ from floortally.functions.numbers import count_where, half_even, percent, sql_pe
 from floortally.functions.periods import month_start, parse_date
 from floortally.functions.text import device_code
 from floortally.operators.asof import as_date
-from floortally.operators.joins import keep_matching, left_on, split_left_join
+from floortally.operators.joins import left_on, split_left_join
 from floortally.operators.shaping import sorted_nulls_last
 from floortally.operators.temporal import valid_on
-from floortally.operators.totals import mean_of_rounded, with_total
+from floortally.operators.totals import added_parts, mean_of_parts, mean_of_rounded, mean_parts, with_total
 from floortally.plans.organisation import in_regions, store_chain
 from floortally.sources.tables import Tables
 
@@ -294,37 +294,62 @@ def adherence_summary(detail: DataFrame) -> DataFrame:
     return _finish(_manager_rows(detail))
 
 
-def _store_means(detail: DataFrame) -> DataFrame:
-    """Mean week figures of the staffed devices per store and manager."""
-    staffed = detail.where(
-        F.col("staff_name").isNotNull() & F.col("manager").isNotNull() & F.col("store").isNotNull()
-    )
-    return staffed.groupBy("regional_manager_id", "store", "manager").agg(
-        whole(half_even(mean_of_rounded(F.col("adherence_pct")))).alias("time_log_pct"),
-        whole(half_even(mean_of_rounded(F.col("blank_pct")))).alias("blank_pct"),
+def _store_states(detail: DataFrame) -> DataFrame:
+    """Per region, store and manager the counts and parts of means that add up to the manager's.
+
+    A device counts once per manager, at the first of its rows. A store without staffed devices has no means."""
+    staffed = F.col("staff_name").isNotNull()
+    rows_of_device = W.partitionBy(*KEYS, "device").orderBy(F.asc_nulls_last("store"), F.asc_nulls_last("staff_name"))
+    rows = detail.where(F.col("manager").isNotNull()).withColumn("_nth", F.row_number().over(rows_of_device))
+    parts = [part for name, c in MEANS.items() for part in mean_parts(F.when(staffed, F.col(c)), name)]
+    return rows.groupBy("regional_manager_id", "store", "manager").agg(
+        count_where((F.col("_nth") == 1) & F.col("device").isNotNull()).alias("total_devices"),
+        count_where(~staffed).alias("inactive_devices"),
+        sum_or_zero(F.when(staffed, F.col("total_files"))).alias("total_files"),
+        count_where(staffed).alias("_staffed"),
+        *parts,
     )
 
 
+def _is_store() -> Column:
+    return F.col("store").isNotNull() & (F.col("_staffed") > 0)
+
+
 def store_summary(detail: DataFrame) -> DataFrame:
     """Mean week figures per store with the alert flag; the halves meet on the store name."""
-    means = _store_means(detail)
-    logged = means.select("regional_manager_id", "store", "manager", "time_log_pct")
-    blank = means.select("regional_manager_id", "store", F.col("manager").alias("blank_manager"), "blank_pct")
+    means = [whole(half_even(mean_of_parts(name))).alias(name) for name in ("time_log_pct", "blank_pct")]
+    stores = _store_states(detail).where(_is_store()).select("regional_manager_id", "store", "manager", *means)
+    # The managers of one store name: a few rows, one for each of its area managers.
+    named = F.collect_list(F.struct(F.col("manager").alias("blank_manager"), "blank_pct")).over(W.partitionBy("regional_manager_id", "store"))
     flagged = rules.blank_alert(F.col("blank_pct")) | rules.adherence_alert(F.col("time_log_pct"))
-    return logged.join(blank, ["regional_manager_id", "store"], "left").withColumn("flagged", flagged)
-
-
-def _managers_with_flagged_store(detail: DataFrame) -> DataFrame:
-    """Managers with a low time log, or with a store name under which some blank share is high."""
-    same_name = W.partitionBy("regional_manager_id", "store")
-    worst = F.max("blank_pct").over(same_name)
-    stores = _store_means(detail).withColumn("worst_blank_pct", worst)
-    return stores.where(rules.blank_alert(F.col("worst_blank_pct")) | rules.adherence_alert(F.col("time_log_pct")))
+    return (
+        stores.withColumn("_named", named)
+        .select("regional_manager_id", "store", "manager", "time_log_pct", F.inline("_named"))
+        .withColumn("flagged", flagged)
+    )
 
 
 def flagged_managers(detail: DataFrame) -> DataFrame:
-    """The summary of managers having a flagged store, with a grand total per region."""
-    rows = keep_matching(_manager_rows(detail), _managers_with_flagged_store(detail), KEYS)
+    """The summary of managers having a flagged store, with a grand total per region.
+
+    A store is flagged by a low time log, or where a store of its name has a high blank share. Devices
+    are rolled up to stores, managers and regions in one pass over the detail."""
+    same_name = W.partitionBy("regional_manager_id", "store")
+    blank, log = (whole(half_even(mean_of_parts(name))) for name in ("blank_pct", "time_log_pct"))
+    stores = _store_states(detail).withColumn("_worst", F.max(F.when(_is_store(), blank)).over(same_name))
+    flagged = _is_store() & (rules.blank_alert(F.col("_worst")) | rules.adherence_alert(log))
+    counts = ["total_devices", "inactive_devices", "total_files", "_staffed"]
+    managers = stores.withColumn("_flagged", flagged).groupBy(*KEYS).agg(
+        *[F.sum(c).alias(c) for c in counts],
+        *[part for name in MEANS for part in added_parts(name)],
+        F.max("_flagged").alias("_flagged"),
+    )
+    rows = managers.where("_flagged").withColumns(
+        {
+            "active_devices": F.col("total_devices") - F.col("inactive_devices"),
+            **{name: half_even(mean_of_parts(name)) for name in MEANS},
+        }
+    )
     rows = with_total(rows, ["regional_manager_id"], "manager", [*COUNTS, "_staffed"], list(MEANS))
     staffed = F.when(F.col("is_total"), F.lit(None)).otherwise(F.col("_staffed"))
     return _finish(rows.withColumn("_staffed", staffed), "is_total")

@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from floortally import constants as C
 from floortally.functions import nested as N
 from floortally.functions.durations import parse_milliseconds
-from floortally.functions.numbers import percent_or_zero, whole
+from floortally.functions.numbers import percent_or_zero, sum_or_zero, whole
 from floortally.functions.text import not_blank
 from floortally.operators.asof import DAILY, DAY, MONTH, WEEK, WEEK_OR_MONTH, AsOf, Period, as_date, attach, within
-from floortally.operators.code_lists import packed_codes, packed_table
-from floortally.operators.shaping import share_of_total, top_k, with_domain
+from floortally.operators.code_lists import code_counts
+from floortally.operators.shaping import share_of_total, top_k
 from floortally.sources.tables import Tables
 
 # Short column prefixes for the follow-up issues, in the order of the fixed list.
@@ -37,39 +37,52 @@ def _flagged_calls(flags: DataFrame, calls: DataFrame) -> DataFrame:
     return flags.join(calls, flags.interaction_id == calls.id, "inner").drop(calls.id)
 
 
-def _issue_flags(t: Tables, *fields: str, extra: Sequence[str | Column] = ()) -> DataFrame:
-    """Lost-sale flags naming at least one follow-up issue, with these fields of their reasons."""
-    flags = lost_flags(t)
-    reasons = N.objects(flags, "reason_loss_of_sale", *fields, "sub_category").alias("reasons")
-    return flags.select(F.col("id").alias("flag_id"), "interaction_id", reasons, *extra).where(
-        N.any_in(F.col("reasons")["sub_category"], C.FOLLOW_UP_ISSUES)
-    )
+def _reasons(t: Tables, *fields: str, raw: Sequence[str] = ()) -> DataFrame:
+    """Lost-sale flags with these fields of their reasons as arrays, and raw columns."""
+    flags = lost_flags(t).withColumnRenamed("id", "flag_id")
+    return N.parsed(flags, ["flag_id", "interaction_id", *raw], reasons=N.objects(flags, "reason_loss_of_sale", *fields))
+
+
+def _issue_count(i: int) -> Column:
+    return F.col(f"n_{i}")
+
 
+def _issue_flags(t: Tables, raw: Sequence[str] = ()) -> DataFrame:
+    """Lost-sale flags with the number of times each follow-up issue is among their reasons."""
+    issues = F.col("reasons.sub_category")
+    counts = [N.occurrences(issues, issue).alias(f"n_{i}") for i, issue in enumerate(C.FOLLOW_UP_ISSUES)]
+    return _reasons(t, "sub_category", raw=raw).select("flag_id", "interaction_id", *raw, *counts)
 
-def _phone_calls(t: Tables, as_of: AsOf, *extra: str) -> DataFrame:
-    """Long calls in which a phone number was exchanged, with the number of exchanges."""
+
+def _phone_calls(t: Tables, as_of: AsOf) -> DataFrame:
+    """Long calls with the number of phone numbers exchanged."""
     calls = attach(long_calls(t.interactions), as_of, DAY)
-    exchanged = N.occurrences(N.texts(calls, "phone_number_discussion", "phone_number_exchange"), "true")
-    return calls.select("id", "as_of", "interaction_code", exchanged.alias("n_phones"), *extra).where(
-        F.col("n_phones") > 0
-    )
+    exchanged = N.texts(calls, "phone_number_discussion", "phone_number_exchange")
+    calls = N.parsed(calls, ["id", "as_of", "interaction_code"], exchanged=exchanged)
+    return calls.select("id", "as_of", "interaction_code", N.occurrences(F.col("exchanged"), "true").alias("n_phones"))
+
+
+def _has_issue() -> Column:
+    return sum((_issue_count(i) for i in range(1, len(C.FOLLOW_UP_ISSUES))), _issue_count(0)) > 0
 
 
 def follow_ups(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
     """One row per follow-up call, exchanged phone number and loss reason."""
-    flags = _issue_flags(t, "category", "reason", extra=["primary_category_new", "customer_objection_handling"])
-    names = ["audio_url", "start_time", "end_time", "date", "sales_person_id", "store_id"]
-    calls = _phone_calls(t, as_of, "phone_number_discussion", *names)
+    flags = _reasons(t, "category", "reason", "sub_category", raw=["primary_category_new", "customer_objection_handling"])
+    flags = flags.where(N.any_in(F.col("reasons.sub_category"), C.FOLLOW_UP_ISSUES))
+    calls = attach(long_calls(t.interactions), as_of, DAY)
     phones = N.objects(calls, "phone_number_discussion", "phone_number", "exchange_context", "phone_number_exchange")
+    names = ["id", "as_of", "audio_url", "interaction_code", "start_time", "end_time", "date", "sales_person_id", "store_id"]
+    calls = N.parsed(calls, names, phones=phones).where(N.any_in(F.col("phones.phone_number_exchange"), ["true"]))
     staff = t.sales_persons.select(F.col("id").alias("sales_person_id"), F.col("name").alias("se_name"))
     stores = t.stores.select(F.col("id").alias("store_id"), F.col("name").alias("store_name"))
     return (
         _flagged_calls(flags, calls)
         .join(staff, "sales_person_id", "left")
         .join(stores, "store_id", "left")
-        .withColumn("phone", F.explode_outer(phones))
+        .withColumn("phone", F.explode("phones"))
         .where(F.col("phone.phone_number_exchange") == "true")
-        .withColumn("loss", F.explode_outer("reasons"))
+        .withColumn("loss", F.explode("reasons"))
         .select(
             "as_of",
             "audio_url",
@@ -101,34 +114,59 @@ def unsuccessful_total(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
     return rows.groupBy("as_of").agg(count)
 
 
-def reason_summary(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_CELL) -> DataFrame:
-    """R2: per follow-up issue the row count, its share of the lost sales and the call codes."""
-    issue = F.col("sub_category")
-    rows = (
-        _flagged_calls(_issue_flags(t), _phone_calls(t, as_of))
-        .withColumn("sub_category", F.explode_outer("reasons.sub_category"))
-        .where(issue.isin(C.FOLLOW_UP_ISSUES))
-        .withColumn("phone", F.explode_outer(F.array_repeat(F.lit(1), F.col("n_phones"))))
-    )
-    domain = with_domain(unsuccessful_total(t, as_of), "sub_category", C.FOLLOW_UP_ISSUES)
-    lists = packed_codes(
-        rows, ["as_of", "sub_category"], "interaction_code", "flag_id", per_cell, domain, ["interaction_count"]
-    )
-    return lists.select(
-        "as_of",
-        "sub_category",
-        "part",
-        F.col("n_rows").alias("interactions"),
-        percent_or_zero(F.col("n_rows"), F.col("interaction_count"), 1).alias("pct"),
-        F.col("codes").alias("interaction_codes"),
+def _counted_issues(t: Tables, as_of: AsOf) -> DataFrame:
+    """Lost-sale flags of long calls with the rows they stand for per issue, one per phone exchange and reason."""
+    rows = _flagged_calls(_issue_flags(t), _phone_calls(t, as_of))
+    counts = [(F.col("n_phones") * _issue_count(i)).alias(f"n_{i}") for i in range(len(C.FOLLOW_UP_ISSUES))]
+    return rows.select("as_of", "flag_id", "interaction_code", *counts)
+
+
+def _issue_rows(*extra: Column) -> Column:
+    """One row per follow-up issue from the columns n_0, n_1, ... of a group or flag."""
+    rows = [F.struct(F.lit(issue).alias("sub_category"), _issue_count(i).alias("n"), *extra) for i, issue in enumerate(C.FOLLOW_UP_ISSUES)]
+    return F.inline(F.array(*rows))
+
+
+def reason_summary(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
+    """R2: per follow-up issue the row count and its share of the day's lost sales, from one aggregate over one join."""
+    sums = [sum_or_zero(_issue_count(i)).alias(f"n_{i}") for i in range(len(C.FOLLOW_UP_ISSUES))]
+    rows = _counted_issues(t, as_of)
+    total = F.count("flag_id").alias("interaction_count")
+    if isinstance(as_of, dt.date):
+        days = rows.agg(total, *sums).withColumn("as_of", as_date(as_of))
+    else:
+        days = rows.groupBy("as_of").agg(total, *sums)
+    share = percent_or_zero(F.col("n"), F.col("interaction_count"), 1).alias("pct")
+    return days.select("as_of", "interaction_count", _issue_rows()).select(
+        "as_of", "sub_category", F.col("n").alias("interactions"), share
     )
 
 
-def _daily_labels(t: Tables, array: str, key: str, label: str) -> DataFrame:
+def reason_codes(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
+    """R2: the call codes behind each count of the reason summary, with the rows of each."""
+    rows = _counted_issues(t, as_of).select("as_of", "interaction_code", _issue_rows()).where("n > 0")
+    return code_counts(rows, ["as_of", "sub_category"], "interaction_code", F.col("n"))
+
+
+def phone_follow_ups(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
+    """R1 headline: lost sales of the day and the follow-up rows with a phone number, as `follow_ups` lists them."""
+    flags = _reasons(t, "sub_category")
+    named = F.when(N.any_in(F.col("reasons.sub_category"), C.FOLLOW_UP_ISSUES), F.size("reasons")).otherwise(0)
+    rows = _flagged_calls(flags.select("flag_id", "interaction_id", named.alias("n_reasons")), _phone_calls(t, as_of))
+    counts = [
+        F.count("flag_id").alias("interaction_count"),
+        sum_or_zero(F.col("n_phones") * F.col("n_reasons")).alias("phone_rows"),
+    ]
+    if isinstance(as_of, dt.date):
+        return rows.agg(*counts).select(as_date(as_of).alias("as_of"), "interaction_count", "phone_rows")
+    return rows.groupBy("as_of").agg(*counts)
+
+
+def _daily_labels(t: Tables, array: str, key: str, label: str, calls: DataFrame | None = None) -> DataFrame:
     """Lost-sale calls with their date and one row per array element's label (NULL for none)."""
     flags = lost_flags(t)
     flags = flags.select("interaction_id", N.texts(flags, array, key).alias("labels"))
-    calls = long_calls(t.interactions).select("id", "interaction_code", "date")
+    calls = long_calls(t.interactions if calls is None else calls).select("id", "interaction_code", "date")
     return _flagged_calls(flags, calls).select(
         "date", "interaction_code", F.explode_outer("labels").alias(label)
     )
@@ -164,33 +202,35 @@ def top_reasons(t: Tables, as_of: AsOf = DAILY, period: Period = MONTH, k: int =
     )
 
 
-def category_issues(t: Tables, as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_CELL) -> DataFrame:
-    """Product category x follow-up issue: row counts and distinct call codes.
+def _counted_categories(t: Tables, as_of: AsOf) -> DataFrame:
+    """Follow-up flags per product category. Rows are the product of phone exchanges, categories and reasons of
+    a call; exchanges and reasons only multiply the counts, so they travel as numbers instead of being exploded."""
+    flags = lost_flags(t).withColumnRenamed("id", "flag_id")
+    flags = N.parsed(
+        flags,
+        ["flag_id", "interaction_id"],
+        issues=N.texts(flags, "reason_loss_of_sale", "sub_category"),
+        categories=N.texts(flags, "primary_category_new", "category"),
+    )
+    counts = [N.occurrences(F.col("issues"), issue).alias(f"n_{i}") for i, issue in enumerate(C.FOLLOW_UP_ISSUES)]
+    flags = flags.select("interaction_id", "categories", *counts).where(_has_issue())
+    rows = _flagged_calls(flags, _phone_calls(t, as_of).where("n_phones > 0"))
+    rows = rows.withColumn("prod_category", F.explode("categories")).where(not_blank(F.col("prod_category")))
+    weighted = [(F.col("n_phones") * _issue_count(i)).alias(f"n_{i}") for i in range(len(C.FOLLOW_UP_ISSUES))]
+    return rows.select("as_of", "prod_category", "interaction_code", *weighted)
 
-    Rows are the product of phone exchanges, categories and reasons of a call. The exchanges only
-    multiply the counts, so they travel as a weight instead of being exploded.
-    """
-    flags = lost_flags(t)
-    categories = N.texts(flags, "primary_category_new", "category").alias("categories")
+
+def category_issues(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
+    """Product category x follow-up issue, the number of rows in each cell."""
+    sums = [sum_or_zero(_issue_count(i)).alias(f"{prefix}_count") for i, prefix in enumerate(ISSUE_PREFIXES.values())]
+    return _counted_categories(t, as_of).groupBy("as_of", "prod_category").agg(*sums)
+
+
+def category_codes(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
+    """The call codes behind each cell of the product-category table, with the rows of each."""
     keys = ["as_of", "prod_category"]
-    rows = (
-        _flagged_calls(_issue_flags(t, extra=[categories]), _phone_calls(t, as_of))
-        .withColumn("prod_category", F.explode_outer("categories"))
-        .where(not_blank(F.col("prod_category")))
-        .withColumn("issue", F.explode_outer("reasons.sub_category"))
-        .where(F.col("issue").isin(C.FOLLOW_UP_ISSUES))
-    )
-    return packed_table(
-        rows,
-        keys,
-        "issue",
-        ISSUE_PREFIXES,
-        "interaction_code",
-        "flag_id",
-        per_cell,
-        distinct=True,
-        weight=F.col("n_phones"),
-    )
+    rows = _counted_categories(t, as_of).select(*keys, "interaction_code", _issue_rows()).where("n > 0")
+    return code_counts(rows, [*keys, "sub_category"], "interaction_code", F.col("n"))
 
 
 def _distinct_calls(t: Tables, array: str, key: str, label: str) -> DataFrame:
@@ -202,15 +242,20 @@ def _distinct_calls(t: Tables, array: str, key: str, label: str) -> DataFrame:
     )
 
 
-def _first_seen(t: Tables, array: str, key: str, label: str) -> DataFrame:
+def _first_seen(t: Tables, array: str, key: str, label: str, as_of: AsOf) -> DataFrame:
     """Per day and label, the calls not seen before in the day's month and in its week.
 
+    A report of one day looks no further back than its week and month, as earlier dates decide nothing there.
+
     A code may recur on a later date, so distinct codes of days do not add up; but a period that
     ends on any as-of day begins on the day's own first, so its distinct codes are those whose
     previous date lies before that first.
     """
+    calls = t.interactions
+    if isinstance(as_of, dt.date):
+        calls = attach(calls, as_of, WEEK_OR_MONTH).drop("as_of")
     days = (
-        _daily_labels(t, array, key, label)
+        _daily_labels(t, array, key, label, calls)
         .where(F.col("interaction_code").isNotNull())
         .select("date", label, "interaction_code")
         .distinct()
@@ -229,7 +274,7 @@ def category_trend(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
 
     Categories seen only in the part of the week before the month began are left out.
     """
-    daily = _first_seen(t, "primary_category_new", "category", "prod_category").where(
+    daily = _first_seen(t, "primary_category_new", "category", "prod_category", as_of).where(
         not_blank(F.col("prod_category"))
     )
     return (

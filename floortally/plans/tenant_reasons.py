@@ -10,8 +10,8 @@ from floortally import constants as C
 from floortally.functions import nested as N
 from floortally.functions.numbers import count_where, percent_or_zero, sum_or_zero
 from floortally.operators.asof import DAILY, DAY, MONTH, MONTH_END, WEEK, WEEK_OR_MONTH, AsOf, as_date, attach, within
-from floortally.operators.code_lists import packed_codes, packed_table
-from floortally.operators.shaping import append, with_domain
+from floortally.operators.code_lists import code_counts
+from floortally.operators.shaping import append
 from floortally.plans.lost_sales import long_calls
 from floortally.sources.tables import Tables
 from floortally.sources.tenants import Tenant, tag, tenant_frame
@@ -49,30 +49,34 @@ def outcome_totals(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) ->
     )
 
 
-def reasons_of_day(
-    t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_CELL
-) -> DataFrame:
-    """Fixed loss categories with row count, share of the lost calls and call codes."""
+def _categorised_calls(t: Tables, tenants: Sequence[Tenant], as_of: AsOf) -> DataFrame:
+    """Calls of the day with the loss categories of the lost ones."""
     calls = attach(_tenant_calls(t, tenants), as_of, DAY)
     lost = F.col("sales_outcome") == C.LOST_CALL_OUTCOME
-    totals = calls.groupBy(*KEYS).agg(count_where(lost & F.col("interaction_code").isNotNull()).alias("lost_calls"))
-    categories = N.texts(calls, "reason_loss_of_sale", "category")
-    rows = (
-        calls.where(lost)
-        .select("id", *KEYS, "interaction_code", F.explode_outer(categories).alias("category"))
-        .where(F.col("category").isin(C.LOSS_CATEGORIES))
-    )
-    totals = _with_idle(totals, tenants, as_of).withColumn("lost_calls", F.coalesce("lost_calls", F.lit(0)))
-    domain = with_domain(totals, "category", C.LOSS_CATEGORIES)
-    lists = packed_codes(rows, [*KEYS, "category"], "interaction_code", "id", per_cell, domain, ["lost_calls"])
-    return lists.select(
-        *KEYS,
-        "category",
-        "part",
-        F.col("n_rows").alias("interactions"),
-        percent_or_zero(F.col("n_rows"), F.col("lost_calls"), 1).alias("pct"),
-        F.col("codes").alias("interaction_codes"),
+    calls = calls.withColumn("lost", lost)
+    categories = F.when(F.col("lost"), N.texts(calls, "reason_loss_of_sale", "category"))
+    return N.parsed(calls, [*KEYS, "lost", "interaction_code"], categories=categories)
+
+
+def reasons_of_day(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
+    """Fixed loss categories with row count and share of the lost calls, from one aggregate per tenant and day."""
+    calls = _categorised_calls(t, tenants, as_of)
+    counts = [N.occurrences(F.col("categories"), name).alias(f"n_{i}") for i, name in enumerate(C.LOSS_CATEGORIES)]
+    known_loss = (F.col("lost") & F.col("interaction_code").isNotNull()).alias("known_loss")
+    rows = _with_idle(calls.select(*KEYS, known_loss, *counts), tenants, as_of)
+    days = rows.groupBy(*KEYS).agg(
+        count_where(F.col("known_loss")).alias("lost_calls"),
+        *[sum_or_zero(F.col(f"n_{i}")).alias(f"n_{i}") for i in range(len(C.LOSS_CATEGORIES))],
     )
+    cells = [F.struct(F.lit(name).alias("category"), F.col(f"n_{i}").alias("interactions")) for i, name in enumerate(C.LOSS_CATEGORIES)]
+    share = percent_or_zero(F.col("interactions"), F.col("lost_calls"), 1).alias("pct")
+    return days.select(*KEYS, "lost_calls", F.inline(F.array(*cells))).select(*KEYS, "category", "interactions", share)
+
+
+def reason_codes(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
+    """The call codes behind each count of the day's loss categories, with the rows of each."""
+    rows = _categorised_calls(t, tenants, as_of).select(*KEYS, "interaction_code", F.explode("categories").alias("category"))
+    return code_counts(rows.where(F.col("category").isin(C.LOSS_CATEGORIES)), [*KEYS, "category"], "interaction_code")
 
 
 def reason_trend(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
@@ -108,31 +112,42 @@ def reason_trend(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> D
     return wide.select(*KEYS, F.inline(rows))
 
 
-def objection_handling(
-    t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY, per_cell: int = C.CODES_PER_CELL
-) -> DataFrame:
-    """Fixed objection categories x handlings: counts and call codes, plus all objections."""
+def _objections(t: Tables, tenants: Sequence[Tenant], as_of: AsOf) -> DataFrame:
+    """Objections raised in the day's calls, one row each; a call without one keeps a row."""
     calls = attach(_tenant_calls(t, tenants), as_of, DAY)
     raised = N.objects(calls, "customer_objection_handling", "category", "handling")
-    rows = calls.select("id", *KEYS, "interaction_code", F.explode_outer(raised).alias("objection")).select(
-        "id", *KEYS, "interaction_code", "objection.category", "objection.handling"
+    return calls.select(*KEYS, "interaction_code", F.explode_outer(raised).alias("objection")).select(
+        *KEYS, "interaction_code", "objection.category", "objection.handling"
     )
-    counted = F.col("category").isNotNull() & ~F.col("category").isin(C.NO_OBJECTION)
-    totals = rows.groupBy(*KEYS).agg(count_where(counted).alias("total_objections"))
-    totals = _with_idle(totals, tenants, as_of).withColumn("total_objections", F.coalesce("total_objections", F.lit(0)))
-    rows = rows.where(F.col("category").isin(C.OBJECTION_CATEGORIES) & F.col("handling").isin(C.HANDLINGS))
-    prefixes = {handling: handling.lower() for handling in C.HANDLINGS}
-    table = packed_table(
-        rows,
-        [*KEYS, "category"],
-        "handling",
-        prefixes,
-        "interaction_code",
-        "id",
-        per_cell,
-        domain=with_domain(totals, "category", C.OBJECTION_CATEGORIES),
-        carry=["total_objections"],
+
+
+def objection_handling(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
+    """Fixed objection categories x handlings, and all objections, from one aggregate per tenant and day."""
+    category, handling = F.col("category"), F.col("handling")
+    rows = _with_idle(_objections(t, tenants, as_of), tenants, as_of)
+    days = rows.groupBy(*KEYS).agg(
+        count_where(category.isNotNull() & ~category.isin(C.NO_OBJECTION)).alias("total_objections"),
+        *[
+            count_where((category == name) & (handling == way)).alias(f"{way.lower()}_{i}")
+            for i, name in enumerate(C.OBJECTION_CATEGORIES)
+            for way in C.HANDLINGS
+        ],
     )
+    cells = [
+        F.struct(
+            F.lit(C.OBJECTION_LABELS[name]).alias("objection"),
+            *[F.col(f"{way.lower()}_{i}").alias(f"{way.lower()}_count") for way in C.HANDLINGS],
+        )
+        for i, name in enumerate(C.OBJECTION_CATEGORIES)
+    ]
+    counts = [f"{way.lower()}_count" for way in C.HANDLINGS]
+    return days.select(*KEYS, "total_objections", F.inline(F.array(*cells))).select(*KEYS, "objection", *counts, "total_objections")
+
+
+def objection_codes(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
+    """The call codes behind each cell of the objection table, with the rows of each."""
+    rows = _objections(t, tenants, as_of)
+    rows = rows.where(F.col("category").isin(C.OBJECTION_CATEGORIES) & F.col("handling").isin(C.HANDLINGS))
     labels = F.create_map(*[F.lit(x) for pair in C.OBJECTION_LABELS.items() for x in pair])
-    cells = [f"{prefix}_{kind}" for prefix in prefixes.values() for kind in ("count", "codes")]
-    return table.select(*KEYS, labels[F.col("category")].alias("objection"), "part", *cells, "total_objections")
+    rows = rows.withColumn("objection", labels[F.col("category")])
+    return code_counts(rows, [*KEYS, "objection", "handling"], "interaction_code")

@@ -55,19 +55,6 @@ def test_top_k_breaks_ties_by_label(spark):
     assert [r.l for r in got] == ["z", "a", "b"]
 
 
-def test_domain_rows_complete_the_groups_and_carry_totals(spark):
-    facts = spark.createDataFrame([("t", "x", "c1", 1), ("t", "x", "c2", 2)], "t string, k string, code string, id bigint")
-    groups = spark.createDataFrame([("t", 10), ("idle", 20)], "t string, total int")
-    domain = shaping.with_domain(groups, "k", ["x", "y"])
-    got = code_lists.packed_codes(facts, ["t", "k"], "code", "id", domain=domain, carry=["total"]).collect()
-    assert {(r.t, r.k, r.part, r.n_rows, r.codes, r.total) for r in got} == {
-        ("t", "x", 0, 2, "c1, c2", 10),
-        ("t", "y", 0, 0, "", 10),
-        ("idle", "x", 0, 0, "", 20),
-        ("idle", "y", 0, 0, "", 20),
-    }
-
-
 def test_shares_sum_to_hundred_within_rounding(spark):
     rng = random.Random(3)
     rows = [(g, f"k{i}", rng.randint(1, 99)) for g in "ab" for i in range(9)]
@@ -91,41 +78,28 @@ def test_sort_orders(spark):
         assert [r.v for r in df.orderBy(*shaping.pinned_order("total", "v", ascending)).collect()] == expected
 
 
-def test_code_lists_stay_bounded_and_whole_under_a_hot_group(spark):
-    rows = [(1, "hot", f"c{n:05d}", n * 8) for n in range(5000)] + [(1, "cold", f"d{n}", n) for n in range(3)]
-    df = spark.createDataFrame(rows, "day int, g string, code string, id bigint")
-    got = code_lists.packed_codes(df, ["day", "g"], "code", "id", per_cell=50).collect()
-    hot = [r for r in got if r.g == "hot"]
-    assert len(hot) > 90 and max(len(r.codes.split(", ")) for r in hot) < 150
-    assert sorted(x for r in hot for x in r.codes.split(", ")) == [f"c{n:05d}" for n in range(5000)]
-    assert {r.n_rows for r in hot} == {5000}
-    assert [(r.part, r.codes) for r in got if r.g == "cold"] == [(0, "d0, d1, d2")]
-
-
-def test_distinct_code_lists_keep_weights(spark):
-    rows = [("g", "x", " a ", 1, 2), ("g", "x", "a", 2, 3), ("g", "x", "", 3, 4), ("g", "x", None, 4, 5), ("g", "y", "b", 5, 1)]
-    df = spark.createDataFrame(rows, "g string, k string, code string, id bigint, w int")
-    names = {"x": "x", "y": "y", "z": "z"}
-    got = code_lists.packed_table(df, ["g"], "k", names, "code", "id", distinct=True, weight=c("w")).collect()
-    assert [r.asDict() for r in got] == [
-        dict(g="g", part=0, x_count=14, x_codes="a", y_count=1, y_codes="b", z_count=0, z_codes="")
-    ]
-
-
-def test_rows_without_a_code_count(spark):
-    rows = [("g", "A", 1), ("g", None, 2), ("g", " ", 3), ("h", None, 4)]
-    df = spark.createDataFrame(rows, "g string, code string, id bigint")
-    got = code_lists.packed_codes(df, ["g"], "code", "id").collect()
-    assert {(r.g, r.n_rows, r.codes) for r in got} == {("g", 3, "A"), ("h", 1, "")}
-
-
-def test_lists_side_by_side_repeat_counts_on_every_part(spark):
-    rows = [("g", "x", f"c{n}", n) for n in range(400)] + [("g", "y", "d", 1)]
-    df = spark.createDataFrame(rows, "g string, k string, code string, id bigint")
-    got = code_lists.packed_table(df, ["g"], "k", {"x": "x", "y": "y"}, "code", "id", per_cell=50).collect()
-    assert len(got) == 8 and {(r.x_count, r.y_count) for r in got} == {(400, 1)}
-    assert sorted(x for r in got for x in r.x_codes.split(", ")) == sorted(f"c{n}" for n in range(400))
-    assert [r.y_codes for r in got if r.y_codes] == ["d"]
+def test_code_counts_of_a_hot_group_lie_in_no_single_partition(spark):
+    hot = spark.range(36_000).selectExpr("1 as day", "'hot' as g", "concat('c', id % 9000) as code", "2 as w")
+    cold = spark.range(4_000).selectExpr("1 as day", "concat('g', id % 7) as g", "concat('d', id) as code", "1 as w")
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        got = code_lists.code_counts(hot.union(cold), ["day", "g"], "code", c("w"))
+        sizes = got.where("g = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set(name, "true")
+    assert sum(r["count"] for r in sizes) == 9000 and max(r["count"] for r in sizes) < 9000 / 2
+    assert got.where("g = 'hot'").agg(F.min("n"), F.max("n")).first() == (8, 8)
+    assert got.agg(F.sum("n")).first()[0] == 2 * 36_000 + 4_000
+
+
+def test_code_counts_leave_out_missing_codes(spark):
+    rows = [("g", " a ", 2), ("g", "a", 3), ("g", "", 4), ("g", None, 5), ("h", None, 1), (None, "b", 1)]
+    df = spark.createDataFrame(rows, "g string, code string, w int")
+    got = code_lists.code_counts(df, ["g"], "code").collect()
+    assert {tuple(r) for r in got} == {("g", "a", 2), (None, "b", 1)}
+    assert {tuple(r) for r in code_lists.code_counts(df, ["g"], "code", c("w")).collect()} == {("g", "a", 5), (None, "b", 1)}
+    assert code_lists.code_counts(df.limit(0), ["g"], "code").count() == 0
 
 
 def test_split_left_join_is_a_left_join(spark):
