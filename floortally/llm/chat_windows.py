@@ -67,10 +67,10 @@ def read_back(window: str) -> list[tuple[str, str, int]]:
     return turns
 
 
-def token_counter(tokenizer_json: str) -> Callable[[str], int]:
+def token_counter(tokenizer_json: str, singles: list[str]) -> Callable[[str], int]:
     """Tokens of a text as the tokenizer counts them, proven whole tokens without merging."""
     own = tokens._tokenizer(tokenizer_json)
-    counts, special = tokens.Counter(own, tokens.proven_singles(own)), tokens.special_strings(own)
+    counts, special = tokens.Counter(own, singles), tokens.special_strings(own)
     find, plain = regex.compile(tokens.PRE_TOKEN).findall, regex.compile(tokens.PLAIN).fullmatch
 
     def count(text: str) -> int:
@@ -82,11 +82,12 @@ def token_counter(tokenizer_json: str) -> Callable[[str], int]:
 
 
 def _turns(conversations: DataFrame, tokenizer_json: str) -> DataFrame:
-    """Rendered turns with their tokens."""
+    """Rendered turns with their tokens, each counted once: the table is written before it is sampled for ranges."""
+    singles = tokens.proven_singles(tokens._tokenizer(tokenizer_json))
     schema = "conv_id long, turn long, said string, is_system boolean, is_target boolean, n_tokens long"
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = token_counter(tokenizer_json)
+        count = token_counter(tokenizer_json, singles)
         for batch in batches:
             roles = batch.column("role").fill_null("").to_pylist()
             said = [rendered(r, t) for r, t in zip(roles, batch.column("text").fill_null("").to_pylist())]
@@ -97,7 +98,7 @@ def _turns(conversations: DataFrame, tokenizer_json: str) -> DataFrame:
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role"), F.col("text")
     )
-    return rows.mapInArrow(render, schema)
+    return stored(rows.mapInArrow(render, schema))
 
 
 def _placed(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -133,6 +134,7 @@ def _placed(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in schema.split(", ")])
 
     local = stored(ranged.mapInArrow(sums, schema))
+    discard(turns)
     cells = local.groupBy("conv_id", "cell").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("size"))
     earlier = Window.partitionBy("conv_id").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     # Only a range's first conversation can have begun in an earlier one: a row a range at most.

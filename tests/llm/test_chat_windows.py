@@ -66,7 +66,7 @@ def by_conversation(rows):
 
 
 def test_windows_hold_each_turn_once_within_the_budget(spark, rows, tokenizer):
-    count = W.token_counter(tokenizer)
+    count = W.token_counter(tokenizer, [])
     windows = {}
     for w in W.chat_windows(framed(spark, rows, 7), tokenizer, SMALL).collect():
         windows.setdefault(w.conv_id, []).append(w)
