@@ -168,6 +168,21 @@ def event_schemes(events: DataFrame) -> DataFrame:
     return _numbered_events(events).selectExpr("event_id as id", "event_id as interaction_id", f"{sop} as sop_new")
 
 
+def _interval_forms(seconds: str, clock: str) -> str:
+    """The same duration in other forms of interval text, for some rows each."""
+    forms = [
+        f"concat({seconds}, ' seconds')",
+        f"concat({seconds} div 60, ' mins ', {seconds} % 60, '.0 secs')",
+        f"concat('0 days ', {clock})",
+        f"cast({seconds} as string)",
+        f"concat('+', {clock})",
+        f"concat({seconds} div 3600, 'h', {seconds} % 3600 div 60, 'm', {seconds} % 60, 's')",
+        f"if({seconds} % 60 = 0, substring({clock}, 1, length({clock}) - 3), {clock})",
+        f"concat('@ -', {seconds}, ' sec ago')",
+    ]
+    return " ".join(f"when k % 20 = {11 + i} then {form}" for i, form in enumerate(forms))
+
+
 def event_audio(events: DataFrame) -> DataFrame:
     seconds = "(cast(floor(value / 5) as bigint) * 100)"
     clock = (
@@ -181,7 +196,7 @@ def event_audio(events: DataFrame) -> DataFrame:
         "concat(date_format(ts, 'yyyyMMdd_HHmmss'), '.wav') as filename",
         "day as date",
         "if(k % 10 = 0 and k <> 10, date_add(day, 1), day) as createddate",
-        f"case k when 7 then null when 8 then '00:00:00' else {clock} end as duration",
+        f"case when k = 7 then null when k = 8 then '00:00:00' {_interval_forms(seconds, clock)} else {clock} end as duration",
         f"case when k = 50 then null when k >= 98 then cast({seconds} + 1 as string) "
         f"else cast({seconds} * k div 100 as string) end as speech_duration",
         "if(event_type = 'error', null, staff) as sales_person_id",
@@ -189,16 +204,19 @@ def event_audio(events: DataFrame) -> DataFrame:
 
 
 def event_attendance(events: DataFrame) -> DataFrame:
-    """First and last event of a user's day as clock times; every tenth day is unreadable."""
-    days = _numbered_events(events).groupBy("staff", "day").agg(
-        F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss").alias("first"),
-        F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss").alias("last"),
-    )
+    """First and last event of a user's day as clock times, in several forms; every tenth day is unreadable."""
+    days = _numbered_events(events).groupBy("staff", "day").agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
+
+    def written(time: str) -> str:
+        forms = {0: "M/d/yyyy H:mm:ss", 1: "d-MMM-yyyy HH:mm:ss", 2: "d MMM yyyy H:mm:ss"}
+        cases = " ".join(f"when {i} then date_format({time}, '{form}')" for i, form in forms.items())
+        return f"case dayofmonth(day) % 6 {cases} else date_format({time}, 'yyyy-MM-dd HH:mm:ss') end"
+
     return days.selectExpr(
         "concat('E', staff) as UserID",
-        "if(dayofmonth(day) % 10 = 3, 'n/a', first) as InDateTime",
-        "last as OutDateTime",
-        "cast(day as string) as Date",
+        f"if(dayofmonth(day) % 10 = 3, 'n/a', {written('first')}) as InDateTime",
+        f"{written('last')} as OutDateTime",
+        "if(dayofmonth(day) % 5 = 4, date_format(day, 'MMM d, yyyy'), cast(day as string)) as Date",
         "date_add(day, 1) as day",
     )
 

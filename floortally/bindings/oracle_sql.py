@@ -590,6 +590,11 @@ ORACLES = {
         ["attendance"],
         f"SELECT *, {_hms('wtd_shift_seconds')} AS wtd_shift, {_hms('mtd_shift_seconds')} AS mtd_shift FROM attendance",
     ),
+    "attendance_rejects": _query(
+        ["ev"],
+        f"""SELECT d + 1 AS day, 'InDateTime' AS field, count(*) AS rejected FROM (SELECT DISTINCT staff, d FROM ev)
+            WHERE day(d) % 10 = 3 AND d BETWEEN {MONTH_FROM} AND {AS_OF} GROUP BY d""",
+    ),
     "staff_mtd": _query(["employee_month"], "SELECT * FROM employee_month"),
     "blank_rules": _query(
         ["judged"],

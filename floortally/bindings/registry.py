@@ -83,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "device_roster": _audio(device_adherence.device_roster, D.AS_OF),
     "device_file_stats": _audio(device_adherence.device_file_stats, D.AS_OF, pattern=D.DEVICE_PATTERN),
     "attendance_rollup": _audio(device_adherence.attendance_rollup, D.AS_OF),
+    "attendance_rejects": _audio(device_adherence.attendance_rejects, D.AS_OF),
     "staff_mtd": _audio(device_adherence.staff_mtd, D.AS_OF),
     "blank_rules": _audio(device_adherence.blank_rules, D.AS_OF),
     "adherence_detail": _from_detail(device_adherence.sorted_detail),

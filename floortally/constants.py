@@ -48,4 +48,27 @@ ADHERENCE_ALERT_PCT = 85
 BANDS = [(85, "on_track"), (75, "watch"), (60, "behind")]
 LOWEST_BAND = "critical"
 GRAND_TOTAL = "Grand Total"
+# Date and time texts beside ISO, in the order they are tried; month before day where both could be.
+TIME_FORMATS = [
+    "yyyy/M/d[ H:mm[:ss]]",
+    "M/d/yyyy[ H:mm[:ss]]",
+    "M-d-yyyy[ H:mm[:ss]]",
+    "M/d/yyyy h:mm[:ss] a",
+    "d/M/yyyy[ H:mm[:ss]]",
+    "d-M-yyyy[ H:mm[:ss]]",
+    "d MMM yyyy[ H:mm[:ss]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "MMM d, yyyy[ H:mm[:ss]]",
+]
+# Units of interval texts in falling order, with the seconds SQL intervals give them.
+INTERVAL_UNITS = [
+    ("years?|yrs?|y", 31_557_600),
+    ("months?|mons?", 2_592_000),
+    ("weeks?|w", 604_800),
+    ("days?|d", 86_400),
+    ("hours?|hrs?|h", 3_600),
+    ("minutes?|mins?|m", 60),
+    ("seconds?|secs?|s", 1),
+    ("milliseconds?|msecs?|ms", 0.001),
+]
 # --------------------------------------------------------------------------------------

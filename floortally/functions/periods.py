@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
+from floortally import constants as C
+
 
 def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
@@ -90,11 +94,15 @@ def short_date(day: Column) -> Column:
     return F.date_format(day, "dd-MM-yyyy")
 
 
-def parse_timestamp(text: Column) -> Column:
-    """NULL when the text is no timestamp."""
-    return text.try_cast("timestamp_ntz")
+def parse_timestamp(text: Column, formats: Sequence[str] = C.TIME_FORMATS) -> Column:
+    """An ISO text, or the first of the formats that fits; NULL when none does."""
+    # Read as UTC and taken as the time since its epoch, so that the session's zone has no say.
+    marked = F.concat(F.trim(text), F.lit(" Z"))
+    tries = [F.try_to_timestamp(marked, F.lit(f"{form} XXX")) for form in formats]
+    since = F.coalesce(*tries) - F.expr("timestamp'1970-01-01 00:00:00Z'")
+    return F.coalesce(text.try_cast("timestamp_ntz"), F.expr("timestamp_ntz'1970-01-01 00:00:00'") + since)
 
 
-def parse_date(text: Column) -> Column:
-    """NULL when the text is no date."""
-    return text.try_cast("date")
+def parse_date(text: Column, formats: Sequence[str] = C.TIME_FORMATS) -> Column:
+    """The date of an ISO text or of the first of the formats that fits; NULL when none does."""
+    return F.coalesce(text.try_cast("date"), parse_timestamp(text, formats).cast("date"))

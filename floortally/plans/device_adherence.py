@@ -11,8 +11,8 @@ from floortally import constants as C
 from floortally.functions import rules
 from floortally.functions.durations import clock_text, default_shift, interval_seconds, shift_seconds
 from floortally.functions.numbers import count_where, half_even, percent, sql_percent, sum_or_zero, whole
-from floortally.functions.periods import month_start, parse_date
-from floortally.functions.text import device_code
+from floortally.functions.periods import month_start, parse_date, parse_timestamp
+from floortally.functions.text import device_code, not_blank
 from floortally.operators.asof import as_date
 from floortally.operators.joins import left_on, split_left_join
 from floortally.operators.shaping import sorted_nulls_last
@@ -112,21 +112,29 @@ def device_file_stats(
     )
 
 
-def attendance_rollup(t: Tables, as_of: dt.date, wrap_24h: bool = False) -> DataFrame:
-    """Shift days and seconds per user, last seven days and month to date.
-
-    The drop of day D arrives on D+1, so drops from the day after the period start are read;
-    both periods come from one scan. The month is the one in which the week began.
-    """
+def _attendance_drops(t: Tables, as_of: dt.date) -> tuple[DataFrame, dict[str, Column]]:
+    """The drops a rollup reads and the first drop of each of its periods. The drop of day D arrives on D+1;
+    the month is the one in which the week began."""
     week = F.date_sub(as_date(as_of), WEEK_BACK)
     first = {"wtd": F.date_add(week, 1), "mtd": F.date_add(month_start(week), 1)}
     last = F.date_add(as_date(as_of), 1)
-    rows = t.attendance.where(F.col("day").between(F.least(*first.values()), last) & F.col("UserID").isNotNull())
+    inside = F.col("day").between(F.least(*first.values()), last)
+    return t.attendance.where(inside & F.col("UserID").isNotNull()), first
+
+
+def attendance_rollup(
+    t: Tables, as_of: dt.date, wrap_24h: bool = False, formats: Sequence[str] = C.TIME_FORMATS
+) -> DataFrame:
+    """Shift days and seconds per user, last seven days and month to date, both from one scan.
+
+    Dates and times are ISO texts or in one of the formats; see `attendance_rejects` for the others.
+    """
+    rows, first = _attendance_drops(t, as_of)
     rows = rows.select(
         F.col("UserID").alias("user_id"),
         "day",
-        parse_date(F.col("Date")).alias("date"),
-        shift_seconds(F.col("InDateTime"), F.col("OutDateTime"), wrap_24h).alias("seconds"),
+        parse_date(F.col("Date"), formats).alias("date"),
+        shift_seconds(F.col("InDateTime"), F.col("OutDateTime"), wrap_24h, formats).alias("seconds"),
     )
     measures = []
     for label, start in first.items():
@@ -142,6 +150,22 @@ def attendance_rollup(t: Tables, as_of: dt.date, wrap_24h: bool = False) -> Data
     )
 
 
+def attendance_rejects(t: Tables, as_of: dt.date, formats: Sequence[str] = C.TIME_FORMATS) -> DataFrame:
+    """Texts of the drops a rollup reads that are neither blank nor a date or time, counted per drop and column.
+
+    Such a time makes the shift the default one, such a date no day."""
+    rows, _ = _attendance_drops(t, as_of)
+    parsed = {
+        "InDateTime": parse_timestamp(F.col("InDateTime"), formats),
+        "OutDateTime": parse_timestamp(F.col("OutDateTime"), formats),
+        "Date": parse_date(F.col("Date"), formats),
+    }
+    lost = {c: count_where(not_blank(F.col(c)) & found.isNull()).alias(c) for c, found in parsed.items()}
+    days = rows.groupBy("day").agg(*lost.values())
+    cells = [F.struct(F.lit(c).alias("field"), F.col(c).alias("rejected")) for c in lost]
+    return days.select("day", F.inline(F.array(*cells))).where("rejected > 0")
+
+
 def attendance_days(as_of: dt.date) -> tuple[dt.date, dt.date]:
     """First and last attendance drop the rollup of `as_of` reads."""
     week = as_of - dt.timedelta(WEEK_BACK)

@@ -77,6 +77,24 @@ def test_lenient_date_parsing(evaluate):
     assert got == [(dt.datetime(2024, 1, 2, 3, 4, 5), dt.date(2024, 1, 2)), (None, None), (None, None)]
 
 
+def test_dates_in_several_forms(spark, evaluate):
+    noon = dt.datetime(2024, 1, 30, 12, 5)
+    same = ["2024-01-30 12:05:00", "2024/1/30 12:05", "1/30/2024 12:05:00", "01-30-2024 12:05", "1/30/2024 12:05 PM", "30/01/2024 12:05"]
+    same += ["30-1-2024 12:05:00", "30 Jan 2024 12:05", "30-Jan-2024 12:05:00", "Jan 30, 2024 12:05", " 1/30/2024 12:05 "]
+    odd = ["1/2/2024", "13/13/2024", "30 Foo 2024", "2024-01-32", ""]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in (zone, "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            got = evaluate([(x,) for x in same + odd], "x string", periods.parse_timestamp(c("x")), periods.parse_date(c("x")))
+            assert got[: len(same)] == [(noon, noon.date())] * len(same)
+            assert got[len(same) :] == [(dt.datetime(2024, 1, 2), dt.date(2024, 1, 2))] + [(None, None)] * 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    day_first = periods.parse_date(c("x"), ["d/M/yyyy"])
+    assert evaluate([("1/2/2024",), ("30 Jan 2024",)], "x string", day_first) == [(dt.date(2024, 2, 1),), (None,)]
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=60))
 def test_half_even_matches_array_rounding(spark, values):
@@ -120,6 +138,19 @@ def test_interval_texts(evaluate):
     assert got == [180.0, 34200.0, 94205.0, 93784.0, 172800.0, 1.5, None, None, None, 0.0]
 
 
+def test_interval_grammar(evaluate):
+    forms = {
+        "12:30": 45000.0, "-00:10:00": -600.0, "+1:02:03": 3723.0, "1 day -2:00": 79200.0, "-1 days +02:00:00": -79200.0,
+        "2 hours 3 mins 4.5 secs": 7384.5, "90 minutes": 5400.0, "1h30m": 5400.0, "1 hr 1 sec": 3601.0, "250 ms": 0.25, "1.5 hours": 5400.0,
+        "300": 300.0, " -2.5 ": -2.5, "1 week 1 day": 691200.0, "1 mon": 2592000.0, "@ 1 minute 5 secs ago": -65.0, "1 Day 00:00:01": 86401.0,
+        "- 5 hours": -18000.0, "0 days 00:03:00": 180.0, "1 year": 31557600.0, ".5 s": 0.5,
+    }
+    bad = ["", " ", "ago", "@", "1 fortnight", "12:", ":30", "1:2:3:4", "1 min 2 hours", "one hour", "10:60", "5 hoursx", "1 2", "hours", "--5"]
+    got = evaluate([(x,) for x in [*forms, *bad]], "x string", durations.interval_seconds(c("x")))
+    assert dict(zip(forms, (r[0] for r in got))) == forms
+    assert [x for x, r in zip(bad, got[len(forms) :]) if r[0] is not None] == []
+
+
 def test_clock_texts(evaluate):
     rows = [(0.0,), (102600.0,), (59.6,), (None,)]
     got = evaluate(rows, "s double", durations.clock_text(c("s")), durations.clock_text(c("s"), 1))

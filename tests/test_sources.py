@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ def test_dated_csv_reads_only_the_days_asked_for(spark, drops):
         ("E1", "2024-01-01 10:00:00", dt.date(2024, 1, 2)),
         ("E2", None, dt.date(2024, 1, 4)),
     }
-    assert "PartitionFilters: [isnotnull(day" in df._jdf.queryExecution().toString()
+    assert "day=2024-01-09" not in str(df.inputFiles()) and len(df.inputFiles()) == 2
 
 
 def test_dated_csv_errors(spark, drops):
@@ -54,6 +55,51 @@ def test_dated_csv_finds_columns_by_each_files_header(spark, tmp_path):
         csv_days.read_days(spark, str(tmp_path), dt.date(2024, 2, 1), dt.date(2024, 2, 3))
 
 
+def test_every_file_is_read_in_its_own_dialect(spark, tmp_path):
+    wide = ",".join([f"x{i}" for i in range(298)] + ["UserID", "InDateTime"] + [f"y{i}" for i in range(20)] + ["Date", "OutDateTime"])
+    files = {
+        "01/comma.csv": (HEADER + 'E1,in,out,"1 Feb, 2024"\r\n').encode(),
+        "02/semicolon.csv": "OutDateTime;Name;UserID;Date;InDateTime\nout;Ann;E1;1 Feb, 2024;in\n".encode(),
+        "03/mark.CSV": ("\ufeff" + HEADER + 'E1,in,out,"1 Feb, 2024"\n').encode(),
+        "04/latin.csv": "Stra\xdfe\tUserID\tInDateTime\tOutDateTime\tDate\nM\xfcller\tE1\tin\tout\t1 Feb, 2024\n".encode("latin-1"),
+        "05/wide.csv": (wide + "\n" + "," * 298 + "E1,in" + "," * 20 + ',"1 Feb, 2024",out\n').encode(),
+        "06/utf16.csv": (HEADER + 'E1,in,out,"1 Feb, 2024"\n').encode("utf-16"),
+        "07/pipe.csv": "UserID|InDateTime|OutDateTime|Date|Date\nE1|in|out|1 Feb, 2024|no\n".encode(),
+        "08/zipped.csv.gz": gzip.compress(("\n" + HEADER + 'E1,in,out,"1 Feb, 2024"\n').encode()),
+        "09/empty.csv": HEADER.encode(),
+        "09/_notes.txt": b"no data",
+    }
+    for name, data in files.items():
+        path = tmp_path / f"day=2024-02-{name}"
+        path.parent.mkdir(exist_ok=True)
+        path.write_bytes(data)
+    drops = csv_days.read_drops(spark, str(tmp_path), dt.date(2024, 2, 1), dt.date(2024, 2, 9))
+    assert drops.rows.columns == ["UserID", "InDateTime", "OutDateTime", "Date", "day"]
+    got = sorted(tuple(r) for r in drops.rows.collect())
+    assert got == [("E1", "in", "out", "1 Feb, 2024", dt.date(2024, 2, d)) for d in range(1, 9)]
+    assert drops.malformed.count() == 0
+
+
+def test_malformed_rows_have_a_table_of_their_own(spark, tmp_path):
+    late = HEADER + "E0,a,b,c\n" * 9000
+    for day, data in {"01": (HEADER + "E1,a,b,c\nE2,a\nE3,a,b,c,d\n,,,\n").encode(), "02": late.encode() + "M\xfc,a,b,c\n".encode("latin-1")}.items():
+        (tmp_path / f"day=2024-02-{day}").mkdir()
+        (tmp_path / f"day=2024-02-{day}" / "a.csv").write_bytes(data)
+    drops = csv_days.read_drops(spark, str(tmp_path), dt.date(2024, 2, 1), dt.date(2024, 2, 2))
+    assert drops.rows.count() == 9002 and drops.rows.where("UserID = 'E1'").count() == 1
+    bad = sorted((r.day.day, r.file[-5:], r.line) for r in drops.malformed.collect())
+    assert [b[:2] for b in bad] == [(1, "a.csv"), (1, "a.csv"), (2, "a.csv")]
+    assert [b[2] for b in bad[:2]] == ["E2,a", "E3,a,b,c,d"]
+
+
+def test_files_of_one_header_share_a_reader(spark, tmp_path):
+    for day in range(1, 6):
+        (tmp_path / f"day=2024-02-0{day}").mkdir()
+        (tmp_path / f"day=2024-02-0{day}" / "a.csv").write_text((HEADER if day % 2 else HEADER.replace(",", ";")) + "E,a,b,c\n")
+    plan = csv_days.read_days(spark, str(tmp_path), dt.date(2024, 2, 1), dt.date(2024, 2, 5))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
+
+
 def test_tenant_patterns(spark):
     named = [tenants.Tenant("Two Words"), tenants.Tenant("two")]
     rows = [("/a/two_words/1",), ("/a/twoxwords/1",), ("/a/TWO/1",), ("/b/1",), (None,)]
