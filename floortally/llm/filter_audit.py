@@ -58,10 +58,12 @@ def failure_counts(documents: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(marked("quality"), marked("toxic")).withColumnsRenamed({"quality": "good"})
     )
     flagged = rows.join(flags, "doc_id", "left").na.fill(0, ["good", "toxic"])
-    cells = flagged.groupBy("text_id", "part", "mask", "good", "toxic").agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.col("doc_id").isNotNull(), F.col("n")).otherwise(0)).alias("with_id"),
-        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n"))).alias("least"),
+    cells = stored(
+        flagged.groupBy("text_id", "part", "mask", "good", "toxic").agg(
+            F.sum("n").alias("n"),
+            F.sum(F.when(F.col("doc_id").isNotNull(), F.col("n")).otherwise(0)).alias("with_id"),
+            F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n"))).alias("least"),
+        )
     )
     # A text has at most four cells in each part.
     texts = cells.groupBy("text_id").agg(F.min("least.doc_id").alias("first"), F.count("*").alias("cells"))
