@@ -4,7 +4,9 @@
     spark-submit --py-files floortally.zip floortally/jobs.py \\
         --report daily_adherence --tables /data/in --out /data/out --as-of 2024-01-30
 
-Result tables go to `<out>/<report>/<table>/as_of=<date>`; a rerun of a day replaces it.
+Result tables go to `<out>/<report>/<table>/as_of=<date>`; a rerun of a day replaces it. Reports of a period keep
+the folded facts of each day under `<out>/<report>/daily`: a run reads the facts of the days it does not know and
+of the last `--renew-days`, once, and everything else from there.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from floortally import constants as C, session
 from floortally.operators.asof import MONTH, WEEK, as_date
 from floortally.plans import calendar, daily_adherence, device_adherence, funnel, lost_sales, matrix, tenant_reasons
 from floortally.sources import csv_days
+from floortally.sources.daily_store import DailyStore
 from floortally.sources.sinks import write_csv, write_report
 from floortally.sources.tables import Tables, parquet_tables
 from floortally.sources.tenants import Tenant
@@ -44,6 +47,11 @@ class Parameters:
     brands: Sequence[int] | None = None
     tenant_like: str | None = None
     device_pattern: str = C.DEVICE_PATTERN
+    renew_days: int = 1
+
+    @property
+    def renewed(self) -> dt.date:
+        return self.as_of - dt.timedelta(self.renew_days - 1)
 
 
 class Writer:
@@ -52,6 +60,9 @@ class Writer:
     def __init__(self, root: str, report: str, as_of: dt.date):
         self.root, self.day = f"{root}/{report}", f"as_of={as_of}"
 
+    def daily(self, spark: SparkSession) -> DailyStore:
+        return DailyStore(spark, f"{self.root}/daily")
+
     def table(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}/{self.day}"
         write_report(df, path, mode="overwrite")
@@ -61,7 +72,21 @@ class Writer:
         write_csv(df, f"{self.root}/{name}_csv/{self.day}", mode="overwrite")
 
 
+def _week_or_month(as_of: dt.date) -> dt.date:
+    return min(as_of - dt.timedelta(as_of.weekday()), as_of.replace(day=1))
+
+
 def run_lost_sales(t: Tables, p: Parameters, out: Writer) -> None:
+    store, first = out.daily(t.interactions.sparkSession), _week_or_month(p.as_of)
+    calls = store.bring("lost_calls", first, p.as_of, p.renewed, lambda days: lost_sales.lost_calls(t, days))
+
+    def labels(days: Sequence[dt.date]) -> DataFrame:
+        return lost_sales.lost_labels(t.bind(lost_calls=store.days_of("lost_calls", days)))
+
+    t = t.bind(lost_calls=calls, lost_labels=store.bring("lost_labels", first, p.as_of, p.renewed, labels))
+    out.table("phone_follow_ups", lost_sales.phone_follow_ups(t, p.as_of))
+    out.table("reason_codes", lost_sales.reason_codes(t, p.as_of))
+    out.table("category_codes", lost_sales.category_codes(t, p.as_of))
     out.table("follow_ups", lost_sales.follow_ups(t, p.as_of))
     out.table("unsuccessful_total", lost_sales.unsuccessful_total(t, p.as_of))
     out.table("reason_summary", lost_sales.reason_summary(t, p.as_of))
@@ -73,6 +98,15 @@ def run_lost_sales(t: Tables, p: Parameters, out: Writer) -> None:
 
 
 def run_tenant_reasons(t: Tables, p: Parameters, out: Writer) -> None:
+    store, first = out.daily(t.interactions.sparkSession), _week_or_month(p.as_of)
+    calls = store.bring("tenant_calls", first, p.as_of, p.renewed, lambda days: tenant_reasons.tenant_calls(t, p.tenants, days))
+
+    def reasons(days: Sequence[dt.date]) -> DataFrame:
+        return tenant_reasons.daily_reasons(t.bind(tenant_calls=store.days_of("tenant_calls", days)), p.tenants)
+
+    t = t.bind(tenant_calls=calls, tenant_reasons=store.bring("tenant_reasons", first, p.as_of, p.renewed, reasons))
+    out.table("reason_codes", tenant_reasons.reason_codes(t, p.tenants, p.as_of))
+    out.table("objection_codes", tenant_reasons.objection_codes(t, p.tenants, p.as_of))
     out.table("outcome_totals", tenant_reasons.outcome_totals(t, p.tenants, p.as_of))
     out.table("reasons_of_day", tenant_reasons.reasons_of_day(t, p.tenants, p.as_of))
     out.table("reason_trend", tenant_reasons.reason_trend(t, p.tenants, p.as_of))
@@ -80,6 +114,14 @@ def run_tenant_reasons(t: Tables, p: Parameters, out: Writer) -> None:
 
 
 def run_funnel(t: Tables, p: Parameters, out: Writer) -> None:
+    store = out.daily(t.interactions.sparkSession)
+    first = min(p.as_of - dt.timedelta(funnel.WINDOW_DAYS), p.as_of.replace(day=1))
+    steps = store.bring("scheme_steps", first, p.as_of, p.renewed, lambda days: funnel.scheme_steps(t, days))
+
+    def sellers(days: Sequence[dt.date]) -> DataFrame:
+        return funnel.seller_days(t.bind(scheme_steps=store.days_of("scheme_steps", days)), days)
+
+    t = t.bind(scheme_steps=steps, seller_days=store.bring("seller_days", first, p.as_of, p.renewed, sellers))
     out.table("window", funnel.funnel_window(t, p.as_of, p.regions))
     out.table("month", funnel.funnel_mtd(t, p.as_of, p.regions))
     out.table("combined", funnel.combined(t, p.as_of, p.regions, p.brands))
@@ -95,6 +137,8 @@ def run_device_adherence(t: Tables, p: Parameters, out: Writer) -> None:
     detail = device_adherence.adherence_detail(t, p.as_of, p.regions, p.brands, p.tenant_like, p.device_pattern)
     detail = out.table("detail", detail)
     out.export("detail", device_adherence.sorted_detail(detail))
+    if "attendance" in t:
+        out.table("attendance_rejects", device_adherence.attendance_rejects(t, p.as_of))
     out.table("summary", device_adherence.adherence_summary(detail))
     out.table("stores", device_adherence.store_summary(detail))
     out.table("flagged_managers", device_adherence.flagged_managers(detail))
@@ -147,6 +191,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--regions", type=int, nargs="*")
     parser.add_argument("--brands", type=int, nargs="*")
     parser.add_argument("--tenant-like", help="LIKE pattern on audio paths")
+    parser.add_argument("--renew-days", type=int, default=1, help="last days whose folded facts are built anew")
     parser.add_argument("--device-pattern", default=C.DEVICE_PATTERN, help="regular expression of device codes")
     return parser.parse_args()
 
@@ -163,7 +208,7 @@ def main() -> None:
     if args.attendance:
         first, last = device_adherence.attendance_days(as_of)
         tables = tables.bind(attendance=csv_days.read_days(spark, args.attendance, first, last))
-    parameters = Parameters(as_of, tenants, args.regions, args.brands, args.tenant_like, args.device_pattern)
+    parameters = Parameters(as_of, tenants, args.regions, args.brands, args.tenant_like, args.device_pattern, args.renew_days)
     run(args.report, tables, parameters, args.out)
 
 

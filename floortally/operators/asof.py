@@ -9,7 +9,7 @@ are repeated for the as-of days that see them.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -38,11 +38,6 @@ WEEK_OR_MONTH = Period(
     lambda a: F.least(P.monday_of(a), P.month_start(a)),
     lambda d: F.greatest(F.date_add(P.monday_of(d), 6), F.last_day(d)),
 )
-SEVEN_DAYS_OR_MONTH = Period(
-    "seven_days_or_month",
-    lambda a: F.least(F.date_sub(a, 6), P.month_start(a)),
-    lambda d: F.greatest(F.date_add(d, 6), F.last_day(d)),
-)
 
 
 def as_date(as_of: AsOf) -> Column:
@@ -66,3 +61,8 @@ def attach(df: DataFrame, as_of: AsOf, period: Period, day: str = "date") -> Dat
 def within(period: Period, day: str = "date") -> Column:
     """True for a row inside the narrower `period` of its `as_of`."""
     return F.col(day).between(period.first(F.col("as_of")), F.col("as_of"))
+
+
+def on_days(day: Column, days: Sequence[dt.date]) -> Column:
+    """True on one of the days: a range that prunes a scan, and the days themselves."""
+    return day.between(as_date(min(days)), as_date(max(days))) & day.isin([as_date(d) for d in days])

@@ -11,7 +11,7 @@ from floortally import constants as C
 from floortally.functions import nested as N
 from floortally.functions.numbers import half_even, parse_number, percent_or_zero, sum_or_zero, whole
 from floortally.functions.periods import month_start
-from floortally.operators.asof import as_date
+from floortally.operators.asof import as_date, on_days
 from floortally.operators.shaping import append, min_max_heat, pinned_order
 from floortally.operators.temporal import valid_on
 from floortally.operators.totals import grouped_with_total
@@ -28,8 +28,26 @@ def _window_start(as_of: dt.date) -> Column:
     return F.date_sub(as_date(as_of), WINDOW_DAYS)
 
 
+def scheme_steps(t: Tables, days: Sequence[dt.date]) -> DataFrame:
+    """Scheme elements of the long calls of some days: the rows every funnel report is made of. Bound as the
+    role `scheme_steps`, they take the place of both facts."""
+    rows = _scheme_rows(t, as_date(min(days)), as_date(max(days)), *FLAGS).where(on_days(F.col("date"), days))
+    return rows.select("id", "interaction_code", "date", "store_id", "sales_person_id", "step")
+
+
+def seller_days(t: Tables, days: Sequence[dt.date]) -> DataFrame:
+    """Calls, pitches and sales per day, store and seller; bound as the role `seller_days` they add up to any period."""
+    rows = _scheme_rows(t, as_date(min(days)), as_date(max(days)), "gms_pitched", "gms_sold").where(on_days(F.col("date"), days))
+    return rows.groupBy("date", "store_id", "sales_person_id").agg(
+        F.count("id").alias("interactions"),
+        *[F.sum(N.int_field(F.col("step"), f"gms_{c}")).alias(c) for c in ("pitched", "sold")],
+    )
+
+
 def _scheme_rows(t: Tables, first: Column, last: Column, *fields: str) -> DataFrame:
     """One row per scheme element of a long call in the day range; calls without one keep a NULL."""
+    if "scheme_steps" in t:
+        return t.scheme_steps.where(F.col("date").between(first, last))
     flags = t.scheme_flags
     flags = flags.select("id", "interaction_id", N.objects(flags, "sop_new", *fields).alias("sop"))
     calls = (
@@ -43,10 +61,17 @@ def _scheme_rows(t: Tables, first: Column, last: Column, *fields: str) -> DataFr
 def _seller_totals(t: Tables, as_of: dt.date) -> DataFrame:
     """Window and month sums per (store, seller): one scan, folded before any dimension join."""
     end = as_date(as_of)
-    rows = _scheme_rows(t, F.least(_window_start(as_of), month_start(end)), end, "gms_pitched", "gms_sold")
+    first = F.least(_window_start(as_of), month_start(end))
     in_window = F.col("date") >= _window_start(as_of)
     in_month = F.col("date") >= month_start(end)
     measures = []
+    if "seller_days" in t:
+        for prefix, inside in (("", in_window), ("mtd_", in_month)):
+            sums = {c: F.sum(F.when(inside, F.col(c))) for c in ("interactions", "pitched", "sold")}
+            sums["interactions"] = F.coalesce(sums["interactions"], F.lit(0))
+            measures += [value.alias(f"{prefix}{c}") for c, value in sums.items()]
+        return t.seller_days.where(F.col("date").between(first, end)).groupBy("store_id", "sales_person_id").agg(*measures)
+    rows = _scheme_rows(t, first, end, "gms_pitched", "gms_sold")
     for prefix, inside in (("", in_window), ("mtd_", in_month)):
         measures += [
             F.count(F.when(inside, F.col("id"))).alias(f"{prefix}interactions"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from floortally import constants as C
 from floortally.functions import nested as N
 from floortally.functions.numbers import count_where, percent_or_zero, sum_or_zero
-from floortally.operators.asof import DAILY, DAY, MONTH, MONTH_END, WEEK, WEEK_OR_MONTH, AsOf, as_date, attach, within
+from floortally.operators.asof import DAILY, DAY, MONTH, MONTH_END, WEEK, WEEK_OR_MONTH, AsOf, as_date, attach, on_days, within
 from floortally.operators.code_lists import code_counts
 from floortally.operators.shaping import append
 from floortally.plans.lost_sales import long_calls
@@ -19,7 +20,18 @@ from floortally.sources.tenants import Tenant, tag, tenant_frame
 KEYS = ["tenant", "as_of"]
 
 
+CALL_COLUMNS = ["tenant", "date", "sales_outcome", "interaction_code", "reason_loss_of_sale", "customer_objection_handling"]
+
+
+def tenant_calls(t: Tables, tenants: Sequence[Tenant], days: Sequence[dt.date]) -> DataFrame:
+    """Long calls of some days with their tenant: the rows every tenant report is made of. Bound as the role
+    `tenant_calls`, they take the place of the interactions."""
+    return tag(long_calls(t.interactions).where(on_days(F.col("date"), days)), tenants).select(*CALL_COLUMNS)
+
+
 def _tenant_calls(t: Tables, tenants: Sequence[Tenant]) -> DataFrame:
+    if "tenant_calls" in t:
+        return t.tenant_calls.where(F.col("tenant").isin([tenant.name for tenant in tenants]))
     return tag(long_calls(t.interactions), tenants)
 
 
@@ -79,25 +91,30 @@ def reason_codes(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> D
     return code_counts(rows.where(F.col("category").isin(C.LOSS_CATEGORIES)), [*KEYS, "category"], "interaction_code")
 
 
+def daily_reasons(t: Tables, tenants: Sequence[Tenant]) -> DataFrame:
+    """Coded rows of lost calls per tenant, day and loss category (NULL for any other). It adds up over days;
+    bound as the role `tenant_reasons` it serves every report of a period."""
+    if "tenant_reasons" in t:
+        return t.tenant_reasons.where(F.col("tenant").isin([tenant.name for tenant in tenants]))
+    calls = _tenant_calls(t, tenants).where(F.col("sales_outcome") == C.LOST_CALL_OUTCOME)
+    category = F.explode_outer(N.texts(calls, "reason_loss_of_sale", "category")).alias("category")
+    known = F.col("category").isin(C.LOSS_CATEGORIES)
+    return (
+        calls.select("tenant", "date", "interaction_code", category)
+        .withColumn("category", F.when(known, F.col("category")))
+        .groupBy("tenant", "date", "category")
+        .agg(F.count("interaction_code").alias("n"))
+    )
+
+
 def reason_trend(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
     """Fixed loss categories week and month to date; absent ones are 0.
 
     One wide aggregate holds every (category, period) cell and is then turned into rows,
     so neither an outer join of the periods nor a domain join is needed.
     """
-    calls = _tenant_calls(t, tenants).where(F.col("sales_outcome") == C.LOST_CALL_OUTCOME)
     category = F.col("category")
-    daily = (
-        calls.select(
-            "tenant",
-            "date",
-            "interaction_code",
-            F.explode_outer(N.texts(calls, "reason_loss_of_sale", "category")).alias("category"),
-        )
-        .withColumn("category", F.when(category.isin(C.LOSS_CATEGORIES), category))
-        .groupBy("tenant", "date", "category")
-        .agg(F.count("interaction_code").alias("n"))
-    )
+    daily = daily_reasons(t, tenants)
     cells = []
     for i, name in enumerate(C.LOSS_CATEGORIES):
         for label, period in (("wtd", WEEK), ("mtd", MONTH)):

@@ -41,6 +41,9 @@ class Tables:
         except KeyError:
             raise AttributeError(f"no table bound to {role!r}") from None
 
+    def __contains__(self, role: str) -> bool:
+        return role in self._loaders
+
     def bind(self, **frames: DataFrame) -> Tables:
         """A copy with some roles served by the given frames."""
         return Tables({**self._loaders, **{role: (lambda frame=frame: frame) for role, frame in frames.items()}})

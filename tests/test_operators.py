@@ -10,7 +10,7 @@ c = F.col
 D = dt.date
 
 
-@pytest.mark.parametrize("period", [asof.DAY, asof.WEEK, asof.MONTH, asof.WEEK_OR_MONTH, asof.SEVEN_DAYS_OR_MONTH])
+@pytest.mark.parametrize("period", [asof.DAY, asof.WEEK, asof.MONTH, asof.WEEK_OR_MONTH])
 def test_daily_history_equals_single_dates(spark, period):
     days = [D(2024, 2, 20) + dt.timedelta(n) for n in range(25)]
     df = spark.createDataFrame([(d,) for d in days], "date date")
