@@ -25,9 +25,10 @@ def token_count(text: Column) -> Column:
     return F.when(words == "", F.lit(0)).otherwise(F.length(words) - F.length(F.replace(words, F.lit(" "))) + 1).cast("long")
 
 
-def seeded(seed: int, epoch: int, doc_id: Column) -> Column:
-    """28-bit place of a document in an epoch's order."""
-    text = F.concat(F.lit(f"{seed}:{epoch}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def seeded(seed: int, epoch: int, doc_id: Column, text_hash: Column) -> Column:
+    """28-bit place of a document, known by id and text, in an epoch's order."""
+    known = F.coalesce(doc_id.cast("string"), F.lit("null")), F.coalesce(text_hash.cast("string"), F.lit("null"))
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit(str(epoch)), *known)
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 7), 16, 10).cast("long")
 
 
@@ -45,19 +46,24 @@ def budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapp
     A child's share is min(capacity, rate * weight), with the one rate per parent that spends the
     budget; with children ordered by capacity / weight it is a running sum, so a window finds it.
     Windows are over the children of one node; the tree has a row per leaf, never one per document.
+    A weight of 0 leaves a node out: its subtree has no capacity and a budget of 0.
     """
-    nodes = leaves.groupBy(F.lit(0).alias("_root")).agg(F.sum("capacity").alias("capacity"))
-    nodes = nodes.select("_root", F.least(F.col("capacity").cast("double"), F.lit(float(target))).alias("budget"))
-    parents = ["_root"]
+    for level in levels:
+        leaves = leaves.withColumn("capacity", F.when(weight_of(level, weights.get(level, {})) > 0, F.col("capacity")).otherwise(0))
+    whole = leaves.agg(F.sum("capacity")).first()[0] or 0
+    nodes, parents = None, []
     for depth, level in enumerate(levels):
-        keys = ["_root", *levels[: depth + 1]]
+        keys = list(levels[: depth + 1])
         children = (
-            leaves.withColumn("_root", F.lit(0)).groupBy(*keys).agg(F.sum("capacity").cast("double").alias("capacity"))
+            leaves.groupBy(*keys).agg(F.sum("capacity").cast("double").alias("capacity"))
             .withColumn("w", weight_of(level, weights.get(level, {})))
         )
-        children = children.join(nodes, parents)
-        siblings = Window.partitionBy(*parents)
-        fill = siblings.orderBy((F.col("capacity") / F.col("w")).asc_nulls_last(), level)
+        if nodes is None:
+            children = children.withColumn("budget", F.lit(min(float(whole), float(target))))
+        else:
+            children = children.join(nodes, parents)
+        siblings = Window.partitionBy(*parents) if parents else Window.partitionBy(F.lit(0))
+        fill = siblings.orderBy((F.col("capacity") / F.nullif(F.col("w"), F.lit(0.0))).asc_nulls_last(), level)
         before = fill.rowsBetween(Window.unboundedPreceding, -1)
         rest = F.col("budget") - F.coalesce(F.sum("capacity").over(before), F.lit(0.0))
         weight_left = F.sum("w").over(siblings) - F.coalesce(F.sum("w").over(before), F.lit(0.0))
@@ -90,8 +96,10 @@ def mixed(
     One row per row of `documents`; `target_part` is the wanted part of all tokens. In a leaf's last,
     partial epoch a document is taken while the tokens up to its end stay within the budget. A null
     level value is a node of its own, named ''; a document without tokens costs nothing and is taken
-    in full epochs, in front of the last prefix's end, and once in a leaf that has no tokens at all; repeated rows stand together in the order
-    and are each counted; an empty table gives no rows.
+    in full epochs, in front of the last prefix's end, and once in a leaf that has no tokens at all; repeated rows
+    stand together in the order and are each counted; rows that share an id, or have none, are told apart by their
+    texts, so that the selection does not depend on partitions; an empty table gives no rows; texts may be of any
+    length and other columns of any name.
     """
     names = list(levels)
     rows = documents.select(
@@ -109,11 +117,12 @@ def mixed(
     )
     # Place in the last epoch. Bins of the order are summed first, so only a leaf's one bin at the
     # budget's end is ordered by document: a leaf with a third of all rows is never in one task.
-    place = F.element_at(F.array(*[seeded(seed, e, F.col("doc_id")) for e in range(max_epochs + 1)]), F.col("epochs") + 1)
+    place = F.element_at(F.array(*[seeded(seed, e, F.col("doc_id"), F.col("text_hash")) for e in range(max_epochs + 1)]), F.col("epochs") + 1)
     rows = rows.join(leaves.select(*names, "budget", "epochs", "left"), names)
     rows = rows.withColumn("place", place).withColumn("bin", F.shiftright("place", 28 - 12))
     order = Window.partitionBy(*names).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = (
+    # Written, so that its size is known: a tree that is small is broadcast, and no leaf's rows meet in a task.
+    ends = stored(
         rows.groupBy(*names, "left", "bin").agg(F.sum("n_tokens").alias("t"))
         .withColumn("upto", F.sum("t").over(order))
         .where((F.col("upto") > F.col("left")))
@@ -122,7 +131,7 @@ def mixed(
         .select(*names, F.col("end.bin").alias("end_bin"), (F.col("end.upto") - F.col("end.t")).alias("end_before"))
     )
     # The bin at the budget's end meets its rows by (leaf, bin): the rest of a leaf never joins them there.
-    prefix = Window.partitionBy(*names, "bin").orderBy("place", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prefix = Window.partitionBy(*names, "bin").orderBy("place", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ending = rows.join(ends.withColumnRenamed("end_bin", "bin"), [*names, "bin"]).withColumn(
         "taken", F.col("end_before") + F.sum("n_tokens").over(prefix) <= F.col("left")
     )
@@ -134,10 +143,10 @@ def mixed(
 
 
 def mixture(documents: DataFrame, *args, **parameters) -> DataFrame:
-    """The rows of `documents` that `mixed` takes, each as often as it is taken, all columns as they are."""
-    taken = mixed(documents, *args, **parameters).groupBy("doc_id", "text_hash").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
-    taken = taken.withColumnsRenamed({"doc_id": "_taken_id", "text_hash": "_taken_text"})
-    rows = documents.withColumn("_text", F.xxhash64("text"))
-    rows = rows.join(taken, rows["doc_id"].eqNullSafe(taken["_taken_id"]) & (rows["_text"] == taken["_taken_text"]))
-    rows = rows.dropDuplicates(["doc_id", "_text"])  # repeated rows are counted in _copies
-    return rows.select(*[documents[c] for c in documents.columns], F.explode(F.sequence(F.lit(1), "_copies")).alias("_copy")).drop("_copy")
+    """The rows of `documents` that `mixed` takes, each as often as it is taken, all columns as they are, whatever
+    their names. Nulls, repeated and shared ids, empty texts and tables are as in `mixed`."""
+    taken = mixed(documents, *args, **parameters).groupBy("doc_id", "text_hash").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"))
+    rows = rows.join(taken, rows["id"].eqNullSafe(taken["doc_id"]) & (rows["text"] == taken["text_hash"]))
+    rows = rows.dropDuplicates(["id", "text"])  # repeated rows are counted in copies
+    return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

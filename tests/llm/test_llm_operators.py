@@ -297,3 +297,90 @@ def test_components_equal_union_find(spark):
         found.setdefault(row.component, set()).add(row.node)
     assert all(component in nodes for component, nodes in found.items())
     assert sorted(map(sorted, found.values())) == sorted(map(list, {tuple(sorted(g)) for g in groups.values() if len(g) > 1}))
+
+
+def test_toxicity_windows_side_by_side_equal_single_ones():
+    p = toxicity.initial(np.random.default_rng(6))
+    p["words"] *= 20
+    texts = [prose(k, n) for k, n in enumerate((3, 24, 25, 90, 0, 1, 400))] + ["", None]
+    words = toxicity.inputs_of(*toxicity.joined_texts(texts))
+    starts, text = toxicity.windows_of(words.begins, 1)
+    at = starts[None, :] + np.arange(toxicity.WINDOW)[:, None]
+    ends = words.begins[text + 1][None, :]
+    single = toxicity.forward(p, toxicity.vectors(p, words), np.minimum(at, ends - 1), (at < ends).astype(np.float32))
+    assert np.ptp(single) > 0.1
+    assert np.allclose(toxicity.window_logits(p, words, starts, text), single, atol=1e-4)
+
+
+def test_one_document_of_a_class_stays_whatever_its_ids(spark):
+    words = prose(31, 200).split()
+    variants = [" ".join(words[:k] + ["other"] + words[k + 1 :]) for k in (30, 90, 150)]
+    schema = "doc_id long, text string, doc long, node string, row int, _kept_doc int"
+    for ids in ((1, 2, 3), (None, None, None), (7, 7, 7), (None, 5, 5)):
+        rows = [(i, t, 1, "n", 2, 3) for i, t in zip(ids, variants)] + [(None, None, 1, "n", 2, 3), (None, "", 1, "n", 2, 3), (8, prose(32, 60), 1, "n", 2, 3)]
+        kept = near_dedup.without_near_duplicates(spark.createDataFrame(rows, schema))
+        assert kept.columns == ["doc_id", "text", "doc", "node", "row", "_kept_doc"]
+        found = kept.collect()
+        assert len(found) == 3 and sum(r.text in variants for r in found) == 1
+        first = min(i for i in ids if i is not None) if any(ids) else None
+        assert next(r.doc_id for r in found if r.text in variants) == first
+
+
+def test_mixing_does_not_depend_on_partitions(spark):
+    rows = [(k % 100, prose(k, 20 + k % 9), "en", f"s{k % 3}") for k in range(400)] + [(None, prose(k, 15), "de", "s1") for k in range(500, 560)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    read = lambda n: sorted(map(tuple, mixing.mixed(docs.repartition(n), mix_levels(), MIX_WEIGHTS, 0.4, 2).collect()), key=str)
+    first = read(1)
+    assert read(7) == first and read(13) == first
+    assert len(first) == len(rows) and 0 < sum(r[-2] for r in first) < len(rows)
+
+
+def test_mixing_with_weights_of_zero_and_clashing_names(spark):
+    rows = [(k, prose(k, 30), "en", f"s{k % 3}", 1, 2, "r") for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _copy int, _text int, row string")
+    weights = {**MIX_WEIGHTS, "source": {"s0": 0.0}}
+    found = mixing.mixed(docs, mix_levels(), weights, 0.9, 1).collect()
+    assert {r.source: r.budget for r in found} == {"s0": 0, "s1": 900, "s2": 900}  # all that is left, under the target
+    assert sum(r.copies for r in found if r.source == "s0") == 0
+    taken = mixing.mixture(docs, mix_levels(), weights, 0.9, 1)
+    assert taken.columns == docs.columns and taken.count() == 60
+    assert {tuple(r)[4:] for r in taken.collect()} == {(1, 2, "r")}
+    nothing = mixing.mixed(docs, mix_levels(), {"source": {f"s{k}": 0.0 for k in range(3)}}, 0.9, 1)
+    assert {r.budget for r in nothing.collect()} == {0}
+
+
+def test_mixing_equals_brute_force(spark):
+    """Budgets by raising one rate per parent until it is spent; prefixes of each leaf by the seeded order."""
+    rows = [(k, prose(k, 5 + k % 40), ("en", "de", "fr", "es", None)[k % 5], f"s{k % 4}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = mixing.mixed(docs, mix_levels(), MIX_WEIGHTS, 0.7, 2).collect()
+    tokens = Counter()
+    for r in found:
+        tokens[r.domain, r.lang, r.source] += r.n_tokens
+
+    def dealt(budget, level, leaves):
+        if level == 3:
+            return {leaf: budget for leaf in leaves}
+        children = {}
+        for leaf in leaves:
+            children.setdefault(leaf[level], []).append(leaf)
+        room = {c: 2 * sum(tokens[x] for x in own) for c, own in children.items()}
+        weight = {c: MIX_WEIGHTS[("domain", "lang", "source")[level]].get(c, 1.0) for c in children}
+        low, high = 0.0, 1e9
+        for _ in range(200):
+            rate = (low + high) / 2
+            low, high = (rate, high) if sum(min(room[c], rate * weight[c]) for c in children) < budget else (low, rate)
+        shares = {}
+        for c, own in children.items():
+            shares |= dealt(min(room[c], high * weight[c]), level + 1, own)
+        return shares
+
+    budgets = dealt(0.7 * sum(tokens.values()), 0, list(tokens))
+    assert all(abs(r.budget - budgets[r.domain, r.lang, r.source]) <= 1 for r in found)
+    for leaf in tokens:
+        own = [r for r in found if (r.domain, r.lang, r.source) == leaf]
+        whole, left = divmod(own[0].budget, tokens[leaf])
+        place = lambda r: (int(hashlib.md5(f"42:{whole}:{r.doc_id}:{r.text_hash}".encode()).hexdigest()[:7], 16), r.doc_id)  # noqa: B023, E731
+        for r in sorted(own, key=place):
+            left -= r.n_tokens
+            assert r.copies == whole + (left >= 0)
