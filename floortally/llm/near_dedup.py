@@ -273,7 +273,8 @@ def _pairs(rows: DataFrame) -> DataFrame:
 
 
 def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc, node, text_class (least doc of equal texts) and near_class (least doc of the linked class) of every row.
+    """doc, node, text_class (least doc of equal texts), near_class (least doc of the linked class) and near_key
+    (a number of the class: the key of its first text by id, then key) of every row.
 
     Classes are the connected components of the verified links: of two texts in one bucket every pair that may
     be alike is read, unless links join the two already. Texts without words are alike only if
@@ -316,17 +317,19 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
             break
         turn *= WIDER
     labelled = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = stored(labelled.groupBy("component").agg(F.min("doc").alias("near_class")))  # so that a large class can be split in the join
-    classes = labelled.join(least, "component").select("node", F.col("doc").alias("text_class"), "near_class")
-    return rows.select("doc", "node").join(classes, "node").select("doc", "node", "text_class", "near_class")
+    first = F.min(F.struct("doc", "node")).alias("first")
+    least = stored(labelled.groupBy("component").agg(first))  # so that a large class can be split in the join
+    classes = labelled.join(least, "component")
+    classes = classes.select("node", F.col("doc").alias("text_class"), F.col("first.doc").alias("near_class"), F.col("first.node").alias("near_key"))
+    return rows.select("doc", "node").join(classes, "node").select("doc", "node", "text_class", "near_class", "near_key")
 
 
 def without_near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each near class, that of least id; all columns as they are."""
-    kept = near_classes(documents, threshold).where("doc = near_class and text_class = near_class").select("doc", "node").distinct()
-    kept = kept.withColumnsRenamed({"doc": "_kept_doc", "node": "_kept_node"})
-    columns = documents.columns
-    rows = documents.withColumns({
-        "_kept_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)), "_kept_node": F.xxhash64(F.coalesce("text", F.lit("")))
-    })
-    return rows.join(kept, ["_kept_doc", "_kept_node"]).dropDuplicates(["_kept_doc", "_kept_node"]).select(*columns)
+    """One document of each near class, all columns as they are, whatever their names.
+
+    It is that of least id, a null id last; among texts of one id that of least key; among repeated rows any.
+    Null and empty texts are one text; texts of any length are read whole; an empty table stays empty."""
+    kept = near_classes(documents, threshold).where("node = near_key and doc = near_class").select("doc", "node").distinct()
+    text = F.coalesce("text", F.lit(""))
+    rows = documents.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), F.xxhash64(text).alias("node"))
+    return rows.join(kept, ["doc", "node"]).dropDuplicates(["doc", "node"]).select("row.*")
