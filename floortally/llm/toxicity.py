@@ -2,8 +2,9 @@
 
 A word's input is the embedding of its hash and the mean embedding of its four-byte pieces, blanks at
 both ends included. Two gated recurrent layers read a window of words from either side, attention pools
-their states, and a logistic unit scores the window. Every text is scored on all its overlapping
-windows, one from every word; a text's score is a logistic function of its highest window and its sum of window scores.
+their states, and a logistic unit scores the window. Gates are clipped lines and candidates softsigns, in
+training as in scoring. Every text is scored on all its overlapping windows, one from every word; a text's
+score is a logistic function of its highest window and its sum of window scores.
 Training is numpy in one task over a bounded sample of labelled rows; scoring runs in Arrow batches.
 """
 
@@ -18,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from floortally.llm.arrays import find_words, plain_bytes, text_chunks, word_hashes
+from floortally.llm.storage import discard, stored
 
 WORD_BITS, CHAR_BITS, EMBED, HIDDEN = 15, 13, 8, 8
-WINDOW = 32
+WINDOW = 24
 #: Training picks its examples among windows so many words apart; scoring reads a window from every word.
-STRIDE = 24
+STRIDE = 20
 #: Windows whose states are held at a time.
 WINDOWS_AT_ONCE = 4_096
 #: Labelled rows that training reads at most, by label.
@@ -85,23 +87,87 @@ def initial(rng: np.random.Generator) -> dict[str, np.ndarray]:
     return p | {"attend": normal(2 * h, scale=0.3), "out": normal(2 * h, scale=0.5), "bias": np.zeros(1, np.float32)}
 
 
+def gate(x: np.ndarray) -> np.ndarray:
+    return np.clip(0.25 * x + 0.5, 0, 1)
+
+
+def slope(g: np.ndarray) -> np.ndarray:
+    """Derivative of a gate from its value."""
+    return np.float32(0.25) * ((g > 0) & (g < 1))
+
+
+def softsign(x: np.ndarray) -> np.ndarray:
+    return x / (1 + np.abs(x))
+
+
 def states(p: dict, way: str, inputs: np.ndarray, mask: np.ndarray, keep: list | None = None) -> np.ndarray:
     """States (steps, windows, HIDDEN) of one direction from projected inputs (steps, windows, 3 HIDDEN)."""
     steps, n, _ = inputs.shape
     h, out, k = np.zeros((n, HIDDEN), np.float32), np.empty((steps, n, HIDDEN), np.float32), HIDDEN
     for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
         rec = h @ p[f"h{way}"]
-        gates = sigmoid(inputs[t, :, : 2 * k] + rec[:, : 2 * k])
-        z, r = gates[:, :k], gates[:, k:]
-        new = np.tanh(inputs[t, :, 2 * k :] + r * rec[:, 2 * k :])
+        gates = gate(inputs[t, :, : 2 * k] + rec[:, : 2 * k])
+        u, r = gates[:, :k], gates[:, k:]
+        new = softsign(inputs[t, :, 2 * k :] + r * rec[:, 2 * k :])
         step = mask[t][:, None]
-        after = h + step * (1 - z) * (new - h)
+        after = h + step * u * (new - h)
         if keep is not None:
-            keep.append((t, h, z, r, new, rec[:, 2 * k :], step))
+            keep.append((t, h, u, r, new, rec[:, 2 * k :], step))
         h = out[t] = after
     return out
 
 
+def full_windows(p: dict, x: np.ndarray) -> np.ndarray:
+    """Logits of the windows of WINDOW words that begin at each word of `x` (words, inputs), as `forward` gives them.
+
+    Windows stand side by side, so that a step's inputs are one slice. Attention and output need two numbers
+    of a state, its weight's logit and its value, which come with the next step's product."""
+    n, k = len(x) - WINDOW + 1, HIDDEN
+    logits = np.empty(max(n, 0), np.float32)
+    ways = {}
+    for i, way in enumerate("fb"):
+        inputs = p[f"x{way}"].T @ x.T
+        inputs += p[f"c{way}"][:, None]
+        recurrent = np.concatenate([p[f"h{way}"].T, p["attend"][None, i * k : (i + 1) * k], p["out"][None, i * k : (i + 1) * k]])
+        inputs[: 2 * k] *= np.float32(0.25)
+        inputs[: 2 * k] += np.float32(0.5)
+        recurrent[: 2 * k] *= np.float32(0.25)
+        ways[way] = inputs, np.ascontiguousarray(recurrent, np.float32)
+    for at in range(0, n, WINDOWS_AT_ONCE):
+        m = min(WINDOWS_AT_ONCE, n - at)
+        told = np.zeros((WINDOW, 2, m), np.float32)
+        for way, (inputs, recurrent) in ways.items():
+            h, rec = np.zeros((k, m), np.float32), np.empty((3 * k + 2, m), np.float32)
+            gates, new, size = (np.empty((c * k, m), np.float32) for c in (2, 1, 1))
+            last = None
+            for t in range(WINDOW) if way == "f" else range(WINDOW - 1, -1, -1):
+                now = inputs[:, at + t : at + t + m]
+                if last is None:
+                    gates[:], new[:] = now[: 2 * k], now[2 * k :]
+                else:
+                    np.matmul(recurrent, h, out=rec)
+                    told[last] += rec[3 * k :]
+                    np.add(now[: 2 * k], rec[: 2 * k], out=gates)
+                np.clip(gates, 0, 1, out=gates)
+                if last is not None:
+                    np.multiply(rec[2 * k : 3 * k], gates[k:], out=new)
+                    new += now[2 * k :]
+                np.abs(new, out=size)
+                size += 1
+                new /= size
+                new -= h
+                new *= gates[:k]
+                h += new
+                last = t
+            told[last] += recurrent[3 * k :] @ h
+        weight, value = told[:, 0], told[:, 1]
+        weight -= weight.max(0)
+        np.exp(weight, out=weight)
+        value *= weight
+        logits[at : at + m] = value.sum(0) / weight.sum(0) + p["bias"][0]
+    return logits
+
+
 def forward(p: dict, x: np.ndarray, at: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Logits of windows: x the words' vectors, `at` (steps, windows) their places, `mask` which are real."""
     tapes = {w: [] if keep is not None else None for w in "fb"}
@@ -131,15 +197,15 @@ def gradients(p: dict, x: np.ndarray, at: np.ndarray, mask: np.ndarray, target:
     for i, way in enumerate("fb"):
         grad, d_states = np.zeros((at.shape[1], k), np.float32), d_both[:, :, i * k : (i + 1) * k]
         d_in, g[f"h{way}"] = np.zeros((*at.shape, 3 * k), np.float32), np.zeros_like(p[f"h{way}"])
-        for t, h, z, r, new, rec, step in reversed(keep["tapes"][way]):
+        for t, h, u, r, new, rec, step in reversed(keep["tapes"][way]):
             grad = grad + d_states[t]
-            d_new = grad * step * (1 - z) * (1 - new * new)
-            d_z = -grad * step * (new - h) * z * (1 - z)
-            d_r = d_new * rec * r * (1 - r)
-            d_in[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-            d_rec = np.concatenate([d_z, d_r, d_new * r], axis=1)
+            d_new = grad * step * u * (1 - np.abs(new)) ** 2
+            d_u = grad * step * (new - h) * slope(u)
+            d_r = d_new * rec * slope(r)
+            d_in[t] = np.concatenate([d_u, d_r, d_new], axis=1)
+            d_rec = np.concatenate([d_u, d_r, d_new * r], axis=1)
             g[f"h{way}"] += h.T @ d_rec
-            grad = grad * (1 - step * (1 - z)) + d_rec @ p[f"h{way}"].T
+            grad = grad * (1 - step * u) + d_rec @ p[f"h{way}"].T
         flat = d_in.reshape(-1, 3 * k)
         g[f"c{way}"] = flat.sum(0)
         per_word = np.zeros((len(x), 3 * k), np.float32)
@@ -221,14 +287,23 @@ class Model:
 
 
 def window_logits(p: dict, words: Words, starts: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Logits of the windows from every word: those of long texts side by side, a short text's one with a mask."""
     x, logits = vectors(p, words), np.empty(len(starts), np.float32)
-    for k in range(0, len(starts), WINDOWS_AT_ONCE):
-        first, ends = starts[k : k + WINDOWS_AT_ONCE], words.begins[text[k : k + WINDOWS_AT_ONCE] + 1]
-        low = first[0]  # the block's words only: windows are in order of place
-        at = first[None, :] + np.arange(WINDOW)[:, None]
-        mask = (at < ends[None, :]).astype(np.float32)
-        near = x[low : first[-1] + WINDOW]
-        logits[k : k + WINDOWS_AT_ONCE] = forward(p, near, np.minimum(at - low, len(near) - 1), mask)
+    n = np.diff(words.begins)
+    long = n >= WINDOW
+    if long.any():
+        inside = np.repeat(long, n)
+        place = np.cumsum(inside) - 1  # of a word among those of long texts
+        found = full_windows(p, x[inside])
+        whole_ones = long[text]
+        logits[whole_ones] = found[place[starts[whole_ones]]]
+    rest = np.flatnonzero(~long[text])
+    for k in range(0, len(rest), WINDOWS_AT_ONCE):
+        some = rest[k : k + WINDOWS_AT_ONCE]
+        at = starts[some][None, :] + np.arange(WINDOW)[:, None]
+        ends = words.begins[text[some] + 1][None, :]
+        used, local = np.unique(np.minimum(at, ends - 1), return_inverse=True)
+        logits[some] = forward(p, x[used], local.reshape(at.shape), (at < ends).astype(np.float32))
     return logits
 
 
@@ -319,8 +394,10 @@ def fit(documents: DataFrame, labels: DataFrame, rows: dict[int, int] = TRAINING
     order = (F.xxhash64("doc_id", F.lit(5)), F.col("doc_id"))
     first = [known.where(F.col("toxic") == label).orderBy(*order).limit(n) for label, n in rows.items()]
     ids = first[0].unionByName(first[1])
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
-    model = texts.coalesce(1).mapInArrow(_trainer(rate), "model binary").first()  # one task, bounded by `rows`
+    # Written first, so that the documents are not scanned by the one task that trains on what `rows` bounds.
+    texts = stored(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id"))
+    model = texts.coalesce(1).mapInArrow(_trainer(rate), "model binary").first()
+    discard(texts)
     return Model(*pickle.loads(model["model"])) if model else Model(initial(np.random.default_rng(7)), np.array([-2.0, 0.0, 0.0]))
 
 
