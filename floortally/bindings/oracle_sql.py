@@ -315,11 +315,12 @@ def _category_matrix(source: str, label: str, name: str) -> str:
     days = ", ".join(f"count(*) FILTER (d = last_day(d) - {n - 1}) AS d_{n}" for n in range(1, 5))
     return _query(
         ["tenant_calls", "call_reasons", "call_objections"],
-        f"""SELECT tenant, as_of, {label} AS {name}, mtd,
+        f"""SELECT * EXCLUDE (category), row_number() OVER (PARTITION BY tenant, as_of ORDER BY contribution_pct DESC, category)::INTEGER AS position
+            FROM (SELECT tenant, as_of, category, {label} AS {name}, mtd,
             round_even(mtd::DOUBLE / sum(mtd) OVER (PARTITION BY tenant, as_of) * 100 * 10, 0) / 10 AS contribution_pct,
             {', '.join(f'week_{w}' for w in range(1, 7))}, {', '.join(f'd_{n}' for n in range(1, 5))}
             FROM (SELECT tenant, last_day(d) AS as_of, category, count(*) AS mtd, {weeks}, {days}
-                  FROM {source} WHERE category IS NOT NULL GROUP BY ALL)""",
+                  FROM {source} WHERE category IS NOT NULL GROUP BY ALL))""",
     )
 
 
@@ -336,11 +337,12 @@ def _handling_cell(handling: str) -> str:
     return f"count(*) FILTER (o.handling = '{handling}') AS {handling.lower()}_count"
 
 
-def _funnel_report(source: str) -> str:
+def _funnel_report(source: str, order: str = "") -> str:
     return _query(
         [source],
-        f"""SELECT {_SUMMARY_COLUMNS}, stores AS store_count, sellers AS executive_count, n AS interactions, pitched, sold,
-            {pct0('pitched', 'n')} AS pitched_pct, {pct0('sold', 'pitched')} AS sold_pct FROM {source}""",
+        f"""SELECT *, row_number() OVER (PARTITION BY regional_manager_id ORDER BY {order} manager NULLS LAST)::INTEGER AS position FROM (
+            SELECT {_SUMMARY_COLUMNS}, stores AS store_count, sellers AS executive_count, n AS interactions, pitched, sold,
+            {pct0('pitched', 'n')} AS pitched_pct, {pct0('sold', 'pitched')} AS sold_pct FROM {source})""",
     )
 
 
@@ -470,7 +472,9 @@ ORACLES = {
     "category_wtd_mtd": _query(
         ["lost", "flag_products"],
         f"""SELECT as_of, product AS prod_category, nullif(count(DISTINCT code) FILTER ({_IN_WEEK}), 0) AS wtd,
-            count(DISTINCT code) FILTER ({_IN_MONTH}) AS mtd FROM seen GROUP BY as_of, product HAVING mtd > 0""",
+            count(DISTINCT code) FILTER ({_IN_MONTH}) AS mtd,
+            row_number() OVER (PARTITION BY as_of ORDER BY mtd DESC, product)::INTEGER AS position
+            FROM seen GROUP BY as_of, product HAVING mtd > 0""",
         labelled="""SELECT l.d, l.code, p.product FROM lost l JOIN flag_products p USING (fid)
             WHERE p.product IS NOT NULL AND trim(p.product) <> ''""",
         seen=_per_as_of(_WIDE_FIRST, "labelled", _WIDE_LAST),
@@ -533,17 +537,21 @@ ORACLES = {
             AND {_CODED} GROUP BY ALL""",
     ),
     "funnel_window": _funnel_report("managers_window"),
-    "funnel_mtd": _funnel_report("managers_month"),
+    "funnel_mtd": _funnel_report("managers_month", "sold_pct DESC,"),
     "funnel_staff": _query(
         ["funnel"],
-        f"""SELECT region::INTEGER AS regional_manager_id, manager, store, c_name AS staff_name,
+        f"""SELECT *, row_number() OVER (PARTITION BY regional_manager_id ORDER BY manager NULLS LAST, store NULLS LAST,
+            staff_name NULLS LAST, email NULLS LAST)::INTEGER AS position FROM (
+            SELECT region::INTEGER AS regional_manager_id, manager, store, c_name AS staff_name,
             CASE WHEN c_custkey IS NOT NULL THEN 'staff' || c_custkey || '@example.com' END AS email, count(*) AS interactions,
             coalesce(sum(pitched), 0)::BIGINT AS pitched, coalesce(sum(sold), 0)::BIGINT AS sold
-            FROM funnel LEFT JOIN customer ON c_custkey = seller WHERE d BETWEEN {WEEK_FROM} AND {AS_OF} GROUP BY ALL""",
+            FROM funnel LEFT JOIN customer ON c_custkey = seller WHERE d BETWEEN {WEEK_FROM} AND {AS_OF} GROUP BY ALL)""",
     ),
     "funnel_combined_total": _query(
         ["combined"],
-        f"""SELECT {_SUMMARY_COLUMNS}, FALSE AS is_total, total_stores AS total_store_count, total_staff AS total_executive_count,
+        f"""SELECT *, row_number() OVER (PARTITION BY regional_manager_id ORDER BY is_total, mtd_sold_pct DESC NULLS LAST,
+            manager NULLS LAST)::INTEGER AS position FROM (
+            SELECT {_SUMMARY_COLUMNS}, FALSE AS is_total, total_stores AS total_store_count, total_staff AS total_executive_count,
             mtd_pitched_pct, mtd_sold_pct, stores AS store_count, sellers AS executive_count, n AS interactions, pitched,
             pitched_pct, sold, sold_pct FROM combined
             UNION ALL
@@ -554,7 +562,7 @@ ORACLES = {
             LEFT JOIN (SELECT region, sum(n)::BIGINT AS n, sum(pitched)::BIGINT AS p, sum(sold)::BIGINT AS s
                        FROM managers_month GROUP BY 1) m USING (region)
             LEFT JOIN (SELECT region, sum(stores)::BIGINT AS a, sum(sellers)::BIGINT AS b, sum(n)::BIGINT AS n,
-                       sum(pitched)::BIGINT AS p, sum(sold)::BIGINT AS s FROM managers_window GROUP BY 1) w USING (region)""",
+                       sum(pitched)::BIGINT AS p, sum(sold)::BIGINT AS s FROM managers_window GROUP BY 1) w USING (region))""",
     ),
     "roster_asof": _query(
         ["roster"],
@@ -607,7 +615,8 @@ ORACLES = {
             recorded_seconds, active_days, wtd_shift_seconds, blank_pct, adherence_pct, mtd_recorded_seconds,
             mtd_days_received, mtd_blank_pct, mtd_shift_seconds, mtd_adherence_pct,
             CASE WHEN blank_pct > 8 AND adherence_pct < 85 THEN 'High Blank Files, Low Device Adherence'
-                 WHEN blank_pct > 8 THEN 'High Blank Files' WHEN adherence_pct < 85 THEN 'Low Device Adherence' ELSE '' END AS comments
+                 WHEN blank_pct > 8 THEN 'High Blank Files' WHEN adherence_pct < 85 THEN 'Low Device Adherence' ELSE '' END AS comments,
+            row_number() OVER (PARTITION BY manager ORDER BY store NULLS LAST, staff_name NULLS LAST, device NULLS LAST)::INTEGER AS position
             FROM detail""",
     ),
     "adherence_summary": _query(["summary"], f"SELECT {_SUMMARY_COLUMNS}, {_MANAGER_MEANS} FROM summary"),
@@ -727,11 +736,11 @@ _BRAND_DEVICES = CTES["all_devices"].replace(
     "FROM customer) WHERE c_custkey // 15 % 5 IN (1, 3)\n"
     "              UNION SELECT name, store_id FROM on_device WHERE store_id IN (SELECT store_id FROM chain WHERE brand_id IN (1, 3)))",
 )
-ORACLES["adherence_region_brand"] = "SELECT * FROM ({0}) WHERE regional_manager_id = 26".format(
+ORACLES["adherence_region_brand"] = "SELECT * EXCLUDE (position) FROM ({0}) WHERE regional_manager_id = 26".format(
     ORACLES["adherence_detail"].replace(CTES["all_devices"], _BRAND_DEVICES)
 )
 ORACLES["category_display"] = (
-    f"SELECT as_of, prod_category, coalesce(wtd::VARCHAR, '-') AS wtd, coalesce(mtd::VARCHAR, '-') AS mtd "
+    f"SELECT as_of, prod_category, coalesce(wtd::VARCHAR, '-') AS wtd, coalesce(mtd::VARCHAR, '-') AS mtd, position "
     f"FROM ({ORACLES['category_wtd_mtd']})"
 )
 ORACLES["adherence_display"] = _query(

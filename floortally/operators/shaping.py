@@ -48,9 +48,19 @@ def pinned_order(total_flag: str, measure: str, ascending: bool = False) -> list
     return [F.asc(total_flag), by]
 
 
-def sorted_nulls_last(df: DataFrame, columns: Sequence[str], ascending: bool = True) -> DataFrame:
+def nulls_last(columns: Sequence[str], ascending: bool = True) -> list[Column]:
+    """Sort keys that leave NULL last in either direction."""
     order = F.asc_nulls_last if ascending else F.desc_nulls_last
-    return df.orderBy(*[order(column) for column in columns])
+    return [order(column) for column in columns]
+
+
+def positioned(df: DataFrame, groups: Sequence[str], order: Sequence[Column], name: str = "position") -> DataFrame:
+    """The rows in order of their groups and, within each, of `order`, with their place in the group from 1.
+
+    A table that was written and read again keeps its order by groups and position. `order` should tell all
+    rows of a group apart; places are taken per group, so that no task sees all rows."""
+    placed = df.withColumn(name, F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
+    return placed.orderBy(*[F.asc_nulls_last(g) for g in groups], name)
 
 
 def append(upper: DataFrame, lower: DataFrame) -> DataFrame:

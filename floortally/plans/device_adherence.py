@@ -15,7 +15,7 @@ from floortally.functions.periods import month_start, parse_date, parse_timestam
 from floortally.functions.text import device_code, not_blank
 from floortally.operators.asof import as_date
 from floortally.operators.joins import left_on, split_left_join
-from floortally.operators.shaping import sorted_nulls_last
+from floortally.operators.shaping import nulls_last, positioned
 from floortally.operators.temporal import valid_on
 from floortally.operators.totals import added_parts, mean_of_parts, mean_of_rounded, mean_parts, with_total
 from floortally.plans.organisation import in_regions, store_chain
@@ -275,7 +275,10 @@ def _fallback_shift(shift: str, recorded: Column, days: str, wrap_24h: bool) ->
 
 
 def sorted_detail(detail: DataFrame, ascending: bool = True) -> DataFrame:
-    return sorted_nulls_last(detail, ["manager", "store", "staff_name"], ascending)
+    """The detail by manager, store and staff, with each row's position among its manager's; NULL is last either way."""
+    order = nulls_last(["store", "staff_name"], ascending) + nulls_last(["device"])
+    rows = positioned(detail, ["manager"], order)
+    return rows if ascending else rows.orderBy(F.desc_nulls_last("manager"), "position")
 
 
 MEANS = {

@@ -12,7 +12,7 @@ from floortally.functions import nested as N
 from floortally.functions.numbers import half_even, parse_number, percent_or_zero, sum_or_zero, whole
 from floortally.functions.periods import month_start
 from floortally.operators.asof import as_date, on_days
-from floortally.operators.shaping import append, min_max_heat, pinned_order
+from floortally.operators.shaping import append, min_max_heat, nulls_last, pinned_order, positioned
 from floortally.operators.temporal import valid_on
 from floortally.operators.totals import grouped_with_total
 from floortally.plans.lost_sales import long_calls
@@ -117,12 +117,13 @@ def _funnel(t: Tables, as_of: dt.date, regions: Sequence[int] | None, prefix: st
 
 def funnel_window(t: Tables, as_of: dt.date, regions: Sequence[int] | None = None) -> DataFrame:
     """Funnel per manager over the seven days to `as_of`."""
-    return _funnel(t, as_of, regions, "").orderBy("regional_manager_id", F.asc_nulls_last("manager"))
+    return positioned(_funnel(t, as_of, regions, ""), ["regional_manager_id"], nulls_last(["manager"]))
 
 
 def funnel_mtd(t: Tables, as_of: dt.date, regions: Sequence[int] | None = None) -> DataFrame:
     """Funnel per manager for the month to date, best sellers first."""
-    return _funnel(t, as_of, regions, "mtd_").orderBy("regional_manager_id", F.desc("sold_pct"), F.asc_nulls_last("manager"))
+    best = [F.desc("sold_pct"), F.asc_nulls_last("manager")]
+    return positioned(_funnel(t, as_of, regions, "mtd_"), ["regional_manager_id"], best)
 
 
 def active_roster(
@@ -154,7 +155,7 @@ def combined(
     table = table.where(F.col("is_total") | (F.col("mtd_interactions") > 0))
     window = ["store_count", "executive_count", "interactions", "pitched", "sold"]
     seen = F.col("is_total") | (F.col("interactions") > 0)
-    return (
+    rows = (
         table.withColumns({c: F.when(seen, F.col(c)) for c in window})
         .withColumns({**_rates("mtd_"), **_rates()})
         .withColumns({c: F.when(F.col("interactions").isNotNull(), F.col(c)) for c in ("pitched_pct", "sold_pct")})
@@ -173,8 +174,9 @@ def combined(
             "sold",
             "sold_pct",
         )
-        .orderBy("regional_manager_id", *pinned_order("is_total", "mtd_sold_pct"))
     )
+    best = [*pinned_order("is_total", "mtd_sold_pct"), F.asc_nulls_last("manager")]
+    return positioned(rows, ["regional_manager_id"], best)
 
 
 def heat(
@@ -199,7 +201,7 @@ def staff_funnel(t: Tables, as_of: dt.date, regions: Sequence[int] | None = None
         .join(staff, "sales_person_id", "left")
     )
     names = ["manager", "store", "staff_name", "email"]
-    return (
+    table = (
         in_regions(rows, regions)
         .groupBy("regional_manager_id", *names)
         .agg(
@@ -207,8 +209,8 @@ def staff_funnel(t: Tables, as_of: dt.date, regions: Sequence[int] | None = None
             sum_or_zero(F.col("pitched")).alias("pitched"),
             sum_or_zero(F.col("sold")).alias("sold"),
         )
-        .orderBy("regional_manager_id", *[F.asc_nulls_last(c) for c in names[:3]])
     )
+    return positioned(table, ["regional_manager_id"], nulls_last(names))
 
 
 def effectiveness_flags(t: Tables, as_of: dt.date, regions: Sequence[int] | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from floortally.functions.numbers import percent_or_zero, sum_or_zero, whole
 from floortally.functions.text import not_blank
 from floortally.operators.asof import DAILY, DAY, MONTH, WEEK, WEEK_OR_MONTH, AsOf, Period, as_date, attach, on_days, within
 from floortally.operators.code_lists import code_counts
-from floortally.operators.shaping import share_of_total, top_k
+from floortally.operators.shaping import positioned, share_of_total, top_k
 from floortally.sources.tables import Tables
 
 # Short column prefixes for the follow-up issues, in the order of the fixed list.
@@ -303,7 +303,7 @@ def category_trend(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
     """
     daily = _first_seen(t, PRODUCTS, as_of).withColumnRenamed("label", "prod_category")
     daily = daily.where(not_blank(F.col("prod_category")))
-    return (
+    table = (
         attach(daily, as_of, WEEK_OR_MONTH)
         .groupBy("as_of", "prod_category")
         .agg(
@@ -311,8 +311,8 @@ def category_trend(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
             F.sum(F.when(within(MONTH), F.col("new_mtd"))).alias("mtd"),
         )
         .where(F.col("mtd").isNotNull())
-        .orderBy("as_of", F.desc("mtd"), "prod_category")
     )
+    return positioned(table, ["as_of"], [F.desc("mtd"), F.asc("prod_category")])
 
 
 def top_reasons_of_day(t: Tables, as_of: AsOf = DAILY, k: int = 5) -> DataFrame:

@@ -14,7 +14,7 @@ from floortally.functions.numbers import count_where, finite_or_zero, half_even,
 from floortally.functions.text import title
 from floortally.operators.asof import MONTH, MONTH_END, AsOf, as_date, attach
 from floortally.operators.joins import split_left_join
-from floortally.operators.shaping import share_of_total
+from floortally.operators.shaping import positioned, share_of_total
 from floortally.operators.temporal import inside_clipped, overlaps
 from floortally.operators.totals import mean_of_rounded
 from floortally.plans.device_adherence import same_day_audio
@@ -198,16 +198,15 @@ def _category_matrix(calls: DataFrame, array: str, tenants: Sequence[Tenant], as
         *[sum_or_zero(F.when(P.week_of_month(day) == w, n)).alias(f"week_{w}") for w in WEEKS],
         *[sum_or_zero(F.when(ago == d, n)).alias(f"d_{d}") for d in DAYS],
     )
-    return share_of_total(counts, ["tenant", "as_of"], "mtd", "contribution_pct", 1).orderBy(
-        "tenant", "as_of", F.desc("contribution_pct"), "category"
-    )
+    shares = share_of_total(counts, ["tenant", "as_of"], "mtd", "contribution_pct", 1)
+    return positioned(shares, ["tenant", "as_of"], [F.desc("contribution_pct"), F.asc("category")])
 
 
 def reason_matrix(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = MONTH_END) -> DataFrame:
     """Loss reasons of the month with share, week and day counts, largest share first."""
     lost = t.interactions.where(F.col("sales_outcome") == C.LOST_CALL_OUTCOME)
     return _category_matrix(lost, "reason_loss_of_sale", tenants, as_of).select(
-        "tenant", "as_of", F.col("category").alias("reason"), "mtd", "contribution_pct", *WEEK_COLUMNS, *DAY_COLUMNS
+        "tenant", "as_of", F.col("category").alias("reason"), "mtd", "contribution_pct", *WEEK_COLUMNS, *DAY_COLUMNS, "position"
     )
 
 
@@ -221,4 +220,5 @@ def objection_matrix(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = MONTH_E
         "contribution_pct",
         *WEEK_COLUMNS,
         *DAY_COLUMNS,
+        "position",
     )

@@ -71,8 +71,8 @@ def test_heat(spark):
 
 def test_sort_orders(spark):
     df = spark.createDataFrame([(1, False), (None, False), (9, True), (5, False)], "v int, total boolean")
-    up = shaping.sorted_nulls_last(df, ["v"]).collect()
-    down = shaping.sorted_nulls_last(df, ["v"], ascending=False).collect()
+    up = df.orderBy(*shaping.nulls_last(["v"])).collect()
+    down = df.orderBy(*shaping.nulls_last(["v"], ascending=False)).collect()
     assert [r.v for r in up] == [1, 5, 9, None] and [r.v for r in down] == [9, 5, 1, None]
     for ascending, expected in ((False, [5, 1, None, 9]), (True, [1, 5, None, 9])):
         assert [r.v for r in df.orderBy(*shaping.pinned_order("total", "v", ascending)).collect()] == expected
@@ -141,3 +141,16 @@ def test_append_fills_missing_columns(spark):
     upper = spark.createDataFrame([(1, 2)], "a int, b int")
     lower = spark.createDataFrame([(3, 4)], "a int, c int")
     assert {tuple(r) for r in shaping.append(upper, lower).collect()} == {(1, 2, None), (3, None, 4)}
+
+
+def test_positions_keep_the_order_of_a_written_table(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(40), k) for k in range(300)]
+    df = spark.createDataFrame(rows, "g string, v int, k int").repartition(7)
+    placed = shaping.positioned(df, ["g"], [F.desc("v"), F.asc("k")])
+    placed.repartition(5).write.parquet(str(tmp_path / "t"))
+    back = spark.read.parquet(str(tmp_path / "t")).orderBy(F.asc_nulls_last("g"), "position").collect()
+    assert [tuple(r)[:3] for r in back] == sorted(rows, key=lambda r: (r[0] is None, r[0] or "", -r[1], r[2]))
+    assert [tuple(r) for r in placed.collect()] == [tuple(r) for r in back]
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
