@@ -117,6 +117,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 ORACLES: dict[str, str] = {
+    "op8_debruijn_dedup": r"""
+    WITH read AS (
+        SELECT row_number() OVER () AS row_id, doc_id, coalesce(doc_id, 9223372036854775807) AS doc,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), windows AS (
+        SELECT row_id, doc, i, array_to_string(words[i + 1 : i + 50], ' ') AS said
+        FROM (SELECT *, unnest(range(len(words) - 49)) AS i FROM read WHERE len(words) >= 50)
+    ), firsts AS (
+        SELECT said, min(doc) AS first_doc FROM windows GROUP BY said HAVING count(*) > 1
+    ), gone AS (
+        SELECT DISTINCT row_id, unnest(range(i, i + 50)) AS place FROM windows JOIN firsts USING (said) WHERE first_doc < doc
+    ), words AS (
+        SELECT row_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM read
+    ), kept AS (
+        SELECT row_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n FROM words ANTI JOIN gone USING (row_id, place) GROUP BY row_id
+    )
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(text, '')) AS kept_sha256
+    FROM read LEFT JOIN kept USING (row_id)
+    """,
     "op13_filter_audit": r"""
     WITH read AS (
         SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
