@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from floortally.llm.arrays import doubled, normal_words, text_chunks
+from floortally.llm.storage import discard, stored
 
-#: Words of benchmark text that one pass over the documents carries; more items take more passes.
-WORDS_PER_BLOCK = 2_000_000
+#: About so many bytes of different benchmark texts are carried by one pass over the documents; more take more passes.
+BYTES_PER_BLOCK = 12_000_000
 
 
 class Seeds:
@@ -106,21 +107,27 @@ def leaks(
     nothing; a null doc_id or item_id is kept; repeated rows give repeated results; with an empty table
     on either side there are no rows; other columns are ignored.
     """
-    spark = documents.sparkSession
-    length = F.size(F.split(F.coalesce("text", F.lit("")), r"\s+"))
-    n_words = benchmark.agg(F.sum(length)).first()[0] or 0
-    n_blocks = n_words // WORDS_PER_BLOCK + 1
+    context = documents.sparkSession.sparkContext
+    text = F.coalesce("text", F.lit(""))
+    named = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.sha2(text, 256).alias("item_key"))
+    # Items of one text are matched once: blocks by the hash of different texts come out even.
+    texts = stored(benchmark.select(F.sha2(text, 256).alias("item_key"), text.alias("text")).dropDuplicates(["item_key"]))
+    n_blocks = (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BYTES_PER_BLOCK + 1
     rows = documents.selectExpr("cast(doc_id as bigint) doc_id", "text", "xxhash64(text) text_hash")
-    found = None
+    parts = []
     for block in range(n_blocks):
-        # The benchmark is the stated query set: each pass over all rows carries one bounded block of it.
-        items = benchmark.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == block).selectExpr("cast(item_id as bigint)", "text").collect()
-        part = rows.mapInArrow(
-            _matcher(spark.sparkContext.broadcast([tuple(r) for r in items]), seed_words, least_match, threshold),
-            "doc_id long, text_hash long, item_id long, coverage double, n_tiles int",
-        )
-        found = part if found is None else found.unionByName(part)
-    return found
+        # The benchmark is the stated query set: each pass over all rows carries one block of it, and its
+        # matches are written before the next is read.
+        items = texts.where(F.pmod(F.xxhash64("item_key"), F.lit(n_blocks)) == block).collect()
+        shared = context.broadcast([tuple(r) for r in items])
+        schema = "doc_id long, text_hash long, item_key string, coverage double, n_tiles int"
+        parts.append(stored(rows.mapInArrow(_matcher(shared, seed_words, least_match, threshold), schema)))
+        shared.destroy()
+    discard(texts)
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found.join(named, "item_key").select("doc_id", "text_hash", "item_id", "coverage", "n_tiles")
 
 
 def _matcher(shared, seed_words: int, least_match: int, threshold: float):
@@ -160,8 +167,8 @@ def _matcher(shared, seed_words: int, least_match: int, threshold: float):
                     coverage = sum(t[2] for t in tiles) / len(item)
                     if coverage >= threshold:
                         out.append((doc_ids[rows.start + text].as_py(), text_hashes[rows.start + text].as_py(), ids[k], coverage, len(tiles)))
-            names = ["doc_id", "text_hash", "item_id", "coverage", "n_tiles"]
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32()]
+            names = ["doc_id", "text_hash", "item_key", "coverage", "n_tiles"]
+            types = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int32()]
             columns = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
@@ -169,11 +176,13 @@ def _matcher(shared, seed_words: int, least_match: int, threshold: float):
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
-    """The documents without those that leak a benchmark item; all columns stay as they are.
+    """The documents without those that leak a benchmark item; all columns stay as they are, whatever their names.
 
-    A document is known by its id and text, so a clean row with a leaking row's id stays."""
+    A document is known by its id and text, so a clean row with a leaking row's id stays. Null ids are one id;
+    null and empty texts leak nothing and stay; repeated rows go or stay together; empty tables are as in `leaks`."""
     bad = leaks(documents, benchmark, **parameters).select(
-        F.col("doc_id").alias("_leak_id"), F.col("text_hash").alias("_leak_text")
+        F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_text")
     ).distinct()
-    same = documents["doc_id"].cast("bigint").eqNullSafe(bad["_leak_id"]) & (F.xxhash64(documents["text"]) == bad["_leak_text"])
-    return documents.join(bad, same, "left_anti")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("text"))
+    same = F.col("id").eqNullSafe(F.col("leak_id")) & (F.col("text") == F.col("leak_text"))
+    return rows.join(bad, same, "left_anti").select("row.*")

@@ -433,10 +433,15 @@ def scored(documents: DataFrame, model: Model, threshold: float = THRESHOLD) ->
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents not predicted toxic, all columns as they are. A document is known by id and text."""
+    """The documents not predicted toxic, all columns as they are, whatever their names.
+
+    A document is known by id and text: rows that share an id are judged each by its own text, null ids are one
+    id, repeated rows go or stay together. Null and empty texts are scored as texts without windows; texts of any
+    length are read whole; an empty table stays empty."""
     model = fit(documents, labels)
     bad = scored(documents, model).where("predicted = 1").select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text")
+        F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_text")
     ).distinct()
-    same = documents["doc_id"].cast("bigint").eqNullSafe(bad["_bad_id"]) & (F.xxhash64(documents["text"]) == bad["_bad_text"])
-    return documents.join(bad, same, "left_anti")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("text"))
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("text") == F.col("bad_text"))
+    return rows.join(bad, same, "left_anti").select("row.*")

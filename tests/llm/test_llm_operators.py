@@ -224,6 +224,62 @@ def test_leaks_of_reordered_passages(spark, frame):
     assert decontamination.leaks(frame(rows), items.limit(0)).count() == 0
 
 
+def brute_leaks(rows, items, seed_words=5, least_match=5, threshold=0.5):
+    """Greedy tiles word by word: the longest common run of unmarked words, the first in the item, then in the text."""
+    plain = lambda t: re.sub(r"[!-/:-@\[-`{-~]", " ", t or "").lower().split()
+    found = []
+    for doc_id, text in rows:
+        words = plain(text)
+        for item_id, item in items:
+            item, covered = plain(item), 0
+            least = min(least_match, len(item))
+            free, own = [True] * len(words), [True] * len(item)
+            while item:
+                best = (0, 0, 0)
+                for j in range(len(item)):
+                    for i in range(len(words)):
+                        n = 0
+                        while i + n < len(words) and j + n < len(item) and words[i + n] == item[j + n] and free[i + n] and own[j + n]:
+                            n += 1
+                        if n > best[0]:
+                            best = (n, i, j)
+                n, i, j = best
+                if n < least:
+                    break
+                free[i : i + n], own[j : j + n] = [False] * n, [False] * n
+                covered += n
+            if item and covered / len(item) >= threshold:
+                found.append((doc_id, item_id, round(covered / len(item), 9)))
+    return sorted(found, key=str)
+
+
+def test_leaks_equal_brute_force(spark, frame, monkeypatch):
+    r = random.Random(8)
+    items = [(k, prose(300 + k, 12 + k)) for k in range(8)] + [(50, prose(300, 12)), (51, "one two"), (None, prose(301, 13)), (52, None), (53, " ")]
+    rows = []
+    for k in range(60):
+        words = prose(700 + k, 30).split()
+        for _ in range(r.randrange(3)):
+            source = (items[r.randrange(8)][1]).split()
+            a = r.randrange(len(source))
+            b = min(len(source), a + r.randrange(3, 14))
+            at = r.randrange(len(words))
+            words[at:at] = [w.upper() + "," for w in source[a:b]]
+        rows.append((k, " ".join(words)))
+    rows += [(100, "x one two y"), (None, items[3][1]), (101, None), (101, ""), (102, items[2][1]), (102, items[2][1])]
+    expected = brute_leaks(rows, items)
+    assert len(expected) > 10
+    table = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, item_key string")
+    for block in (decontamination.BYTES_PER_BLOCK, 300):
+        monkeypatch.setattr(decontamination, "BYTES_PER_BLOCK", block)
+        found = decontamination.leaks(frame(rows), table).collect()
+        assert sorted(((x.doc_id, x.item_id, round(x.coverage, 9)) for x in found), key=str) == expected
+    kept = decontamination.without_leaks(frame(rows), table)
+    assert kept.columns == frame(rows).columns
+    leaked = {e[0] for e in expected}
+    assert sorted(x.doc_id for x in kept.collect() if x.doc_id is not None) == sorted(i for i, _ in rows if i not in leaked and i is not None)
+
+
 def test_base_scores_equal_brute_force(frame, rows):
     rows = [r for r in rows if r[0] is not None]
     lists = [(i, WORD.findall((t or "").lower() if (t or "").isascii() else (t or "")) + [None]) for i, t in rows]
