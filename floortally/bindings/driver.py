@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from floortally import constants as C
 from floortally.sources.tables import Tables
 from floortally.sources.tenants import Tenant
 
@@ -31,16 +32,20 @@ BRAND_TENANTS = [
     Tenant("EUROPE", 30_600),
     Tenant("MIDDLE EAST", 36_000),
 ]
+
+
+def _array(*values: str | None) -> str:
+    return "array(" + ", ".join("null" if v is None else f"'{v}'" for v in values) + ")"
+
+
+#: The reports' own labels and others beside them.
 LABELS = {
-    "loss": "array('Customer', 'Product', 'Process', 'Price', 'Salesperson', 'Store', null)",
-    "issue": "array('Uncertainty in dimension', 'Deferred decision making', 'Technical Glitch', "
-    "'Price concern', 'Delivery time', null)",
-    "product": "array('Mattress', 'Sofa', 'Bed', '', null)",
-    "objection": "array('merchandise_issue', 'price_issue', 'others', 'offers_and_discount_issue', "
-    "'after_sales_issue', 'customization_issue', 'delivery_timeline_issue', 'negative_past_experience', "
-    "'not_applicable', null)",
-    "handling": "array('Explanation', 'Solution', 'Generic', 'Deferred')",
-    "brand": "array('africa', 'america', 'asia', 'europe', 'middle_east')",
+    "loss": _array(*C.LOSS_CATEGORIES, "Store", None),
+    "issue": _array(*C.FOLLOW_UP_ISSUES, "Price concern", "Delivery time", None),
+    "product": _array("Mattress", "Sofa", "Bed", "", None),
+    "objection": _array(*C.OBJECTION_CATEGORIES, *C.NO_OBJECTION, None),
+    "handling": _array(*C.HANDLINGS, "Deferred"),
+    "brand": _array("africa", "america", "asia", "europe", "middle_east"),
 }
 
 
@@ -274,7 +279,7 @@ def organisation(spark: SparkSession, sf_dir: str) -> dict:
                 "c_custkey",
                 "date_add(date'2023-10-15', cast(c_custkey % 10 as int))",
                 returned,
-                "case c_custkey % 9 when 4 then 'To be Delete Row' when 2 then 'ok' end",
+                f"case c_custkey % 9 when 4 then '{C.DELETED_DEVICE_COMMENT}' when 2 then 'ok' end",
             ],
             [
                 device,

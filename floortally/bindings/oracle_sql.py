@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from floortally import constants as C
+
 AS_OF = "DATE '2024-01-30'"
 WEEK_FROM = f"({AS_OF} - 6)"
 MONTH_FROM = "DATE '2024-01-01'"
-ISSUES = "('Uncertainty in dimension', 'Deferred decision making', 'Technical Glitch')"
-LOSSES = "('Customer', 'Product', 'Process', 'Price', 'Salesperson')"
+
+
+def _quoted(values: list[str]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
+
+
+ISSUES, LOSSES = f"({_quoted(C.FOLLOW_UP_ISSUES)})", f"({_quoted(C.LOSS_CATEGORIES)})"
 WORK_HOURS = "strftime(ts, '%H%M%S') BETWEEN '093000' AND '223000'"
 BRANDS = "['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST']"
 
@@ -36,21 +43,18 @@ CTES = {
         CASE WHEN (o_custkey + i) % 2 = 0 THEN 'follow-up' ELSE 'catalogue' END AS exchange_context
         FROM (SELECT o_orderkey AS call_id, o_custkey, unnest(range(o_orderkey % 3)) AS i FROM orders)
         WHERE (call_id + i) % 4 <> 0""",
-    "call_reasons": """SELECT call_id,
-        (['Customer', 'Product', 'Process', 'Price', 'Salesperson', 'Store', NULL])[(o_custkey + i) % 7 + 1] AS category
+    "call_reasons": f"""SELECT call_id,
+        ([{_quoted(C.LOSS_CATEGORIES)}, 'Store', NULL])[(o_custkey + i) % 7 + 1] AS category
         FROM (SELECT o_orderkey AS call_id, o_custkey, unnest(range(o_orderkey % 4)) AS i FROM orders)""",
-    "call_objections": """SELECT call_id,
-        (['merchandise_issue', 'price_issue', 'others', 'offers_and_discount_issue', 'after_sales_issue',
-          'customization_issue', 'delivery_timeline_issue', 'negative_past_experience', 'not_applicable',
-          NULL])[(call_id + i) % 10 + 1] AS category,
-        (['Explanation', 'Solution', 'Generic', 'Deferred'])[(o_custkey + i) % 4 + 1] AS handling
+    "call_objections": f"""SELECT call_id,
+        ([{_quoted(C.OBJECTION_CATEGORIES + C.NO_OBJECTION)}, NULL])[(call_id + i) % 10 + 1] AS category,
+        ([{_quoted(C.HANDLINGS)}, 'Deferred'])[(o_custkey + i) % 4 + 1] AS handling
         FROM (SELECT o_orderkey AS call_id, o_custkey, unnest(range(o_custkey % 3)) AS i FROM orders)""",
     "flags": """SELECT row_number() OVER () AS fid, l_orderkey AS call_id, l_linenumber, l_partkey, l_suppkey,
         l_quantity::BIGINT AS q FROM lineitem WHERE l_returnflag <> 'A' AND l_linestatus = 'O'""",
-    "flag_reasons": """SELECT fid,
-        (['Customer', 'Product', 'Process', 'Price', 'Salesperson', 'Store', NULL])[(l_suppkey + i) % 7 + 1] AS category,
-        (['Uncertainty in dimension', 'Deferred decision making', 'Technical Glitch', 'Price concern',
-          'Delivery time', NULL])[(l_partkey + l_suppkey + i) % 6 + 1] AS sub_category,
+    "flag_reasons": f"""SELECT fid,
+        ([{_quoted(C.LOSS_CATEGORIES)}, 'Store', NULL])[(l_suppkey + i) % 7 + 1] AS category,
+        ([{_quoted(C.FOLLOW_UP_ISSUES)}, 'Price concern', 'Delivery time', NULL])[(l_partkey + l_suppkey + i) % 6 + 1] AS sub_category,
         'reason ' || (l_partkey % 10) AS reason
         FROM (SELECT *, unnest(range(q % 4)) AS i FROM flags)""",
     "flag_products": """SELECT fid, i, (['Mattress', 'Sofa', 'Bed', '', NULL])[(l_partkey + i) % 5 + 1] AS product
@@ -97,9 +101,9 @@ CTES = {
         FROM managers_month m
         LEFT JOIN roster r ON r.region = m.region AND r.manager IS NOT DISTINCT FROM m.manager
         LEFT JOIN managers_window w ON w.region = m.region AND w.manager IS NOT DISTINCT FROM m.manager""",
-    "devices": """SELECT code AS name, c_custkey // 15 AS store_id, c_custkey AS sp_id,
+    "devices": f"""SELECT code AS name, c_custkey // 15 AS store_id, c_custkey AS sp_id,
         DATE '2023-10-15' + (c_custkey % 10)::INT AS assigned_on, DATE '2024-01-20' + (c_custkey % 15)::INT AS unassigned_on,
-        CASE c_custkey % 9 WHEN 4 THEN 'To be Delete Row' WHEN 2 THEN 'ok' END AS comments
+        CASE c_custkey % 9 WHEN 4 THEN '{C.DELETED_DEVICE_COMMENT}' WHEN 2 THEN 'ok' END AS comments
         FROM (SELECT *, 't' || lpad(c_custkey::VARCHAR, greatest(4, length(c_custkey::VARCHAR))::INT, '0') AS code FROM customer)
         UNION ALL
         SELECT code, c_custkey // 15 + CASE WHEN c_custkey % 8 = 1 THEN 5 ELSE 0 END,
@@ -109,11 +113,11 @@ CTES = {
         CASE WHEN c_custkey % 13 = 5 THEN NULL ELSE 'E' || c_custkey END AS employee_id FROM customer""",
     "on_device": f"""SELECT * FROM devices WHERE assigned_on <= {AS_OF}
         AND coalesce(unassigned_on, DATE '2099-12-31') >= {AS_OF}""",
-    "all_devices": """SELECT ch.region, ch.manager, ch.store, st.name AS staff_name, b.name AS device, st.employee_id, st.id AS sp_id
+    "all_devices": f"""SELECT ch.region, ch.manager, ch.store, st.name AS staff_name, b.name AS device, st.employee_id, st.id AS sp_id
         FROM (SELECT name, c_custkey // 15 AS store_id FROM (SELECT c_custkey,
                 't' || lpad(c_custkey::VARCHAR, greatest(4, length(c_custkey::VARCHAR))::INT, '0') AS name FROM customer)
               UNION SELECT name, store_id FROM on_device) b
-        LEFT JOIN on_device dv ON dv.name = b.name AND (dv.comments IS NULL OR dv.comments <> 'To be Delete Row')
+        LEFT JOIN on_device dv ON dv.name = b.name AND (dv.comments IS NULL OR dv.comments <> '{C.DELETED_DEVICE_COMMENT}')
         LEFT JOIN staff st ON st.id = dv.sp_id
         LEFT JOIN chain ch ON ch.store_id = b.store_id""",
     "device_rows": "SELECT * FROM all_devices WHERE region IS NOT NULL",
@@ -324,7 +328,7 @@ def _category_matrix(source: str, label: str, name: str) -> str:
     )
 
 
-_ISSUE_LIST = "'Uncertainty in dimension', 'Deferred decision making', 'Technical Glitch'"
+_ISSUE_LIST = _quoted(C.FOLLOW_UP_ISSUES)
 _CODE = "trim(code) AS interaction_code"
 _CODED = "code IS NOT NULL AND trim(code) <> ''"
 
@@ -455,8 +459,7 @@ ORACLES = {
     "category_issue_crosstab": _query(
         ["lost", "phones", "issue_flags", "flag_products"],
         f"""SELECT f.d AS as_of, p.product AS prod_category,
-            {_issue_cell('Uncertainty in dimension', 'uncertainty')}, {_issue_cell('Deferred decision making', 'deferred')},
-            {_issue_cell('Technical Glitch', 'glitch')}
+            {', '.join(map(_issue_cell, C.FOLLOW_UP_ISSUES, ('uncertainty', 'deferred', 'glitch')))}
             FROM day_flags f JOIN flag_reasons r ON r.fid = f.fid JOIN flag_products p ON p.fid = f.fid
             WHERE p.product IS NOT NULL AND trim(p.product) <> '' GROUP BY f.d, p.product""",
         day_flags=_DAY_FLAGS,
@@ -489,10 +492,10 @@ ORACLES = {
     ),
     "reason_domain_day": _query(
         ["tenant_long", "call_reasons"],
-        """SELECT t.tenant, t.d AS as_of, i.category, coalesce(n, 0) AS interactions,
+        f"""SELECT t.tenant, t.d AS as_of, i.category, coalesce(n, 0) AS interactions,
             CASE WHEN lost > 0 THEN round_even(coalesce(n, 0)::DOUBLE / lost * 100 * 10, 0) / 10 ELSE 0.0 END AS pct
             FROM (SELECT tenant, d, count(code) FILTER (outcome = 'unsuccessful') AS lost FROM tenant_long GROUP BY ALL) t
-            CROSS JOIN (SELECT unnest(['Customer', 'Product', 'Process', 'Price', 'Salesperson']) AS category) i
+            CROSS JOIN (SELECT unnest([{_quoted(C.LOSS_CATEGORIES)}]) AS category) i
             LEFT JOIN (SELECT c.tenant, c.d, r.category, count(*) AS n
                        FROM tenant_long c JOIN call_reasons r ON r.call_id = c.id WHERE c.outcome = 'unsuccessful' GROUP BY ALL) x
               ON x.tenant = t.tenant AND x.d = t.d AND x.category = i.category""",
@@ -509,7 +512,7 @@ ORACLES = {
             count(s.code) FILTER (s.category = i.category AND {_IN_WEEK.replace('as_of', 'k.as_of')}) AS wtd,
             count(s.code) FILTER (s.category = i.category AND {_IN_MONTH.replace('as_of', 'k.as_of')}) AS mtd
             FROM (SELECT DISTINCT tenant, as_of FROM seen) k
-            CROSS JOIN (SELECT unnest(['Customer', 'Product', 'Process', 'Price', 'Salesperson']) AS category) i
+            CROSS JOIN (SELECT unnest([{_quoted(C.LOSS_CATEGORIES)}]) AS category) i
             JOIN seen s ON s.tenant = k.tenant AND s.as_of = k.as_of GROUP BY ALL""",
         labelled="""SELECT c.tenant, c.d, c.code, r.category FROM tenant_long c LEFT JOIN call_reasons r ON r.call_id = c.id
             WHERE c.outcome = 'unsuccessful'""",
@@ -518,11 +521,10 @@ ORACLES = {
     "objection_handling_matrix": _query(
         ["tenant_long", "call_objections"],
         f"""SELECT t.tenant, t.d AS as_of, replace({_title('i.category')}, ' And ', ' and ') AS objection,
-            {', '.join(_handling_cell(h) for h in ('Explanation', 'Solution', 'Generic'))},
+            {', '.join(_handling_cell(h) for h in C.HANDLINGS)},
             coalesce(any_value(n.total), 0) AS total_objections
             FROM (SELECT DISTINCT tenant, d FROM tenant_long) t
-            CROSS JOIN (SELECT unnest(['merchandise_issue', 'price_issue', 'others', 'offers_and_discount_issue',
-                'after_sales_issue', 'customization_issue', 'delivery_timeline_issue', 'negative_past_experience']) AS category) i
+            CROSS JOIN (SELECT unnest([{_quoted(C.OBJECTION_CATEGORIES)}]) AS category) i
             LEFT JOIN objections o ON o.tenant = t.tenant AND o.d = t.d AND o.category = i.category
             LEFT JOIN (SELECT tenant, d, count(*) AS total FROM objections GROUP BY ALL) n ON n.tenant = t.tenant AND n.d = t.d
             GROUP BY t.tenant, t.d, i.category""",
@@ -533,7 +535,7 @@ ORACLES = {
         ["tenant_long", "call_objections"],
         f"""SELECT c.tenant, c.d AS as_of, replace({_title('o.category')}, ' And ', ' and ') AS objection, o.handling, {_CODE}, count(*) AS n
             FROM tenant_long c JOIN call_objections o ON o.call_id = c.id
-            WHERE o.category IS NOT NULL AND o.category <> 'not_applicable' AND o.handling IN ('Explanation', 'Solution', 'Generic')
+            WHERE o.category IS NOT NULL AND o.category <> 'not_applicable' AND o.handling IN ({_quoted(C.HANDLINGS)})
             AND {_CODED} GROUP BY ALL""",
     ),
     "funnel_window": _funnel_report("managers_window"),
