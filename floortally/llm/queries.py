@@ -117,6 +117,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 ORACLES: dict[str, str] = {
+    "op2_fingerprints": r"""
+    WITH read AS (
+        SELECT doc_id, coalesce(text, '') AS text FROM documents
+    ), following AS (
+        SELECT *, coalesce(lead(text) OVER by_id, first_value(text) OVER by_id) AS next_text
+        FROM read WINDOW by_id AS (ORDER BY doc_id NULLS FIRST, text)
+    ), changed AS (
+        SELECT *, substr(text, 1, length(text) - length(text) // 4) || substr(next_text, 1, length(text) // 4) AS edited FROM following
+    ), texts AS (
+        SELECT row_number() OVER () AS row_id, doc_id, text, next_text, edited FROM changed
+    ), marked AS (
+        -- Section ends, after two line breaks or more, carry a mark of their own; then line ends, then sentence ends.
+        SELECT row_id, kind, string_split(regexp_replace(replace(body, chr(10), chr(10) || chr(57344)),
+            '(^|[^' || chr(57344) || '])' || chr(10) || chr(57344), '\1' || chr(10), 'g'), chr(57344)) AS sections
+        FROM (SELECT row_id, unnest(['text', 'edited', 'next']) AS kind, unnest([text, edited, next_text]) AS body FROM texts)
+    ), trees AS (
+        SELECT row_id, kind, [[[sha256(piece) FOR piece IN string_split(
+            regexp_replace(line, '([.!?。！？] )', '\1' || chr(57344), 'g'), chr(57344))]
+            FOR line IN string_split(replace(part, chr(10), chr(10) || chr(57344)), chr(57344))] FOR part IN sections] AS tree
+        FROM marked
+    ), nodes AS (
+        SELECT row_id, kind, tree, list_distinct(flatten(flatten(tree))) AS leaves,
+            sha256(array_to_string([sha256(array_to_string([sha256(array_to_string(line, '')) FOR line IN part], '')) FOR part IN tree], '')) AS root
+        FROM trees
+    ), paired AS (
+        SELECT t.*, a.tree, a.root, a.leaves, b.tree AS edited_tree, b.root AS edited_root, b.leaves AS edited_leaves, c.leaves AS next_leaves,
+            nullif(coalesce(list_position([a.tree[i] IS NOT DISTINCT FROM b.tree[i] FOR i IN range(1, greatest(len(a.tree), len(b.tree)) + 1)], FALSE), 0), 0) AS branch
+        FROM texts t JOIN nodes a ON a.row_id = t.row_id AND a.kind = 'text' JOIN nodes b ON b.row_id = t.row_id AND b.kind = 'edited'
+        JOIN nodes c ON c.row_id = t.row_id AND c.kind = 'next'
+    )
+    SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, root AS fingerprint, edited_root AS edited_fingerprint,
+        len(list_intersect(leaves, edited_leaves)) / (len(leaves) + len(edited_leaves) - len(list_intersect(leaves, edited_leaves))) AS near_edited,
+        len(list_intersect(leaves, next_leaves)) / (len(leaves) + len(next_leaves) - len(list_intersect(leaves, next_leaves))) AS near_next,
+        CAST(len(tree) AS INT) AS n_sections, CAST(list_sum([len(part) FOR part IN tree]) AS INT) AS n_paragraphs,
+        CAST(branch - 1 AS INT) AS edit_section,
+        CAST(CASE WHEN branch IS NOT NULL THEN list_position([tree[branch][i] IS NOT DISTINCT FROM edited_tree[branch][i]
+            FOR i IN range(1, greatest(coalesce(len(tree[branch]), 0), coalesce(len(edited_tree[branch]), 0)) + 1)], FALSE) - 1 END AS INT) AS edit_paragraph
+    FROM paired
+    """,
     "op8_debruijn_dedup": r"""
     WITH read AS (
         SELECT row_number() OVER () AS row_id, doc_id, coalesce(doc_id, 9223372036854775807) AS doc,
