@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from floortally.llm.arrays import doubled, mix, normal_words, text_chunks
-from floortally.llm.storage import stored
+from floortally.llm.storage import discard, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: A link of similarity 0.8 misses all bands with probability (1 - 0.8 ** 4) ** 24, 3 in a million.
@@ -28,6 +28,10 @@ FIRST_TURN, WIDER = 2, 16
 #: Candidates agree in so many of all registers, by their low bytes, before their texts are read. At
 #: similarity 0.8 fewer agree with probability below 1e-8 (96 registers, mean 77, deviation 4).
 LEAST_AGREEING = 54
+#: The same for members of buckets that hold several components, who have longer signatures (mean 614, deviation 11).
+WIDE, LEAST_WIDE = 768, 552
+#: Rounds that read spanning forests of the components before every pair left between two is read.
+FOREST_ROUNDS = 2
 #: Shingles of texts that a verifying task keeps at hand.
 REMEMBERED = 1_000_000
 LAST = 2**63 - 1
@@ -209,63 +213,133 @@ def _star(members: DataFrame) -> DataFrame:
     return members.where(apart).select("node", F.col("first.node").alias("hub"))
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Members (key, node, component, weight, sketch) of the buckets that hold several components, in blocks
-    by a hash of the node: a bucket's blocks below n_apart are of members outside its largest component, the
-    n_main others of that component. A bucket of up to BLOCK members is the one block 0."""
-    parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+def _wide_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows, data, offsets in text_chunks(batch):
+            signed = signatures(*shingles_of(data, offsets), rows.stop - rows.start, WIDE)
+            low = (signed & np.uint64(0xFF)).astype(np.uint8).tobytes()
+            wide = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDE), rows.stop - rows.start, [None, pa.py_buffer(low)])
+            yield pa.RecordBatch.from_arrays([batch.column("node").slice(rows.start, rows.stop - rows.start), wide.cast(pa.binary())], ["node", "sketch"])
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (key, node, component, weight) of buckets with several components, with the bucket's `size`, its
+    largest component `main` and the number `n` of members of that."""
+    sizes = stored(labels.groupBy("component").agg(F.count("*").alias("weight")))
+    weights = stored(labels.join(sizes, "component"))
+    rows = members.join(weights, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"), F.coalesce("weight", F.lit(1)).alias("weight")
+    )
+    parts = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
     groups = parts.groupBy("key").agg(F.sum("n").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("main"))
+    groups = stored(groups.where("parts > 1").select("key", "size", F.col("main.component").alias("main"), F.col("main.n").alias("n")))
+    mixed = stored(rows.join(groups, "key"))
+    discard(groups, weights, sizes)
+    return mixed
+
+
+def _blocks(mixed: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The members of `_mixed` with their sketches, in blocks by a hash of the node: a bucket's blocks below n_apart
+    are of members outside its largest component, the n_main others of that component. A bucket of up to BLOCK
+    members is the one block 0."""
     whole = F.col("size") <= BLOCK
     number = lambda n: F.ceil(n / BLOCK).cast("long")
-    groups = stored(groups.where("parts > 1").select(
-        "key", F.when(~whole, F.col("main.component")).alias("main"),
-        F.when(whole, F.lit(1)).otherwise(number(F.col("size") - F.col("main.n"))).alias("n_apart"),
-        F.when(whole, F.lit(0)).otherwise(number(F.col("main.n"))).alias("n_main"),
-    ))
+    mixed = mixed.withColumns({
+        "n_apart": F.when(whole, F.lit(1)).otherwise(number(F.col("size") - F.col("n"))),
+        "n_main": F.when(whole, F.lit(0)).otherwise(number(F.col("n"))),
+    })
     dealt = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n))
-    own = F.when(F.col("component") == F.col("main"), F.col("n_apart") + dealt("n_main")).otherwise(dealt("n_apart"))
-    # Written before it is grouped, lest the join's dealing by key bring a large bucket to one task.
-    mixed = stored(members.join(groups, "key").select("key", own.alias("block"), "n_apart", "n_main", "node", "component", "weight", "sketch"))
-    return stored(mixed.groupBy("key", "block", "n_apart", "n_main").agg(F.collect_list(F.struct("node", "component", "weight", "sketch")).alias("members")))
-
-
-def _alike_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of two components between two blocks (within one where the other is null) whose sketches agree
-    often enough, from the lighter component to the heavier."""
-    names = ["left", "right", "agree"]
-    for batch in batches:
-        sides = []
-        for column in (batch.column("members"), batch.column("others")):
-            node, component, weight, sketch = column.flatten().flatten()
-            plain = [x.to_numpy(zero_copy_only=False) for x in (node, component, weight)]
-            ends = np.append(0, np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
-            sides.append((*plain, np.ascontiguousarray(sketch.flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS * ROWS).T), ends))
-        alone = batch.column("others").is_null().to_numpy(zero_copy_only=False)
-        for k in range(len(batch)):
-            first = [x[..., sides[0][-1][k] : sides[0][-1][k + 1]] for x in sides[0][:-1]]
-            second = first if alone[k] else [x[..., sides[1][-1][k] : sides[1][-1][k + 1]] for x in sides[1][:-1]]
-            agree = np.zeros((len(first[0]), len(second[0])), np.uint8)
-            for x, y in zip(first[3], second[3]):
-                agree += x[:, None] == y[None, :]
-            i, j = np.nonzero(agree >= LEAST_AGREEING)
-            keep = first[1][i] != second[1][j]
-            if alone[k]:
-                keep &= i < j
-            i, j = i[keep], j[keep]
-            one, two = [x[i] for x in first[:3]], [x[j] for x in second[:3]]
-            up = (one[2] < two[2]) | ((one[2] == two[2]) & (one[1] < two[1]))
-            left, right = np.where(up, one[0], two[0]), np.where(up, two[0], one[0])
-            yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(agree[i, j].astype(np.int32))], names)
-
-
-def _candidates(members: DataFrame) -> DataFrame:
-    """left, right, agree: every pair of members of one bucket and of two components that may be alike."""
-    blocks = _blocks(members)
+    own = F.when(~whole & (F.col("component") == F.col("main")), F.col("n_apart") + dealt("n_main")).otherwise(dealt("n_apart"))
+    told = mixed.withColumn("block", own).join(sketches, "node")
+    return stored(told.groupBy("key", "block", "n_apart", "n_main").agg(F.collect_list(F.struct("node", "component", "weight", "sketch", "keys")).alias("members")))
+
+
+def _forest(one: np.ndarray, two: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Of links between components those that unite two still apart, the most agreeing first."""
+    above: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while c in above:
+            c = above[c]
+        return c
+
+    kept = []
+    for k in np.lexsort((two, one, -agree)).tolist():
+        a, b = root(int(one[k])), root(int(two[k]))
+        if a != b:
+            above[a] = b
+            kept.append(k)
+    return np.array(kept, int)
+
+
+def _alike_pairs(forest: bool):
+    """Pairs of two components between two blocks (within one where the other is null) whose sketches agree often
+    enough, from the lighter component to the heavier: all of them, or a spanning forest of the components. A pair
+    belongs to the first of its common buckets alone: as it joins two components, that one has several, too."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = []
+            for column in (batch.column("members"), batch.column("others")):
+                node, component, weight, sketch, keys = column.flatten().flatten()
+                plain = [x.to_numpy(zero_copy_only=False) for x in (node, component, weight, keys.flatten())]
+                plain[3] = plain[3].reshape(-1, BANDS)
+                ends = np.append(0, np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+                sides.append((*plain, sketch, ends))
+            bucket = batch.column("key").to_numpy()
+            alone = batch.column("others").is_null().to_numpy(zero_copy_only=False)
+            for k in range(len(batch)):
+                members = []
+                for *plain, sketch, ends in sides:
+                    own = slice(ends[k], ends[k + 1])
+                    registers = np.frombuffer(b"".join(sketch[own].to_pylist()), np.uint8).reshape(-1, WIDE)
+                    members.append((*(x[own] for x in plain), registers))
+                first, second = members[0], members[0 if alone[k] else 1]
+                # A part of the registers, pair by pair, then all of them for the pairs that pass.
+                agree = np.zeros((len(first[0]), len(second[0])), np.uint8)
+                for x, y in zip(first[4][:, : BANDS * ROWS].T, second[4][:, : BANDS * ROWS].T):
+                    agree += x[:, None] == y[None, :]
+                i, j = np.nonzero(agree >= LEAST_AGREEING)
+                keep = first[1][i] != second[1][j]
+                if alone[k]:
+                    keep &= i < j
+                i, j = i[keep], j[keep]
+                steps = [slice(n, n + 4096) for n in range(0, len(i), 4096)]
+                count = np.concatenate([np.zeros(0, int), *[(first[4][i[s]] == second[4][j[s]]).sum(1) for s in steps]])
+                keep = np.flatnonzero(count >= LEAST_WIDE)
+                shared = first[3][i[keep]]
+                band = (shared == second[3][j[keep]]).argmax(axis=1)
+                keep = keep[shared[np.arange(len(keep)), band] == bucket[k]]
+                if forest:
+                    keep = keep[_forest(first[1][i[keep]], second[1][j[keep]], count[keep])]
+                one, two = [x[i[keep]] for x in first[:3]], [x[j[keep]] for x in second[:3]]
+                up = (one[2] < two[2]) | ((one[2] == two[2]) & (one[1] < two[1]))
+                ends = np.where(up, one[0], two[0]), np.where(up, two[0], one[0]), count[keep].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in ends], ["left", "right", "agree"])
+
+    return pairs
+
+
+def _candidates(mixed: DataFrame, sketches: DataFrame, forest: bool) -> DataFrame:
+    """left, right, agree: pairs of members of one bucket and of two components that may be alike, every one or
+    those that would unite the components of a pair of blocks."""
+    blocks = _blocks(mixed, sketches)
     last = F.col("n_apart") + F.col("n_main") - 1
-    alone = blocks.where("block < n_apart").select("members", F.lit(None).cast(blocks.schema["members"].dataType).alias("others"))
+    alone = blocks.where("block < n_apart").select("key", "members", F.lit(None).cast(blocks.schema["members"].dataType).alias("others"))
     met = blocks.where((F.col("block") < F.col("n_apart")) & (F.col("block") < last)).select("key", "members", F.explode(F.sequence(F.col("block") + 1, last)).alias("block"))
-    met = met.join(blocks.select("key", "block", F.col("members").alias("others")), ["key", "block"]).select("members", "others")
-    return stored(alone.unionByName(met).mapInArrow(_alike_pairs, "left long, right long, agree int").distinct())
+    met = met.join(blocks.select("key", "block", F.col("members").alias("others")), ["key", "block"]).select("key", "members", "others")
+    found = stored(alone.unionByName(met).mapInArrow(_alike_pairs(forest), "left long, right long, agree int").distinct())
+    discard(blocks)
+    return found
+
+
+def _untested(pairs: DataFrame, *tested: DataFrame) -> DataFrame:
+    """The pairs, whichever way round, that are in no table of tested ones."""
+    ends = [F.least("left", "right").alias("low"), F.greatest("left", "right").alias("high")]
+    known = tested[0].select(*ends)
+    for more in tested[1:]:
+        known = known.unionByName(more.select(*ends))
+    return pairs.select("*", *ends).join(known, ["low", "high"], "left_anti").drop("low", "high")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -297,11 +371,23 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     texts = stored(rows.join(wanted, ["node", "doc"]).select("node", "text").dropDuplicates(["node"]))
     links = stored(verified(tested, texts).where(F.col("similarity") >= threshold))
     labels = components(links)
-    weights = stored(labels.join(stored(labels.groupBy("component").agg(F.count("*").alias("weight"))), "component"))
-    own = F.coalesce("component", "node").alias("component"), F.coalesce("weight", F.lit(1)).alias("weight")
-    left = _candidates(members.join(weights, "node", "left").select("key", "node", *own, "sketch"))
-    left = left.join(tested.select("left", "right"), ["left", "right"], "left_anti")
-    left = left.join(tested.select(F.col("left").alias("right"), F.col("right").alias("left")), ["left", "right"], "left_anti")
+    everyone = stored(members.select("key", "node"))
+    discard(members, hubs, shared)
+    mixed = _mixed(everyone, labels)
+    sketches = texts.join(mixed.select("node").distinct(), "node").mapInArrow(_wide_sketches, "node long, sketch binary")
+    sketches = stored(sketches.join(nodes.select("node", "keys"), "node"))
+    read = [tested]
+    for _ in range(FOREST_ROUNDS):
+        # The links that would unite most: few pairs of two components are left after them.
+        pairs = stored(_untested(_candidates(mixed, sketches, True), *read).select("left", "right"))
+        read.append(pairs)
+        new = stored(verified(pairs, texts).where(F.col("similarity") >= threshold))
+        if not new.limit(1).count():
+            break
+        labels = merged(labels, new)
+        discard(mixed)
+        mixed = _mixed(everyone, labels)
+    left = stored(_untested(_candidates(mixed, sketches, False), *read))
     # What agrees most is read first; a link settles all pairs of its two components. None is left unread between two.
     turn = FIRST_TURN
     while True:
