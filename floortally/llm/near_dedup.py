@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from floortally.llm.arrays import doubled, mix, normal_words, text_chunks
 from floortally.llm.storage import discard, stored
@@ -23,15 +23,13 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 4
 #: Members of a bucket travel in blocks of about so many; two blocks are compared at a time.
 BLOCK = 256
-#: Candidates of a node in one component that the first turn reads; each further turn reads WIDER times as many.
-FIRST_TURN, WIDER = 2, 16
+#: Pairs of blocks that a task holds at a time, half a megabyte each.
+BLOCK_PAIRS_AT_ONCE = 16
 #: Candidates agree in so many of all registers, by their low bytes, before their texts are read. At
 #: similarity 0.8 fewer agree with probability below 1e-8 (96 registers, mean 77, deviation 4).
 LEAST_AGREEING = 54
 #: The same for members of buckets that hold several components, who have longer signatures (mean 614, deviation 11).
 WIDE, LEAST_WIDE = 768, 552
-#: Rounds that read spanning forests of the components before every pair left between two is read.
-FOREST_ROUNDS = 2
 #: Shingles of texts that a verifying task keeps at hand.
 REMEMBERED = 1_000_000
 LAST = 2**63 - 1
@@ -328,7 +326,7 @@ def _candidates(mixed: DataFrame, sketches: DataFrame, forest: bool) -> DataFram
     alone = blocks.where("block < n_apart").select("key", "members", F.lit(None).cast(blocks.schema["members"].dataType).alias("others"))
     met = blocks.where((F.col("block") < F.col("n_apart")) & (F.col("block") < last)).select("key", "members", F.explode(F.sequence(F.col("block") + 1, last)).alias("block"))
     met = met.join(blocks.select("key", "block", F.col("members").alias("others")), ["key", "block"]).select("key", "members", "others")
-    found = stored(alone.unionByName(met).mapInArrow(_alike_pairs(forest), "left long, right long, agree int").distinct())
+    found = stored(alone.unionByName(met).mapInArrow(_alike_pairs(forest), "left long, right long, agree int").distinct(), BLOCK_PAIRS_AT_ONCE)
     discard(blocks)
     return found
 
@@ -376,32 +374,17 @@ def near_classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     mixed = _mixed(everyone, labels)
     sketches = texts.join(mixed.select("node").distinct(), "node").mapInArrow(_wide_sketches, "node long, sketch binary")
     sketches = stored(sketches.join(nodes.select("node", "keys"), "node"))
+    # First the links that would unite most: few pairs of two components are left after them, and none of those is left unread.
     read = [tested]
-    for _ in range(FOREST_ROUNDS):
-        # The links that would unite most: few pairs of two components are left after them.
-        pairs = stored(_untested(_candidates(mixed, sketches, True), *read).select("left", "right"))
-        read.append(pairs)
+    for forest in (True, False):
+        pairs = stored(_untested(_candidates(mixed, sketches, forest), *read).select("left", "right"))
         new = stored(verified(pairs, texts).where(F.col("similarity") >= threshold))
-        if not new.limit(1).count():
-            break
-        labels = merged(labels, new)
-        discard(mixed)
-        mixed = _mixed(everyone, labels)
-    left = stored(_untested(_candidates(mixed, sketches, False), *read))
-    # What agrees most is read first; a link settles all pairs of its two components. None is left unread between two.
-    turn = FIRST_TURN
-    while True:
-        of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_own"))  # noqa: B023, E731
-        open_ = left.join(of("left"), "left", "left").join(of("right"), "right", "left").withColumns({f"{s}_own": F.coalesce(f"{s}_own", s) for s in ("left", "right")})
-        order = Window.partitionBy("left", "right_own").orderBy(F.desc("agree"), "right")
-        ranked = stored(open_.where("left_own <> right_own").select("left", "right", "agree", F.row_number().over(order).alias("rank")))
-        new = stored(verified(ranked.where(F.col("rank") <= turn).select("left", "right"), texts).where(F.col("similarity") >= threshold))
         if new.limit(1).count():
             labels = merged(labels, new)
-        left = ranked.where(F.col("rank") > turn).select("left", "right", "agree")
-        if not left.limit(1).count():
-            break
-        turn *= WIDER
+            if forest:
+                discard(mixed)
+                mixed = _mixed(everyone, labels)
+        read.append(pairs)
     labelled = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = F.min(F.struct("doc", "node")).alias("first")
     least = stored(labelled.groupBy("component").agg(first))  # so that a large class can be split in the join

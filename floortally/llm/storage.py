@@ -27,11 +27,21 @@ def shared_folder(spark: SparkSession) -> str:
 _paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
-def stored(frame: DataFrame) -> DataFrame:
-    """`frame` written to the shared folder and read back: evaluated once, its lineage cut."""
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(frame: DataFrame, rows_per_batch: int | None = None) -> DataFrame:
+    """`frame` written to the shared folder and read back: evaluated once, its lineage cut. Where its rows are
+    large, `rows_per_batch` bounds the Arrow batches in which this one evaluation sends them to Python."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    usual = spark.conf.get(BATCH_SETTING)
+    if rows_per_batch:
+        spark.conf.set(BATCH_SETTING, rows_per_batch)
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, usual)
     read = spark.read.schema(frame.schema).parquet(path)
     _paths[read] = path
     return read
