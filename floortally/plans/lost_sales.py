@@ -13,7 +13,7 @@ from floortally.functions.durations import parse_milliseconds
 from floortally.functions.numbers import percent_or_zero, sum_or_zero, whole
 from floortally.functions.text import not_blank
 from floortally.operators.asof import DAILY, DAY, MONTH, WEEK, WEEK_OR_MONTH, AsOf, Period, as_date, attach, on_days, within
-from floortally.operators.code_lists import code_counts
+from floortally.operators.code_lists import code_counts, code_list, listed
 from floortally.operators.shaping import positioned, share_of_total, top_k
 from floortally.sources.tables import Tables
 
@@ -146,25 +146,34 @@ def _counted_issues(t: Tables, as_of: AsOf) -> DataFrame:
     return rows.select("as_of", "flag_id", "interaction_code", *counts)
 
 
-def _issue_rows(*extra: Column) -> Column:
-    """One row per follow-up issue from the columns n_0, n_1, ... of a group or flag."""
-    rows = [F.struct(F.lit(issue).alias("sub_category"), _issue_count(i).alias("n"), *extra) for i, issue in enumerate(C.FOLLOW_UP_ISSUES)]
+def _issue_rows(lists: bool = False) -> Column:
+    """One row per follow-up issue from the columns n_0, n_1, ... (and codes_0, codes_1, ...) of a group or flag."""
+    names = ["n", "codes"] if lists else ["n"]
+    rows = [F.struct(F.lit(issue).alias("sub_category"), *[F.col(f"{x}_{i}").alias(x) for x in names]) for i, issue in enumerate(C.FOLLOW_UP_ISSUES)]
     return F.inline(F.array(*rows))
 
 
-def reason_summary(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
-    """R2: per follow-up issue the row count and its share of the day's lost sales, from one aggregate over one join."""
+def reason_summary(t: Tables, as_of: AsOf = DAILY, lists: bool = False) -> DataFrame:
+    """R2: per follow-up issue the row count and its share of the day's lost sales, from one aggregate over one join.
+
+    With `lists`, the codes behind each count as well, one entry per row; `part` is 0, as a cell holds its whole list."""
     sums = [sum_or_zero(_issue_count(i)).alias(f"n_{i}") for i in range(len(C.FOLLOW_UP_ISSUES))]
     rows = _counted_issues(t, as_of)
-    total = F.count("flag_id").alias("interaction_count")
+    total = F.count("flag_id")
+    if lists:
+        rows = rows.groupBy("as_of", listed("interaction_code").alias("code")).agg(total.alias("flags"), *sums)
+        total = sum_or_zero(F.col("flags"))
+        sums += [code_list("code", f"n_{i}").alias(f"codes_{i}") for i in range(len(C.FOLLOW_UP_ISSUES))]
+    total = total.alias("interaction_count")
     if isinstance(as_of, dt.date):
         days = rows.agg(total, *sums).withColumn("as_of", as_date(as_of))
     else:
         days = rows.groupBy("as_of").agg(total, *sums)
-    share = percent_or_zero(F.col("n"), F.col("interaction_count"), 1).alias("pct")
-    return days.select("as_of", "interaction_count", _issue_rows()).select(
-        "as_of", "sub_category", F.col("n").alias("interactions"), share
-    )
+    issues = days.select("as_of", "interaction_count", _issue_rows(lists))
+    columns = ["as_of", "sub_category", F.col("n").alias("interactions"), percent_or_zero(F.col("n"), F.col("interaction_count"), 1).alias("pct")]
+    if lists:
+        columns += [F.lit(0).cast("bigint").alias("part"), F.col("codes").alias("interaction_codes")]
+    return issues.select(*columns)
 
 
 def reason_codes(t: Tables, as_of: AsOf = DAILY) -> DataFrame:

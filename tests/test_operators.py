@@ -102,6 +102,17 @@ def test_code_counts_leave_out_missing_codes(spark):
     assert code_lists.code_counts(df.limit(0), ["g"], "code").count() == 0
 
 
+def test_code_lists_hold_every_code_of_a_large_group_in_one_row(spark):
+    large = spark.range(5_000).selectExpr("'g' as g", "concat(' c', lpad(id, 5, '0')) as code", "cast(1 + id % 2 as bigint) as n")
+    odd = spark.createDataFrame([("g", "", 3), ("g", None, 4), ("h", " ", 1), ("i", "x", 0)], "g string, code string, n bigint")
+    rows = large.union(odd).select("g", code_lists.listed("code").alias("code"), "n")
+    cells = [code_lists.code_list("code", "n"), code_lists.code_list("code", "n", distinct=True)]
+    got = {r[0]: (r[1], r[2]) for r in rows.groupBy("g").agg(*cells).collect()}
+    codes = [f"c{i:05}" for i in range(5_000)]
+    every = [code for i, code in enumerate(codes) for _ in range(1 + i % 2)]
+    assert got == {"g": (", ".join(every), ", ".join(codes)), "h": ("", ""), "i": ("", "")}
+
+
 def test_split_left_join_is_a_left_join(spark):
     rng = random.Random(5)
     left = spark.createDataFrame([(rng.randint(0, 6), n) for n in range(12)], "k int, v int")

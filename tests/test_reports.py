@@ -83,6 +83,13 @@ def test_reason_summary_counts_rows_against_lost_sales(sales):
     assert [tuple(r) for r in lost_sales.phone_follow_ups(sales, DAY).collect()] == [(DAY, 3, 4)]
 
 
+def test_reason_summary_lists_the_codes_behind_its_counts(sales):
+    for as_of in (DAY, DAILY):
+        rows = lost_sales.reason_summary(sales, as_of, lists=True).where(F.col("as_of") == F.lit(DAY)).collect()
+        got = {r.sub_category: (r.part, r.interactions, r.pct, r.interaction_codes) for r in rows}
+        assert got == {"Technical Glitch": (0, 2, 66.7, "C1, C1"), "Deferred decision making": (0, 0, 0.0, ""), "Uncertainty in dimension": (0, 0, 0.0, "")}
+
+
 def test_category_table_counts_the_product_but_lists_codes_once(sales):
     got = {r.prod_category: r for r in lost_sales.category_issues(sales, DAY).collect()}
     assert got.keys() == {"Bed", "Sofa"}
