@@ -272,10 +272,19 @@ def _counted_categories(t: Tables, as_of: AsOf) -> DataFrame:
     return rows.select("as_of", "prod_category", "interaction_code", *weighted)
 
 
-def category_issues(t: Tables, as_of: AsOf = DAILY) -> DataFrame:
-    """Product category x follow-up issue, the number of rows in each cell."""
-    sums = [sum_or_zero(_issue_count(i)).alias(f"{prefix}_count") for i, prefix in enumerate(ISSUE_PREFIXES.values())]
-    return _counted_categories(t, as_of).groupBy("as_of", "prod_category").agg(*sums)
+def category_issues(t: Tables, as_of: AsOf = DAILY, lists: bool = False) -> DataFrame:
+    """Product category x follow-up issue, the number of rows in each cell.
+
+    With `lists`, the distinct codes of each cell as well; `part` is 0, as a cell holds its whole list."""
+    keys = ["as_of", "prod_category"]
+    rows = _counted_categories(t, as_of)
+    cells = [sum_or_zero(_issue_count(i)).alias(f"{prefix}_count") for i, prefix in enumerate(ISSUE_PREFIXES.values())]
+    if lists:
+        sums = [sum_or_zero(_issue_count(i)).alias(f"n_{i}") for i in range(len(C.FOLLOW_UP_ISSUES))]
+        rows = rows.groupBy(*keys, listed("interaction_code").alias("code")).agg(*sums)
+        codes = [code_list("code", f"n_{i}", distinct=True).alias(f"{prefix}_codes") for i, prefix in enumerate(ISSUE_PREFIXES.values())]
+        cells += [F.lit(0).cast("bigint").alias("part"), *codes]
+    return rows.groupBy(*keys).agg(*cells)
 
 
 def category_codes(t: Tables, as_of: AsOf = DAILY) -> DataFrame:

@@ -98,6 +98,12 @@ def test_category_table_counts_the_product_but_lists_codes_once(sales):
     assert codes == {("Bed", "Technical Glitch", "C1", 2), ("Sofa", "Technical Glitch", "C1", 2)}
 
 
+def test_category_table_lists_the_codes_of_its_cells(sales):
+    rows = lost_sales.category_issues(sales, DAILY, lists=True).where(F.col("as_of") == F.lit(DAY)).collect()
+    got = {r.prod_category: (r.part, r.glitch_count, r.glitch_codes, r.deferred_codes, r.uncertainty_codes) for r in rows}
+    assert got == {"Bed": (0, 2, "C1", "", ""), "Sofa": (0, 2, "C1", "", "")}
+
+
 def test_month_and_week_to_date(sales):
     month = {(r.category, r.interactions) for r in lost_sales.top_reasons(sales, DAY, MONTH, 5).collect()}
     assert month == {("Other", 3), ("Technical Glitch", 2), (None, 1)}
