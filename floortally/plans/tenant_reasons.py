@@ -11,7 +11,7 @@ from floortally import constants as C
 from floortally.functions import nested as N
 from floortally.functions.numbers import count_where, percent_or_zero, sum_or_zero
 from floortally.operators.asof import DAILY, DAY, MONTH, MONTH_END, WEEK, WEEK_OR_MONTH, AsOf, as_date, attach, on_days, within
-from floortally.operators.code_lists import code_counts
+from floortally.operators.code_lists import code_counts, code_list, listed
 from floortally.operators.shaping import append
 from floortally.plans.lost_sales import long_calls
 from floortally.sources.tables import Tables
@@ -70,19 +70,30 @@ def _categorised_calls(t: Tables, tenants: Sequence[Tenant], as_of: AsOf) -> Dat
     return N.parsed(calls, [*KEYS, "lost", "interaction_code"], categories=categories)
 
 
-def reasons_of_day(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
-    """Fixed loss categories with row count and share of the lost calls, from one aggregate per tenant and day."""
+def reasons_of_day(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY, lists: bool = False) -> DataFrame:
+    """Fixed loss categories with row count and share of the lost calls, from one aggregate per tenant and day.
+
+    With `lists`, the codes behind each count as well, one entry per row; `part` is 0, as a cell holds its whole list."""
     calls = _categorised_calls(t, tenants, as_of)
     counts = [N.occurrences(F.col("categories"), name).alias(f"n_{i}") for i, name in enumerate(C.LOSS_CATEGORIES)]
     known_loss = (F.col("lost") & F.col("interaction_code").isNotNull()).alias("known_loss")
-    rows = _with_idle(calls.select(*KEYS, known_loss, *counts), tenants, as_of)
-    days = rows.groupBy(*KEYS).agg(
-        count_where(F.col("known_loss")).alias("lost_calls"),
-        *[sum_or_zero(F.col(f"n_{i}")).alias(f"n_{i}") for i in range(len(C.LOSS_CATEGORIES))],
-    )
-    cells = [F.struct(F.lit(name).alias("category"), F.col(f"n_{i}").alias("interactions")) for i, name in enumerate(C.LOSS_CATEGORIES)]
+    rows = _with_idle(calls.select(*KEYS, listed("interaction_code").alias("code"), known_loss, *counts), tenants, as_of)
+    lost = count_where(F.col("known_loss")).alias("lost_calls")
+    sums = [sum_or_zero(F.col(f"n_{i}")).alias(f"n_{i}") for i in range(len(C.LOSS_CATEGORIES))]
+    codes = []
+    if lists:
+        rows = rows.groupBy(*KEYS, "code").agg(lost, *sums)
+        lost = sum_or_zero(F.col("lost_calls")).alias("lost_calls")
+        codes = [code_list("code", f"n_{i}").alias(f"codes_{i}") for i in range(len(C.LOSS_CATEGORIES))]
+    days = rows.groupBy(*KEYS).agg(lost, *sums, *codes)
+    names = {"interactions": "n", "interaction_codes": "codes"} if lists else {"interactions": "n"}
+    cells = [
+        F.struct(F.lit(category).alias("category"), *[F.col(f"{x}_{i}").alias(name) for name, x in names.items()])
+        for i, category in enumerate(C.LOSS_CATEGORIES)
+    ]
     share = percent_or_zero(F.col("interactions"), F.col("lost_calls"), 1).alias("pct")
-    return days.select(*KEYS, "lost_calls", F.inline(F.array(*cells))).select(*KEYS, "category", "interactions", share)
+    listing = [F.lit(0).cast("bigint").alias("part"), "interaction_codes"] if lists else []
+    return days.select(*KEYS, "lost_calls", F.inline(F.array(*cells))).select(*KEYS, "category", "interactions", share, *listing)
 
 
 def reason_codes(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:

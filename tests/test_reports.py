@@ -126,6 +126,19 @@ def test_recurring_codes_count_once_in_a_period(spark):
     assert [(r.prod_category, r.mtd) for r in lost_sales.category_trend(t, DAY).collect()] == [("Bed", 2)]
 
 
+def test_loss_categories_of_the_day_list_their_codes(spark):
+    reasons = '[{"category":"Price"},{"category":"Price"},{"category":"Elsewhere"}]'
+    codes = {1: " B ", 2: "A", 3: None, 4: " "}
+    t = bound(spark, interactions=[call(n, path="/a/shop_one/1", interaction_code=code, reason_loss_of_sale=reasons) for n, code in codes.items()])
+    named = [Tenant("Shop One"), Tenant("Nobody Called")]
+    for as_of in (DAY, DAILY):
+        found = tenant_reasons.reasons_of_day(t, named, as_of, lists=True).collect()
+        assert len(found) == (10 if as_of == DAY else 5) and {r.part for r in found} == {0}
+        cells = {(r.tenant, r.category): (r.interactions, r.pct, r.interaction_codes) for r in found}
+        assert cells.pop(("Shop One", "Price")) == (8, 266.7, "A, A, B, B")
+        assert set(cells.values()) == {(0, 0.0, "")}
+
+
 def test_tenant_tables_keep_idle_categories(spark):
     reasons = '[{"category":"Price"},{"category":"Price"},{"category":"Elsewhere"}]'
     objections = '[{"category":"price_issue","handling":"Solution"},{"category":"not_applicable"},{"category":"new_kind","handling":"Generic"}]'
