@@ -149,27 +149,33 @@ def _objections(t: Tables, tenants: Sequence[Tenant], as_of: AsOf) -> DataFrame:
     )
 
 
-def objection_handling(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:
-    """Fixed objection categories x handlings, and all objections, from one aggregate per tenant and day."""
+def objection_handling(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY, lists: bool = False) -> DataFrame:
+    """Fixed objection categories x handlings, and all objections, from one aggregate per tenant and day.
+
+    With `lists`, the codes behind each count as well, one entry per row; `part` is 0, as a cell holds its whole list."""
     category, handling = F.col("category"), F.col("handling")
     rows = _with_idle(_objections(t, tenants, as_of), tenants, as_of)
-    days = rows.groupBy(*KEYS).agg(
-        count_where(category.isNotNull() & ~category.isin(C.NO_OBJECTION)).alias("total_objections"),
-        *[
-            count_where((category == name) & (handling == way)).alias(f"{way.lower()}_{i}")
-            for i, name in enumerate(C.OBJECTION_CATEGORIES)
-            for way in C.HANDLINGS
-        ],
-    )
-    cells = [
-        F.struct(
-            F.lit(C.OBJECTION_LABELS[name]).alias("objection"),
-            *[F.col(f"{way.lower()}_{i}").alias(f"{way.lower()}_count") for way in C.HANDLINGS],
-        )
+    total = count_where(category.isNotNull() & ~category.isin(C.NO_OBJECTION)).alias("total_objections")
+    counts = {
+        f"{way.lower()}_count_{i}": count_where((category == name) & (handling == way))
         for i, name in enumerate(C.OBJECTION_CATEGORIES)
+        for way in C.HANDLINGS
+    }
+    sums = [count.alias(name) for name, count in counts.items()]
+    names = [f"{way.lower()}_count" for way in C.HANDLINGS]
+    if lists:
+        rows = rows.groupBy(*KEYS, listed("interaction_code").alias("code")).agg(total, *sums)
+        total = sum_or_zero(F.col("total_objections")).alias("total_objections")
+        sums = [sum_or_zero(F.col(name)).alias(name) for name in counts]
+        sums += [code_list("code", name).alias(name.replace("count", "codes")) for name in counts]
+        names += [f"{way.lower()}_codes" for way in C.HANDLINGS]
+    days = rows.groupBy(*KEYS).agg(total, *sums)
+    cells = [
+        F.struct(F.lit(C.OBJECTION_LABELS[category]).alias("objection"), *[F.col(f"{name}_{i}").alias(name) for name in names])
+        for i, category in enumerate(C.OBJECTION_CATEGORIES)
     ]
-    counts = [f"{way.lower()}_count" for way in C.HANDLINGS]
-    return days.select(*KEYS, "total_objections", F.inline(F.array(*cells))).select(*KEYS, "objection", *counts, "total_objections")
+    part = [F.lit(0).cast("bigint").alias("part")] if lists else []
+    return days.select(*KEYS, "total_objections", F.inline(F.array(*cells))).select(*KEYS, "objection", *part, *names, "total_objections")
 
 
 def objection_codes(t: Tables, tenants: Sequence[Tenant], as_of: AsOf = DAILY) -> DataFrame:

@@ -139,6 +139,20 @@ def test_loss_categories_of_the_day_list_their_codes(spark):
         assert set(cells.values()) == {(0, 0.0, "")}
 
 
+def test_objection_table_lists_the_codes_of_its_cells(spark):
+    objections = '[{"category":"price_issue","handling":"Solution"},{"category":"price_issue","handling":"Solution"},{"category":"not_applicable"}]'
+    codes = {1: "B", 2: "A", 3: None, 4: " "}
+    t = bound(spark, interactions=[call(n, path="/a/shop_one/1", interaction_code=code, customer_objection_handling=objections) for n, code in codes.items()])
+    named = [Tenant("Shop One"), Tenant("Nobody Called")]
+    for as_of in (DAY, DAILY):
+        found = tenant_reasons.objection_handling(t, named, as_of, lists=True).collect()
+        assert len(found) == (16 if as_of == DAY else 8) and {r.part for r in found} == {0}
+        cells = {(r.tenant, r.objection): (r.solution_count, r.solution_codes, r.generic_count, r.generic_codes, r.explanation_codes) for r in found}
+        assert cells.pop(("Shop One", "Price Issue")) == (8, "A, A, B, B", 0, "", "")
+        assert set(cells.values()) == {(0, "", 0, "", "")}
+        assert {(r.tenant, r.total_objections) for r in found} <= {("Shop One", 8), ("Nobody Called", 0)}
+
+
 def test_tenant_tables_keep_idle_categories(spark):
     reasons = '[{"category":"Price"},{"category":"Price"},{"category":"Elsewhere"}]'
     objections = '[{"category":"price_issue","handling":"Solution"},{"category":"not_applicable"},{"category":"new_kind","handling":"Generic"}]'
