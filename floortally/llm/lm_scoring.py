@@ -3,9 +3,11 @@
 A token's class is its two-byte ending: the most frequent endings of the training corpus are classes of
 their own, the others share a few by hash, and the end of a text is one. The model is
 p(token | context) = p(class | context) p(token | class). The first factor is a softmax over classes of
-weights for the context's features - the previous class (n-gram), the class before it (skip) and the
-hashed pair - the second the token's smoothed count in its class. Counts run over the whole training
-corpus; gradients are summed over it by Spark at every update; texts are scored in numpy batches.
+weights for the context's features: the previous word (n-gram), the word before it (skip) and both (hashed
+n-gram), each by its hash, and the same three of the words' classes. The second is the token's smoothed
+count in its class. The class features are learned by gradients, the word features then by a step of
+iterative scaling against them; counts, gradients and expectations run over the whole training corpus and are summed
+by Spark. Texts are scored in numpy batches.
 """
 
 from __future__ import annotations
@@ -17,12 +19,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from floortally.llm.arrays import LOWER, find_words, text_chunks, word_hashes
+from floortally.llm.arrays import LOWER, find_words, joined, mix, text_chunks, word_hashes
 from floortally.llm.storage import stored
 
 CLASSES, SHARED = 64, 8
 PAIR_BITS = 11
 UPDATES = 30
+#: Hash rows of each kind of word feature: one per so many different words of the corpus, a power of two in bounds.
+WORDS_PER_ROW, ROW_BITS = 256, (14, 16)
+#: Part of a full step of iterative scaling, as three word features share a place, and the places a feature must outweigh.
+STEP, PRIOR = 0.6, 60.0
+#: Tokens whose class scores are held at once, places held before they are summed, tokens whose sums go on together.
+BLOCK, CELLS_HELD, TOKENS_PER_TASK = 4096, 1 << 20, 1 << 23
 #: Tokens with at least 1 / FREQUENT of the corpus travel with the tasks: no more than FREQUENT of them exist.
 FREQUENT = 1 << 18
 END = np.uint64(0x5BD1E9955BD1E995)
@@ -69,6 +77,106 @@ def contexts_of(tokens: Tokens, class_of: np.ndarray) -> tuple[np.ndarray, np.nd
     return classes, two * (CLASSES + 1) + one
 
 
+def row_bits(n_words: int) -> int:
+    """Bits of the hash rows for a corpus of so many different words."""
+    return min(max(ROW_BITS[0], (n_words // WORDS_PER_ROW).bit_length()), ROW_BITS[1])
+
+
+def word_features(tokens: Tokens, bits: int) -> np.ndarray:
+    """Weight rows of every token's context, a column per kind: previous word, word before it, both."""
+    one, two = np.full(len(tokens.hashes), START, np.uint64), np.full(len(tokens.hashes), START, np.uint64)
+    one[1:], two[2:] = tokens.hashes[:-1], tokens.hashes[:-2]
+    first = tokens.begins[:-1]
+    one[first] = START
+    two[first] = START
+    second = first + 1
+    two[second[second < tokens.begins[1:]]] = START
+    rows = [(mix(h) >> np.uint64(64 - bits)).astype(np.int64) for h in (one, two, joined(two, one))]
+    return np.stack(rows, axis=1) + (np.arange(3) << bits)
+
+
+def class_scores(scores: np.ndarray, words: np.ndarray, contexts: np.ndarray, rows: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Natural log of p(class | context) of every token, block by block, from the class features' scores
+    per class context and the word features' weights."""
+    for start in range(0, len(contexts), BLOCK):
+        part = slice(start, start + BLOCK)
+        found = scores[contexts[part]]
+        for column in rows[part].T:
+            found += words[column]
+        found -= found.max(axis=1, keepdims=True)
+        found -= np.log(np.exp(found).sum(axis=1, keepdims=True))
+        yield part, found
+
+
+def word_weights(texts: DataFrame, class_of: np.ndarray, scores: np.ndarray, bits: int, n_tokens: int) -> np.ndarray:
+    """Weights of the word features by a step of iterative scaling: each is the log ratio of how often a class
+    follows the feature to how often the class features expect it there, over the whole corpus."""
+    shared = texts.sparkSession.sparkContext.broadcast((class_of, np.exp(scores), bits))
+    parts = texts.select("text").coalesce(1 + n_tokens // TOKENS_PER_TASK)  # a task gives no more than all features once
+    sums = parts.mapInArrow(_feature_sums(shared), "feature int, sums binary").repartition("feature")
+    weights = np.zeros((3 << bits, CLASSES), np.float32)
+    for row in sums.mapInArrow(_scaled, "feature int, weights binary").toLocalIterator():
+        weights[row["feature"]] = np.frombuffer(row["weights"], np.float32)
+    shared.destroy()
+    return weights
+
+
+def add_sums(sums: np.ndarray, expected: np.ndarray, cells: np.ndarray) -> None:
+    """Adds to (feature, seen or expected, class) the places given as (feature, class context, class) in one number."""
+    cells = np.sort(cells)
+    at = np.flatnonzero(np.append(True, np.diff(cells) > 0))
+    n, cells = np.diff(np.append(at, len(cells))), cells[at]
+    features, contexts = np.divmod(cells // CLASSES, len(expected))
+    np.add.at(sums.reshape(-1), features * (2 * CLASSES) + cells % CLASSES, n.astype(np.float32))
+    for start in range(0, len(cells), BLOCK):
+        part = slice(start, start + BLOCK)
+        new = np.flatnonzero(np.append(True, np.diff(features[part]) > 0))
+        rows = expected[contexts[part]] * n[part, None].astype(np.float32)
+        sums[features[part][new], 1] += np.add.reduceat(rows, new)
+
+
+def _feature_sums(shared):
+    """Per feature, how often each class follows it, and how often the class features expect that."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        class_of, expected, bits = shared.value
+        sums = np.zeros((3 << bits, 2, CLASSES), np.float32)
+        held, n = [], 0
+        for batch in batches:
+            for _, data, offsets in text_chunks(batch):
+                tokens = tokens_of(data, offsets)
+                classes, contexts = contexts_of(tokens, class_of)
+                held.append(((word_features(tokens, bits) * len(expected) + contexts[:, None]) * CLASSES + classes[:, None]).ravel())
+                n += len(held[-1])
+                if n >= CELLS_HELD:
+                    add_sums(sums, expected, np.concatenate(held))
+                    held, n = [], 0
+        if held:
+            add_sums(sums, expected, np.concatenate(held))
+        for start in range(0, len(sums), BLOCK):
+            seen = start + np.flatnonzero(sums[start : start + BLOCK, 0].any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array([sums[i].tobytes() for i in seen], pa.binary())], ["feature", "sums"])
+
+    return add
+
+
+def scaled(sums: np.ndarray) -> np.ndarray:
+    """The weights of a feature from its sums; PRIOR places like the expected ones are added to both."""
+    seen, expected = sums
+    prior = PRIOR / seen.sum()
+    return STEP * np.log((seen / np.maximum(expected, 1e-30) + prior) / (1 + prior))
+
+
+def _scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The weights of every feature of a partition, which holds all sums of its features."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for feature, sums in zip(batch.column("feature").to_pylist(), batch.column("sums").to_pylist()):
+            total[feature] = total.get(feature, 0) + np.frombuffer(sums, np.float32).astype(float).reshape(2, CLASSES)
+    weights = [scaled(sums).astype(np.float32).tobytes() for sums in total.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(weights, pa.binary())], ["feature", "weights"])
+
+
 def token_counts(texts: DataFrame) -> DataFrame:
     """token, ending, n over all texts, end tokens included."""
 
@@ -114,7 +222,7 @@ N_FEATURES = 1 + 2 * (CLASSES + 1) + (1 << PAIR_BITS)
 
 
 def log_probabilities(weights: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Natural log of p(class | context), a row per context."""
+    """Natural log of p(class | context) by the class features alone, a row per context."""
     scores = weights[features(context)].sum(axis=1)
     scores -= scores.max(axis=1, keepdims=True)
     return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
@@ -170,7 +278,10 @@ def class_map(endings: DataFrame) -> np.ndarray:
 @dataclass
 class Model:
     class_of: np.ndarray
-    step_log10: np.ndarray  # of context * CLASSES + class: p(class | context) / (class tokens + class words + 1)
+    scores: np.ndarray  # of the class features, a row per class context
+    words: np.ndarray  # weights of the word features
+    bits: int
+    class_log10: np.ndarray  # class tokens + class words + 1
     frequent: np.ndarray
     frequent_log10: np.ndarray
 
@@ -194,15 +305,16 @@ def scores(documents: DataFrame) -> DataFrame:
     endings = stored(counts.groupBy("ending").agg(F.sum("n").alias("tokens"), F.count("*").alias("words")))  # 2^16 + 1 rows at most
     n_train, n_words = endings.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     class_of = class_map(endings)
-    weights = train(stored(context_counts(training, class_of)))
+    scores = log_probabilities(train(stored(context_counts(training, class_of))), np.arange((CLASSES + 1) ** 2)).astype(np.float32)
+    bits = row_bits(n_words)
+    words = word_weights(training, class_of, scores, bits, n_train)
 
     in_class = np.ones(CLASSES)
     for row in endings.collect():
         in_class[END_CLASS if row["ending"] < 0 else class_of[row["ending"]]] += row["tokens"] + row["words"]
-    step = log_probabilities(weights, np.arange((CLASSES + 1) ** 2)) / np.log(10) - np.log10(in_class)
     often = counts.where(F.col("n") >= max(n_train / FREQUENT, 1)).select("token", "n")  # at most FREQUENT rows
     found = often.toPandas().sort_values("token")
-    model = Model(class_of, step.ravel(), found["token"].to_numpy(np.int64), np.log10(found["n"].to_numpy(float) + 1))
+    model = Model(class_of, scores, words, bits, np.log10(in_class), found["token"].to_numpy(np.int64), np.log10(found["n"].to_numpy(float) + 1))
 
     texts = stored(
         rows.withColumn("held_out", held_out())
@@ -238,6 +350,9 @@ def _scorer(shared):
                 tokens = tokens_of(data, offsets)
                 classes, contexts = contexts_of(tokens, model.class_of)
                 text, n = tokens.text_of(), rows.stop - rows.start
+                steps = -model.class_log10[classes]
+                for part, logs in class_scores(model.scores, model.words, contexts, word_features(tokens, model.bits)):
+                    steps[part] += logs[np.arange(len(logs)), classes[part]] / np.log(10)
                 sums = lambda x: np.bincount(text, x, n)
                 words = tokens.hashes.view(np.int64)
                 if len(model.frequent):
@@ -255,7 +370,7 @@ def _scorer(shared):
                 part = batch.slice(rows.start, n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(np.diff(tokens.begins)), pa.array(sums(known).astype(np.int64)),
-                     pa.array(sums(log10)), pa.array(sums(model.step_log10[contexts * CLASSES + classes])), *lists],
+                     pa.array(sums(log10)), pa.array(sums(steps)), *lists],
                     names,
                 )
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from floortally.llm import debruijn, decontamination, fingerprints, lm_scoring, mixing, near_dedup, sharding, suffix_dedup, tokens, toxicity
@@ -300,6 +301,51 @@ def test_class_probabilities_sum_to_one():
     assert np.allclose(found.sum(axis=1), 1)
 
 
+def test_scores_see_the_words_before_and_not_only_their_classes(frame):
+    # Both first words end alike, so they are of one class; so are both words that may come between.
+    said = ["aaab mmxy cccq", "zzab mmxy dddv", "kkgh mmxy cccq", "kkgh nnxy dddv", "cccq llop sss", "dddv llop sss"]
+    rows = [(i, said[i % len(said)]) for i in range(6000)]
+    asked = ["aaab mmxy cccq", "aaab mmxy dddv", "kkgh mmxy cccq", "kkgh nnxy cccq"]
+    held = [i for i in range(10**6, 10**6 + 100) if zlib.crc32(str(i).encode()) % 7 == 2][: len(asked)]
+    found = {r.doc_id: r.score for r in lm_scoring.scores(frame(rows + list(zip(held, asked)))).collect()}
+    skip, skip_wrong, near, near_wrong = (found[i] for i in held)
+    assert skip > skip_wrong + 0.3 and near > near_wrong + 0.3
+
+
+def test_feature_sums_equal_brute_force(monkeypatch):
+    r = np.random.default_rng(1)
+    texts = [" ".join(r.choice(["ab", "cab", "xy", "zxy", "q"], n)) for n in (0, 1, 2, 3, 40, 900)]
+    class_of = np.arange(lm_scoring.ENDINGS) % lm_scoring.CLASSES
+    scores = r.normal(size=((lm_scoring.CLASSES + 1) ** 2, lm_scoring.CLASSES)).astype(np.float32)
+    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    bits = 4  # with collisions
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    tokens = lm_scoring.tokens_of(data, np.cumsum([0, *map(len, texts)]))
+    classes, contexts = lm_scoring.contexts_of(tokens, class_of)
+    features = lm_scoring.word_features(tokens, bits)
+    expected = np.zeros((3 << bits, 2, lm_scoring.CLASSES))
+    for cls, context, rows in zip(classes, contexts, features):
+        for row in rows:
+            expected[row, 0, cls] += 1
+            expected[row, 1] += np.exp(scores[context])
+    shared = type("Shared", (), {"value": (class_of, np.exp(scores), bits)})
+    for held in (lm_scoring.CELLS_HELD, 10):
+        monkeypatch.setattr(lm_scoring, "CELLS_HELD", held)
+        monkeypatch.setattr(lm_scoring, "BLOCK", min(held, 4096))
+        got = np.zeros_like(expected)
+        for part in lm_scoring._feature_sums(shared)([batch]):
+            for feature, sums in zip(*(part.column(c).to_pylist() for c in ("feature", "sums"))):
+                got[feature] += np.frombuffer(sums, np.float32).reshape(2, -1)
+        assert np.allclose(got, expected, rtol=1e-4)
+    words = r.normal(size=(3 << bits, lm_scoring.CLASSES)).astype(np.float32)
+    logs = np.concatenate([x for _, x in lm_scoring.class_scores(scores, words, contexts, features)])
+    plain = scores[contexts] + words[features].sum(axis=1)
+    assert np.allclose(logs, plain - np.log(np.exp(plain).sum(axis=1, keepdims=True)), atol=1e-4)
+    # Words of one class are apart as features, and no feature looks over the beginning of its text.
+    assert len(np.unique(features[classes == classes[0]], axis=0)) > 1 and all((features[b] == features[0]).all() for b in tokens.begins[:-1])
+
+
 def test_toxicity_learns_and_gradients_are_right(spark, frame):
     r = random.Random(0)
     rows = [(k, " ".join(r.choice(VOCABULARY) for _ in range(60))) for k in range(480)]
